@@ -35,19 +35,21 @@ def load_stamp(as_of: datetime | str | None = None) -> Column:
     return F.lit(as_of)
 
 
+def _two_digits(number: Column) -> Column:
+    digits = number.cast("string")
+    return F.when(number < 10, F.concat(F.lit("0"), digits)).otherwise(digits)
+
+
 def utc_offset_label(seconds: Column) -> Column:
     """Offset in seconds as ``UTC±HH:MM``; NULL for a NULL offset.
 
     The sign is that of the offset itself, so -1800 is ``UTC-00:30``.
     """
     size = F.abs(seconds)
-    label = F.format_string(
-        "UTC%s%02d:%02d",
-        F.when(seconds < 0, F.lit("-")).otherwise(F.lit("+")),
-        (size / 3600).cast("int"),
-        (size % 3600 / 60).cast("int"),
-    )
-    return F.when(seconds.isNotNull(), label)
+    sign = F.when(seconds < 0, F.lit("-")).otherwise(F.lit("+"))
+    hours = _two_digits((size / 3600).cast("int"))
+    minutes = _two_digits((size % 3600 / 60).cast("int"))
+    return F.concat(F.lit("UTC"), sign, hours, F.lit(":"), minutes)
 
 
 def parse_event_time(text: Column) -> Column:

@@ -77,5 +77,7 @@ def update_control(control: DataFrame, table_name: str, mark: Column) -> DataFra
 def advance_control(control: DataFrame, table_name: str, mark: str) -> DataFrame:
     """UPDATE, or INSERT when the table is tracked for the first time."""
     others = control.filter(~F.col("TableName").eqNullSafe(table_name))
-    own = control.sparkSession.createDataFrame([(table_name, mark)], control.schema)
+    own = control.sparkSession.range(1).select(
+        F.lit(table_name).alias("TableName"), F.lit(mark).alias("WatermarkValue")
+    )
     return others.unionByName(own)

@@ -141,78 +141,117 @@ def build_suite(
     return suite
 
 
-def _null(data_type: str) -> Column:
-    return F.lit(None).cast(data_type)
-
-
-def _as_text(observed) -> str | None:
-    if observed is None or isinstance(observed, str):
-        return observed
-    return json.dumps(observed)
+ROWS = "rows"
+ABOUT = (
+    "array<struct<seq: int, expectation_type: string, column: string, kwargs: string, "
+    "success: boolean, observed_value: string, bounded: boolean, low: double, high: double, "
+    "raised_exception: boolean, exception_message: string>>"
+)
 
 
 @dataclass
 class _Check:
-    """How one expectation reads its verdict from the row of aggregates."""
+    """How one expectation reads its verdict from the row of aggregates.
+
+    ``element``, ``missing`` and ``unexpected`` name aggregates. ``success`` and
+    ``observed`` are known without a job; ``bounds`` applies to the row count.
+    """
 
     seq: int
     expectation: Expectation
     aggregates: dict[str, Column] = field(default_factory=dict)
-    success: Column | None = None
-    observed: Column | None = None
-    element: Column | None = None
-    missing: Column | None = None
-    unexpected: Column | None = None
+    element: str | None = None
+    missing: str | None = None
+    unexpected: str | None = None
+    bounds: tuple | None = None
+    success: bool | None = None
+    observed: str | None = None
     problem: str | None = None
 
-    def struct(self) -> Column:
-        success = F.lit(False) if self.problem is not None else self.success
-        fields = {
-            "seq": F.lit(self.seq),
-            "expectation_type": F.lit(self.expectation.expectation_type),
-            "column": F.lit(self.expectation.column).cast("string"),
-            "kwargs": F.lit(self.expectation.kwargs_json),
-            "success": success,
-            "observed_value": _null("string") if self.observed is None else self.observed,
-            "element_count": _null("bigint") if self.element is None else self.element,
-            "missing_count": _null("bigint") if self.missing is None else self.missing,
-            "unexpected_count": _null("bigint") if self.unexpected is None else self.unexpected,
-            "raised_exception": F.lit(self.problem is not None),
-            "exception_message": F.lit(self.problem).cast("string"),
+    def about(self) -> dict:
+        low, high = self.bounds or (None, None)
+        return {
+            "seq": self.seq,
+            "expectation_type": self.expectation.expectation_type,
+            "column": self.expectation.column,
+            "kwargs": self.expectation.kwargs_json,
+            "success": False if self.problem is not None else self.success,
+            "observed_value": self.observed,
+            "bounded": self.bounds is not None,
+            "low": low,
+            "high": high,
+            "raised_exception": self.problem is not None,
+            "exception_message": self.problem,
         }
-        return F.struct(*[value.alias(name) for name, value in fields.items()])
 
+    def counts(self) -> str:
+        element, missing, unexpected = (
+            name or "bigint(NULL)" for name in (self.element, self.missing, self.unexpected)
+        )
+        return f"named_struct('element', {element}, 'missing', {missing}, 'wrong', {unexpected})"
 
-ROWS = "rows"
+
+def _verdicts(counted: DataFrame, checks: list[_Check]) -> DataFrame:
+    """One row of aggregates to one row per check.
+
+    What is known beforehand travels as one literal; the aggregates are paired
+    with it by position.
+    """
+    about = F.from_json(F.lit(json.dumps([check.about() for check in checks])), ABOUT)
+    counts = F.expr(f"array({', '.join(check.counts() for check in checks)})")
+    entries = F.arrays_zip(about.alias("about"), counts.alias("counts"))
+    rows, unexpected = F.col(ROWS), F.col("counts.wrong")
+    inside = F.coalesce(rows >= F.col("about.low"), F.lit(True)) & F.coalesce(
+        rows <= F.col("about.high"), F.lit(True)
+    )
+    bounded = F.col("about.bounded")
+    return counted.select(ROWS, F.inline(entries)).select(
+        "about.seq",
+        "about.expectation_type",
+        "about.column",
+        "about.kwargs",
+        F.when(bounded, inside)
+        .otherwise(F.coalesce(F.col("about.success"), unexpected == 0))
+        .alias("success"),
+        F.when(bounded, rows.cast("string"))
+        .otherwise(F.col("about.observed_value"))
+        .alias("observed_value"),
+        F.col("counts.element").alias("element_count"),
+        F.col("counts.missing").alias("missing_count"),
+        unexpected.alias("unexpected_count"),
+        "about.raised_exception",
+        "about.exception_message",
+    )
+
+
+def _as_text(observed) -> str | None:
+    if observed is None or isinstance(observed, str):
+        return observed
+    return json.dumps(observed)
 
 
 def _compile(df: DataFrame, seq: int, expectation: Expectation) -> _Check:
     check = _Check(seq, expectation)
-    rows = F.col(ROWS)
     verdict = ex.schema_verdict(df, expectation)
     if verdict is not None:
-        success, observed = verdict
-        check.success = F.lit(success)
-        check.observed = F.lit(_as_text(observed)).cast("string")
+        check.success, observed = verdict
+        check.observed = _as_text(observed)
         return check
     kwargs = expectation.kwargs
     if expectation.expectation_type == ex.ROW_COUNT:
-        check.success = ex.within(rows, kwargs.get("min_value"), kwargs.get("max_value"))
-        check.observed = rows.cast("string")
+        check.bounds = (kwargs.get("min_value"), kwargs.get("max_value"))
         return check
 
     predicate = ex.unexpected(df, expectation)
     position = [name.lower() for name in df.columns].index(expectation.column.lower())
     missing = f"missing_{position}"
     check.aggregates[missing] = F.count_if(named(expectation.column).isNull())
-    check.element = rows
+    check.element = ROWS
     if expectation.expectation_type == ex.NOT_NULL:
-        check.unexpected = F.col(missing)
+        check.unexpected = missing
     else:
-        counted = f"unexpected_{seq}"
-        check.aggregates[counted] = F.count_if(predicate)
-        check.missing, check.unexpected = F.col(missing), F.col(counted)
-    check.success = check.unexpected == 0
+        check.missing, check.unexpected = missing, f"unexpected_{seq}"
+        check.aggregates[check.unexpected] = F.count_if(predicate)
     return check
 
 
@@ -254,16 +293,14 @@ def _fused(df: DataFrame, checks: list[_Check]) -> DataFrame:
         F.count(F.lit(1)).alias(ROWS),
         *[column.alias(name) for name, column in aggregates.items()],
     )
-    return counted.select(F.inline(F.array(*[check.struct() for check in checks])))
+    return _verdicts(counted, checks)
 
 
 def _compound(df: DataFrame, seq: int, expectation: Expectation) -> DataFrame:
     check = _Check(seq, expectation)
-    check.element, check.missing = F.col("element_count"), F.col("missing_count")
-    check.unexpected = F.col("unexpected_count")
-    check.success = check.unexpected == 0
+    check.element, check.missing, check.unexpected = ROWS, "missing_count", "unexpected_count"
     counts = ex.compound_counts(df, expectation.kwargs["column_list"])
-    return counts.select(F.inline(F.array(check.struct())))
+    return _verdicts(counts.withColumnRenamed("element_count", ROWS), [check])
 
 
 def _percent(part: Column, whole: Column) -> Column:
@@ -308,18 +345,21 @@ def _evaluate(
     return _with_percentages(reduce(DataFrame.unionAll, parts))
 
 
-def statistics(results: DataFrame) -> DataFrame:
-    """Counts and success percentage; the percentage of no expectations is NULL."""
+def statistics_columns() -> list[Column]:
     evaluated = F.count(F.lit(1))
     successful = F.count_if(F.col("success"))
-    return results.agg(
+    percent = F.when(evaluated > 0, successful.cast("double") * 100 / evaluated)
+    return [
         evaluated.alias("evaluated_expectations"),
         successful.alias("successful_expectations"),
         (evaluated - successful).alias("unsuccessful_expectations"),
-        F.when(evaluated > 0, successful.cast("double") * 100 / evaluated).alias(
-            "success_percent"
-        ),
-    )
+        percent.alias("success_percent"),
+    ]
+
+
+def statistics(results: DataFrame) -> DataFrame:
+    """Counts and success percentage; the percentage of no expectations is NULL."""
+    return results.agg(*statistics_columns())
 
 
 def failures(results: DataFrame) -> DataFrame:

@@ -1,7 +1,7 @@
 """Validation outcomes as tables, one partition per run and layer.
 
-Writing a run again replaces it; other runs stay. The human summary of a run is
-a row of ``validation_runs`` plus its rows of ``validation_failures``.
+Writing a run again replaces it; other runs stay. The human summary of a run,
+its statistics and its failed checks, are views over the stored results.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.suite import RESULTS, ValidationReport, failures, statistics
+from tidemark.operators.suite import RESULTS, ValidationReport, failures, statistics_columns
 
 RUN_COLUMNS = "suite_name string, run_time timestamp"
 
@@ -44,16 +44,11 @@ def _safe(text: str) -> str:
 
 
 def write_report(spark: SparkSession, report: ValidationReport, path: str) -> None:
-    """Results, statistics, failed checks and the JSON document of one run."""
-    results = results_frame(spark, report)
-    stamp = {"suite_name": F.lit(report.suite_name), "run_time": F.lit(report.run_time)}
-    _replace(results, report, f"{path}/validation_results")
-    _replace(statistics(results).withColumns(stamp), report, f"{path}/validation_runs")
-    failed = failures(results).select("seq", "expectation_type", "column", *stamp)
-    _replace(failed, report, f"{path}/validation_failures")
+    """Store the results of one run, and the same run as one JSON document."""
+    _replace(results_frame(spark, report), report, f"{path}/validation_results")
     document = json.dumps(report.to_json_dict(), default=str)
     target = f"{path}/documents/run_id={_safe(report.run_id)}/layer={_safe(report.layer)}"
-    spark.createDataFrame([(document,)], "value string").write.mode("overwrite").text(target)
+    spark.range(1).select(F.lit(document).alias("value")).write.mode("overwrite").text(target)
 
 
 def read_results(spark: SparkSession, path: str) -> DataFrame:
@@ -61,11 +56,16 @@ def read_results(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(f"{path}/validation_runs")
+    """Statistics per run and layer."""
+    grouped = read_results(spark, path).groupBy("run_id", "layer", "suite_name", "run_time")
+    return grouped.agg(*statistics_columns())
 
 
 def read_failures(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(f"{path}/validation_failures")
+    """The failed checks of every run."""
+    return failures(read_results(spark, path)).select(
+        "run_id", "layer", "run_time", "seq", "expectation_type", "column"
+    )
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
