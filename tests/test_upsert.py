@@ -1,0 +1,95 @@
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.errors import PySparkException
+
+from helpers import plan_of, sorted_rows
+from tidemark.operators.upsert import ABSENT, upsert
+
+SCHEMA = "k string, h int, fixed string, m double"
+KEYS = ("k", "h")
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def test_matched_rows_take_only_the_listed_columns(spark):
+    target = frame(spark, [("a", 1, "old", 1.0), ("b", 1, "old", 2.0)])
+    source = frame(spark, [("a", 1, "new", 9.0), ("c", 1, "new", 3.0)])
+    assert sorted_rows(upsert(target, source, KEYS, ["m"])) == [
+        ("a", 1, "old", 9.0),
+        ("b", 1, "old", 2.0),
+        ("c", 1, "new", 3.0),
+    ]
+
+
+def test_a_null_measure_in_the_source_overwrites(spark):
+    target = frame(spark, [("a", 1, "old", 1.0)])
+    source = frame(spark, [("a", 1, None, None)])
+    assert sorted_rows(upsert(target, source, KEYS)) == [("a", 1, None, None)]
+
+
+def test_null_keys_never_match_and_are_inserted_again(spark):
+    target = frame(spark, [(None, 1, "old", 1.0), ("a", 1, "old", 1.0)])
+    source = frame(spark, [(None, 1, "new", 5.0), (None, 1, "new", 5.0), ("a", 1, "new", 7.0)])
+    assert sorted_rows(upsert(target, source, KEYS, ["m"])) == [
+        ("a", 1, "old", 7.0),
+        (None, 1, "new", 5.0),
+        (None, 1, "new", 5.0),
+        (None, 1, "old", 1.0),
+    ]
+
+
+def test_repeated_source_keys_raise_even_when_columns_are_pruned(spark):
+    target = frame(spark, [("a", 1, "old", 1.0)])
+    source = frame(spark, [("a", 1, "x", 2.0), ("a", 1, "y", 3.0)])
+    merged = upsert(target, source, KEYS)
+    for action in (merged.collect, merged.count, merged.select("k").collect):
+        with pytest.raises(PySparkException, match="several source rows"):
+            action()
+
+
+def test_columns_are_matched_by_name(spark):
+    target = frame(spark, [("a", 1, "old", 1.0)])
+    source = frame(spark, [("a", 1, "new", 2.0)]).select("m", "fixed", "h", "k")
+    assert sorted_rows(upsert(target, source, KEYS, ["m"])) == [("a", 1, "old", 2.0)]
+    with pytest.raises(ValueError, match="lacks"):
+        upsert(target, source.drop("m"), KEYS)
+
+
+def test_grouped_source_is_shuffled_once(spark):
+    target = frame(spark, [("a", 1, "old", 1.0)])
+    source = frame(spark, [("a", 1, "new", 2.0)]).groupBy(*KEYS).agg(
+        {"fixed": "max", "m": "max"}
+    ).toDF("k", "h", "fixed", "m")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = plan_of(upsert(target, source, KEYS, ["m"], null_keys=ABSENT))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
+keyed = st.dictionaries(
+    st.tuples(st.sampled_from("abc"), st.integers(0, 2)),
+    st.one_of(st.none(), st.floats(-5, 5)),
+    max_size=6,
+)
+
+
+@settings(
+    max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+@given(old=keyed, new=keyed)
+def test_upsert_is_idempotent_and_equals_a_dictionary_update(spark, old, new):
+    target = frame(spark, [(k, h, "t", m) for (k, h), m in old.items()])
+    source = frame(spark, [(k, h, "s", m) for (k, h), m in new.items()])
+    once = upsert(target, source, KEYS, ["m"])
+    twice = upsert(once, source, KEYS, ["m"])
+    expected = {key: ("t", m) for key, m in old.items()}
+    for key, m in new.items():
+        expected[key] = (expected[key][0] if key in expected else "s", m)
+    rows = sorted(((k, h, f, m) for (k, h), (f, m) in expected.items()), key=repr)
+    assert sorted_rows(once) == rows
+    assert sorted_rows(twice) == rows

@@ -21,8 +21,7 @@ def read_payloads(spark: SparkSession, path: str, whole_files: bool = False) ->
     schema = "payload string, city string"
     return (
         spark.read.schema(schema)
-        .option("wholetext", whole_files)
-        .text(path)
+        .text(path, wholetext=whole_files)
         .select("city", "payload")
     )
 
