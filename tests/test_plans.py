@@ -1,0 +1,87 @@
+"""Assertions on physical plans: what is pushed down, shuffled and broadcast."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from helpers import optimized_plan_of, plan_of
+from tidemark.operators.suite import Suite
+from tidemark.plans.observations import bronze, table
+from tidemark.plans.queries import QUERIES
+from tidemark.plans.store import Layout, month_number, only_partitions, read_bronze
+from tidemark.plans.suites import bronze_suite
+from tidemark.sources.tables import append_partitioned
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_no_python_workers_and_no_cross_joins(spark, sf_dir, name):
+    plan = plan_of(QUERIES[name](spark, sf_dir))
+    for forbidden in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin", "MapInPandas"):
+        assert forbidden not in plan
+
+
+def test_a_suite_reads_its_table_once(spark, sf_dir, tmp_path):
+    path = str(tmp_path / "bronze")
+    bronze(spark, sf_dir).write.parquet(path)
+    plan = plan_of(bronze_suite().evaluate(spark.read.parquet(path)))
+    assert plan.count("FileScan") == 1
+    assert plan.count("Exchange") == 1 and "Exchange SinglePartition" in plan
+    assert plan.count("HashAggregate") == 2 and "SortAggregate" not in plan
+
+
+def test_a_check_reads_only_its_columns(spark, sf_dir):
+    suite = Suite().expect_column_values_to_be_between("value", 0, 50)
+    plan = plan_of(suite.evaluate(table(spark, sf_dir, "events")))
+    assert "ReadSchema: struct<value:double>" in plan
+
+
+def test_the_mark_reaches_the_scan(spark, sf_dir):
+    plan = plan_of(QUERIES["incremental_filter"](spark, sf_dir))
+    assert "GreaterThan(ts,2024-01-20T00:00)" in plan
+
+
+def test_hourly_aggregate_is_one_shuffle_after_partial_aggregation(spark, sf_dir):
+    plan = plan_of(QUERIES["hourly_aggregate"](spark, sf_dir))
+    assert plan.count("Exchange") == 1 and plan.count("HashAggregate") == 2
+    assert "ReadSchema: struct<ts:timestamp_ntz,event_type:string,value:double>" in plan
+    assert "PushedFilters: [IsNotNull(ts)]" in plan
+
+
+def test_upsert_of_two_aggregates_adds_no_shuffle(spark, sf_dir):
+    """Both sides are grouped by the merge keys, so the join is co-located."""
+    plan = plan_of(QUERIES["silver_upsert"](spark, sf_dir))
+    assert plan.count("Exchange hashpartitioning") == 2
+    assert "SortMergeJoin" in plan and "FullOuter" in plan
+
+
+def test_the_dictionary_is_broadcast(spark, sf_dir):
+    plan = plan_of(QUERIES["dictionary_lookup"](spark, sf_dir))
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_top_k_reports_do_not_sort_everything(spark, sf_dir):
+    for name in ("validation_offenders", "silver_sorted", "runlog_tail"):
+        assert "TakeOrderedAndProject" in plan_of(QUERIES[name](spark, sf_dir))
+
+
+def test_payloads_are_parsed_once(spark, sf_dir):
+    plan = optimized_plan_of(QUERIES["json_extract"](spark, sf_dir))
+    assert plan.count("from_json(StructField(main") == 1
+
+
+def test_touched_months_prune_partitions(spark, sf_dir, tmp_path):
+    layout = Layout(str(tmp_path))
+    rows = bronze(spark, sf_dir).withColumns({"slice": F.lit("0"), "accepted": F.lit(True)})
+    append_partitioned(rows, layout.bronze, ("slice", "accepted", "year", "month"))
+    touched = spark.sql("select 202401 as month_number")
+    spark.conf.set("spark.sql.maxMetadataStringLength", 2000)
+    try:
+        plan = plan_of(only_partitions(read_bronze(spark, layout), month_number(), touched))
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "PartitionFilters" in plan and "202401" in plan.split("PartitionFilters")[1]
+
+
+def test_partitioned_writes_are_rebalanced(spark, sf_dir):
+    """Adaptive execution may split a rebalanced partition, so no month is one task's work."""
+    rows = table(spark, sf_dir, "orders").withColumn("year", F.year("o_orderdate"))
+    assert "RebalancePartitions" in optimized_plan_of(rows.hint("rebalance", F.col("year")))
