@@ -7,9 +7,14 @@ from helpers import optimized_plan_of, plan_of
 from tidemark.operators.suite import Suite
 from tidemark.plans.observations import bronze, table
 from tidemark.plans.queries import QUERIES
-from tidemark.plans.store import Layout, month_number, only_partitions, read_bronze
+from tidemark.plans.store import (
+    Layout,
+    read_bronze,
+    read_months_of_slice,
+    within_hours,
+    write_slice,
+)
 from tidemark.plans.suites import bronze_suite
-from tidemark.sources.tables import append_partitioned
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -68,17 +73,27 @@ def test_payloads_are_parsed_once(spark, sf_dir):
     assert plan.count("from_json(StructField(main") == 1
 
 
-def test_touched_months_prune_partitions(spark, sf_dir, tmp_path):
+def test_accepted_rows_are_pruned_by_partition(spark, sf_dir, tmp_path):
     layout = Layout(str(tmp_path))
-    rows = bronze(spark, sf_dir).withColumns({"slice": F.lit("0"), "accepted": F.lit(True)})
-    append_partitioned(rows, layout.bronze, ("slice", "accepted", "year", "month"))
-    touched = spark.sql("select 202401 as month_number")
+    write_slice(bronze(spark, sf_dir), layout, "0")
+    plan = plan_of(read_bronze(spark, layout))
+    assert "PartitionFilters: [isnotnull(accepted" in plan
+
+
+def test_the_time_range_reaches_the_scan(spark, sf_dir, tmp_path):
+    layout = Layout(str(tmp_path))
+    write_slice(bronze(spark, sf_dir), layout, "0")
+    rows = read_months_of_slice(spark, layout, "0")
+    chosen = rows.filter(within_hours("2024-01-01 00:10:00", "2024-01-01 01:00:00"))
+    assert chosen.count() == rows.filter("event_time < '2024-01-01 02:00:00'").count() > 0
     spark.conf.set("spark.sql.maxMetadataStringLength", 2000)
     try:
-        plan = plan_of(only_partitions(read_bronze(spark, layout), month_number(), touched))
+        plan = plan_of(chosen)
     finally:
         spark.conf.unset("spark.sql.maxMetadataStringLength")
-    assert "PartitionFilters" in plan and "202401" in plan.split("PartitionFilters")[1]
+    pushed = plan.split("PushedFilters")[1]
+    assert "GreaterThanOrEqual(timestamp,2024-01-01 00:00:00)" in pushed
+    assert "LessThanOrEqual(timestamp,2024-01-01 01:59:59)" in pushed
 
 
 def test_partitioned_writes_are_rebalanced(spark, sf_dir):

@@ -45,7 +45,7 @@ def test_text_lines_round_trip(spark, tmp_path):
     assert [(r["level"], r["message"]) for r in rows] == [
         ("INFO", "started"),
         ("ERROR", "failed: [x] y"),
-        (None, ""),
+        (None, None),
     ]
     assert rows[1]["log_time"] == datetime(2025, 11, 6, 10, 0, 1)
     assert rows[2]["log_time"] is None and rows[2]["log_date"] is None

@@ -12,13 +12,14 @@ def one(spark, column, rows, schema):
 
 
 def test_epoch_to_string_is_utc_in_any_zone(spark):
-    rows = [(1704067207,), (0,), (-5,), (1710054000,), (None,)]
+    rows = [(1704067207,), (0,), (-5,), (1710054000,), (None,), (10**18,)]
     expected = [
         "2024-01-01 00:00:07",
         "1970-01-01 00:00:00",
         "1969-12-31 23:59:55",
         "2024-03-10 07:00:00",
         None,
+        None,
     ]
     for zone in ("UTC", "America/New_York", "Asia/Kolkata"):
         spark.conf.set("spark.sql.session.timeZone", zone)

@@ -15,15 +15,20 @@ def named(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+# Epoch seconds of the first and last moment of years 1 to 9999.
+FIRST_SECOND, LAST_SECOND = -62135596800, 253402300799
+
+
 def epoch_to_string(seconds: Column) -> Column:
     """Epoch seconds as UTC ``yyyy-MM-dd HH:mm:ss``, whatever the session zone is.
 
     Zone-less arithmetic followed by a cast prints whole seconds in exactly
-    this form, and no daylight-saving gap can move the result.
+    this form, and no daylight-saving gap can move the result. Seconds outside
+    the calendar give NULL.
     """
-    zero = F.lit(0)
-    length = F.make_dt_interval(zero, zero, zero, seconds.cast("decimal(18,6)"))
-    return (F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + length).cast("string")
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    moment = epoch + F.expr("INTERVAL '1' SECOND") * seconds
+    return F.when(seconds.between(FIRST_SECOND, LAST_SECOND), moment.cast("string"))
 
 
 def load_stamp(as_of: datetime | str | None = None) -> Column:

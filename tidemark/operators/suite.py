@@ -95,6 +95,10 @@ class Suite:
             first_seen.setdefault(expectation.column, position)
         return sorted(self.expectations, key=lambda e: first_seen[e.column])
 
+    def is_additive(self) -> bool:
+        """Whether counts over disjoint parts of a table add up to its own counts."""
+        return all(e.expectation_type != ex.COMPOUND_UNIQUE for e in self.expectations)
+
     def evaluate(self, df: DataFrame, max_aggregates: int = MAX_AGGREGATES) -> DataFrame:
         """One result row per expectation, lazily, numbered by ``seq``."""
         return _evaluate(df, list(enumerate(self.ordered())), max_aggregates)
@@ -345,6 +349,45 @@ def _evaluate(
     return _with_percentages(reduce(DataFrame.unionAll, parts))
 
 
+def combine(parts: DataFrame) -> DataFrame:
+    """Results over disjoint parts of a table as results over the whole table.
+
+    Rows of one expectation, one per part, become one row. Only suites whose
+    counts add up can be combined; see ``Suite.is_additive``.
+    """
+    keys = ["seq", "expectation_type", "column", "kwargs"]
+    is_row_count = F.col("expectation_type") == ex.ROW_COUNT
+    observed = F.col("observed_value")
+    grouped = parts.groupBy(*keys).agg(
+        F.sum("element_count").alias("element_count"),
+        F.sum("missing_count").alias("missing_count"),
+        F.sum("unexpected_count").alias("unexpected_count"),
+        F.bool_and("success").alias("all_succeeded"),
+        F.sum(F.when(is_row_count, observed.try_cast("bigint"))).alias("rows"),
+        F.max(observed).alias("observed"),
+        F.bool_or("raised_exception").alias("raised_exception"),
+        F.max("exception_message").alias("exception_message"),
+    )
+    bounds = F.from_json("kwargs", "min_value double, max_value double")
+    rows = F.col("rows")
+    inside = F.coalesce(rows >= bounds["min_value"], F.lit(True)) & F.coalesce(
+        rows <= bounds["max_value"], F.lit(True)
+    )
+    success = F.when(is_row_count & ~F.col("raised_exception"), inside).otherwise(
+        F.col("all_succeeded")
+    )
+    return _with_percentages(
+        grouped.withColumns(
+            {
+                "success": success,
+                "observed_value": F.when(is_row_count, rows.cast("string")).otherwise(
+                    F.col("observed")
+                ),
+            }
+        )
+    )
+
+
 def statistics_columns() -> list[Column]:
     evaluated = F.count(F.lit(1))
     successful = F.count_if(F.col("success"))

@@ -28,7 +28,7 @@ from tidemark.plans.observations import (
     payloads,
     table,
 )
-from tidemark.plans.refresh import Refresh
+from tidemark.plans.refresh import CUMULATIVE, INCREMENT, Refresh
 from tidemark.plans.store import Layout
 from tidemark.plans.suites import bronze_suite, silver_suite
 from tidemark.shared import fresh_folder
@@ -501,8 +501,9 @@ def runlog_days(spark, sf_dir):
 # --- whole jobs ---------------------------------------------------------------------
 
 
-def refresh_job(spark, sf_dir, folder: str) -> Refresh:
+def refresh_job(spark, sf_dir, folder: str, scope: str) -> Refresh:
     return Refresh(
+        scope=scope,
         layout=Layout(folder),
         countries=countries(spark, sf_dir),
         bronze_suite=bronze_suite(),
@@ -515,7 +516,7 @@ def refresh_job(spark, sf_dir, folder: str) -> Refresh:
 @register
 def end_to_end_refresh(spark, sf_dir):
     """Two scheduled runs from an empty root; silver holds the whole table."""
-    job = refresh_job(spark, sf_dir, fresh_folder(spark, "refresh"))
+    job = refresh_job(spark, sf_dir, fresh_folder(spark, "refresh"), CUMULATIVE)
     landed = payloads(spark, sf_dir)
     for batch in (
         increment.late_rows(landed, "ts", CUT),
@@ -532,7 +533,7 @@ def streaming_refresh(spark, sf_dir):
     folder = fresh_folder(spark, "stream")
     landed = payloads(spark, sf_dir).select("payload", "city")
     landed.write.partitionBy("city").text(f"{folder}/landed")
-    job = refresh_job(spark, sf_dir, f"{folder}/tables")
+    job = refresh_job(spark, sf_dir, f"{folder}/tables", INCREMENT)
     stream = read_payload_stream(spark, f"{folder}/landed", max_files_per_trigger=1000)
     start_refresh(job, stream, f"{folder}/checkpoint").awaitTermination()
     silver = store.read_silver(spark, job.layout.silver)

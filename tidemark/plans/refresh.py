@@ -8,7 +8,6 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark import schemas
 from tidemark.operators.aggregate import (
     hourly_aggregate,
     rows_of_touched_hours,
@@ -21,6 +20,11 @@ from tidemark.plans.store import Layout
 from tidemark.sources.payloads import flatten_payloads
 from tidemark.sources.runlog import append_events
 
+# What a run validates. TABLE: both tables whole, after the merge. INCREMENT: the
+# new slice and the refreshed hours, before the merge. CUMULATIVE: as TABLE, but
+# bronze counts are the sum over slices, and only the new slice is scanned.
+TABLE, INCREMENT, CUMULATIVE = "table", "increment", "cumulative"
+
 
 @dataclass
 class RunSummary:
@@ -45,6 +49,7 @@ class Refresh:
     table_name: str = "weather_data"
     bronze_suite: Suite | None = None
     silver_suite: Suite | None = None
+    scope: str = TABLE
     on_failure: str = "report"
     exact_digits: int | None = None
     as_of: datetime | str | None = None
@@ -53,6 +58,13 @@ class Refresh:
     def bronze_rows(self, payloads: DataFrame) -> DataFrame:
         return to_bronze(flatten_payloads(payloads, self.as_of), self.countries)
 
+    def new_rows(self, payloads: DataFrame, mark: str | None) -> DataFrame:
+        """Bronze rows above the mark, and those without a time, for the quarantine."""
+        rows = self.bronze_rows(payloads)
+        if mark is None:
+            return rows
+        return rows.filter((F.col("timestamp") > F.lit(mark)) | F.col("timestamp").isNull())
+
     def run(self, spark: SparkSession, payloads: DataFrame) -> RunSummary:
         """One scheduled run over a batch of ``(city, payload)`` rows.
 
@@ -63,18 +75,10 @@ class Refresh:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
         generation = store.latest_generation(spark, self.layout)
         mark = store.read_mark(spark, self.layout, self.table_name, generation)
-        increment = self.new_rows(payloads, mark)
-        summary = self.apply(spark, increment, str(generation), mark)
+        summary = self.apply(spark, self.new_rows(payloads, mark), str(generation), mark)
         store.write_mark(spark, self.layout, self.table_name, summary.new_mark, generation)
         return summary
 
-    def new_rows(self, payloads: DataFrame, mark: str | None) -> DataFrame:
-        """Bronze rows above the mark, and those without a time, for the quarantine."""
-        rows = self.bronze_rows(payloads)
-        if mark is None:
-            return rows
-        return rows.filter((F.col("timestamp") > F.lit(mark)) | F.col("timestamp").isNull())
-
     def apply(
         self, spark: SparkSession, increment: DataFrame, slice_name: str, mark=None
     ) -> RunSummary:
@@ -87,29 +91,31 @@ class Refresh:
         store.write_slice(increment, layout, slice_name)
         written = store.read_slice(spark, layout, slice_name)
         measured = written.agg(
-            F.max("timestamp").alias("mark"),
-            F.unix_micros(F.min("event_time")).alias("first"),
-            F.unix_micros(F.max("event_time")).alias("last"),
+            F.min("timestamp").alias("first"),
+            F.max("timestamp").alias("last"),
             F.count(F.lit(1)).alias("rows"),
         ).first()
-        summary = RunSummary(slice_name, mark, measured["mark"] or mark, measured["rows"])
+        summary = RunSummary(slice_name, mark, measured["last"] or mark, measured["rows"])
         events = [("INFO", f"slice {slice_name}: {measured['rows']} rows appended")]
-        if measured["rows"] == 0:
-            events.append(("INFO", "Latest watermark is empty."))
         if self.bronze_suite is not None:
-            summary.bronze_report = self._validate(
-                spark, store.read_bronze(spark, layout), self.bronze_suite, "Bronze", slice_name
-            )
+            summary.bronze_report = self._validate_bronze(spark, written, slice_name)
         if measured["rows"]:
-            updates = self._touched_aggregate(spark, written, measured["first"], measured["last"])
-            updates.write.mode("overwrite").parquet(layout.updates)
-            updates = spark.read.schema(schemas.SILVER).parquet(layout.updates)
-            if self.silver_suite is not None:
-                summary.silver_report = self._validate(
-                    spark, updates, self.silver_suite, "Silver", slice_name
-                )
-            store.merge_into_silver(spark, layout.silver, updates)
+            updates = store.stage_updates(
+                spark,
+                layout.silver,
+                self._touched_aggregate(
+                    spark, written, slice_name, measured["first"], measured["last"]
+                ),
+            )
+            if self.silver_suite is not None and self.scope == INCREMENT:
+                summary.silver_report = self._validate_silver(spark, updates, slice_name)
+            store.merge_staged(spark, layout.silver)
             events.append(("INFO", f"silver refreshed, mark {summary.new_mark}"))
+            if self.silver_suite is not None and self.scope != INCREMENT:
+                silver = store.read_silver(spark, layout.silver)
+                summary.silver_report = self._validate_silver(spark, silver, slice_name)
+        else:
+            events.append(("INFO", "Latest watermark is empty."))
         if self.keep_log:
             for report in (summary.bronze_report, summary.silver_report):
                 if report is not None and not report.success:
@@ -119,29 +125,52 @@ class Refresh:
         return summary
 
     def _touched_aggregate(
-        self, spark: SparkSession, written: DataFrame, first: int, last: int
+        self, spark: SparkSession, written: DataFrame, slice_name: str, first: str, last: str
     ) -> DataFrame:
         """Aggregate of every bronze row in a touched hour.
 
-        Three nested restrictions keep the read small: the months touched prune
-        partitions, the time range skips row groups, the semi join is exact.
+        Three nested restrictions keep the read small: only folders of touched
+        months are listed, the time range skips row groups, the semi join is
+        exact.
         """
-        months = written.select(store.month_number().alias("month_number"))
-        bronze = store.only_partitions(
-            store.read_bronze(spark, self.layout), store.month_number(), months
-        )
-        hour = F.expr("INTERVAL 1 HOUR")
-        event_time = F.col("event_time")
-        bronze = bronze.filter(
-            (event_time > F.timestamp_micros(F.lit(first)) - hour)
-            & (event_time < F.timestamp_micros(F.lit(last)) + hour)
-        )
+        bronze = store.read_months_of_slice(spark, self.layout, slice_name)
+        bronze = bronze.filter(store.within_hours(first, last))
         rows = rows_of_touched_hours(bronze, touched_hours(written))
         return hourly_aggregate(rows, exact_digits=self.exact_digits)
 
-    def _validate(self, spark, table, suite, layer, slice_name) -> ValidationReport:
-        report = validate(table, suite, layer=layer, run_id=f"slice-{slice_name}")
+    def _validate_bronze(
+        self, spark: SparkSession, written: DataFrame, slice_name: str
+    ) -> ValidationReport:
+        if self.scope == TABLE:
+            table = store.read_bronze(spark, self.layout)
+            return self._report(spark, validate(table, self.bronze_suite, "Bronze", slice_name))
+        own = validate(written, self.bronze_suite, "Bronze_slice", slice_name)
+        reports.write_report(spark, own, self.layout.reports)
+        if self.scope == INCREMENT:
+            return self._checked(own)
+        combined = reports.combined_report(
+            spark,
+            self.layout.reports,
+            own,
+            self.bronze_suite,
+            "Bronze",
+            store.slice_names(spark, self.layout) | {slice_name},
+        )
+        if combined is None:
+            table = store.read_bronze(spark, self.layout)
+            combined = validate(table, self.bronze_suite, "Bronze", slice_name)
+        return self._report(spark, combined)
+
+    def _validate_silver(
+        self, spark: SparkSession, table: DataFrame, slice_name: str
+    ) -> ValidationReport:
+        return self._report(spark, validate(table, self.silver_suite, "Silver", slice_name))
+
+    def _report(self, spark: SparkSession, report: ValidationReport) -> ValidationReport:
         reports.write_report(spark, report, self.layout.reports)
+        return self._checked(report)
+
+    def _checked(self, report: ValidationReport) -> ValidationReport:
         if self.on_failure == "raise" and not report.success:
             raise ValidationFailed(report)
         return report

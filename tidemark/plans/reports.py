@@ -10,10 +10,26 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-
-from tidemark.operators.suite import RESULTS, ValidationReport, failures, statistics_columns
-
-RUN_COLUMNS = "suite_name string, run_time timestamp"
+from pyspark.sql import types as T
+
+from tidemark import schemas
+from tidemark.operators.suite import (
+    PARTIAL_LIST_SIZE,
+    RESULTS,
+    Suite,
+    ValidationReport,
+    combine,
+    failures,
+    statistics_columns,
+)
+from tidemark.shared import path_exists, small_frame
+
+STORED = (
+    T.StructType(list(RESULTS.fields))
+    .add("partial_unexpected_list", T.ArrayType(T.StringType()))
+    .add("suite_name", "string")
+    .add("run_time", "timestamp")
+)
 
 
 def results_frame(spark: SparkSession, report: ValidationReport) -> DataFrame:
@@ -26,10 +42,7 @@ def results_frame(spark: SparkSession, report: ValidationReport) -> DataFrame:
         (*row, offending.get(row["seq"], []), report.suite_name, report.run_time)
         for row in report.rows
     ]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in RESULTS.fields)
-    return spark.createDataFrame(
-        rows, f"{schema}, partial_unexpected_list array<string>, {RUN_COLUMNS}"
-    )
+    return small_frame(spark, rows, STORED)
 
 
 def _replace(rows: DataFrame, report: ValidationReport, path: str) -> None:
@@ -52,7 +65,39 @@ def write_report(spark: SparkSession, report: ValidationReport, path: str) -> No
 
 
 def read_results(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(f"{path}/validation_results")
+    schema = T.StructType(list(STORED.fields)).add("run_id", "string").add("layer", "string")
+    return spark.read.schema(schema).parquet(f"{path}/validation_results")
+
+
+def combined_report(
+    spark: SparkSession,
+    path: str,
+    newest: ValidationReport,
+    suite: Suite,
+    layer: str,
+    run_ids: set[str],
+) -> ValidationReport | None:
+    """A report on the union of disjoint row sets, from the stored reports on each.
+
+    ``newest`` gives the layer of the parts. None when counts of parts cannot be
+    added up, or when a part has not been validated with this very suite.
+    """
+    if not suite.is_additive() or not path_exists(spark, f"{path}/validation_results"):
+        return None
+    wanted = small_frame(
+        spark,
+        [(row["seq"], row["kwargs"]) for row in newest.rows],
+        schemas.flat("seq int, kwargs string"),
+    )
+    stored = read_results(spark, path).filter(F.col("layer") == newest.layer)
+    parts = stored.join(F.broadcast(wanted), ["seq", "kwargs"], "left_semi")
+    counted = parts.groupBy("run_id").agg(F.count(F.lit(1)).alias("checks"))
+    complete = {r["run_id"] for r in counted.collect() if r["checks"] == len(newest.rows)}
+    if not {_safe(run_id) for run_id in run_ids} <= complete:
+        return None
+    rows = combine(parts).orderBy("seq").collect()
+    lists = {seq: values[:PARTIAL_LIST_SIZE] for seq, values in newest.partial_lists.items()}
+    return ValidationReport(rows, lists, suite.name, layer, newest.run_id, newest.run_time)
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:

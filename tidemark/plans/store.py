@@ -1,15 +1,17 @@
 """The tables of one pipeline below one root folder, written so that runs can be repeated.
 
-Bronze is a set of slices, one per increment. A slice belongs to the generation
-of the control table it started from, and a run that is repeated before that
-generation ended overwrites its own slice. Within a slice rows are partitioned by year and
-month; rows without a key or an event time are kept apart under
-``accepted=false``.
+Bronze is partitioned by year and month, then by acceptance (rows without a key
+or an event time are kept, but apart) and by slice. A slice is one increment. It
+belongs to the generation of the control table it started from, and a run that
+is repeated before that generation ended replaces its own slice.
 
 The control table keeps one small file per generation; the newest one counts.
 
-Silver is partitioned by date. An upsert rewrites only the dates it touches.
-There is one writer at a time.
+Silver is partitioned by date. An upsert reads and rewrites only the dates it
+touches. There is one writer at a time.
+
+Folder names tell which partitions a slice or an update touches, so the tables
+are never listed whole to find them.
 """
 
 from __future__ import annotations
@@ -17,17 +19,22 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark import schemas
 from tidemark.operators.enrich import is_acceptable
 from tidemark.operators.increment import advance_control, lookup_mark
 from tidemark.operators.upsert import ABSENT, upsert
-from tidemark.shared import child_names, delete_path, is_complete, path_exists
-
-# Above this many touched partitions, they are pruned by range instead of by list.
-MAX_LISTED_PARTITIONS = 1000
+from tidemark.shared import (
+    child_names,
+    delete_path,
+    is_complete,
+    matching_paths,
+    path_exists,
+    small_frame,
+)
 
 
 @dataclass(frozen=True)
@@ -46,10 +53,6 @@ class Layout:
     def control(self) -> str:
         return f"{self.root}/control"
 
-    @property
-    def updates(self) -> str:
-        return f"{self.root}/staging/updates"
-
     @property
     def reports(self) -> str:
         return f"{self.root}/reports"
@@ -59,19 +62,31 @@ class Layout:
         return f"{self.root}/runlog"
 
 
+def _read_folders(
+    spark: SparkSession, base: str, folders: Sequence[str], schema: T.StructType
+) -> DataFrame:
+    """Some partition folders of the table at ``base``; empty for none."""
+    if not folders:
+        return small_frame(spark, [], schema)
+    reader = spark.read.schema(schema).option("basePath", base)
+    return reader.parquet(*folders)
+
+
 # --- control table -----------------------------------------------------------
 
 
 def latest_generation(spark: SparkSession, layout: Layout) -> int:
     """Number of the newest complete control file; 0 when there is none."""
     numbers = [int(name.split("=")[1]) for name in child_names(spark, layout.control)]
-    complete = [n for n in numbers if is_complete(spark, f"{layout.control}/generation={n}")]
-    return max(complete, default=0)
+    for number in sorted(numbers, reverse=True):
+        if is_complete(spark, f"{layout.control}/generation={number}"):
+            return number
+    return 0
 
 
 def read_control(spark: SparkSession, layout: Layout, generation: int) -> DataFrame:
     if generation == 0:
-        return spark.createDataFrame([], schemas.CONTROL)
+        return small_frame(spark, [], schemas.CONTROL)
     return spark.read.schema(schemas.CONTROL).parquet(f"{layout.control}/generation={generation}")
 
 
@@ -92,118 +107,134 @@ def write_mark(
 
 # --- bronze ------------------------------------------------------------------
 
+BRONZE_PARTITIONS = ("year", "month", "accepted", "slice")
+STORED_BRONZE = (
+    T.StructType(list(schemas.BRONZE.fields)).add("accepted", "boolean").add("slice", "string")
+)
 
-def _slice(layout: Layout, name: str) -> str:
-    return f"{layout.bronze}/slice={name}"
 
+def _slice_folders(
+    spark: SparkSession, layout: Layout, name: str, accepted: str = "true"
+) -> list[str]:
+    pattern = f"{layout.bronze}/year=*/month=*/accepted={accepted}/slice={name}"
+    return matching_paths(spark, pattern)
 
-def write_slice(rows: DataFrame, layout: Layout, name: str) -> None:
-    """Write one increment in one pass, accepted and rejected rows side by side."""
-    partitions = ("accepted", "year", "month")
-    (
-        rows.withColumn("accepted", is_acceptable())
-        .hint("rebalance", *[F.col(name) for name in partitions])
-        .write.partitionBy(*partitions)
-        .mode("overwrite")
-        .parquet(_slice(layout, name))
-    )
 
+def slice_names(spark: SparkSession, layout: Layout) -> set[str]:
+    """Slices that hold accepted rows."""
+    return {path.rsplit("slice=", 1)[1] for path in _slice_folders(spark, layout, "*")}
 
-def _read_bronze(spark: SparkSession, layout: Layout, path: str, accepted: bool) -> DataFrame:
-    reader = spark.read.schema(schemas.BRONZE_DDL + ", slice string, accepted boolean")
-    rows = reader.option("basePath", layout.bronze).parquet(path)
-    return rows.filter(F.col("accepted") == accepted).select(*schemas.BRONZE.names)
 
+def write_slice(rows: DataFrame, layout: Layout, name: str) -> None:
+    """Write one increment in one pass, accepted and rejected rows side by side.
 
-def read_bronze(spark: SparkSession, layout: Layout) -> DataFrame:
-    return _read_bronze(spark, layout, layout.bronze, True)
+    What an interrupted run left of the same slice is removed first. The
+    rebalance hint gathers a partition's rows before the write, and lets
+    adaptive execution spread a hot partition over several tasks.
+    """
+    spark = rows.sparkSession
+    for folder in _slice_folders(spark, layout, name, accepted="*"):
+        delete_path(spark, folder)
+    (
+        rows.withColumns({"accepted": is_acceptable(), "slice": F.lit(name)})
+        .hint("rebalance", F.col("year"), F.col("month"), F.col("accepted"))
+        .write.partitionBy(*BRONZE_PARTITIONS)
+        .mode("append")
+        .parquet(layout.bronze)
+    )
 
 
-def read_slice(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
-    """One increment; only its own folder is listed."""
-    return _read_bronze(spark, layout, _slice(layout, name), True)
+def read_bronze(spark: SparkSession, layout: Layout, accepted: bool = True) -> DataFrame:
+    rows = spark.read.schema(STORED_BRONZE).parquet(layout.bronze)
+    return rows.filter(F.col("accepted") == accepted).select(*schemas.BRONZE.names)
 
 
 def read_rejected(spark: SparkSession, layout: Layout) -> DataFrame:
     """The quarantine: rows that no hour and no key can hold."""
-    return _read_bronze(spark, layout, layout.bronze, False)
-
+    return read_bronze(spark, layout, accepted=False)
 
-def only_partitions(table: DataFrame, partition, touched: DataFrame) -> DataFrame:
-    """``table`` restricted to the partition values in the one-column ``touched``.
 
-    The values arrive as literals, so partitions are pruned before files are
-    listed. At most ``MAX_LISTED_PARTITIONS`` values come to the driver; more
-    than that are pruned by their range, which keeps every touched partition.
-    """
-    name = touched.columns[0]
-    distinct = touched.distinct()
-    values = [row[0] for row in distinct.limit(MAX_LISTED_PARTITIONS + 1).collect()]
-    if len(values) <= MAX_LISTED_PARTITIONS:
-        return table.filter(partition.isin(values))
-    low, high = distinct.agg(F.min(name), F.max(name)).first()
-    return table.filter(partition.between(F.lit(low), F.lit(high)))
+def read_slice(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
+    """The accepted rows of one increment."""
+    folders = _slice_folders(spark, layout, name)
+    rows = _read_folders(spark, layout.bronze, folders, STORED_BRONZE)
+    return rows.select(*schemas.BRONZE.names)
 
 
-def month_number():
-    return F.col("year") * 100 + F.col("month")
+def read_months_of_slice(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
+    """All accepted rows of the months in which a slice has rows."""
+    months = [path.rsplit("/", 1)[0] for path in _slice_folders(spark, layout, name)]
+    rows = _read_folders(spark, layout.bronze, months, STORED_BRONZE)
+    return rows.select(*schemas.BRONZE.names)
 
 
 # --- silver ------------------------------------------------------------------
 
 SILVER_PARTITION = "hour_date"
+STORED_SILVER = T.StructType(list(schemas.SILVER.fields)).add(SILVER_PARTITION, "date")
 
 
-def read_silver(spark: SparkSession, path: str) -> DataFrame:
-    schema = schemas.SILVER_DDL + f", {SILVER_PARTITION} date"
-    return spark.read.schema(schema).parquet(path).select(*schemas.SILVER.names)
+def _dates(spark: SparkSession, path: str) -> list[str]:
+    return [name for name in child_names(spark, path) if name.startswith(f"{SILVER_PARTITION}=")]
 
 
-def _dated(rows: DataFrame) -> DataFrame:
-    return rows.withColumn(SILVER_PARTITION, F.to_date("hour_start"))
+def read_silver(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(STORED_SILVER).parquet(path).select(*schemas.SILVER.names)
 
 
-def _publish(rows: DataFrame, path: str) -> None:
-    """Replace exactly the dates that ``rows`` holds."""
+def _write_dates(rows: DataFrame, path: str, partition_overwrite: str) -> None:
     (
-        rows.hint("rebalance", F.col(SILVER_PARTITION))
-        .write.option("partitionOverwriteMode", "dynamic")
+        rows.withColumn(SILVER_PARTITION, F.to_date("hour_start"))
+        .hint("rebalance", F.col(SILVER_PARTITION))
+        .write.option("partitionOverwriteMode", partition_overwrite)
         .partitionBy(SILVER_PARTITION)
         .mode("overwrite")
         .parquet(path)
     )
 
 
+def _publish(rows: DataFrame, path: str) -> None:
+    """Replace exactly the dates that ``rows`` holds."""
+    _write_dates(rows, path, "dynamic")
+
+
 def _finish_pending(spark: SparkSession, path: str) -> None:
-    """Apply a merge result that an interrupted run wrote but did not publish."""
+    """Publish a merge result that an interrupted run wrote but did not publish."""
     pending = f"{path}_pending"
-    if not path_exists(spark, pending):
-        return
     if is_complete(spark, pending):
-        _publish(_dated(spark.read.schema(schemas.SILVER).parquet(pending)), path)
+        _publish(read_silver(spark, pending), path)
     delete_path(spark, pending)
 
 
-def merge_into_silver(
-    spark: SparkSession,
-    path: str,
-    source: DataFrame,
-    update_columns: Sequence[str] = schemas.SILVER_MEASURES,
+def stage_updates(spark: SparkSession, path: str, source: DataFrame) -> DataFrame:
+    """Write the source of a merge next to its table and read it back.
+
+    Whatever is done with it afterwards, checks and the merge, reads the stored
+    rows and does not compute the source again.
+    """
+    staged = f"{path}_updates"
+    _write_dates(source.select(*schemas.SILVER.names), staged, "static")
+    return read_silver(spark, staged)
+
+
+def merge_staged(
+    spark: SparkSession, path: str, update_columns: Sequence[str] = schemas.SILVER_MEASURES
 ) -> None:
-    """Upsert ``source`` into the silver table, or create the table from it.
+    """Upsert the staged updates into the silver table, or create the table from them.
 
     The merged dates are first written next to the table and only then
     published. Should the driver stop in between, the next merge publishes them
     first; nothing is lost and nothing is merged twice.
     """
     _finish_pending(spark, path)
+    staged = f"{path}_updates"
+    source = read_silver(spark, staged)
     if not path_exists(spark, path):
-        _publish(_dated(source), path)
+        _publish(source, path)
         return
-    touched = _dated(source).select(SILVER_PARTITION)
-    schema = schemas.SILVER_DDL + f", {SILVER_PARTITION} date"
-    table = spark.read.schema(schema).parquet(path)
-    target = only_partitions(table, F.col(SILVER_PARTITION), touched)
+    stored = set(_dates(spark, path))
+    touched = [f"{path}/{date}" for date in _dates(spark, staged) if date in stored]
+    target = _read_folders(spark, path, touched, STORED_SILVER)
     merged = upsert(
         target.select(*schemas.SILVER.names),
         source,
@@ -211,5 +242,26 @@ def merge_into_silver(
         update_columns=update_columns,
         null_keys=ABSENT,
     )
-    merged.write.mode("overwrite").parquet(f"{path}_pending")
+    _write_dates(merged, f"{path}_pending", "static")
     _finish_pending(spark, path)
+
+
+def merge_into_silver(
+    spark: SparkSession,
+    path: str,
+    source: DataFrame,
+    update_columns: Sequence[str] = schemas.SILVER_MEASURES,
+) -> None:
+    stage_updates(spark, path, source)
+    merge_staged(spark, path, update_columns)
+
+
+def within_hours(first: str, last: str) -> Column:
+    """Bronze rows from the hour of ``first`` through the hour of ``last``.
+
+    The text column is compared, whose order is that of time: unlike the
+    timestamp column it always has statistics that let the scan skip row groups.
+    """
+    upto_hour = len("yyyy-MM-dd HH")
+    low, high = f"{first[:upto_hour]}:00:00", f"{last[:upto_hour]}:59:59"
+    return F.col("timestamp").between(low, high)

@@ -43,6 +43,7 @@ ATOMIC = {
     "int": T.IntegerType(),
     "boolean": T.BooleanType(),
     "timestamp": T.TimestampType(),
+    "array<string>": T.ArrayType(T.StringType()),
 }
 
 

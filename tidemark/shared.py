@@ -5,8 +5,22 @@ from __future__ import annotations
 import functools
 import tempfile
 import uuid
+from collections.abc import Iterable
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+
+ARROW_TYPES = {
+    "string": pa.string(),
+    "double": pa.float64(),
+    "bigint": pa.int64(),
+    "int": pa.int32(),
+    "boolean": pa.bool_(),
+    "date": pa.date32(),
+    "timestamp": pa.timestamp("us", tz="UTC"),
+    "array<string>": pa.list_(pa.string()),
+}
 
 
 @functools.lru_cache(maxsize=1)
@@ -53,9 +67,22 @@ def delete_path(spark: SparkSession, path: str) -> None:
     files.delete(location, True)
 
 
+def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a glob pattern, such as partition folders."""
+    files, location = _file_system(spark, pattern)
+    return sorted(str(status.getPath()) for status in files.globStatus(location) or [])
+
+
 def child_names(spark: SparkSession, path: str) -> list[str]:
     """Names directly below ``path``; empty when it does not exist."""
     files, location = _file_system(spark, path)
     if not files.exists(location):
         return []
     return sorted(status.getPath().getName() for status in files.listStatus(location))
+
+
+def small_frame(spark: SparkSession, rows: Iterable[tuple], schema: T.StructType) -> DataFrame:
+    """A few driver-side rows as a local relation, which needs no job of its own."""
+    arrow = pa.schema([(f.name, ARROW_TYPES[f.dataType.simpleString()]) for f in schema.fields])
+    records = [dict(zip(schema.names, row, strict=True)) for row in rows]
+    return spark.createDataFrame(pa.Table.from_pylist(records, schema=arrow), schema)

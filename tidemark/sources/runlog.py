@@ -12,10 +12,13 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.functions.scalars import TIMESTAMP_PATTERN
+from tidemark.shared import small_frame
 from tidemark.sources.tables import table_exists
 
 # Line format and levels.
-LINE_PATTERN = r"^\[(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2})\] \[([A-Z]+)\] (.*)$"
+LINE_PATTERN = r"^\[\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}\] \[[A-Z]+\] "
+STAMP_LENGTH = len("yyyy-MM-dd HH:mm:ss")
+LEVEL_START = STAMP_LENGTH + 5
 LEVELS = ("INFO", "ERROR")
 
 
@@ -25,19 +28,23 @@ def render_line(log_time: Column, level: Column, message: Column) -> Column:
 
 
 def parse_lines(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Text lines to ``log_time, log_date, level, message``; other columns are kept."""
-    line = F.regexp_replace(F.col(column), r"\s+$", "")
+    """Text lines to ``log_time, log_date, level, message``; other columns are kept.
 
-    def part(group: int) -> Column:
-        return F.nullif(F.regexp_extract(line, LINE_PATTERN, group), F.lit(""))
-
-    log_time = F.try_to_timestamp(part(1), F.lit(TIMESTAMP_PATTERN))
+    One pattern test decides whether a line has the form; its parts are then
+    cut at fixed places. Other lines have NULL parts.
+    """
+    line = F.col(column)
+    well_formed = line.rlike(LINE_PATTERN)
+    rest = F.substr(line, F.lit(LEVEL_START))
+    level = F.substring_index(rest, "]", 1)
+    message = F.substr(rest, F.length(level) + 3)
+    log_time = F.when(well_formed, F.try_to_timestamp(F.substring(line, 2, STAMP_LENGTH)))
     return lines.withColumns(
         {
             "log_time": log_time,
             "log_date": F.to_date(log_time),
-            "level": part(2),
-            "message": F.regexp_extract(line, LINE_PATTERN, 3),
+            "level": F.when(well_formed, level),
+            "message": F.when(well_formed, message),
         }
     )
 
@@ -59,7 +66,7 @@ def append_events(
     first = int(stamp.timestamp() * 1_000_000)
     rows = [(stamp, first + n, level, message) for n, (level, message) in enumerate(events)]
     (
-        spark.createDataFrame(rows, schemas.RUN_EVENT)
+        small_frame(spark, rows, schemas.RUN_EVENT)
         .withColumn("log_date", F.to_date("log_time"))
         .coalesce(1)
         .write.partitionBy("log_date")
