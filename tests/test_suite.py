@@ -342,5 +342,19 @@ def test_reports_keep_every_run_and_replace_a_repeated_one(spark, tmp_path):
     assert [r["expectation_type"] for r in failed] == [ex.EXISTS, ex.NOT_NULL]
     stored = reports.read_results(spark, path).filter("run_id = 'run-1' and seq = 1").first()
     assert stored["partial_unexpected_list"] == [None, None]
+    summaries = {r["run_id"]: r["summary"] for r in reports.read_summaries(spark, path).collect()}
+    assert summaries["run-1"].splitlines()[2:] == [
+        "Success: 0.0%",
+        "Total Expectations: 2",
+        "Passed: 0",
+        "Failed: 2",
+        "Bronze Failed Expectations",
+        f"- {ex.EXISTS}",
+        f"- {ex.NOT_NULL}",
+    ]
+    assert summaries["run-2"].endswith("All expectations passed successfully.")
+    assert second.summary() == {
+        "layer": "Bronze", "success_percent": 100.0, "total": 1, "passed": 1, "failed": 0
+    }
     documents = [json.loads(r["value"]) for r in reports.read_documents(spark, path).collect()]
     assert sorted(d["success"] for d in documents) == [False, True]

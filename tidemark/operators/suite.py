@@ -450,6 +450,17 @@ class ValidationReport:
             "success_percent": successful * 100 / evaluated if evaluated else None,
         }
 
+    def summary(self) -> dict:
+        """The statistics under the names that a reader of reports expects."""
+        counted = self.statistics
+        return {
+            "layer": self.layer,
+            "success_percent": counted["success_percent"],
+            "total": counted["evaluated_expectations"],
+            "passed": counted["successful_expectations"],
+            "failed": counted["unsuccessful_expectations"],
+        }
+
     @property
     def failed_types(self) -> list[str]:
         return [row["expectation_type"] for row in self.rows if not row["success"]]

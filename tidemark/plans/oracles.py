@@ -520,10 +520,12 @@ ORACLES: dict[str, str] = {
         ORDER BY value DESC, event_id LIMIT 20
     """,
     "validation_report": f"""{WITH_RESULTS}
-        SELECT 'run-1' AS run_id, 'Events' AS layer, 'events' AS suite_name, {STATISTICS},
-               count(*) FILTER (WHERE NOT success) AS failure_rows
+        SELECT 'run-1' AS run_id, 'Events' AS layer, 'events' AS suite_name, {STATISTICS}
         FROM results
     """,
+    "validation_document": f"""{WITH_RESULTS}
+        SELECT seq, expectation_type, success, {COUNTS} FROM results
+    """,
     "runlog_parse": LOG,
     "runlog_tail": f"""
         SELECT seq, level, message FROM ({LOG})

@@ -406,8 +406,10 @@ def suite_bronze(spark, sf_dir):
 
 @register
 def suite_silver(spark, sf_dir):
+    """The aggregate is stored first: its three groupings must not parse payloads thrice."""
+    path = f"{fresh_folder(spark, 'suite')}/silver"
     silver = hourly_aggregate(bronze(spark, sf_dir), exact_digits=2)
-    return silver_suite().evaluate(silver).select(*SUITE_OUTPUT)
+    return silver_suite().evaluate(store.stage_updates(spark, path, silver)).select(*SUITE_OUTPUT)
 
 
 def events_suite() -> Suite:
@@ -458,11 +460,29 @@ def validation_report(spark, sf_dir):
     path = fresh_folder(spark, "reports")
     report = validate(stamped_events(spark, sf_dir), events_suite(), "Events", "run-1")
     reports.write_report(spark, report, path)
-    runs = reports.read_runs(spark, path).drop("run_time")
-    failed = reports.read_failures(spark, path).groupBy("run_id", "layer").agg(
-        F.count(F.lit(1)).alias("failure_rows")
+    return reports.read_runs(spark, path).drop("run_time")
+
+
+@register
+def validation_document(spark, sf_dir):
+    """The JSON document of a run, written and parsed again, one row per result."""
+    path = fresh_folder(spark, "reports")
+    report = validate(stamped_events(spark, sf_dir), events_suite(), "Events", "run-1")
+    reports.write_report(spark, report, path)
+    schema = (
+        "results array<struct<success: boolean, "
+        "expectation_config: struct<expectation_type: string>, "
+        "result: struct<element_count: bigint, missing_count: bigint, unexpected_count: bigint>>>"
+    )
+    parsed = reports.read_documents(spark, path).select(F.from_json("value", schema).alias("d"))
+    return parsed.select(F.posexplode("d.results").alias("seq", "r")).select(
+        "seq",
+        "r.expectation_config.expectation_type",
+        "r.success",
+        "r.result.element_count",
+        "r.result.missing_count",
+        "r.result.unexpected_count",
     )
-    return runs.join(failed, ["run_id", "layer"], "left")
 
 
 # --- run log ------------------------------------------------------------------------

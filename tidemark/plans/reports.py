@@ -113,5 +113,34 @@ def read_failures(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def read_summaries(spark: SparkSession, path: str) -> DataFrame:
+    """Every run as text: heading, time, statistics and a list of failed checks.
+
+    The list is as long as a suite at most.
+    """
+    failed = F.filter(
+        F.transform(
+            F.array_sort(F.collect_list(F.struct("seq", "success", "expectation_type"))),
+            lambda check: F.when(~check["success"], F.concat(F.lit("- "), check["expectation_type"])),
+        ),
+        lambda line: line.isNotNull(),
+    )
+    grouped = read_results(spark, path).groupBy("run_id", "layer", "run_time")
+    runs = grouped.agg(*statistics_columns(), failed.alias("failed"))
+    none = F.lit("All expectations passed successfully.")
+    lines = F.concat_ws(
+        "\n",
+        F.concat("layer", F.lit(" Layer Validation")),
+        F.concat(F.lit("Validation Run: "), F.date_format("run_time", "yyyy-MM-dd HH:mm:ss")),
+        F.concat(F.lit("Success: "), F.col("success_percent").cast("string"), F.lit("%")),
+        F.concat(F.lit("Total Expectations: "), F.col("evaluated_expectations").cast("string")),
+        F.concat(F.lit("Passed: "), F.col("successful_expectations").cast("string")),
+        F.concat(F.lit("Failed: "), F.col("unsuccessful_expectations").cast("string")),
+        F.concat("layer", F.lit(" Failed Expectations")),
+        F.when(F.size("failed") == 0, none).otherwise(F.array_join("failed", "\n")),
+    )
+    return runs.select("run_id", "layer", "run_time", lines.alias("summary"))
+
+
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(f"{path}/documents")
