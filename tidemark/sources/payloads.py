@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,9 +26,14 @@ def read_payloads(spark: SparkSession, path: str, whole_files: bool = False) ->
     )
 
 
-def parse_payload(payload: F.Column | str, schema: T.StructType | str = schemas.PAYLOAD_DDL):
-    """Parse under a declared schema; malformed text gives a NULL in every field."""
-    return F.from_json(payload, schema)
+def parsed(text: Column, schema: T.StructType | str) -> Column:
+    """Columns of a JSON document under a declared schema, parsed once.
+
+    Malformed text and NULL give a row of NULLs. The columns come out of a
+    generator because filters move below a projection and would parse every
+    document again there; they do not move below a generator.
+    """
+    return F.inline(F.array(F.from_json(text, schema)))
 
 
 def flatten_payloads(rows: DataFrame, as_of: datetime | str | None = None) -> DataFrame:
@@ -37,19 +42,18 @@ def flatten_payloads(rows: DataFrame, as_of: datetime | str | None = None) -> Da
     ``from_json`` reads an integer where a double is declared, and ``F.get``
     gives NULL for an empty ``weather`` array.
     """
-    j = "__document"
-    parsed = rows.select("city", parse_payload(F.col("payload")).alias(j))
-    return parsed.select(
-        F.col("city"),
-        F.col(f"{j}.main.temp").alias("temperature"),
-        epoch_to_string(F.col(f"{j}.dt")).alias("timestamp"),
+    documents = rows.select("city", parsed(F.col("payload"), schemas.PAYLOAD_DDL))
+    return documents.select(
+        "city",
+        F.col("main.temp").alias("temperature"),
+        epoch_to_string(F.col("dt")).alias("timestamp"),
         load_stamp(as_of).alias("load_time"),
-        F.get(F.col(f"{j}.weather"), F.lit(0))["description"].alias("description"),
-        epoch_to_string(F.col(f"{j}.sys.sunrise")).alias("sunrise"),
-        F.col(f"{j}.wind.speed").alias("windspeed"),
-        F.col(f"{j}.timezone").alias("timezone"),
-        F.col(f"{j}.sys.country").alias("countrycode"),
-        F.col(f"{j}.main.humidity").alias("humidity"),
+        F.get("weather", F.lit(0))["description"].alias("description"),
+        epoch_to_string(F.col("sys.sunrise")).alias("sunrise"),
+        F.col("wind.speed").alias("windspeed"),
+        "timezone",
+        F.col("sys.country").alias("countrycode"),
+        F.col("main.humidity").alias("humidity"),
     )
 
 
@@ -58,4 +62,4 @@ def typed_batch(documents: DataFrame, column: str, schema: T.StructType | str) -
 
     Fields are matched by name: a missing one is NULL, an extra one is dropped.
     """
-    return documents.select(F.from_json(named(column), schema).alias("__row")).select("__row.*")
+    return documents.select(parsed(named(column), schema))
