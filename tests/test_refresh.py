@@ -192,6 +192,18 @@ def test_cumulative_validation_equals_a_scan_of_the_table(spark, tmp_path, count
     assert late.bronze_report.rows == whole.rows
 
 
+def test_cumulative_validation_never_scans_bronze(spark, tmp_path, countries, monkeypatch):
+    def scan(*args, **kwargs):
+        raise AssertionError("bronze was scanned")
+
+    monkeypatch.setattr(store, "read_bronze", scan)
+    refresh = job(tmp_path, countries, bronze_suite=bronze_suite(), scope=CUMULATIVE)
+    rows = observations(STAMPS[:6])
+    for part in (rows[:12], rows[12:12], rows[12:]):
+        summary = refresh.run(spark, payload_frame(spark, part))
+    assert summary.bronze_report.rows[0]["observed_value"] == str(len(rows))
+
+
 def test_increment_scope_checks_only_what_is_new(spark, tmp_path, countries):
     refresh = job(
         tmp_path, countries, bronze_suite=bronze_suite(), silver_suite=silver_suite(),

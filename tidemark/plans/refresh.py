@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +22,8 @@ from tidemark.sources.runlog import append_events
 
 # What a run validates. TABLE: both tables whole, after the merge. INCREMENT: the
 # new slice and the refreshed hours, before the merge. CUMULATIVE: as TABLE, but
-# bronze counts are the sum over slices, and only the new slice is scanned.
+# the counts of the new slice are added to those of the previous run's report, so
+# bronze is not scanned again.
 TABLE, INCREMENT, CUMULATIVE = "table", "increment", "cumulative"
 
 
@@ -75,17 +76,24 @@ class Refresh:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
         generation = store.latest_generation(spark, self.layout)
         mark = store.read_mark(spark, self.layout, self.table_name, generation)
-        summary = self.apply(spark, self.new_rows(payloads, mark), str(generation), mark)
+        previous = str(generation - 1) if generation else None
+        increment = self.new_rows(payloads, mark)
+        summary = self.apply(spark, increment, str(generation), mark, previous)
         store.write_mark(spark, self.layout, self.table_name, summary.new_mark, generation)
         return summary
 
     def apply(
-        self, spark: SparkSession, increment: DataFrame, slice_name: str, mark=None
+        self,
+        spark: SparkSession,
+        increment: DataFrame,
+        slice_name: str,
+        mark: str | None = None,
+        previous_slice: str | None = None,
     ) -> RunSummary:
         """Append an increment to bronze and refresh the hours it touches.
 
         Bronze rows are evaluated once, by the write; everything after reads
-        the written slice.
+        the written slice. ``previous_slice`` names the run just before this one.
         """
         layout = self.layout
         store.write_slice(increment, layout, slice_name)
@@ -98,7 +106,9 @@ class Refresh:
         summary = RunSummary(slice_name, mark, measured["last"] or mark, measured["rows"])
         events = [("INFO", f"slice {slice_name}: {measured['rows']} rows appended")]
         if self.bronze_suite is not None:
-            summary.bronze_report = self._validate_bronze(spark, written, slice_name)
+            summary.bronze_report = self._validate_bronze(
+                spark, written, slice_name, previous_slice
+            )
         if measured["rows"]:
             updates = store.stage_updates(
                 spark,
@@ -139,7 +149,7 @@ class Refresh:
         return hourly_aggregate(rows, exact_digits=self.exact_digits)
 
     def _validate_bronze(
-        self, spark: SparkSession, written: DataFrame, slice_name: str
+        self, spark: SparkSession, written: DataFrame, slice_name: str, previous: str | None
     ) -> ValidationReport:
         if self.scope == TABLE:
             table = store.read_bronze(spark, self.layout)
@@ -148,13 +158,10 @@ class Refresh:
         reports.write_report(spark, own, self.layout.reports)
         if self.scope == INCREMENT:
             return self._checked(own)
+        if previous is None and store.holds_only(spark, self.layout, slice_name):
+            return self._report(spark, replace(own, layer="Bronze"))
         combined = reports.combined_report(
-            spark,
-            self.layout.reports,
-            own,
-            self.bronze_suite,
-            "Bronze",
-            store.slice_names(spark, self.layout) | {slice_name},
+            spark, self.layout.reports, own, previous, self.bronze_suite, "Bronze"
         )
         if combined is None:
             table = store.read_bronze(spark, self.layout)

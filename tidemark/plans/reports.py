@@ -12,9 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark import schemas
 from tidemark.operators.suite import (
-    PARTIAL_LIST_SIZE,
     RESULTS,
     Suite,
     ValidationReport,
@@ -22,7 +20,7 @@ from tidemark.operators.suite import (
     failures,
     statistics_columns,
 )
-from tidemark.shared import path_exists, small_frame
+from tidemark.shared import is_complete, small_frame
 
 STORED = (
     T.StructType(list(RESULTS.fields))
@@ -45,22 +43,21 @@ def results_frame(spark: SparkSession, report: ValidationReport) -> DataFrame:
     return small_frame(spark, rows, STORED)
 
 
-def _replace(rows: DataFrame, report: ValidationReport, path: str) -> None:
-    rows.coalesce(1).write.mode("overwrite").parquet(
-        f"{path}/run_id={_safe(report.run_id)}/layer={_safe(report.layer)}"
-    )
-
-
 def _safe(text: str) -> str:
     """A value that needs no escaping in a partition folder."""
     return "".join(c if c.isalnum() or c in "-_" else "-" for c in text)
 
 
+def _folder(path: str, run_id: str, layer: str, kind: str = "validation_results") -> str:
+    return f"{path}/{kind}/run_id={_safe(run_id)}/layer={_safe(layer)}"
+
+
 def write_report(spark: SparkSession, report: ValidationReport, path: str) -> None:
     """Store the results of one run, and the same run as one JSON document."""
-    _replace(results_frame(spark, report), report, f"{path}/validation_results")
+    results = results_frame(spark, report).coalesce(1)
+    results.write.mode("overwrite").parquet(_folder(path, report.run_id, report.layer))
     document = json.dumps(report.to_json_dict(), default=str)
-    target = f"{path}/documents/run_id={_safe(report.run_id)}/layer={_safe(report.layer)}"
+    target = _folder(path, report.run_id, report.layer, "documents")
     spark.range(1).select(F.lit(document).alias("value")).write.mode("overwrite").text(target)
 
 
@@ -73,31 +70,34 @@ def combined_report(
     spark: SparkSession,
     path: str,
     newest: ValidationReport,
+    previous_run: str | None,
     suite: Suite,
     layer: str,
-    run_ids: set[str],
 ) -> ValidationReport | None:
-    """A report on the union of disjoint row sets, from the stored reports on each.
+    """The report on a table that grew by one slice, without scanning the table.
 
-    ``newest`` gives the layer of the parts. None when counts of parts cannot be
-    added up, or when a part has not been validated with this very suite.
+    Counts of the previous run's report on the table and of ``newest``, the
+    report on the slice, add up. None when there is no such report, or it was
+    made with another suite, or the suite has counts that do not add up.
     """
-    if not suite.is_additive() or not path_exists(spark, f"{path}/validation_results"):
+    if previous_run is None or not suite.is_additive():
         return None
-    wanted = small_frame(
-        spark,
-        [(row["seq"], row["kwargs"]) for row in newest.rows],
-        schemas.flat("seq int, kwargs string"),
-    )
-    stored = read_results(spark, path).filter(F.col("layer") == newest.layer)
-    parts = stored.join(F.broadcast(wanted), ["seq", "kwargs"], "left_semi")
-    counted = parts.groupBy("run_id").agg(F.count(F.lit(1)).alias("checks"))
-    complete = {r["run_id"] for r in counted.collect() if r["checks"] == len(newest.rows)}
-    if not {_safe(run_id) for run_id in run_ids} <= complete:
+    folder = _folder(path, previous_run, layer)
+    if not is_complete(spark, folder):
         return None
-    rows = combine(parts).orderBy("seq").collect()
-    lists = {seq: values[:PARTIAL_LIST_SIZE] for seq, values in newest.partial_lists.items()}
-    return ValidationReport(rows, lists, suite.name, layer, newest.run_id, newest.run_time)
+    before = spark.read.schema(STORED).parquet(folder).select(*RESULTS.names)
+    checks = {(row["seq"], row["kwargs"], row["expectation_type"]) for row in newest.rows}
+    if {tuple(row) for row in before.select("seq", "kwargs", "expectation_type").collect()} != checks:
+        return None
+    rows = combine(before.unionByName(small_frame(spark, newest.rows, RESULTS)))
+    return ValidationReport(
+        rows.orderBy("seq").collect(),
+        newest.partial_lists,
+        suite.name,
+        layer,
+        newest.run_id,
+        newest.run_time,
+    )
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:

@@ -120,9 +120,9 @@ def _slice_folders(
     return matching_paths(spark, pattern)
 
 
-def slice_names(spark: SparkSession, layout: Layout) -> set[str]:
-    """Slices that hold accepted rows."""
-    return {path.rsplit("slice=", 1)[1] for path in _slice_folders(spark, layout, "*")}
+def holds_only(spark: SparkSession, layout: Layout, name: str) -> bool:
+    """Whether the accepted rows of bronze are all in one slice."""
+    return _slice_folders(spark, layout, "*") == _slice_folders(spark, layout, name)
 
 
 def write_slice(rows: DataFrame, layout: Layout, name: str) -> None:

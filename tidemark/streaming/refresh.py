@@ -42,7 +42,8 @@ def process_batch(
     if drop_late:
         mark = store.read_mark(spark, refresh.layout, refresh.table_name, batch_id)
     rows = refresh.new_rows(batch, mark)
-    summary = refresh.apply(spark, rows, f"batch-{batch_id}", mark)
+    previous = f"batch-{batch_id - 1}" if batch_id else None
+    summary = refresh.apply(spark, rows, f"batch-{batch_id}", mark, previous)
     if drop_late:
         store.write_mark(
             spark, refresh.layout, refresh.table_name, summary.new_mark, batch_id
