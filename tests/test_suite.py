@@ -152,6 +152,16 @@ def test_one_hot_repeated_key_is_counted_whole(spark):
     assert row["unexpected_count"] == expected > 10_000
 
 
+def test_null_in_a_value_set_hides_nothing(spark):
+    suite = Suite().expect_column_values_to_be_in_set("name", ["a", None])
+    suite = suite.expect_column_values_to_be_in_set("name", [])
+    suite = suite.plus("expect_something_else")
+    unknown, listed, empty = results(spark, suite)
+    assert counts(listed) == (False, 5, 1, 3)
+    assert counts(empty) == (False, 5, 1, 4)
+    assert unknown["raised_exception"] and not unknown["success"]
+
+
 def test_a_failing_check_does_not_stop_the_others(spark):
     suite = (
         Suite()

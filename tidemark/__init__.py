@@ -5,6 +5,8 @@ from tidemark.operators.expectations import Expectation
 from tidemark.operators.suite import Suite, build_suite, validate
 from tidemark.operators.upsert import upsert
 
+__version__ = "0.1.0"
+
 __all__ = [
     "Expectation",
     "Suite",

@@ -75,7 +75,8 @@ def type_name(data_type: T.DataType) -> str:
 
 
 def _in_set(df: DataFrame, kwargs) -> Column:
-    return ~named(kwargs["column"]).isin(list(kwargs["value_set"]))
+    listed = [value for value in kwargs["value_set"] if value is not None]
+    return ~named(kwargs["column"]).isin(listed)
 
 
 def _between(df: DataFrame, kwargs) -> Column:
@@ -106,14 +107,14 @@ VALUE_RULES: dict[str, Callable[[DataFrame, Mapping], Column]] = {
 
 def unexpected(df: DataFrame, expectation: Expectation) -> Column:
     """The predicate that marks a row as unexpected; never NULL."""
-    kwargs = expectation.kwargs
+    kind, kwargs = expectation.expectation_type, expectation.kwargs
+    rule = VALUE_RULES.get(kind)
+    if rule is None and kind != NOT_NULL:
+        raise ExpectationError(f"{kind} has no row predicate")
     _type_of(df, kwargs["column"])
     is_missing = named(kwargs["column"]).isNull()
-    if expectation.expectation_type == NOT_NULL:
-        return is_missing
-    rule = VALUE_RULES.get(expectation.expectation_type)
     if rule is None:
-        raise ExpectationError(f"{expectation.expectation_type} has no row predicate")
+        return is_missing
     return ~is_missing & rule(df, kwargs)
 
 

@@ -13,8 +13,7 @@ STAMP_COLUMNS = ["timestamp", "load_time", "sunrise"]
 BRONZE_ROW_COUNT = {"min_value": 1, "max_value": 1000}
 TEMPERATURE_RANGE = {"min_value": 0, "max_value": 50}
 BRONZE_REGEXES = {
-    "load_time": r"(^\d{4}-(0[1-9]|1[0-2])-(0[1-9]|[12]\d|3[01]) ([01]\d|2[0-3]):[0-5]\d:[0-5]\d$)"
-    r"|(^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}Z$)",
+    "load_time": r"(^\d{4}-(0[1-9]|1[0-2])-(0[1-9]|[12]\d|3[01]) ([01]\d|2[0-3]):[0-5]\d:[0-5]\d$)|(^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}Z$)",  # noqa: E501
     "timeZone": r"(^UTC[+-](0[0-9]|1[0-4]):[0-5][0-9]$)",
     "countrycode": r"(^[a-zA-Z]{2}$)",
 }
