@@ -1,7 +1,10 @@
 import json
 
-from helpers import document, payload_frame
+from pyspark.sql import functions as F
+
+from helpers import document, payload_frame, plan_of, sorted_rows
 from tidemark import schemas
+from tidemark.operators import enrich
 from tidemark.operators.enrich import (
     dictionary_lookup,
     fits_broadcast,
@@ -9,7 +12,6 @@ from tidemark.operators.enrich import (
     to_bronze,
 )
 from tidemark.sources.payloads import flatten_payloads, read_payloads, typed_batch
-from pyspark.sql import functions as F
 
 AS_OF = "2024-02-01 00:00:00"
 
@@ -95,6 +97,25 @@ def test_large_dictionaries_are_not_broadcast(spark):
     assert not fits_broadcast(small, max_bytes=9)
 
 
+def test_the_lookup_is_the_same_without_a_broadcast(spark, monkeypatch):
+    cold = (F.col("id") % 50).cast("string")
+    rows = spark.range(3000).select(
+        "id", F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(cold).alias("cc")
+    )
+    names = spark.range(40).select(F.col("id").cast("string").alias("code"))
+    names = names.union(spark.sql("select 'hot'")).select("code", F.upper("code").alias("name"))
+    small = dictionary_lookup(rows, "cc", names, "code", "name", "country")
+    assert "BroadcastHashJoin" in plan_of(small)
+    monkeypatch.setattr(enrich, "fits_broadcast", lambda table: False)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        large = dictionary_lookup(rows, "cc", names, "code", "name", "country")
+        assert "SortMergeJoin" in plan_of(large)
+        assert sorted_rows(large) == sorted_rows(small)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_bronze_has_the_declared_columns(spark, countries):
     rows = [
         ("London", document("2024-01-31 23:59:59", offset=-1800)),
