@@ -154,3 +154,25 @@ SELECT conv_id, participant, CAST(segment AS BIGINT) AS segment, count(*) AS n_t
         ORDER BY turn, role, text), '') AS mask
 FROM placed GROUP BY conv_id, participant, segment
 """
+
+ORACLES["op9_line_dedup"] = r"""
+WITH lines AS (
+    SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+        generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS place
+    FROM documents
+), keyed AS (
+    SELECT doc_id, place, line, translate(regexp_replace(line,
+            '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+    FROM lines
+), repeated AS (
+    SELECT key, max(doc_id) AS last_doc FROM keyed WHERE length(key) >= 20
+    GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+), marked AS (
+    SELECT k.*, r.key IS NOT NULL AND k.doc_id < r.last_doc AS dropped
+    FROM keyed k LEFT JOIN repeated r ON k.key = r.key
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
+    sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT dropped), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""

@@ -9,9 +9,13 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import chat, mixing, quality
 from tidemark.llm.decontaminate import decontaminate
+from tidemark.llm.linededup import dedup_lines
+from tidemark.llm.tokenstore import TokenStore, write_store
+from tidemark.shared import fresh_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+TOKENIZER = "word_bpe_49k.json"
 
 
 def register(query: Query) -> Query:
@@ -58,6 +62,26 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(TOKENIZER)
+
+
+def token_table(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """Writes ``docs`` as a token store and reads every document back through its index."""
+    root = fresh_folder(spark, "tokens")
+    write_store(docs, root, tokenizer_path())
+    keys = docs.select(F.col("doc_id").cast("long").alias("key")).distinct()
+    read = TokenStore(spark, root).documents(keys)
+    return read.withColumnRenamed("key", "doc_id")
+
+
+@register
+def op4_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_table(spark, table(spark, sf_dir, "documents"))
+
+
 @register
 def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     rotated = chat.rotate(table(spark, sf_dir, "conversations"))
@@ -78,3 +102,10 @@ def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
             ",",
         ).alias("mask"),
     )
+
+
+@register
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(table(spark, sf_dir, "documents")).select(
+        "doc.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256")
+    )
