@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import chat, mixing, quality
 from tidemark.llm.decontaminate import decontaminate
+from tidemark.llm.langid import held_out, language_id
 from tidemark.llm.linededup import dedup_lines
 from tidemark.llm.tokenstore import TokenStore, write_store
 from tidemark.shared import fresh_folder
@@ -82,6 +83,19 @@ def op4_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_table(spark, table(spark, sf_dir, "documents"))
 
 
+@register
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = language_id(table(spark, sf_dir, "documents"))
+    return judged.select(
+        "doc.doc_id",
+        held_out(F.col("doc.doc_id")).alias("held_out"),
+        "lang_pred",
+        "score",
+        "bits",
+        "rejected",
+    )
+
+
 @register
 def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     rotated = chat.rotate(table(spark, sf_dir, "conversations"))
