@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import chat, mixing, quality
 from tidemark.llm.decontaminate import decontaminate
+from tidemark.llm.jaccard import jaccard_components
 from tidemark.llm.langid import held_out, language_id
 from tidemark.llm.linededup import dedup_lines
 from tidemark.llm.tokenstore import TokenStore, write_store
@@ -118,6 +119,12 @@ def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register
+def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    joined = jaccard_components(table(spark, sf_dir, "documents"))
+    return joined.withColumnRenamed("key", "doc_id")
+
+
 @register
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(table(spark, sf_dir, "documents")).select(
