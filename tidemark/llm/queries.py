@@ -13,6 +13,7 @@ from tidemark.llm.jaccard import jaccard_components
 from tidemark.llm.langid import held_out, language_id
 from tidemark.llm.linededup import dedup_lines
 from tidemark.llm.tokenstore import TokenStore, write_store
+from tidemark.llm.urlfilter import judge_urls
 from tidemark.shared import fresh_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -119,6 +120,11 @@ def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages"))
+
+
 @register
 def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = jaccard_components(table(spark, sf_dir, "documents"))
