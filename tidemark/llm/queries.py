@@ -13,6 +13,7 @@ from tidemark.llm.jaccard import jaccard_components
 from tidemark.llm.langid import held_out, language_id
 from tidemark.llm.linededup import dedup_lines
 from tidemark.llm.tokenstore import TokenStore, write_store
+from tidemark.llm.toxicity import grade_toxicity
 from tidemark.llm.urlfilter import judge_urls
 from tidemark.shared import fresh_folder
 
@@ -136,3 +137,9 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(table(spark, sf_dir, "documents")).select(
         "doc.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+@register
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = grade_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("doc.doc_id", "severity", "grade", "toxic")
