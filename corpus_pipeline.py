@@ -6,16 +6,58 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.llm.common import staged
+from tidemark.llm.decontaminate import decontaminate
+from tidemark.llm.jaccard import one_of_each
+from tidemark.llm.langid import language_id
+from tidemark.llm.mixing import mixed
+from tidemark.llm.queries import token_table
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, Stage]] = []
 
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language the models do not reject."""
+    return language_id(docs).where("not rejected").select("doc.*")
+
+
+def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return one_of_each(docs)
+
+
+def clean_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not contaminated by the benchmark."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontaminate(docs, items).where("not contaminated").select("doc.*")
+
+
+def mixed_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of sources takes them."""
+    return mixed(docs)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents' place in the token store, as read back from it."""
+    return token_table(spark, docs)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("language_id", known_language),
+    ("jaccard", distinct_documents),
+    ("decontaminate", clean_documents),
+    ("mixing", mixed_documents),
+    ("tokens", tokens),
+]
+
+#: Character models and a tokenizer are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The result of the last stage over ``documents``."""
+    """The result of the last stage over ``documents``; each stage's result is written to the
+    shared folder and read again by the next."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = staged(spark, stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

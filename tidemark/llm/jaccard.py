@@ -102,8 +102,8 @@ def word_levels(docs: DataFrame) -> np.ndarray:
 
 
 def rows_of(docs: DataFrame, width: int, levels: np.ndarray) -> DataFrame:
-    """Each document's row: ``key``, ``n``, ``digest`` of its set, and the shingles of it
-    that are multiplied, in order (``prefix``)."""
+    """Each document's row: ``key``, ``tag``, ``n``, ``digest`` of its set, and the shingles
+    of it that are multiplied, in order (``prefix``)."""
     shared = docs.sparkSession.sparkContext.broadcast(levels)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,15 +126,16 @@ def rows_of(docs: DataFrame, width: int, levels: np.ndarray) -> DataFrame:
             yield pa.record_batch(
                 [
                     batch.column("key"),
+                    batch.column("tag"),
                     pa.array(sizes, pa.int64()),
                     pa.array(digests, pa.binary()),
                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)),
                 ],
-                names=["key", "n", "digest", "prefix"],
+                names=["key", "tag", "n", "digest", "prefix"],
             )
 
-    return docs.select("key", "text").mapInArrow(
-        read, "key long, n long, digest binary, prefix array<long>"
+    return docs.select("key", F.md5("text").alias("tag"), "text").mapInArrow(
+        read, "key long, tag string, n long, digest binary, prefix array<long>"
     )
 
 
@@ -293,8 +294,8 @@ def _all_pairs(open_: DataFrame) -> DataFrame:
 def jaccard_components(
     docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH
 ) -> DataFrame:
-    """``key``, ``n_shingles`` and ``component_id`` (smallest key reachable by links, its own
-    included) for every row of ``docs``.
+    """``key``, ``tag`` (hash of the text), ``n_shingles`` and ``component_id`` (smallest key
+    reachable by links, its own included) for every row of ``docs``.
 
     Null and empty texts have no shingles and are linked with nothing, not even with each
     other: their component is their own key. Equal sets are linked at any size. Rows of one
@@ -334,8 +335,41 @@ def jaccard_components(
     labels = named.join(smallest, "root").select("digest", "component_id")
     return rows.join(labels, "digest", "left").select(
         "key",
+        "tag",
         F.col("n").alias("n_shingles"),
         F.when(F.col("n") == 0, F.col("key")).otherwise(F.col("component_id")).alias(
             "component_id"
         ),
     )
+
+
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """``docs`` without all but one row of each component: of those with the smallest key the
+    one whose text hashes lowest. Rows without shingles stay."""
+    spark = docs.sparkSession
+    rows = staged(spark, jaccard_components(docs, key, text, **options), "jaccard-components")
+    some = rows.where("n_shingles > 0")
+    lead = F.struct(F.col("key").isNull(), "key", "tag")
+    best = some.groupBy("component_id").agg(F.min(lead).alias("best"))
+    best = staged(spark, best.select("best.key", "best.tag"), "jaccard-best")
+
+    def same(left: DataFrame, right: DataFrame) -> Column:
+        keys = left["key"].eqNullSafe(right["key"])
+        return keys & left["tag"].eqNullSafe(right["tag"])
+
+    held = some.groupBy("key", "tag").agg(F.count("*").alias("copies"))
+    lost = staged(spark, held.join(best, same(held, best), "left_anti"), "jaccard-lost")
+    own = docs[key].cast("long"), F.md5(docs[text])
+    kept = docs.join(
+        lost, own[0].eqNullSafe(lost["key"]) & own[1].eqNullSafe(lost["tag"]), "left_anti"
+    )
+    twice = held.where("copies > 1").join(best, same(held, best), "left_semi")
+    twice = staged(spark, twice, "jaccard-twice")
+    if twice.isEmpty():
+        return kept
+    # Whole rows that are repeated: one stays.
+    match = own[0].eqNullSafe(twice["key"]) & own[1].eqNullSafe(twice["tag"])
+    single = kept.join(twice, match, "left_anti")
+    repeated = kept.join(twice, match, "left_semi")
+    first = repeated.groupBy(F.col(key), F.md5(text)).agg(F.first(F.struct("*")).alias("doc"))
+    return single.unionByName(first.select("doc.*"))

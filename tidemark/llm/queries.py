@@ -129,7 +129,7 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = jaccard_components(table(spark, sf_dir, "documents"))
-    return joined.withColumnRenamed("key", "doc_id")
+    return joined.select(F.col("key").alias("doc_id"), "n_shingles", "component_id")
 
 
 @register
