@@ -1,0 +1,106 @@
+"""The mix against sorting whole sources."""
+
+import re
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.llm import mixing
+from tidemark.llm.common import row_key
+
+
+def words(text):
+    return len(re.findall(r"[^\x20\x09-\x0D]+", text or ""))
+
+
+def targets(sizes, weights=(3, 1, 2), share=1.5, repeats=2):
+    """Weights deal out the budget; what passes a limit is dealt again to the others."""
+    order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: weights[n % len(weights)] for n, s in enumerate(order)}
+    left, open_, out = share * sum(sizes.values()), set(order), {}
+    while open_:
+        level = left / sum(weight[s] for s in open_)
+        full = {s for s in open_ if level * weight[s] >= repeats * sizes[s]}
+        if not full:
+            return out | {s: level * weight[s] for s in open_}
+        out |= {s: repeats * sizes[s] for s in full}
+        left -= sum(repeats * sizes[s] for s in full)
+        open_ -= full
+    return out
+
+
+def check(docs):
+    rows = docs.select("doc_id", "text", "source").collect()
+    sizes = defaultdict(int)
+    for row in rows:
+        sizes[row.source] += words(row.text)
+    expected = targets(sizes)
+    got = mixing.mix(docs).select("doc.source", "doc.doc_id", "size", "target", "copies", "taken")
+    got = got.collect()
+    assert len(got) == len(rows)
+    taken, largest = defaultdict(int), defaultdict(int)
+    for row in got:
+        assert row.target == pytest.approx(expected[row.source])
+        assert row.taken == row["size"] * row.copies and 0 <= row.copies <= 2
+        taken[row.source] += row.taken
+        largest[row.source] = max(largest[row.source], row["size"])
+    for source, target in expected.items():
+        assert abs(taken[source] - target) <= largest[source] / 2 + 1e-6
+    return got
+
+
+def test_mix_of_given_documents(spark, sf_dir):
+    check(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+def test_nulls_long_texts_and_repeated_rows(tricky):
+    first, again = check(tricky), check(tricky.repartition(7))
+    assert sorted(map(str, first)) == sorted(map(str, again))
+
+
+def test_equal_rows_at_the_threshold_are_taken_in_part(documents):
+    docs = documents([(1, "one two three", "en", "a")] * 40 + [(2, "x " * 200, "en", "b")])
+    docs = docs.repartition(5)
+    got = check(docs)
+    copies = sorted(row.copies for row in got if row.source == "a")
+    assert copies[0] < copies[-1] or copies[0] == 2
+
+
+def test_larger_budgets_contain_smaller_ones(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    previous = {}
+    for share in (0.3, 0.8, 1.5):
+        mix = mixing.mix(docs, share=share).select("doc.doc_id", "copies")
+        now = {row.doc_id: row.copies for row in mix.collect()}
+        assert all(now[doc] >= copies for doc, copies in previous.items())
+        previous = now
+
+
+def test_thresholds_equal_a_sorted_sum(spark, documents):
+    docs = documents([(n, "w " * (1 + n % 7), None, "a" if n % 3 else "b") for n in range(3000)])
+    sized = docs.select(
+        "source",
+        F.lit(2).cast("long").alias("size"),
+        mixing.place(F.col("doc_id"), F.col("text")).alias("place"),
+    )
+    budgets = spark.createDataFrame([("a", 1001.0), ("b", 3.0)], "source string, budget double")
+    found = {r.source: r for r in mixing.thresholds(sized, budgets).collect()}
+    for source, budget in (("a", 1001.0), ("b", 3.0)):
+        places = sorted(r.place for r in sized.where(F.col("source") == source).collect())
+        assert found[source].edge == places[int(budget // 2)]
+
+
+def test_mixed_has_the_columns_of_the_documents(tricky):
+    rows = mixing.mixed(tricky)
+    assert rows.columns == tricky.columns
+    assert rows.count() == mixing.mix(tricky).agg(F.sum("copies")).first()[0]
+
+
+def test_empty_table(nothing):
+    assert mixing.mix(nothing).count() == 0 and mixing.mixed(nothing).count() == 0
+
+
+def test_row_key_tells_nulls_from_texts(spark):
+    rows = spark.createDataFrame([(None, "-"), ("-", None), ("", ""), (None, None)], "a string, b string")
+    assert rows.select(row_key(F.col("a"), F.col("b"))).distinct().count() == 4
