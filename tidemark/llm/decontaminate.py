@@ -20,9 +20,12 @@ WINDOW = 13
 SHINGLE = 5
 #: Documents are cut into pieces of so many words, so that no row holds a whole long text.
 PIECE = 256
-WORD_CHARS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: Words are runs of anything but the ASCII characters that are no lower-case letter or digit.
+#: All those are spelled out: Java looks them up in a table, but tests ranges one by one.
+NO_WORD = [c for c in range(0x80) if not (chr(c).islower() or chr(c).isdigit())]
+WORD_CHARS = "[^" + "".join(f"\\x{c:02X}" for c in NO_WORD) + "]+"
 #: The same words before A-Z is lower-cased.
-RAW_WORD_CHARS = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+RAW_WORD_CHARS = "[^" + "".join(f"\\x{c:02X}" for c in NO_WORD if not chr(c).isupper()) + "]+"
 
 
 def words_of(text: Column) -> Column:
