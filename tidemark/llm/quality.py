@@ -14,9 +14,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SPACES
+from tidemark.llm.common import WORD
 
-SYMBOLS = "#*$%&|<>"
+SYMBOLS = "[#*$%&|<>]"
 #: Rules in the order of their bits; each says which documents fail.
 RULES = {
     "few_words": "n_words < 50",
@@ -36,10 +36,6 @@ POLICIES = {
 }
 
 
-def _without(text: Column, characters: str) -> Column:
-    return F.length(F.translate(text, characters, ""))
-
-
 def repeated_words(words: Column) -> Column:
     """Number of words of the array inside 3-word windows that occur at least twice.
 
@@ -89,14 +85,16 @@ def measured(docs: DataFrame, text: str) -> DataFrame:
     parts = docs.select(F.struct("*").alias("doc")).select(
         "doc",
         whole.alias("whole"),
-        F.filter(F.split(whole, r"[\x20\x09-\x0D]+"), lambda w: w != "").alias("words"),
-        F.filter(F.split(whole, "\n", -1), lambda line: _without(line, SPACES) > 0).alias("lines"),
+        F.regexp_extract_all(whole, F.lit(WORD), F.lit(0)).alias("words"),
+        F.filter(F.split(whole, "\n", -1), lambda line: F.rlike(line, F.lit(WORD))).alias("lines"),
     )
     return parts.select(
         "doc",
         F.size("words").cast("long").alias("n_words"),
-        _without(F.col("whole"), SPACES).cast("long").alias("word_chars"),
-        (F.length("whole") - _without(F.col("whole"), SYMBOLS)).cast("long").alias("n_symbols"),
+        F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
+        (F.length("whole") - F.length(F.regexp_replace("whole", SYMBOLS, "")))
+        .cast("long")
+        .alias("n_symbols"),
         F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         repeated_words(F.col("words")).alias("n_repeat_words"),
