@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SPACES, ascii_lower, row_key
+from tidemark.llm.common import SPACES, ascii_lower, row_key, staged
 from tidemark.shared import delete_path, fresh_folder
 
 RUN_KEY = ["h1", "h2"]
@@ -36,41 +36,57 @@ def _hashes(key: Column) -> tuple[Column, Column]:
     return F.xxhash64(key).alias("h1"), F.xxhash64(F.lit(SECOND), key).alias("h2")
 
 
+def line_table(docs: DataFrame, key: str, text: str, least_chars: int) -> DataFrame:
+    """What the runs need of each row of ``docs``, without its text: ``row`` (a hash of key and
+    text), ``rank`` (of its key), the hashes of its long lines by place (``places``) and of its
+    different long lines (``hashes``)."""
+    read = docs.select(
+        row_key(F.col(key), F.col(text)).alias("row"),
+        _rank(F.col(key)).alias("rank"),
+        F.transform(
+            lines_of(F.col(text)),
+            lambda line, at: F.struct(at.alias("at"), line_key(line).alias("line")),
+        ).alias("lines"),
+    )
+    kept = read.select(
+        "row",
+        "rank",
+        F.filter("lines", lambda k: F.length(k["line"]) >= least_chars).alias("lines"),
+    )
+    return kept.select(
+        "row",
+        "rank",
+        F.transform(
+            "lines", lambda k: F.struct(k["at"].alias("at"), *_hashes(k["line"]))
+        ).alias("places"),
+        F.transform(
+            F.array_distinct(F.transform("lines", lambda k: k["line"])),
+            lambda line: F.struct(*_hashes(line)),
+        ).alias("hashes"),
+    )
+
+
 def _rank(key: Column) -> Column:
     return F.coalesce(key.cast("long"), F.lit(SMALLEST))
 
 
 class LineRuns:
-    """The runs of one corpus, below the shared folder or ``root``."""
-
-    def __init__(
-        self,
-        spark: SparkSession,
-        root: str | None = None,
-        least_chars: int = 20,
-        fanout: int = 3,
-        key: str = "doc_id",
-        text: str = "text",
-    ):
-        self.spark = spark
+    """The runs of one corpus, below the shared folder or ``root``. Batches are rows of
+    :func:`line_table`."""
+
+    def __init__(self, spark: SparkSession, root: str | None = None, fanout: int = 3):
+        self.spark, self.fanout = spark, fanout
         self.root = root or fresh_folder(spark, "line-runs")
-        self.least_chars, self.fanout = least_chars, fanout
-        self.key, self.text = key, text
         self.levels: list[list[str]] = []
         self.written = 0
 
     def run_of(self, batch: DataFrame) -> DataFrame:
-        """The run of a batch: a document counts once for each of its distinct keys."""
-        keys = F.transform(lines_of(F.col(self.text)), line_key)
-        long_enough = F.filter(keys, lambda k: F.length(k) >= self.least_chars)
-        rows = batch.select(
-            _rank(F.col(self.key)).alias("doc"),
-            F.explode_outer(F.array_distinct(long_enough)).alias("line"),
-        ).where("line is not null")
+        """The run of a batch: a document counts once for each of its different lines."""
         return (
-            rows.select("doc", *_hashes(F.col("line")))
+            batch.select("rank", F.explode("hashes").alias("hash"))
+            .select("rank", "hash.h1", "hash.h2")
             .groupBy(*RUN_KEY)
-            .agg(F.count("*").alias("n_docs"), F.max("doc").alias("last_doc"))
+            .agg(F.count("*").alias("n_docs"), F.max("rank").alias("last_doc"))
         )
 
     def add(self, batch: DataFrame) -> None:
@@ -118,54 +134,45 @@ class LineRuns:
         for path in old:
             delete_path(self.spark, path)
 
-    def drop_repeated(self, docs: DataFrame, least_docs: int = 3) -> DataFrame:
-        """``docs`` without the lines that ``least_docs`` documents hold, but for those of
-        the largest key that holds them.
+    def repeated(self, batch: DataFrame, least_docs: int) -> DataFrame:
+        """The places (``drops``) of the lines of each ``row`` of a batch that ``least_docs``
+        documents hold, a larger key among them: the anti-join of the batch with the runs.
 
-        Returns ``doc`` (the row as a struct), ``n_lines``, ``n_dropped`` and ``kept`` (the
-        text that stays). Only places of lines are shuffled for the anti-join with the
-        runs; texts meet the places to drop once, by row.
+        Only places and hashes are shuffled. A line may be in any share of the documents: the
+        few repeated hashes are broadcast if they are small, else Spark splits the batch.
         """
-        repeated = self.merged().where(F.col("n_docs") >= least_docs).drop("n_docs")
+        held = self.merged().where(F.col("n_docs") >= least_docs).drop("n_docs")
         path = f"{self.root}/repeated-{self.written}"
         self.written += 1
-        repeated.sortWithinPartitions(*RUN_KEY).write.parquet(path)
-        repeated = self.spark.read.schema(repeated.schema).parquet(path)
-        rows = docs.select(F.struct("*").alias("doc")).select(
-            "doc",
-            row_key(F.col(f"doc.{self.key}"), F.col(f"doc.{self.text}")).alias("row"),
-            lines_of(F.col(f"doc.{self.text}")).alias("lines"),
-        )
-        keyed = F.transform(
-            "lines", lambda line, at: F.struct(at.alias("at"), line_key(line).alias("line"))
-        )
-        long_enough = F.filter(keyed, lambda k: F.length(k["line"]) >= self.least_chars)
-        places = (
-            rows.select(
-                "row",
-                _rank(F.col(f"doc.{self.key}")).alias("rank"),
-                F.explode_outer(long_enough).alias("place"),
-            )
-            .where("place is not null")
-            .select("row", "rank", "place.at", *_hashes(F.col("place.line")))
-        )
-        drops = (
-            places.join(repeated, RUN_KEY)
+        held.sortWithinPartitions(*RUN_KEY).write.parquet(path)
+        held = self.spark.read.schema(held.schema).parquet(path)
+        places = batch.select("row", "rank", F.explode("places").alias("place"))
+        return (
+            places.select("row", "rank", "place.at", "place.h1", "place.h2")
+            .join(held, RUN_KEY)
             .where("rank < last_doc")
             .groupBy("row")
             .agg(F.collect_set("at").alias("drops"))
         )
-        kept_places = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("drops"))
-        kept = F.when(
-            F.col("drops").isNotNull(),
-            F.transform(kept_places, lambda at: F.get("lines", at)),
-        ).otherwise(F.col("lines"))
-        return rows.join(drops, "row", "left").select(
-            "doc",
-            F.size("lines").cast("long").alias("n_lines"),
-            F.coalesce(F.size("drops"), F.lit(0)).cast("long").alias("n_dropped"),
-            F.array_join(kept, "\n").alias("kept"),
-        )
+
+
+def without_lines(docs: DataFrame, drops: DataFrame, key: str, text: str) -> DataFrame:
+    """``docs`` less the lines at the places ``drops`` has for their ``row``: ``doc`` (the row
+    as a struct), ``n_lines``, ``n_dropped`` and ``kept`` (the text that stays)."""
+    rows = docs.select(F.struct("*").alias("doc")).select(
+        "doc",
+        row_key(F.col(f"doc.{key}"), F.col(f"doc.{text}")).alias("row"),
+        lines_of(F.col(f"doc.{text}")).alias("lines"),
+    )
+    places = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("drops"))
+    fewer = F.transform(places, lambda at: F.get("lines", at))
+    kept = F.when(F.col("drops").isNull(), F.col("lines")).otherwise(fewer)
+    return rows.join(drops, "row", "left").select(
+        "doc",
+        F.size("lines").cast("long").alias("n_lines"),
+        F.coalesce(F.size("drops"), F.lit(0)).cast("long").alias("n_dropped"),
+        F.array_join(kept, "\n").alias("kept"),
+    )
 
 
 def dedup_lines(
@@ -181,16 +188,18 @@ def dedup_lines(
 
     A line's key is the line without white space at its ends, A-Z lower-cased; keys of
     at least ``least_chars`` code points in at least ``least_docs`` rows lose all their
-    lines but those of the largest document key.
+    lines but those of the largest document key. Returns what :func:`without_lines` does.
+    Texts are read twice, to hash their lines and to drop them.
 
     Rows count as documents, repeated rows too; rows that share the largest key all keep
     their lines. Null and empty texts are one empty line and keep it. A null key is the
     smallest. An empty table gives an empty result.
     """
-    runs = LineRuns(
-        docs.sparkSession, least_chars=least_chars, fanout=fanout, key=key, text=text
-    )
-    batch = F.pmod(F.xxhash64(F.col(key)), F.lit(batches))
-    for number in range(batches):
-        runs.add(docs.where(batch == number))
-    return runs.drop_repeated(docs, least_docs)
+    spark = docs.sparkSession
+    table = staged(spark, line_table(docs, key, text, least_chars), "line-table")
+    runs = LineRuns(spark, fanout=fanout)
+    number = F.pmod(F.xxhash64("rank"), F.lit(batches))
+    for batch in range(batches):
+        runs.add(table.where(number == batch))
+    drops = staged(spark, runs.repeated(table, least_docs), "line-drops")
+    return without_lines(docs, drops, key, text)
