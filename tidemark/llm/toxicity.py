@@ -1,6 +1,7 @@
 """Toxicity as a severity grade, by cumulative-link ordinal regression.
 
-A document's score is a sum of weights of its words. One set of weights serves all
+A document's score is a sum of weights of its words and stems (the first letters of longer
+words, which inflected forms share). One set of weights serves all
 grades: the probability of grade k or more is logistic in the score less a threshold that
 rises with k. The expected severity is the sum of those probabilities.
 
@@ -19,12 +20,16 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import row_key, staged
+
 #: Labelled documents that the weights are fitted to, at most (about).
 TRAINING_DOCS = 16_000
-#: A word is a feature if so many documents of the sample have it, and no more than this share.
+#: A word or stem is a feature if so many documents of the sample have it, but no more than
+#: this share of those with the lowest grade.
 LEAST_DOCS, MOST_SHARE = 5, 0.1
 #: A mark is a word in so many toxic documents, and so many times as frequent there.
 MARK_DOCS, MARK_RATIO = 5, 10.0
@@ -37,8 +42,18 @@ MOST_REPEATS = 8
 WORDS = re.compile(r"[^\W\d_]+")
 
 
+#: Letters of a stem; stems are told from words by the mark before them.
+STEM, STEM_MARK = 5, "^"
+
+
 def word_counts(text: str) -> Counter:
-    return Counter(WORDS.findall(text.lower()))
+    """How often a text has each word and each stem."""
+    words = Counter(WORDS.findall(text.lower()))
+    stems = Counter()
+    for word, n in words.items():
+        if len(word) > STEM:
+            stems[STEM_MARK + word[:STEM]] += n
+    return words + stems
 
 
 def strength(counts: np.ndarray) -> np.ndarray:
@@ -52,14 +67,8 @@ class OrdinalModel:
     thresholds: np.ndarray
 
     def score(self, text: str) -> float:
-        find, total = self.weights.get, 0.0
-        held: dict[str, int] = {}
-        for word in WORDS.findall(text.lower()):
-            if find(word) is not None:
-                held[word] = held.get(word, 0) + 1
-        for word, n in held.items():
-            total += find(word) * float(strength(np.float64(n)))
-        return total
+        held = ((n, self.weights.get(of)) for of, n in word_counts(text).items())
+        return sum(w * float(strength(np.float64(n))) for n, w in held if w is not None)
 
     def exceedance(self, scores: np.ndarray) -> np.ndarray:
         """Probability of grade 1 or more, 2 or more, ... for each score."""
@@ -104,51 +113,54 @@ def fit_ordinal(
     return weights, thresholds
 
 
-def severity_grades(counts: list[Counter], toxic: np.ndarray) -> np.ndarray:
-    """0 for documents that are not toxic, else 1, or 2 with many marks."""
-    inside, outside = Counter(), Counter()
-    for words, label in zip(counts, toxic, strict=True):
-        (inside if label else outside).update(words.keys())
-    n_in, n_out = max(int(toxic.sum()), 1), max(int((~toxic).sum()), 1)
-    marks = {
-        word
-        for word, n in inside.items()
-        if n >= MARK_DOCS and n / n_in >= MARK_RATIO * (outside[word] + 1) / n_out
-    }
-    marked = np.array([sum(n for w, n in words.items() if w in marks) for words in counts])
-    return np.where(toxic, 1 + (marked >= SEVERE_MARKS), 0)
-
-
-def fit(counts: list[Counter], grades: np.ndarray) -> OrdinalModel | None:
-    """A model from documents' words and grades; None unless there are two grades or more.
-
-    Grades that no document has are left out; the rest keep their order.
-    """
-    present, grades = np.unique(grades, return_inverse=True)
-    if len(present) < 2:
-        return None
-    frequency = Counter(word for words in counts for word in words)
-    most = max(MOST_SHARE * len(counts), LEAST_DOCS)
-    vocabulary = sorted(word for word, n in frequency.items() if LEAST_DOCS <= n <= most)
-    number = {word: at for at, word in enumerate(vocabulary)}
-    entries = [
-        (row, number[word], n)
-        for row, words in enumerate(counts)
-        for word, n in words.items()
-        if word in number
-    ]
-    rows, columns, n = np.array(entries, np.int64).reshape(-1, 3).T
-    weights, thresholds = fit_ordinal(rows, columns, strength(n), grades, len(vocabulary))
-    # A gap in the grades is bridged by the threshold above it.
-    steps = np.searchsorted(present[1:], np.arange(1, present[-1] + 1))
-    used = {word: float(w) for word, w in zip(vocabulary, weights, strict=True) if w}
-    return OrdinalModel(used, thresholds[steps])
+@dataclass
+class Sample:
+    """Labelled documents as a sparse matrix of feature counts: entry i is ``counts[i]`` at
+    (``rows[i]``, ``columns[i]``). ``inside`` and ``outside`` are the toxic and the other
+    documents that have each feature."""
+
+    features: list[str]
+    inside: np.ndarray
+    outside: np.ndarray
+    toxic: np.ndarray
+    rows: np.ndarray
+    columns: np.ndarray
+    counts: np.ndarray
+
+    def grades(self) -> np.ndarray:
+        """0 for documents that are not toxic, else 1, or 2 with many marks."""
+        n_in, n_out = max(self.toxic.sum(), 1), max((~self.toxic).sum(), 1)
+        often = self.inside / n_in >= MARK_RATIO * (self.outside + 1) / n_out
+        words = np.array([not f.startswith(STEM_MARK) for f in self.features], bool)
+        mark = often & words & (self.inside >= MARK_DOCS)
+        marked = np.bincount(
+            self.rows, self.counts * mark[self.columns], minlength=len(self.toxic)
+        )
+        return np.where(self.toxic, 1 + (marked >= SEVERE_MARKS), 0)
+
+    def fit(self) -> OrdinalModel | None:
+        """None unless there are two grades or more. Grades that no document has are left
+        out; the rest keep their order, and a gap is bridged by the threshold above it."""
+        present, grades = np.unique(self.grades(), return_inverse=True)
+        if len(present) < 2:
+            return None
+        weights, thresholds = fit_ordinal(
+            self.rows, self.columns, strength(self.counts), grades, len(self.features)
+        )
+        steps = np.searchsorted(present[1:], np.arange(1, present[-1] + 1))
+        used = {f: float(w) for f, w in zip(self.features, weights, strict=True) if w}
+        return OrdinalModel(used, thresholds[steps])
 
 
 def training_sample(
     docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, most: int
-) -> tuple[list[Counter], np.ndarray]:
-    """Words and labels of about ``most`` labelled documents, those with the smallest hashes."""
+) -> Sample:
+    """About ``most`` labelled documents, those with the smallest hashes.
+
+    Words become numbers before anything is collected: first the features, then each
+    document's entries, all bounded by the sample.
+    """
+    spark = docs.sparkSession
     known = (
         labels.where(F.col(key).isNotNull() & F.col(label).isNotNull())
         .groupBy(F.col(key).alias("key"))
@@ -156,27 +168,71 @@ def training_sample(
     )
     share = most / max(known.count(), most)
     wanted = known.where(F.pmod(F.xxhash64("key"), F.lit(1_000_000)) < int(1_000_000 * share))
-    texts = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).where("text is not null")
-    found = texts.join(F.broadcast(wanted), "key").select("key", "text", "toxic")
+    read = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).where("text is not null")
+    found = read.join(F.broadcast(wanted), "key")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words = [word_counts(t) for t in batch.column("text").to_pylist()]
+            held = [word_counts(t) for t in batch.column("text").to_pylist()]
             yield pa.record_batch(
                 [
-                    batch.column("key").cast(pa.string()),
-                    pa.array([list(w) for w in words], pa.list_(pa.string())),
-                    pa.array([list(w.values()) for w in words], pa.list_(pa.int32())),
+                    batch.column("order"),
                     batch.column("toxic"),
+                    pa.array([list(w) for w in held], pa.list_(pa.string())),
+                    pa.array([list(w.values()) for w in held], pa.list_(pa.int32())),
                 ],
-                names=["key", "words", "counts", "toxic"],
+                names=["order", "toxic", "features", "counts"],
             )
 
-    schema = "key string, words array<string>, counts array<int>, toxic boolean"
-    table = found.mapInArrow(count, schema).toArrow().to_pylist()
-    table.sort(key=lambda row: (row["key"], row["words"]))
-    counts = [Counter(dict(zip(r["words"], r["counts"], strict=True))) for r in table]
-    return counts, np.array([r["toxic"] for r in table], bool)
+    ordered = found.select(row_key(F.col("key"), F.col("text")).alias("order"), "toxic", "text")
+    schema = "order string, toxic boolean, features array<string>, counts array<int>"
+    sample = staged(spark, ordered.mapInArrow(count, schema), "toxicity-sample")
+
+    clean = sample.where("not toxic").count()
+    inside = F.sum(F.col("toxic").cast("long"))
+    outside = F.sum((~F.col("toxic")).cast("long"))
+    vocabulary = (
+        sample.select("toxic", F.explode("features").alias("feature"))
+        .groupBy("feature")
+        .agg(inside.alias("inside"), outside.alias("outside"))
+        .where((F.col("inside") + F.col("outside") >= LEAST_DOCS))
+        .where(F.col("outside") <= MOST_SHARE * clean)
+    )
+    table = vocabulary.toArrow().sort_by("feature")
+    features = table.column("feature").to_pylist()
+    numbers = spark.sparkContext.broadcast({f: at for at, f in enumerate(features)})
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        find = numbers.value.get
+        for batch in batches:
+            at, n = [], []
+            held = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)
+            for own, counts in held:
+                pairs = [(find(f), c) for f, c in zip(own, counts, strict=True) if f in numbers.value]
+                at.append([a for a, _ in sorted(pairs)])
+                n.append([c for _, c in sorted(pairs)])
+            yield pa.record_batch(
+                [
+                    batch.column(0),
+                    batch.column(1),
+                    pa.array(at, pa.list_(pa.int32())),
+                    pa.array(n, pa.list_(pa.int32())),
+                ],
+                names=["order", "toxic", "columns", "counts"],
+            )
+
+    schema = "order string, toxic boolean, columns array<int>, counts array<int>"
+    entries = sample.mapInArrow(number, schema).toArrow().sort_by("order").combine_chunks()
+    lengths = pa.compute.list_value_length(entries.column("columns")).to_numpy()
+    return Sample(
+        features,
+        table.column("inside").to_numpy(),
+        table.column("outside").to_numpy(),
+        entries.column("toxic").to_numpy().astype(bool),
+        np.repeat(np.arange(len(lengths)), lengths),
+        pa.compute.list_flatten(entries.column("columns")).to_numpy().astype(np.int64),
+        pa.compute.list_flatten(entries.column("counts")).to_numpy().astype(np.int64),
+    )
 
 
 def grade_toxicity(
@@ -195,8 +251,7 @@ def grade_toxicity(
     or a value are not used. Null and empty texts have no words and get the severity of such
     a text. Without documents of both kinds nothing can be learned, and severity is 0.
     """
-    counts, toxic = training_sample(docs, labels, key, text, label, training_docs)
-    model = fit(counts, severity_grades(counts, toxic)) if toxic.any() else None
+    model = training_sample(docs, labels, key, text, label, training_docs).fit()
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("severity double, grade int, toxic boolean")
