@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from helpers import sorted_rows
 from tidemark import schemas
-from tidemark.operators.aggregate import hourly_aggregate, rows_of_touched_hours, touched_hours
+from tidemark.operators.aggregate import hourly_aggregate, only_touched, touched_hours
 from tidemark.sources.tables import latest_first
 
 SCHEMA = "city string, event_time timestamp, temperature double, humidity int, windspeed double"
@@ -55,7 +55,7 @@ def test_touched_hours_bring_back_old_rows(spark):
     increment = rows.filter(F.col("event_time") > F.lit(at(10, 45)))
     touched = touched_hours(increment)
     assert sorted_rows(touched) == [("London", at(10)), ("London", at(11))]
-    again = hourly_aggregate(rows_of_touched_hours(rows, touched))
+    again = only_touched(hourly_aggregate(rows), touched)
     full = hourly_aggregate(rows).filter("city = 'London'")
     assert sorted_rows(again) == sorted_rows(full)
 

@@ -11,6 +11,7 @@ from tidemark.plans import reports, store
 from tidemark.plans.refresh import CUMULATIVE, INCREMENT, Refresh
 from tidemark.plans.store import Layout
 from tidemark.plans.suites import bronze_suite, silver_suite
+from tidemark.shared import child_names
 from tidemark.sources import runlog
 
 AS_OF = "2024-02-01 00:00:00"
@@ -66,7 +67,7 @@ def test_two_runs_equal_one_pass_and_a_third_changes_nothing(spark, tmp_path, co
     assert failed == []
     assert reports.read_runs(spark, refresh.layout.reports).count() == 5
     log = runlog.read_events(spark, refresh.layout.runlog)
-    assert log.filter("message like 'Latest watermark is empty%'").count() == 1
+    assert log.filter("message = 'no new rows, the mark stays'").count() == 1
 
 
 def test_late_rows_are_dropped_also_for_other_cities(spark, tmp_path, countries):
@@ -106,7 +107,7 @@ def test_a_run_without_usable_rows_keeps_its_rejects(spark, tmp_path, countries)
     assert silver(spark, refresh) == full(spark, refresh)
 
 
-@pytest.mark.parametrize("step", ["stage_updates", "merge_staged", "write_mark"])
+@pytest.mark.parametrize("step", ["write_slice", "stage_updates", "merge_staged", "write_mark"])
 def test_a_run_that_stops_midway_is_repeated_without_a_trace(
     spark, tmp_path, countries, monkeypatch, step
 ):
@@ -126,6 +127,105 @@ def test_a_run_that_stops_midway_is_repeated_without_a_trace(
     assert silver(spark, refresh) == full(spark, refresh)
 
 
+@pytest.mark.parametrize(
+    "step", ["read_slice", "stage_updates", "merge_staged", "write_mark", "write_source", "forget_pending"]
+)
+def test_the_batch_after_a_stopped_run_loses_nothing(
+    spark, tmp_path, countries, monkeypatch, step
+):
+    refresh = job(
+        tmp_path, countries, bronze_suite=bronze_suite(), silver_suite=silver_suite(),
+        scope=CUMULATIVE,
+    )
+    rows = observations(STAMPS)
+    parts = [rows[:48], rows[48:120], rows[120:]]
+    refresh.run(spark, payload_frame(spark, parts[0]))
+
+    def stop(*args, **kwargs):
+        raise RuntimeError("stopped")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(store, step, stop)
+        with pytest.raises(RuntimeError):
+            refresh.run(spark, payload_frame(spark, parts[1]))
+    last = refresh.run(spark, payload_frame(spark, parts[2]))
+    assert store.read_bronze(spark, refresh.layout).count() == len(rows)
+    assert silver(spark, refresh) == full(spark, refresh)
+    assert mark(spark, refresh) == last.new_mark == "2024-02-01 11:35:00"
+    assert store.pending_slices(spark, refresh.layout) == {}
+    whole = validate(store.read_bronze(spark, refresh.layout), bronze_suite())
+    assert last.bronze_report.rows == whole.rows
+    log = runlog.read_events(spark, refresh.layout.runlog)
+    assert log.filter("level = 'ERROR' and message = 'run stopped by RuntimeError: stopped'").count() == 1
+
+
+def test_a_failed_gate_is_finished_by_the_next_run(spark, tmp_path, countries):
+    strict = {"bronze_suite": bronze_suite({"min_value": 1000}), "on_failure": "raise"}
+    refresh = job(tmp_path, countries, **strict)
+    rows = observations(STAMPS)
+    with pytest.raises(ValidationFailed):
+        refresh.run(spark, payload_frame(spark, rows[:48]))
+    assert mark(spark, refresh) is None
+    with pytest.raises(ValidationFailed):
+        refresh.run(spark, payload_frame(spark, rows[48:]))
+    assert mark(spark, refresh) == "2024-01-31 03:35:00"
+    job(tmp_path, countries).run(spark, payload_frame(spark, rows[:0] or [("London", "broken")]))
+    assert store.read_bronze(spark, refresh.layout).count() == len(rows)
+    assert silver(spark, refresh) == full(spark, refresh)
+
+
+def test_an_engine_error_in_a_check_does_not_move_the_mark(
+    spark, tmp_path, countries, monkeypatch
+):
+    refresh = job(tmp_path, countries, bronze_suite=bronze_suite())
+
+    def damaged(*args):
+        return spark.range(1).select(F.raise_error(F.lit("damaged file")).alias("city"))
+
+    with monkeypatch.context() as patch:
+        patch.setattr(store, "as_stored", damaged)
+        with pytest.raises(Exception, match="damaged file"):
+            refresh.run(spark, payload_frame(spark, observations(STAMPS[:2])))
+    assert mark(spark, refresh) is None
+
+
+def test_counts_of_what_was_left_out(spark, tmp_path, countries):
+    refresh = job(tmp_path, countries)
+    rows = observations(STAMPS[:4])
+    first = refresh.run(spark, payload_frame(spark, [*rows, ("London", "broken"), (None, "{}")]))
+    assert (first.accepted_rows, first.rejected_rows, first.late_rows) == (len(rows), 2, 0)
+    second = refresh.run(spark, payload_frame(spark, [*rows, ("Tokyo", "[]")]))
+    assert (second.accepted_rows, second.rejected_rows, second.late_rows) == (0, 1, len(rows))
+    kept = {tuple(r)[:3] for r in store.read_rejected(spark, refresh.layout).collect()}
+    assert kept == {("London", "broken", "no event time"), (None, "{}", "no city"), ("Tokyo", "[]", "no event time")}
+
+
+def test_old_control_files_are_removed(spark, tmp_path, countries):
+    refresh = job(tmp_path, countries)
+    for n in range(6):
+        refresh.run(spark, payload_frame(spark, observations(STAMPS[n : n + 1])))
+    names = child_names(spark, refresh.layout.control)
+    assert names == ["generation=4", "generation=5", "generation=6"]
+
+
+@pytest.mark.parametrize("zone", ["America/New_York", "Asia/Kolkata"])
+def test_the_session_zone_changes_nothing(spark, tmp_path, countries, zone):
+    rows = observations(STAMPS)
+    results = []
+    for n, session_zone in enumerate(("UTC", zone)):
+        spark.conf.set("spark.sql.session.timeZone", session_zone)
+        try:
+            refresh = job(tmp_path / str(n), countries)
+            for part in (rows[:50], rows[50:]):
+                refresh.run(spark, payload_frame(spark, part))
+            assert spark.conf.get("spark.sql.session.timeZone") == session_zone
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+        stored = store.read_bronze(spark, refresh.layout)
+        results.append((silver(spark, refresh), sorted_rows(stored)))
+    assert results[0] == results[1]
+
+
 def test_a_merge_that_stops_before_publishing_is_finished_later(
     spark, tmp_path, countries, monkeypatch
 ):
@@ -181,6 +281,12 @@ def test_cumulative_validation_equals_a_scan_of_the_table(spark, tmp_path, count
         whole = validate(store.read_bronze(spark, refresh.layout), bronze_suite())
         assert summary.bronze_report.rows == whole.rows
         assert summary.bronze_report.statistics == whole.statistics
+        assert summary.bronze_report.partial_lists == whole.partial_lists
+        if summary.silver_report is not None:
+            table = store.read_silver(spark, refresh.layout.silver)
+            whole = validate(table, silver_suite())
+            assert summary.silver_report.rows == whole.rows
+            assert summary.silver_report.partial_lists == whole.partial_lists
     assert not summary.bronze_report.success
     assert len(reports.read_results(spark, refresh.layout.reports).select("layer").distinct().collect()) == 3
 
@@ -196,7 +302,9 @@ def test_cumulative_validation_never_scans_bronze(spark, tmp_path, countries, mo
     def scan(*args, **kwargs):
         raise AssertionError("bronze was scanned")
 
+    stored = store.as_stored
     monkeypatch.setattr(store, "read_bronze", scan)
+    monkeypatch.setattr(store, "as_stored", lambda s, l, name="": stored(s, l, name) if name else scan())
     refresh = job(tmp_path, countries, bronze_suite=bronze_suite(), scope=CUMULATIVE)
     rows = observations(STAMPS[:6])
     for part in (rows[:12], rows[12:12], rows[12:]):
@@ -216,13 +324,13 @@ def test_increment_scope_checks_only_what_is_new(spark, tmp_path, countries):
     assert second.silver_report.rows[1]["element_count"] == 6
 
 
-def test_only_touched_months_are_read(spark, tmp_path, countries):
+def test_only_touched_dates_are_read(spark, tmp_path, countries):
     refresh = job(tmp_path, countries)
-    stamps = ("2024-01-05 10:00:00", "2024-02-05 10:00:00", "2024-03-05 10:00:00")
+    stamps = ("2024-01-05 10:00:00", "2024-01-06 10:00:00", "2024-03-05 10:00:00")
     for stamp in stamps:
-        refresh.run(spark, payload_frame(spark, [("London", document(stamp))]))
-    files = store.read_months_of_slice(spark, refresh.layout, "1").inputFiles()
-    assert files and all("year=2024/month=2/" in file for file in files)
+        last = refresh.run(spark, payload_frame(spark, [("London", document(stamp))]))
+    files = store.read_dates_of_slice(spark, refresh.layout, last.slice_name).inputFiles()
+    assert files and all("event_date=2024-03-05/" in file for file in files)
     assert store.read_slice(spark, refresh.layout, "none").count() == 0
 
 

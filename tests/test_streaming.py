@@ -8,7 +8,6 @@ from tidemark.streaming.refresh import (
     process_batch,
     read_payload_stream,
     start_refresh,
-    stateful_hourly_counts,
 )
 
 
@@ -63,21 +62,26 @@ def test_dropping_late_rows_is_opt_in_and_replayable(spark, tmp_path, countries)
     assert silver(spark, refresh) == full(spark, refresh)
 
 
-def test_stateful_form_needs_an_explicit_delay(spark, tmp_path, countries):
-    rows = observations(STAMPS)
-    land(tmp_path / "landed", "all", rows)
+def test_late_rows_may_be_dropped_from_any_batch_on(spark, tmp_path, countries):
     refresh = job(tmp_path, countries)
-    stream = read_payload_stream(spark, str(tmp_path / "landed"), 1)
-    counts = stateful_hourly_counts(refresh.bronze_rows(stream), "60 days")
-    query = (
-        counts.writeStream.outputMode("complete")
-        .format("memory")
-        .queryName("stateful_counts")
-        .option("checkpointLocation", str(tmp_path / "checkpoint"))
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    batch = hourly_aggregate(refresh.bronze_rows(payload_frame(spark, rows)))
-    chosen = ("city", "hour_start", "hour_end", "record_count")
-    assert sorted_rows(spark.table("stateful_counts")) == sorted_rows(batch.select(*chosen))
+    early, late = observations(STAMPS[5:6]), observations(STAMPS[2:3])
+    process_batch(refresh, payload_frame(spark, early), 0)
+    for _ in range(2):
+        process_batch(refresh, payload_frame(spark, late + observations(STAMPS[6:7])), 1, drop_late=True)
+    process_batch(refresh, payload_frame(spark, late), 2)
+    assert store.read_bronze(spark, refresh.layout).count() == len(early) * 2 + len(late)
+    assert silver(spark, refresh) == full(spark, refresh)
+
+
+def test_streams_and_the_job_share_a_root(spark, tmp_path, countries):
+    refresh = job(tmp_path, countries)
+    parts = [observations(STAMPS[n : n + 1]) for n in range(6)]
+    process_batch(refresh, payload_frame(spark, parts[3]), 0, drop_late=True, source="a")
+    refresh.run(spark, payload_frame(spark, parts[0]))
+    process_batch(refresh, payload_frame(spark, parts[1]), 0, drop_late=True, source="b")
+    process_batch(refresh, payload_frame(spark, parts[2]), 1, drop_late=True, source="a")
+    refresh.run(spark, payload_frame(spark, parts[4]))
+    process_batch(refresh, payload_frame(spark, parts[5]), 1, drop_late=True, source="b")
+    kept = {r[0] for r in store.read_bronze(spark, refresh.layout).select("timestamp").collect()}
+    assert {stamp[:13] for stamp in kept} == {STAMPS[n][:13] for n in (0, 1, 3, 4, 5)}
+    assert silver(spark, refresh) == full(spark, refresh)

@@ -57,9 +57,34 @@ def utc_offset_label(seconds: Column) -> Column:
     return F.concat(F.lit("UTC"), sign, hours, F.lit(":"), minutes)
 
 
+#: An offset or a zone name at the end of a text, which then fixes the instant.
+ZONED = r"([Zz]|[+-]\d{1,2}(:?\d{2})?|[A-Za-z]{3,}(/\w+)*)\s*$"
+EPOCH = "1970-01-01 00:00:00"
+
+
 def parse_event_time(text: Column) -> Column:
-    """String to timestamp; NULL, not an error, when it is malformed."""
-    return F.try_to_timestamp(text)
+    """String to timestamp; NULL, not an error, when it is malformed.
+
+    A text without a zone is UTC, whatever the session's zone is.
+    """
+    plain = text.try_cast("timestamp_ntz")
+    instant = F.make_timestamp(
+        F.year(plain),
+        F.month(plain),
+        F.day(plain),
+        F.hour(plain),
+        F.minute(plain),
+        F.date_part(F.lit("SECOND"), plain),
+        F.lit("UTC"),
+    )
+    has_zone = F.substr(text, F.lit(11)).rlike(ZONED)
+    return F.when(has_zone, F.try_to_timestamp(text)).otherwise(instant)
+
+
+def utc(instant: Column) -> Column:
+    """An instant as zone-less UTC time, so that dates and parts do not follow the session."""
+    epoch = F.lit(EPOCH).cast("timestamp_ntz")
+    return epoch + F.expr("INTERVAL '0.000001' SECOND") * F.unix_micros(instant)
 
 
 def hour_start(event_time: Column, width: str = "1 hour") -> Column:

@@ -72,17 +72,11 @@ def touched_hours(increment: DataFrame, entity: str = "city", event_time: str =
     return with_hour(increment, event_time).select(entity, "hour_start").distinct()
 
 
-def rows_of_touched_hours(
-    bronze: DataFrame,
-    touched: DataFrame,
-    entity: str = "city",
-    event_time: str = "event_time",
-) -> DataFrame:
-    """All bronze rows of the touched hours, old and new.
+def only_touched(hours: DataFrame, touched: DataFrame, entity: str = "city") -> DataFrame:
+    """The aggregated hours that an increment reaches.
 
     Aggregating only the new rows would be wrong for an hour that the mark cuts
-    through. The semi join is on distinct keys; when they are too many to
-    broadcast, adaptive execution splits a hot key on the bronze side.
+    through, so whole hours are aggregated, and joined after that: both sides have
+    one row per key.
     """
-    hours = with_hour(bronze, event_time)
-    return hours.join(touched, [entity, "hour_start"], "left_semi").drop("hour_start")
+    return hours.join(touched, [entity, "hour_start"], "left_semi")

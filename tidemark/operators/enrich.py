@@ -2,51 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import schemas
-from tidemark.functions.scalars import parse_event_time, utc_offset_label, year_month
+from tidemark.functions.scalars import parse_event_time, utc, utc_offset_label, year_month
 
 UNKNOWN = "Unknown"
 
-BROADCAST_ROWS = 100_000
-BROADCAST_BYTES = 16 * 1024 * 1024
-
-
-def readable_offset(rows: DataFrame) -> DataFrame:
-    """Replace the numeric ``timezone`` by the text column ``timeZone``.
-
-    Column names are case-insensitive, so the number has to go before the
-    label can take the name.
-    """
-    return (
-        rows.withColumns(
-            {
-                "timezone_readable": utc_offset_label(F.col("timezone")),
-                "event_time": parse_event_time(F.col("timestamp")),
-            }
-        )
-        .drop("timeZone")
-        .withColumnRenamed("timezone_readable", "timeZone")
-    )
-
-
-def fits_broadcast(
-    table: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
-) -> bool:
-    """Whether a table is small. At most ``max_rows + 1`` row sizes are fetched.
-
-    The limited collect reads partitions a few at a time and stops at the bound,
-    so a table that is far too large costs no more than one at the bound.
-    """
-    size = F.lit(0)
-    for name in table.columns:
-        size = size + F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0))
-    sizes = [row[0] for row in table.select(size).limit(max_rows + 1).collect()]
-    return len(sizes) <= max_rows and sum(sizes) <= max_bytes
-
-
 def dictionary_lookup(
     rows: DataFrame,
     key: str,
@@ -60,12 +25,10 @@ def dictionary_lookup(
 
     NULL and unlisted keys get the default. A dictionary has one entry per
     code, so repeated codes are reduced to their greatest name first and can
-    never multiply rows. It is broadcast when its measured size allows; beyond
-    that the join shuffles and adaptive execution splits hot keys.
+    never multiply rows. Spark broadcasts it when its size allows; beyond that
+    the join shuffles and adaptive execution splits hot keys.
     """
     entries = dictionary.groupBy(F.col(code).alias("__code")).agg(F.max(name).alias("__name"))
-    if fits_broadcast(dictionary.select(code, name)):
-        entries = F.broadcast(entries)
     return (
         rows.join(entries, rows[key] == F.col("__code"), "left")
         .withColumn(into, F.coalesce(F.col("__name"), F.lit(default)))
@@ -73,14 +36,29 @@ def dictionary_lookup(
     )
 
 
-def to_bronze(inputs: DataFrame, countries: DataFrame) -> DataFrame:
-    """Input rows to the fourteen bronze columns; ``countries`` holds (code, name)."""
-    enriched = dictionary_lookup(
-        readable_offset(inputs), "countrycode", countries, "code", "name", "country"
+def to_bronze(inputs: DataFrame, countries: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Input rows to the fourteen bronze columns; ``countries`` holds (code, name).
+
+    Columns of ``inputs`` named in ``keep`` follow after them.
+    """
+    event_time = parse_event_time(F.col("timestamp"))
+    derived = {
+        "timeZone": utc_offset_label(F.col("timezone")),
+        "event_time": event_time,
+        **year_month(utc(event_time)),
+    }
+    plain = [name for name in schemas.BRONZE.names if name not in (*derived, "country")]
+    rows = inputs.select(*plain, *keep, *[value.alias(name) for name, value in derived.items()])
+    named = dictionary_lookup(rows, "countrycode", countries, "code", "name", "country")
+    return named.select(*schemas.BRONZE.names, *keep)
+
+
+def rejection() -> Column:
+    """Why a bronze row can be neither aggregated nor merged; NULL for all others."""
+    return F.when(F.col("city").isNull(), F.lit("no city")).when(
+        F.col("event_time").isNull(), F.lit("no event time")
     )
-    return enriched.withColumns(year_month(F.col("event_time"))).select(*schemas.BRONZE.names)
 
 
 def is_acceptable() -> Column:
-    """Rows without a key or an event time cannot be aggregated or merged."""
-    return F.col("city").isNotNull() & F.col("event_time").isNotNull()
+    return rejection().isNull()

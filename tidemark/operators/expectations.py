@@ -12,6 +12,7 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from typing import Any
 
+from pyspark.errors import IllegalArgumentException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,16 +51,6 @@ class ExpectationError(Exception):
     """An expectation that cannot be evaluated on this table."""
 
 
-def within(value: Column, low, high) -> Column:
-    """Inclusive bounds; None leaves a side open."""
-    inside = F.lit(True)
-    if low is not None:
-        inside = inside & (value >= F.lit(low))
-    if high is not None:
-        inside = inside & (value <= F.lit(high))
-    return inside
-
-
 def _type_of(df: DataFrame, column: str) -> T.DataType:
     for entry in df.schema.fields:
         if entry.name == column:
@@ -74,18 +65,56 @@ def type_name(data_type: T.DataType) -> str:
     return type(data_type).__name__
 
 
+def _beside(df: DataFrame, column: str, value: Any) -> tuple[Column, Column]:
+    """A column and a literal as two columns that can be compared for every row.
+
+    Text is read as a number beside a number, and a literal takes the type of any other
+    column; what cannot be read becomes NULL instead of an error.
+    """
+    kind = _type_of(df, column)
+    number = isinstance(value, (int, float)) and not isinstance(value, bool)
+    if isinstance(kind, T.StringType):
+        return (named(column).try_cast("double") if number else named(column)), F.lit(value)
+    if isinstance(kind, T.NumericType) and number:
+        return named(column), F.lit(value)
+    return named(column), F.lit(value).try_cast(kind)
+
+
+def within(df: DataFrame, column: str, low, high) -> Column:
+    """Inclusive bounds; None leaves a side open. A value that cannot be compared is outside."""
+    inside = F.lit(True)
+    if low is not None:
+        value, bound = _beside(df, column, low)
+        inside = inside & (value >= bound)
+    if high is not None:
+        value, bound = _beside(df, column, high)
+        inside = inside & (value <= bound)
+    return F.coalesce(inside, F.lit(False))
+
+
 def _in_set(df: DataFrame, kwargs) -> Column:
-    listed = [value for value in kwargs["value_set"] if value is not None]
-    return ~named(kwargs["column"]).isin(listed)
+    listed = F.lit(False)
+    texts = isinstance(_type_of(df, kwargs["column"]), T.StringType)
+    values = [value for value in kwargs["value_set"] if value is not None]
+    if texts and all(isinstance(value, str) for value in values):
+        return ~named(kwargs["column"]).isin(values)
+    for entry in values:
+        value, other = _beside(df, kwargs["column"], entry)
+        listed = listed | F.coalesce(value == other, F.lit(False))
+    return ~listed
 
 
 def _between(df: DataFrame, kwargs) -> Column:
-    value = named(kwargs["column"])
-    return ~within(value, kwargs.get("min_value"), kwargs.get("max_value"))
+    return ~within(df, kwargs["column"], kwargs.get("min_value"), kwargs.get("max_value"))
 
 
 def _regex(df: DataFrame, kwargs) -> Column:
-    return ~named(kwargs["column"]).rlike(kwargs["regex"])
+    pattern = df.sparkSession.sparkContext._jvm.java.util.regex.Pattern
+    try:
+        pattern.compile(kwargs["regex"])
+    except IllegalArgumentException as problem:
+        raise ExpectationError(str(problem)) from problem
+    return ~named(kwargs["column"]).cast("string").rlike(kwargs["regex"])
 
 
 def _strftime(df: DataFrame, kwargs) -> Column:
@@ -139,17 +168,23 @@ def compound_groups(df: DataFrame, column_list: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
 
 
-def compound_counts(df: DataFrame, column_list: list[str]) -> DataFrame:
-    """One row: all rows, rows whose keys are all NULL, rows whose key repeats."""
+def any_key(column_list: list[str]) -> Column:
+    """Whether a row has any part of a compound key."""
+    held = F.lit(False)
     for column in column_list:
+        held = held | named(column).isNotNull()
+    return held
+
+
+def repeated_keys(df: DataFrame, column_list: list[str]) -> DataFrame:
+    """The keys that more than one row has; the key of NULLs alone does not count."""
+    groups = compound_groups(df, column_list).filter(F.col("__rows") > 1)
+    return groups.filter(any_key(column_list)).drop("__rows")
+
+
+def key_columns(df: DataFrame, expectation: Expectation) -> list[str]:
+    """The columns of a compound key, under the names that the table has for them."""
+    columns = expectation.kwargs["column_list"]
+    for column in columns:
         _type_of(df, column)
-    empty = F.lit(True)
-    for column in column_list:
-        empty = empty & named(column).isNull()
-    rows = F.col("__rows")
-    zero = F.lit(0)
-    return compound_groups(df, column_list).agg(
-        F.coalesce(F.sum(rows), zero).alias("element_count"),
-        F.coalesce(F.sum(F.when(empty, rows)), zero).alias("missing_count"),
-        F.coalesce(F.sum(F.when(~empty & (rows > 1), rows)), zero).alias("unexpected_count"),
-    )
+    return list(columns)

@@ -1,8 +1,9 @@
 """Suites of expectations, evaluated together.
 
-All row-level expectations of a suite compile into one distributed aggregate,
-so a suite reads its table once however many checks it holds. Each compound key
-adds one grouping. The results are a DataFrame with one row per expectation.
+A suite reads its table once, however many checks it holds. Every row becomes a bit
+mask, one bit per row-level test, and one entry per compound key; rows of equal masks
+and of equal keys are counted, and all verdicts follow from those counts. Checks of the
+schema need no job. The results are a DataFrame with one row per expectation.
 """
 
 from __future__ import annotations
@@ -13,20 +14,21 @@ from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from functools import reduce
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from tidemark import schemas
 from tidemark.functions.scalars import named
 from tidemark.operators import expectations as ex
 from tidemark.operators.expectations import Expectation, ExpectationError
+from tidemark.shared import small_frame
 
-# Beyond 100 fields a stage leaves whole-stage code generation. A wider suite is
-# split; results are grouped by column, so each part reads columns of its own.
-MAX_AGGREGATES = 90
+# The reference value: how many unexpected values a result lists.
 PARTIAL_LIST_SIZE = 20
+MASK_BITS = 62
 
 RESULTS = schemas.flat(
     "seq int, expectation_type string, column string, kwargs string, success boolean, "
@@ -96,12 +98,16 @@ class Suite:
         return sorted(self.expectations, key=lambda e: first_seen[e.column])
 
     def is_additive(self) -> bool:
-        """Whether counts over disjoint parts of a table add up to its own counts."""
+        """Whether counts over any disjoint parts of a table add up to its own counts."""
         return all(e.expectation_type != ex.COMPOUND_UNIQUE for e in self.expectations)
 
-    def evaluate(self, df: DataFrame, max_aggregates: int = MAX_AGGREGATES) -> DataFrame:
+    def evaluate(self, df: DataFrame) -> DataFrame:
         """One result row per expectation, lazily, numbered by ``seq``."""
-        return _evaluate(df, list(enumerate(self.ordered())), max_aggregates)
+        return _evaluate(df, list(enumerate(self.ordered())))
+
+    def evaluate_by(self, df: DataFrame, group: str) -> DataFrame:
+        """The same for each value of ``group``, a column that the checks do not see."""
+        return _evaluate(df, list(enumerate(self.ordered())), group)
 
 
 def build_suite(
@@ -157,13 +163,15 @@ ABOUT = (
 class _Check:
     """How one expectation reads its verdict from the row of aggregates.
 
-    ``element``, ``missing`` and ``unexpected`` name aggregates. ``success`` and
+    ``tests`` are the predicates it counts, ``key`` the columns that must be unique.
+    ``element``, ``missing`` and ``unexpected`` name counts. ``success`` and
     ``observed`` are known without a job; ``bounds`` applies to the row count.
     """
 
     seq: int
     expectation: Expectation
-    aggregates: dict[str, Column] = field(default_factory=dict)
+    tests: dict[str, Column] = field(default_factory=dict)
+    key: list[str] | None = None
     element: str | None = None
     missing: str | None = None
     unexpected: str | None = None
@@ -188,6 +196,10 @@ class _Check:
             "exception_message": self.problem,
         }
 
+    @property
+    def known(self) -> bool:
+        return self.success is not None or self.problem is not None
+
     def counts(self) -> str:
         element, missing, unexpected = (
             name or "bigint(NULL)" for name in (self.element, self.missing, self.unexpected)
@@ -195,7 +207,7 @@ class _Check:
         return f"named_struct('element', {element}, 'missing', {missing}, 'wrong', {unexpected})"
 
 
-def _verdicts(counted: DataFrame, checks: list[_Check]) -> DataFrame:
+def _verdicts(counted: DataFrame, checks: list[_Check], groups: list[str]) -> DataFrame:
     """One row of aggregates to one row per check.
 
     What is known beforehand travels as one literal; the aggregates are paired
@@ -209,7 +221,8 @@ def _verdicts(counted: DataFrame, checks: list[_Check]) -> DataFrame:
         rows <= F.col("about.high"), F.lit(True)
     )
     bounded = F.col("about.bounded")
-    return counted.select(ROWS, F.inline(entries)).select(
+    return counted.select(*groups, ROWS, F.inline(entries)).select(
+        *groups,
         "about.seq",
         "about.expectation_type",
         "about.column",
@@ -246,16 +259,20 @@ def _compile(df: DataFrame, seq: int, expectation: Expectation) -> _Check:
         check.bounds = (kwargs.get("min_value"), kwargs.get("max_value"))
         return check
 
+    check.element = ROWS
+    if expectation.expectation_type == ex.COMPOUND_UNIQUE:
+        check.key = ex.key_columns(df, expectation)
+        check.missing, check.unexpected = f"missing_key_{seq}", f"repeated_key_{seq}"
+        return check
     predicate = ex.unexpected(df, expectation)
     position = [name.lower() for name in df.columns].index(expectation.column.lower())
     missing = f"missing_{position}"
-    check.aggregates[missing] = F.count_if(named(expectation.column).isNull())
-    check.element = ROWS
+    check.tests[missing] = named(expectation.column).isNull()
     if expectation.expectation_type == ex.NOT_NULL:
         check.unexpected = missing
     else:
         check.missing, check.unexpected = missing, f"unexpected_{seq}"
-        check.aggregates[check.unexpected] = F.count_if(predicate)
+        check.tests[check.unexpected] = predicate
     return check
 
 
@@ -266,45 +283,76 @@ def _message(problem: Exception) -> str:
 def _checked(df: DataFrame, seq: int, expectation: Expectation) -> _Check:
     """Compile one expectation; what cannot be compiled becomes its result."""
     try:
-        return _compile(df, seq, expectation)
-    except ExpectationError as problem:
+        check = _compile(df, seq, expectation)
+        df.select(*check.tests.values())  # analysed, not run
+        return check
+    except (ExpectationError, AnalysisException) as problem:
         return _Check(seq, expectation, problem=_message(problem))
 
 
-def _analysed(df: DataFrame, check: _Check) -> _Check:
-    try:
-        df.agg(*[column.alias(name) for name, column in check.aggregates.items()])
-    except PySparkException as problem:
-        return _Check(check.seq, check.expectation, problem=_message(problem))
-    return check
+def _counted(df: DataFrame, checks: list[_Check], groups: list[str]) -> DataFrame:
+    """One row of counts (one per group), from one pass over ``df``.
 
+    A row gives one entry with the mask of its tests and one with each compound key.
+    Equal entries are counted before and after a shuffle, so a hot key costs a row per
+    task. The counts by mask, and by whether a key is empty and repeated, are few.
+    """
+    tests = list({name: test for check in checks for name, test in check.tests.items()}.items())
+    n_masks = -(-len(tests) // MASK_BITS)
+    masks = [f"__mask_{m}" for m in range(n_masks)]
+    keyed = [check for check in checks if check.key is not None]
+    columns = list(dict.fromkeys(name for check in keyed for name in check.key))
+    places = {name: f"__key_{n}" for n, name in enumerate(columns)}
+
+    def bits(mask: int) -> Column:
+        own = tests[mask * MASK_BITS : (mask + 1) * MASK_BITS]
+        parts = [
+            F.when(test, F.lit(1 << bit)).otherwise(F.lit(0)).cast("long")
+            for bit, (_, test) in enumerate(own)
+        ]
+        return reduce(lambda a, b: a.bitwiseOR(b), parts)
+
+    def entry(number: int, key: list[str]) -> Column:
+        zero = F.lit(0).cast("long")
+        values = [bits(m) if number == 0 else zero for m in range(n_masks)]
+        parts = [
+            (named(name) if name in key else F.lit(None).cast(df.schema[_field(df, name)].dataType))
+            for name in columns
+        ]
+        return F.struct(
+            F.lit(number).alias("__set"),
+            *[value.alias(name) for value, name in zip(values, masks, strict=True)],
+            *[part.alias(places[name]) for part, name in zip(parts, columns, strict=True)],
+        )
 
-def _chunks(checks: list[_Check], limit: int) -> list[list[_Check]]:
-    chunks: list[list[_Check]] = [[]]
-    names: set[str] = set()
-    for check in checks:
-        if chunks[-1] and len(names | check.aggregates.keys()) > limit:
-            chunks.append([])
-            names = set()
-        chunks[-1].append(check)
-        names |= check.aggregates.keys()
-    return chunks
-
-
-def _fused(df: DataFrame, checks: list[_Check]) -> DataFrame:
-    aggregates = {name: column for check in checks for name, column in check.aggregates.items()}
-    counted = df.agg(
-        F.count(F.lit(1)).alias(ROWS),
-        *[column.alias(name) for name, column in aggregates.items()],
-    )
-    return _verdicts(counted, checks)
+    entries = [entry(0, []), *[entry(n, check.key) for n, check in enumerate(keyed, 1)]]
+    spread = df.select(*groups, F.inline(F.array(*entries)))
+    kept = [*groups, "__set", *masks]
+    each = spread.groupBy(*kept, *places.values()).agg(F.count(F.lit(1)).alias("__n"))
+    filled = reduce(lambda a, b: a | b, [F.col(p).isNotNull() for p in places.values()], F.lit(False))
+    few = each.groupBy(*kept, filled.alias("__filled"), (F.col("__n") > 1).alias("__repeated"))
+    few = few.agg(F.sum("__n").alias("__n"))
 
+    def total(condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col("__n"))), F.lit(0))
 
-def _compound(df: DataFrame, seq: int, expectation: Expectation) -> DataFrame:
-    check = _Check(seq, expectation)
-    check.element, check.missing, check.unexpected = ROWS, "missing_count", "unexpected_count"
-    counts = ex.compound_counts(df, expectation.kwargs["column_list"])
-    return _verdicts(counts.withColumnRenamed("element_count", ROWS), [check])
+    row = F.col("__set") == 0
+    counts = [total(row).alias(ROWS)]
+    for number, (name, _) in enumerate(tests):
+        mask, bit = masks[number // MASK_BITS], 1 << number % MASK_BITS
+        hit = F.col(mask).bitwiseAND(F.lit(bit).cast("long")) != 0
+        counts.append(total(row & hit).alias(name))
+    for number, check in enumerate(keyed, 1):
+        own = F.col("__set") == number
+        counts.append(total(own & ~F.col("__filled")).alias(check.missing))
+        repeated = own & F.col("__filled") & F.col("__repeated")
+        counts.append(total(repeated).alias(check.unexpected))
+    return few.groupBy(*groups).agg(*counts)
+
+
+def _field(df: DataFrame, column: str) -> str:
+    """A column's own spelling of its name."""
+    return next(name for name in df.columns if name.lower() == column.lower())
 
 
 def _percent(part: Column, whole: Column) -> Column:
@@ -323,30 +371,37 @@ def _with_percentages(results: DataFrame) -> DataFrame:
             "unexpected_percent_total": total,
             "unexpected_percent_nonmissing": nonmissing,
         }
-    ).select(*RESULT_COLUMNS)
+    )
+
+
+def _known_rows(spark, checks: list[_Check]) -> DataFrame:
+    """Verdicts that need no job, as a local relation."""
+    rows = []
+    for check in checks:
+        values = dict.fromkeys(RESULT_COLUMNS)
+        about = check.about()
+        values.update({name: about[name] for name in values if name in about})
+        rows.append(tuple(values[name] for name in RESULT_COLUMNS))
+    return small_frame(spark, rows, RESULTS)
 
 
 def _evaluate(
-    df: DataFrame, numbered: list[tuple[int, Expectation]], max_aggregates: int
+    df: DataFrame, numbered: list[tuple[int, Expectation]], group: str | None = None
 ) -> DataFrame:
-    if not numbered:
-        return df.sparkSession.createDataFrame([], RESULTS)
-    fused, parts = [], []
-    for seq, expectation in numbered:
-        if expectation.expectation_type != ex.COMPOUND_UNIQUE:
-            fused.append(_checked(df, seq, expectation))
-            continue
-        try:
-            parts.append(_compound(df, seq, expectation))
-        except (ExpectationError, PySparkException) as problem:
-            fused.append(_Check(seq, expectation, problem=_message(problem)))
-    if fused:
-        try:
-            parts = [_fused(df, chunk) for chunk in _chunks(fused, max_aggregates)] + parts
-        except PySparkException:
-            fused = [_analysed(df, check) if check.aggregates else check for check in fused]
-            parts = [_fused(df, chunk) for chunk in _chunks(fused, max_aggregates)] + parts
-    return _with_percentages(reduce(DataFrame.unionAll, parts))
+    spark, groups = df.sparkSession, [] if group is None else [group]
+    seen = df.drop(*groups)
+    checks = [_checked(seen, seq, expectation) for seq, expectation in numbered]
+    known = [check for check in checks if check.known]
+    counting = [check for check in checks if not check.known]
+    if groups:
+        counted = _counted(df, counting, groups)
+        results = _with_percentages(_verdicts(counted, checks, groups))
+        return results.select(*groups, *RESULT_COLUMNS)
+    parts = [_known_rows(spark, known)] if known or not checks else []
+    if counting:
+        results = _with_percentages(_verdicts(_counted(df, counting, []), counting, []))
+        parts.append(results.select(*RESULT_COLUMNS))
+    return reduce(DataFrame.unionAll, parts)
 
 
 def combine(parts: DataFrame) -> DataFrame:
@@ -385,7 +440,7 @@ def combine(parts: DataFrame) -> DataFrame:
                 ),
             }
         )
-    )
+    ).select(*RESULT_COLUMNS)
 
 
 def statistics_columns() -> list[Column]:
@@ -414,14 +469,79 @@ def offenders(df: DataFrame, expectation: Expectation) -> DataFrame:
     return df.filter(ex.unexpected(df, expectation))
 
 
-def _partial_list(df: DataFrame, expectation: Expectation, size: int) -> list:
-    """Up to ``size`` unexpected values. The scan stops as soon as it has them."""
-    if expectation.expectation_type == ex.COMPOUND_UNIQUE:
-        keys = expectation.kwargs["column_list"]
-        repeated = ex.compound_groups(df, keys).filter(F.col("__rows") > 1).drop("__rows")
-        return [row.asDict() for row in repeated.limit(size).collect()]
-    values = offenders(df, expectation).select(named(expectation.column))
-    return [row[0] for row in values.limit(size).collect()]
+def list_order(value) -> tuple:
+    """Unexpected values are listed in ascending order, numbers before other texts."""
+    if isinstance(value, (int, float)) and not isinstance(value, bool):
+        return 0, float(value), ""
+    text = value if isinstance(value, str) else json.dumps(value)
+    return 1, 0.0, text
+
+
+def merge_lists(lists: Iterable[list], size: int = PARTIAL_LIST_SIZE) -> list:
+    """The list over disjoint parts of a table from those of the parts."""
+    return sorted((value for own in lists for value in own), key=list_order)[:size]
+
+
+def partial_lists(
+    df: DataFrame,
+    failed: list[tuple[int, Expectation]],
+    size: int = PARTIAL_LIST_SIZE,
+    group: str | None = None,
+) -> dict[tuple[str | None, int], list]:
+    """The ``size`` smallest unexpected values of each failed check, by (group, seq).
+
+    One pass serves all row-level checks: each task keeps the first values of each check
+    before anything is shuffled. A compound key is grouped once more. Checks that count
+    nulls have nothing to list.
+    """
+    part = F.lit(None).cast("string") if group is None else F.col(group).cast("string")
+    entries, found = [], []
+    empty = {"ignoreNullFields": "false"}
+    for seq, expectation in failed:
+        if expectation.expectation_type == ex.COMPOUND_UNIQUE:
+            keys = expectation.kwargs["column_list"]
+            repeated = ex.repeated_keys(df, list(dict.fromkeys([*keys, *[group] * bool(group)])))
+            text = F.to_json(F.struct(*map(named, keys)), empty)
+            found.append(
+                repeated.select(
+                    part.alias("part"),
+                    F.lit(seq).alias("seq"),
+                    F.lit(None).cast("double").alias("number"),
+                    text.alias("text"),
+                    text.alias("value"),
+                )
+            )
+        elif expectation.expectation_type != ex.NOT_NULL:
+            value = named(expectation.column)
+            numeric = isinstance(df.schema[_field(df, expectation.column)].dataType, T.NumericType)
+            entry = F.struct(
+                part.alias("part"),
+                F.lit(seq).alias("seq"),
+                (value.cast("double") if numeric else F.lit(None).cast("double")).alias("number"),
+                value.cast("string").alias("text"),
+                F.to_json(F.struct(value.alias("v"))).alias("value"),
+            )
+            entries.append(F.when(ex.unexpected(df, expectation), entry))
+    if entries:
+        found.append(df.select(F.inline(F.array_compact(F.array(*entries)))))
+    if not found:
+        return {}
+    order = Window.partitionBy("part", "seq").orderBy(F.col("number").asc_nulls_last(), "text")
+    ranked = reduce(DataFrame.unionAll, found).withColumn("place", F.row_number().over(order))
+    keyed = {seq for seq, e in failed if e.expectation_type == ex.COMPOUND_UNIQUE}
+    lists: dict[tuple[str | None, int], list] = {}
+    for row in ranked.filter(F.col("place") <= size).collect():
+        value = json.loads(row["value"])
+        own = lists.setdefault((row["part"], row["seq"]), [])
+        own.append(value if row["seq"] in keyed else value["v"])
+    return {key: sorted(values, key=list_order) for key, values in lists.items()}
+
+
+def list_of(row: Row, lists: Mapping, part: str | None = None) -> list:
+    """The list of a failed result; missing values are listed as such."""
+    if row["expectation_type"] == ex.NOT_NULL:
+        return [None] * min(row["unexpected_count"], PARTIAL_LIST_SIZE)
+    return lists.get((part, row["seq"]), [])
 
 
 @dataclass
@@ -523,33 +643,6 @@ class ValidationFailed(Exception):
         super().__init__(f"{report.layer}: failed {', '.join(report.failed_types)}")
 
 
-def _failed_row(seq: int, expectation: Expectation, problem: Exception) -> Row:
-    values = dict.fromkeys(RESULT_COLUMNS)
-    values.update(
-        seq=seq,
-        expectation_type=expectation.expectation_type,
-        column=expectation.column,
-        kwargs=expectation.kwargs_json,
-        success=False,
-        raised_exception=True,
-        exception_message=_message(problem),
-    )
-    return Row(*RESULT_COLUMNS)(*[values[name] for name in RESULT_COLUMNS])
-
-
-def _collect(df: DataFrame, numbered: list[tuple[int, Expectation]]) -> list[Row]:
-    """Result rows. When the shared scan fails, the halves find the culprit."""
-    if not numbered:
-        return []
-    try:
-        return _evaluate(df, numbered, MAX_AGGREGATES).collect()
-    except (PySparkException, Py4JJavaError) as problem:
-        if len(numbered) == 1:
-            return [_failed_row(*numbered[0], problem)]
-        middle = len(numbered) // 2
-        return _collect(df, numbered[:middle]) + _collect(df, numbered[middle:])
-
-
 def validate(
     df: DataFrame,
     suite: Suite,
@@ -561,19 +654,23 @@ def validate(
 ) -> ValidationReport:
     """Evaluate a suite now. Only counts and a bounded list of values are collected.
 
-    A failing check never stops the others, and by default nothing is gated on
-    the outcome; ``on_failure="raise"`` turns a failed suite into an error.
+    A check that fails, or that cannot be evaluated on this table, never stops the others,
+    and by default nothing is gated on the outcome; ``on_failure="raise"`` turns a failed
+    suite into an error. An error of the engine, such as a damaged file, is no verdict: it
+    is raised.
     """
     numbered = list(enumerate(suite.ordered()))
-    rows = sorted(_collect(df, numbered), key=lambda row: row["seq"])
-    partial_lists = {}
-    for row in rows:
-        if row["unexpected_count"]:
-            expectation = numbered[row["seq"]][1]
-            partial_lists[row["seq"]] = _partial_list(df, expectation, partial_list_size)
+    rows = sorted(_evaluate(df, numbered).collect(), key=lambda row: row["seq"])
+    wrong = [row for row in rows if row["unexpected_count"]]
+    lists = partial_lists(df, [numbered[row["seq"]] for row in wrong], partial_list_size)
     run_time = run_time or datetime.now(timezone.utc)
     report = ValidationReport(
-        rows, partial_lists, suite.name, layer, run_id or run_time.isoformat(), run_time
+        rows,
+        {row["seq"]: list_of(row, lists) for row in wrong},
+        suite.name,
+        layer,
+        run_id or run_time.isoformat(),
+        run_time,
     )
     if on_failure == "raise" and not report.success:
         raise ValidationFailed(report)

@@ -42,7 +42,8 @@ def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(city, payload)``; two country codes in 27 are not in the dictionary."""
     user, ts = F.col("user_id"), F.col("ts")
     humidity = F.from_json("props", "k int")["k"]
-    sunrise = F.unix_timestamp(F.to_date(ts)) + 6 * 3600
+    seconds = F.unix_timestamp(ts)
+    sunrise = seconds - seconds % 86400 + 6 * 3600
     country = F.concat(F.lit("N"), F.char(user % 27 + 65))
     document = F.struct(
         F.struct(F.col("value").alias("temp"), humidity.alias("humidity")).alias("main"),

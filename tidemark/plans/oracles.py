@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tidemark import schemas
+from tidemark.operators.expectations import type_name
 from tidemark.plans import suites
 from tidemark.plans.observations import AS_OF, CITY_OF
 from tidemark.plans.queries import CUT, ORDERS_CUT, TYPES
@@ -205,13 +206,57 @@ SELECT {seq} AS seq, {_text(kind)} AS expectation_type, {_text(column)} AS "colu
 NO_VALUE = "NULL::VARCHAR"
 
 SUITE_OUTPUT = (
-    'seq, expectation_type, success, "column", element_count, missing_count, '
+    'seq, expectation_type, success, "column", observed_value, element_count, missing_count, '
     "unexpected_count, unexpected_percent, raised_exception"
 )
 
+# Spark's name of each type that the tables have.
+TYPE_NAMES = {
+    "VARCHAR": "StringType",
+    "DOUBLE": "DoubleType",
+    "INTEGER": "IntegerType",
+    "BIGINT": "LongType",
+    "TIMESTAMP": "TimestampType",
+}
+
+
+def _described(rows: str) -> str:
+    """The columns of ``rows`` with Spark's names of their types."""
+    names = " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in TYPE_NAMES.items())
+    return f"""SELECT column_name AS name, CASE column_type {names} END AS kind,
+        row_number() OVER () AS place FROM (DESCRIBE {rows})"""
+
+
+NAMES = """(SELECT '[' || string_agg('"' || name || '"', ', ' ORDER BY place) || ']' FROM described)"""
+
+
+def _column_count(value: int, seq: int) -> str:
+    count = "(SELECT count(*) FROM described)"
+    kind = "expect_table_column_count_to_equal"
+    return _verdict_row(kind, None, f"{count} = {value}", f"{count}::VARCHAR", seq)
+
+
+def _ordered_columns(names: list[str], seq: int) -> str:
+    wanted = "[" + ", ".join(f'"{name}"' for name in names) + "]"
+    kind = "expect_table_columns_to_match_ordered_list"
+    return _verdict_row(kind, None, f"{NAMES} = {_text(wanted)}", NAMES, seq)
+
+
+def _exists(name: str, seq: int) -> str:
+    found = f"{_text(name)} IN (SELECT name FROM described)"
+    return _verdict_row("expect_column_to_exist", name, found, NO_VALUE, seq)
+
+
+def _of_type(name: str, wanted: str, seq: int) -> str:
+    kind = f"(SELECT kind FROM described WHERE name = {_text(name)})"
+    success = f"{kind} = {_text(wanted)}"
+    return _verdict_row("expect_column_values_to_be_of_type", name, success, kind, seq)
+
 
-def _constant(kind: str, column: str | None, seq: int) -> str:
-    return _verdict_row(kind, column, "true", NO_VALUE, seq)
+def _absent(kind: str, name: str, seq: int) -> str:
+    """A check of a column that the table has not: it cannot be evaluated."""
+    held = f"{_text(name)} IN (SELECT name FROM described)"
+    return _verdict_row(kind, name, held, NO_VALUE, seq, raised=True)
 
 
 def _suite_bronze() -> str:
@@ -227,8 +272,8 @@ def _suite_bronze() -> str:
             "FROM bronze",
         )
     )
-    rows.append(_constant("expect_table_column_count_to_equal", None, 1))
-    rows.append(_constant("expect_table_columns_to_match_ordered_list", None, 2))
+    rows.append(_column_count(len(schemas.BRONZE.fields), 1))
+    rows.append(_ordered_columns(schemas.BRONZE.names, 2))
     for entry in schemas.BRONZE.fields:
         name = entry.name
         if name in ("year", "month"):
@@ -238,7 +283,7 @@ def _suite_bronze() -> str:
             kind = "expect_column_values_to_be_in_set"
             rows.append(_map_row(kind, name, rule, "bronze", len(rows)))
         rows.append(_null_row(name, "bronze", len(rows)))
-        rows.append(_constant("expect_column_to_exist", name, len(rows)))
+        rows.append(_exists(name, len(rows)))
         if name == "temperature":
             rule = _Rules.between(name, suites.TEMPERATURE_RANGE)
             kind = "expect_column_values_to_be_between"
@@ -247,27 +292,56 @@ def _suite_bronze() -> str:
             rule = _Rules.regex(name, suites.BRONZE_REGEXES[name])
             kind = "expect_column_values_to_match_regex"
             rows.append(_map_row(kind, name, rule, "bronze", len(rows)))
-        rows.append(_constant("expect_column_values_to_be_of_type", name, len(rows)))
+        rows.append(_of_type(name, type_name(entry.dataType), len(rows)))
         if name in suites.STAMP_COLUMNS:
             rule = _Rules.strftime(name, suites.STAMP_FORMAT)
             kind = "expect_column_values_to_match_strftime_format"
             rows.append(_map_row(kind, name, rule, "bronze", len(rows)))
-    return f"{WITH_BRONZE} SELECT {SUITE_OUTPUT} FROM ({' UNION ALL '.join(rows)})"
+    return f"""{WITH_BRONZE}, described AS ({_described(f"{WITH_BRONZE} SELECT * FROM bronze")})
+        SELECT {SUITE_OUTPUT} FROM ({' UNION ALL '.join(rows)})"""
 
 
 def _suite_silver() -> str:
-    rows = [_constant("expect_table_columns_to_match_ordered_list", None, 0)]
+    rows = [_ordered_columns(schemas.SILVER.names, 0)]
     for columns in suites.SILVER_UNIQUE:
         rows.append(_compound_row(columns, "silver", len(rows)))
-    for name in schemas.SILVER.names:
+    for entry in schemas.SILVER.fields:
+        name = entry.name
         rows.append(_null_row(name, "silver", len(rows)))
-        rows.append(_constant("expect_column_to_exist", name, len(rows)))
+        rows.append(_exists(name, len(rows)))
         if name == "max_temperature":
             rule = _Rules.between(name, suites.TEMPERATURE_RANGE)
             kind = "expect_column_values_to_be_between"
             rows.append(_map_row(kind, name, rule, "silver", len(rows)))
-        rows.append(_constant("expect_column_values_to_be_of_type", name, len(rows)))
-    return f"{WITH_SILVER} SELECT {SUITE_OUTPUT} FROM ({' UNION ALL '.join(rows)})"
+        rows.append(_of_type(name, type_name(entry.dataType), len(rows)))
+    return f"""{WITH_SILVER}, described AS ({_described(f"{WITH_SILVER} SELECT * FROM silver")})
+        SELECT {SUITE_OUTPUT} FROM ({' UNION ALL '.join(rows)})"""
+
+
+def _suite_stored_table() -> str:
+    columns = ["event_id", "ts", "user_id", "event_type", "value", "props"]
+    stored = "SELECT * EXCLUDE (user_id), 'x' AS note FROM events"
+    rows = [
+        _column_count(6, 0),
+        _ordered_columns(columns, 1),
+        _exists("user_id", 2),
+        _absent("expect_column_values_to_not_be_null", "user_id", 3),
+        _absent("expect_column_values_to_be_of_type", "user_id", 4),
+        _exists("value", 5),
+        _of_type("value", "DoubleType", 6),
+        _null_row("value", "events", 7),
+    ]
+    return f"""WITH described AS ({_described(stored)})
+        SELECT {SUITE_OUTPUT} FROM ({' UNION ALL '.join(rows)})"""
+
+
+def _listed(seq: int, value: str, where: str, rows: str, order: str = "") -> str:
+    """The twenty smallest values that violate an expectation."""
+    return f"""
+SELECT CAST({seq} AS INTEGER) AS seq, CAST(place AS INTEGER) AS place, value FROM (
+    SELECT {value} AS value, row_number() OVER (ORDER BY {order or value}) - 1 AS place
+    FROM {rows} WHERE {where}) WHERE place < 20
+"""
 
 
 VALUE_RULE = _Rules.between("value", {"min_value": 0, "max_value": 50})
@@ -335,8 +409,8 @@ def _one(row: str, columns: str, prefix: str = "") -> str:
 
 def _customer_countries(name: str) -> str:
     return f"""
-SELECT c_custkey, c_nationkey, {name} AS country
-FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey AND n_regionkey < 3
+SELECT c_custkey, CAST(c_custkey % 27 AS INTEGER) AS code, {name} AS country
+FROM customer LEFT JOIN nation ON c_custkey % 27 = n_nationkey
 """
 
 
@@ -349,6 +423,41 @@ UNION ALL SELECT 'lineitem', strftime(max(l_shipdate), {STAMP}) FROM lineitem
 
 
 
+def _runlog_events() -> str:
+    """The lines of three runs of which the second was stopped, and finished by the third."""
+    parts = ["ts <= TIMESTAMP '2024-01-10 00:20:00'",
+             f"ts > TIMESTAMP '2024-01-10 00:20:00' AND ts <= TIMESTAMP '{CUT}'",
+             f"ts > TIMESTAMP '{CUT}'"]
+
+    def checks(part: int) -> str:
+        upto = " OR ".join(f"({p})" for p in parts[: part + 1])
+        between = "expect_column_values_to_be_between"
+        return f"""
+            SELECT 'Bronze' AS layer, array_to_string(list_filter([
+                CASE WHEN (SELECT count(*) FROM events WHERE {upto}) > 1000
+                    THEN 'expect_table_row_count_to_be_between' END,
+                '{between}'], lambda c: c IS NOT NULL), ', ') AS checks
+            WHERE EXISTS (SELECT 1 FROM events WHERE ({upto}) AND NOT (value BETWEEN 0 AND 50))
+            UNION ALL SELECT 'Silver', '{between}'
+            WHERE EXISTS (SELECT 1 FROM events WHERE ({upto}) AND NOT (value BETWEEN 0 AND 50))
+        """
+
+    def lines(part: int) -> str:
+        upto = " OR ".join(f"({p})" for p in parts[: part + 1])
+        return f"""
+            SELECT 'INFO', 'slice of a run: ' || count(*) || ' rows stored, 0 rejected, 0 late'
+            FROM events WHERE {parts[part]}
+            UNION ALL SELECT 'INFO', 'silver refreshed up to '
+                || strftime(date_trunc('second', max(ts)), {STAMP}) FROM events WHERE {upto}
+            UNION ALL SELECT 'ERROR', 'checks of ' || layer || ' failed: ' || checks
+            FROM ({checks(part)})
+        """
+
+    stopped = "SELECT 'ERROR', 'run stopped by InterruptedError: stopped before the mark'"
+    body = " UNION ALL ".join([lines(0), lines(1), stopped, lines(1), lines(2)])
+    return f"SELECT * FROM ({body}) logged(level, message)"
+
+
 ORACLES: dict[str, str] = {
     "json_extract": INPUTS,
     "typed_batch": """
@@ -515,9 +624,22 @@ ORACLES: dict[str, str] = {
     "validation_failures": f"""{WITH_RESULTS}
         SELECT seq, expectation_type, "column" FROM results WHERE NOT success
     """,
-    "validation_offenders": """
-        SELECT event_id, value FROM events WHERE NOT (value BETWEEN 0 AND 50)
-        ORDER BY value DESC, event_id LIMIT 20
+    "validation_offenders": f"""{WITH_STAMPED} {" UNION ALL ".join([
+        _listed(2, "event_type", _Rules.in_set("event_type", TYPES), "stamped"),
+        _listed(3, "'null'", "stamp IS NULL", "stamped"),
+        _listed(4, "stamp", f"stamp IS NOT NULL AND {_Rules.strftime('stamp', '%Y-%m-%d %H:%M:%S')}",
+                "stamped"),
+        _listed(5, "value::VARCHAR", VALUE_RULE, "stamped", "value"),
+        _listed(7, "props", f"NOT regexp_matches(props, {TWO_DIGITS})", "stamped"),
+    ])}""",
+    "validation_cumulative": f"""{WITH_BRONZE}, counted AS (
+        SELECT count(*) AS element_count, 0::BIGINT AS missing_count,
+            count(*) FILTER (WHERE NOT (temperature BETWEEN 0 AND 50)) AS unexpected_count
+        FROM bronze)
+        SELECT 'expect_column_values_to_be_between' AS expectation_type,
+            'temperature' AS "column", element_count, missing_count, unexpected_count, place, value
+        FROM counted, ({_listed(0, "temperature::VARCHAR", "NOT (temperature BETWEEN 0 AND 50)",
+                                "bronze", "temperature")})
     """,
     "validation_report": f"""{WITH_RESULTS}
         SELECT 'run-1' AS run_id, 'Events' AS layer, 'events' AS suite_name, {STATISTICS}
@@ -534,5 +656,22 @@ ORACLES: dict[str, str] = {
     """,
     "runlog_days": "SELECT DISTINCT CAST(ts AS DATE) AS log_date FROM events",
     "end_to_end_refresh": f"{WITH_BRONZE} {SILVER}",
+    "interrupted_refresh": f"{WITH_SILVER} SELECT *, record_count AS bronze_rows FROM silver",
+    "runlog_events": _runlog_events(),
+    "quarantine": """
+        SELECT CASE event_type WHEN 'error' THEN 'Sydney' END AS city,
+               'no document, ' || event_id AS payload,
+               CASE event_type WHEN 'error' THEN 'no event time' ELSE 'no city' END AS reason
+        FROM events, range(2) WHERE event_type IN ('error', 'view')
+    """,
     "streaming_refresh": f"{WITH_BRONZE} {SILVER}",
+    "streaming_late": f"""{WITH_INPUTS}, bronze AS (
+        SELECT b.* FROM ({BRONZE}) b, range(2) r
+        WHERE event_time >= (SELECT date_trunc('second', min(ts)) FROM events
+                WHERE ts > TIMESTAMP '2024-01-10 00:20:00')
+            AND (r.range = 0 OR event_time > (SELECT date_trunc('second', max(ts)) FROM events
+                WHERE ts <= TIMESTAMP '{CUT}'))
+        ) {SILVER}
+    """,
+    "suite_stored_table": _suite_stored_table(),
 }

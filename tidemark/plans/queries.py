@@ -2,21 +2,24 @@
 
 from __future__ import annotations
 
+import contextlib
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark import schemas
 from tidemark.functions import scalars
 from tidemark.operators import increment
 from tidemark.operators.aggregate import (
     hourly_aggregate,
-    rows_of_touched_hours,
+    only_touched,
     touched_hours,
+    with_hour,
 )
 from tidemark.operators.enrich import dictionary_lookup
-from tidemark.operators.expectations import BETWEEN, Expectation
-from tidemark.operators.suite import Suite, failures, offenders, statistics, validate
+from tidemark.operators.suite import RESULTS, Suite, failures, statistics, validate
 from tidemark.operators.upsert import ABSENT, upsert
 from tidemark.plans import reports, store
 from tidemark.plans.observations import (
@@ -31,7 +34,7 @@ from tidemark.plans.observations import (
 from tidemark.plans.refresh import CUMULATIVE, INCREMENT, Refresh
 from tidemark.plans.store import Layout
 from tidemark.plans.suites import bronze_suite, silver_suite
-from tidemark.shared import fresh_folder
+from tidemark.shared import fresh_folder, small_frame, write_text
 from tidemark.sources import runlog, tables
 from tidemark.sources.payloads import typed_batch
 from tidemark.streaming.refresh import read_payload_stream, start_refresh
@@ -44,19 +47,14 @@ QUERIES: dict[str, Query] = {}
 
 
 def register(query: Query) -> Query:
-    """Register under the function's name less ``_query``; sessions are set to UTC."""
-
-    def in_utc(spark: SparkSession, sf_dir: str) -> DataFrame:
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
-        return query(spark, sf_dir)
-
-    QUERIES[query.__name__.removesuffix("_query")] = in_utc
+    """Register under the function's name less ``_query``."""
+    QUERIES[query.__name__.removesuffix("_query")] = query
     return query
 
 
 def ntz(*names: str) -> dict:
-    """Zone-less copies of UTC timestamps, the type the given tables use."""
-    return {name: F.col(name).cast("timestamp_ntz") for name in names}
+    """Instants as zone-less UTC times, the type the given tables use."""
+    return {name: scalars.utc(F.col(name)) for name in names}
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -136,11 +134,11 @@ def partition_columns(spark, sf_dir):
 
 
 def customer_countries(spark, sf_dir, default):
-    names = table(spark, sf_dir, "nation").filter("n_regionkey < 3")
-    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    return dictionary_lookup(
-        customer, "c_nationkey", names, "n_nationkey", "n_name", "country", default
-    )
+    """Codes go up to 26 and the dictionary to 24, so that some are not listed."""
+    code = (F.col("c_custkey") % 27).cast("int").alias("code")
+    customer = table(spark, sf_dir, "customer").select("c_custkey", code)
+    names = table(spark, sf_dir, "nation")
+    return dictionary_lookup(customer, "code", names, "n_nationkey", "n_name", "country", default)
 
 
 @register
@@ -185,11 +183,17 @@ def incremental_filter(spark, sf_dir):
 
 @register
 def initial_load(spark, sf_dir):
+    """Two loads of the same table: the first finds no table, only what a write that never
+    ended has left, and loads all it has; the second finds one and loads what is above."""
     path = fresh_folder(spark, "initial")
-    mark = CUT if tables.table_exists(spark, path) else None
-    batch = increment.above_mark(events(spark, sf_dir), "ts", mark)
-    batch.write.mode("overwrite").parquet(path)
-    return tables.read_table(spark, path, batch.schema)
+    rows = events(spark, sf_dir)
+    write_text(spark, f"{path}/_temporary/0/left", "")
+    for batch in (increment.late_rows(rows, "ts", CUT), rows):
+        exists = tables.table_exists(spark, path)
+        mark = tables.read_table(spark, path, rows.schema).agg(F.max("ts")).first()[0] if exists else None
+        new = increment.above_mark(batch, "ts", mark)
+        new.write.mode("append" if exists else "overwrite").parquet(path)
+    return tables.read_table(spark, path, rows.schema)
 
 
 @register
@@ -288,10 +292,10 @@ def incremental_refresh(spark, sf_dir):
     mark = "2024-01-20 00:30:00"
     silver = hourly_events(increment.late_rows(rows, "ts", mark), exact_digits=2)
     touched = touched_hours(increment.above_mark(rows, "ts", mark), "event_type", "ts")
-    again = rows_of_touched_hours(rows, touched, "event_type", "ts")
+    again = only_touched(hourly_events(rows, exact_digits=2), touched, "event_type")
     return upsert(
         silver,
-        hourly_events(again, exact_digits=2),
+        again,
         keys=("event_type", "hour_start"),
         update_columns=("avg_temperature", "max_temperature", "record_count"),
         null_keys=ABSENT,
@@ -396,7 +400,9 @@ def expect_compound_unique(spark, sf_dir):
     return suite.evaluate(events(spark, sf_dir)).select("seq", *VERDICT, *COUNTS)
 
 
-SUITE_OUTPUT = ("seq", *VERDICT, "column", *COUNTS, "unexpected_percent", "raised_exception")
+SUITE_OUTPUT = (
+    "seq", *VERDICT, "column", "observed_value", *COUNTS, "unexpected_percent", "raised_exception",
+)
 
 
 @register
@@ -406,10 +412,28 @@ def suite_bronze(spark, sf_dir):
 
 @register
 def suite_silver(spark, sf_dir):
-    """The aggregate is stored first: its three groupings must not parse payloads thrice."""
-    path = f"{fresh_folder(spark, 'suite')}/silver"
     silver = hourly_aggregate(bronze(spark, sf_dir), exact_digits=2)
-    return silver_suite().evaluate(store.stage_updates(spark, path, silver)).select(*SUITE_OUTPUT)
+    return silver_suite().evaluate(silver).select(*SUITE_OUTPUT)
+
+
+@register
+def suite_stored_table(spark, sf_dir):
+    """A stored table that lacks a column and has another instead: the files decide."""
+    path = fresh_folder(spark, "stored")
+    stored = events(spark, sf_dir).withColumn("note", F.lit("x")).drop("user_id")
+    stored.write.parquet(path)
+    suite = (
+        Suite()
+        .expect_table_column_count_to_equal(6)
+        .expect_table_columns_to_match_ordered_list(EVENT_COLUMNS)
+        .expect_column_to_exist("user_id")
+        .expect_column_values_to_not_be_null("user_id")
+        .expect_column_values_to_be_of_type("user_id", "LongType")
+        .expect_column_to_exist("value")
+        .expect_column_values_to_be_of_type("value", "DoubleType")
+        .expect_column_values_to_not_be_null("value")
+    )
+    return suite.evaluate(spark.read.parquet(path)).select(*SUITE_OUTPUT)
 
 
 def events_suite() -> Suite:
@@ -446,12 +470,39 @@ def validation_failures(spark, sf_dir):
     return failures(events_results(spark, sf_dir)).select("seq", "expectation_type", "column")
 
 
+LISTED = "seq int, place int, value string"
+
+
+def listed(spark, lists: dict[int, list]) -> DataFrame:
+    rows = [
+        (seq, place, value if isinstance(value, str) else json.dumps(value))
+        for seq, values in lists.items()
+        for place, value in enumerate(values)
+    ]
+    return small_frame(spark, rows, schemas.flat(LISTED))
+
+
 @register
 def validation_offenders(spark, sf_dir):
-    """The bounded sample of offending values, largest first."""
-    rule = Expectation(BETWEEN, {"column": "value", **VALUE_RANGE})
-    found = offenders(events(spark, sf_dir), rule).select("event_id", "value")
-    return found.orderBy(F.desc("value"), "event_id").limit(20)
+    """The bounded lists of a report: the smallest unexpected values of each failed check."""
+    report = validate(stamped_events(spark, sf_dir), events_suite(), "Events", "run-1")
+    row_level = {
+        row["seq"]: report.partial_lists[row["seq"]]
+        for row in report.rows
+        if row["column"] is not None and row["unexpected_count"]
+    }
+    return listed(spark, row_level)
+
+
+@register
+def validation_cumulative(spark, sf_dir):
+    """Counts and lists of the bronze table after two runs, of which the second reads only
+    its own slice."""
+    job = refresh_job(spark, sf_dir, fresh_folder(spark, "cumulative"), CUMULATIVE)
+    report = [job.run(spark, batch) for batch in batches(spark, sf_dir, CUT)][-1].bronze_report
+    results = small_frame(spark, report.rows, RESULTS)
+    found = listed(spark, report.partial_lists).join(results, "seq")
+    return found.select("expectation_type", "column", *COUNTS, "place", "value")
 
 
 @register
@@ -533,28 +584,110 @@ def refresh_job(spark, sf_dir, folder: str, scope: str) -> Refresh:
     )
 
 
+def batches(spark, sf_dir, *cuts: str) -> list[DataFrame]:
+    """The landed payloads in parts, up to each cut and after the last."""
+    landed = payloads(spark, sf_dir)
+    parts, low = [], None
+    for cut in (*cuts, None):
+        part = increment.above_mark(landed, "ts", low)
+        parts.append((part if cut is None else increment.late_rows(part, "ts", cut)))
+        low = cut
+    return [part.select("city", "payload") for part in parts]
+
+
+class Stopping(Refresh):
+    """A job that is stopped after silver and before its mark."""
+
+    def _end(self, spark, summary):
+        raise InterruptedError("stopped before the mark")
+
+
+def interrupted_job(spark, sf_dir) -> Refresh:
+    """Three runs over three batches, of which the second was stopped before its mark."""
+    job = refresh_job(spark, sf_dir, fresh_folder(spark, "interrupted"), CUMULATIVE)
+    first, second, third = batches(spark, sf_dir, "2024-01-10 00:20:00", CUT)
+    job.run(spark, first)
+    with contextlib.suppress(InterruptedError):
+        Stopping(**vars(job)).run(spark, second)
+    job.run(spark, third)
+    return job
+
+
 @register
 def end_to_end_refresh(spark, sf_dir):
     """Two scheduled runs from an empty root; silver holds the whole table."""
     job = refresh_job(spark, sf_dir, fresh_folder(spark, "refresh"), CUMULATIVE)
-    landed = payloads(spark, sf_dir)
-    for batch in (
-        increment.late_rows(landed, "ts", CUT),
-        increment.above_mark(landed, "ts", CUT),
-    ):
-        job.run(spark, batch.select("city", "payload"))
+    for batch in batches(spark, sf_dir, CUT):
+        job.run(spark, batch)
     silver = store.read_silver(spark, job.layout.silver)
     return silver.withColumns(ntz("hour_start", "hour_end"))
 
 
+@register
+def interrupted_refresh(spark, sf_dir):
+    """Silver after a run was stopped and the next batch came, beside the hours of bronze."""
+    job = interrupted_job(spark, sf_dir)
+    stored = with_hour(store.read_bronze(spark, job.layout), "event_time")
+    stored = stored.groupBy("city", "hour_start").agg(F.count(F.lit(1)).alias("bronze_rows"))
+    silver = store.read_silver(spark, job.layout.silver)
+    joined = silver.join(stored, ["city", "hour_start"], "full")
+    return joined.withColumns(ntz("hour_start", "hour_end"))
+
+
+@register
+def runlog_events(spark, sf_dir):
+    """What those runs logged, less the names of their slices."""
+    job = interrupted_job(spark, sf_dir)
+    message = F.regexp_replace("message", "run-[0-9]+-[0-9a-f]+", "of a run")
+    logged = runlog.read_events(spark, job.layout.runlog)
+    return logged.select("level", message.alias("message"))
+
+
+@register
+def quarantine(spark, sf_dir):
+    """Payloads that were rejected, as they came, and why."""
+    kind, number = F.col("event_type"), F.col("event_id").cast("string")
+    broken = events(spark, sf_dir).filter(kind.isin("error", "view")).select(
+        F.when(kind == "error", F.lit("Sydney")).alias("city"),
+        F.concat(F.lit("no document, "), number).alias("payload"),
+    )
+    job = refresh_job(spark, sf_dir, fresh_folder(spark, "quarantine"), INCREMENT)
+    for batch in batches(spark, sf_dir, CUT):
+        job.run(spark, batch.unionByName(broken))
+    return store.read_rejected(spark, job.layout).drop("slice")
+
+
+def land(spark, batch: DataFrame, path: str) -> None:
+    batch.select("payload", "city").write.partitionBy("city").mode("append").text(path)
+
+
+def streamed(spark, job: Refresh, folder: str, **options) -> None:
+    stream = read_payload_stream(spark, f"{folder}/landed", max_files_per_trigger=1000)
+    start_refresh(job, stream, f"{folder}/checkpoint", **options).awaitTermination()
+
+
 @register
 def streaming_refresh(spark, sf_dir):
     """The same silver table from a stream over landed files."""
     folder = fresh_folder(spark, "stream")
-    landed = payloads(spark, sf_dir).select("payload", "city")
-    landed.write.partitionBy("city").text(f"{folder}/landed")
+    land(spark, payloads(spark, sf_dir), f"{folder}/landed")
     job = refresh_job(spark, sf_dir, f"{folder}/tables", INCREMENT)
-    stream = read_payload_stream(spark, f"{folder}/landed", max_files_per_trigger=1000)
-    start_refresh(job, stream, f"{folder}/checkpoint").awaitTermination()
+    streamed(spark, job, folder)
+    silver = store.read_silver(spark, job.layout.silver)
+    return silver.withColumns(ntz("hour_start", "hour_end"))
+
+
+@register
+def streaming_late(spark, sf_dir):
+    """A stream that starts with the middle of the table and drops late rows from its second
+    batch on; a scheduled run on the same root in between has a mark of its own."""
+    folder = fresh_folder(spark, "late")
+    early, middle, last = batches(spark, sf_dir, "2024-01-10 00:20:00", CUT)
+    job = refresh_job(spark, sf_dir, f"{folder}/tables", INCREMENT)
+    land(spark, middle, f"{folder}/landed")
+    streamed(spark, job, folder)
+    job.run(spark, last)
+    land(spark, early.unionByName(last), f"{folder}/landed")
+    streamed(spark, job, folder, drop_late=True)
     silver = store.read_silver(spark, job.layout.silver)
     return silver.withColumns(ntz("hour_start", "hour_end"))

@@ -2,28 +2,26 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, replace
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.aggregate import (
-    hourly_aggregate,
-    rows_of_touched_hours,
-    touched_hours,
-)
+from tidemark.operators.aggregate import hourly_aggregate, only_touched, touched_hours
 from tidemark.operators.enrich import to_bronze
 from tidemark.operators.suite import Suite, ValidationFailed, ValidationReport, validate
 from tidemark.plans import reports, store
-from tidemark.plans.store import Layout
+from tidemark.plans.store import STARTED, WRITTEN, Layout
 from tidemark.sources.payloads import flatten_payloads
 from tidemark.sources.runlog import append_events
 
 # What a run validates. TABLE: both tables whole, after the merge. INCREMENT: the
-# new slice and the refreshed hours, before the merge. CUMULATIVE: as TABLE, but
-# the counts of the new slice are added to those of the previous run's report, so
-# bronze is not scanned again.
+# new slice and the refreshed hours, before the merge. CUMULATIVE: as TABLE, but only
+# what is new is read: the counts of the new slice are added to those of the previous
+# run's report, and silver is counted again for the rewritten dates alone.
 TABLE, INCREMENT, CUMULATIVE = "table", "increment", "cumulative"
 
 
@@ -33,6 +31,8 @@ class RunSummary:
     old_mark: str | None
     new_mark: str | None
     accepted_rows: int
+    rejected_rows: int = 0
+    late_rows: int = 0
     bronze_report: ValidationReport | None = None
     silver_report: ValidationReport | None = None
 
@@ -57,121 +57,180 @@ class Refresh:
     keep_log: bool = True
 
     def bronze_rows(self, payloads: DataFrame) -> DataFrame:
-        return to_bronze(flatten_payloads(payloads, self.as_of), self.countries)
-
-    def new_rows(self, payloads: DataFrame, mark: str | None) -> DataFrame:
-        """Bronze rows above the mark, and those without a time, for the quarantine."""
-        rows = self.bronze_rows(payloads)
-        if mark is None:
-            return rows
-        return rows.filter((F.col("timestamp") > F.lit(mark)) | F.col("timestamp").isNull())
+        """Bronze rows of ``(city, payload)`` rows, each with its ``payload``."""
+        inputs = flatten_payloads(payloads, self.as_of, keep_payload=True)
+        return to_bronze(inputs, self.countries, keep=("payload",))
 
     def run(self, spark: SparkSession, payloads: DataFrame) -> RunSummary:
         """One scheduled run over a batch of ``(city, payload)`` rows.
 
-        The mark moves last, after bronze and silver hold the increment. A run
-        that stops anywhere before that is repeated whole: it finds the same
-        generation, replaces its own slice and merges the same hours again.
+        The mark moves last, after bronze and silver hold the increment. What a run that
+        stopped earlier has written is finished first, and nothing of it is ever replaced
+        by another batch.
         """
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        with self.logged(spark):
+            self.recover(spark)
+            generation = store.latest_generation(spark, self.layout)
+            mark = store.read_mark(spark, self.layout, self.table_name, generation)
+            previous = store.read_source(spark, self.layout, self.table_name).get("slice")
+            name = store.new_slice(generation)
+            summary = self.apply(spark, payloads, name, mark, previous, self.table_name)
+            self._end(spark, summary)
+            return summary
+
+    def recover(self, spark: SparkSession) -> None:
+        """Finish the slices of runs of this job that stopped: remove what was not written
+        whole, merge what was, and move the mark. Nothing is gated on it again."""
+        for name, facts in store.pending_slices(spark, self.layout).items():
+            if facts["source"] != self.table_name:
+                continue
+            if facts["state"] == STARTED:
+                store.remove_slice(spark, self.layout, name)
+                store.forget_pending(spark, self.layout, name)
+                continue
+            ungated = replace(self, on_failure="report")
+            summary = ungated.finish(spark, name, facts["mark"], facts["previous"], facts)
+            self._end(spark, summary)
+
+    def _end(self, spark: SparkSession, summary: RunSummary) -> None:
         generation = store.latest_generation(spark, self.layout)
-        mark = store.read_mark(spark, self.layout, self.table_name, generation)
-        previous = str(generation - 1) if generation else None
-        increment = self.new_rows(payloads, mark)
-        summary = self.apply(spark, increment, str(generation), mark, previous)
         store.write_mark(spark, self.layout, self.table_name, summary.new_mark, generation)
-        return summary
+        store.write_source(spark, self.layout, self.table_name, slice=summary.slice_name)
+        store.forget_pending(spark, self.layout, summary.slice_name)
+
+    @contextmanager
+    def logged(self, spark: SparkSession) -> Iterator[None]:
+        """Every failure leaves an ERROR event before it goes on."""
+        try:
+            yield
+        except Exception as problem:
+            if self.keep_log:
+                line = str(problem).split("\n", 1)[0]
+                event = ("ERROR", f"run stopped by {type(problem).__name__}: {line}")
+                append_events(spark, self.layout.runlog, [event])
+            raise
 
     def apply(
         self,
         spark: SparkSession,
-        increment: DataFrame,
+        payloads: DataFrame,
         slice_name: str,
-        mark: str | None = None,
-        previous_slice: str | None = None,
+        mark: str | None,
+        previous_slice: str | None,
+        source: str,
     ) -> RunSummary:
-        """Append an increment to bronze and refresh the hours it touches.
+        """Append the rows of ``payloads`` above ``mark`` (and those without a time, for the
+        quarantine) to bronze and refresh the hours they touch.
 
-        Bronze rows are evaluated once, by the write; everything after reads
-        the written slice. ``previous_slice`` names the run just before this one.
+        Payloads are evaluated once, by the write, which also counts the rows that it leaves
+        out; everything after reads the written slice. ``previous_slice`` names the slice of
+        the run just before this one.
         """
         layout = self.layout
-        store.write_slice(increment, layout, slice_name)
+        facts = {"source": source, "mark": mark, "previous": previous_slice}
+        store.set_pending(spark, layout, slice_name, state=STARTED, **facts)
+        late = F.lit(False) if mark is None else F.col("timestamp") <= F.lit(mark)
+        seen, counted = Observation(), F.count_if(late).alias("late")
+        all_rows = self.bronze_rows(payloads)
+        rows = all_rows.observe(seen, counted)
+        if mark is not None:
+            rows = rows.filter(~F.coalesce(late, F.lit(False)))
+        store.write_slice(rows, layout, slice_name)
+        if store.holds_rows(spark, layout, slice_name):
+            facts["late"] = seen.get["late"]
+        else:  # a write that turns out to be empty observes nothing
+            facts["late"] = all_rows.agg(counted).first()[0]
+        store.set_pending(spark, layout, slice_name, state=WRITTEN, **facts)
+        return self.finish(spark, slice_name, mark, previous_slice, facts)
+
+    def finish(
+        self,
+        spark: SparkSession,
+        slice_name: str,
+        mark: str | None,
+        previous_slice: str | None,
+        facts: dict,
+    ) -> RunSummary:
+        """Validate a written slice and merge the hours it touches; may be repeated."""
+        layout = self.layout
         written = store.read_slice(spark, layout, slice_name)
-        measured = written.agg(
-            F.min("timestamp").alias("first"),
-            F.max("timestamp").alias("last"),
-            F.count(F.lit(1)).alias("rows"),
-        ).first()
-        summary = RunSummary(slice_name, mark, measured["last"] or mark, measured["rows"])
-        events = [("INFO", f"slice {slice_name}: {measured['rows']} rows appended")]
-        if self.bronze_suite is not None:
-            summary.bronze_report = self._validate_bronze(
-                spark, written, slice_name, previous_slice
-            )
-        if measured["rows"]:
-            updates = store.stage_updates(
-                spark,
-                layout.silver,
-                self._touched_aggregate(
-                    spark, written, slice_name, measured["first"], measured["last"]
-                ),
+        newest, n_rows = written.agg(F.max("timestamp"), F.count(F.lit(1))).first()
+        new_mark = newest if mark is None or (newest or "") > mark else mark
+        rejected = store.read_rejected(spark, layout, slice_name).count()
+        summary = RunSummary(slice_name, mark, new_mark, n_rows, rejected, facts["late"])
+        events = [
+            (
+                "INFO",
+                f"slice {slice_name}: {n_rows} rows stored, {summary.rejected_rows} rejected, "
+                f"{summary.late_rows} late",
             )
+        ]
+        if self.bronze_suite is not None:
+            summary.bronze_report = self._validate_bronze(spark, slice_name, previous_slice)
+        if n_rows:
+            fresh = self._touched_aggregate(spark, written, slice_name)
+            updates = store.stage_updates(spark, layout.silver, fresh)
             if self.silver_suite is not None and self.scope == INCREMENT:
-                summary.silver_report = self._validate_silver(spark, updates, slice_name)
+                report = validate(updates, self.silver_suite, "Silver", slice_name)
+                summary.silver_report = self._report(spark, report)
             store.merge_staged(spark, layout.silver)
-            events.append(("INFO", f"silver refreshed, mark {summary.new_mark}"))
+            events.append(("INFO", f"silver refreshed up to {summary.new_mark}"))
             if self.silver_suite is not None and self.scope != INCREMENT:
-                silver = store.read_silver(spark, layout.silver)
-                summary.silver_report = self._validate_silver(spark, silver, slice_name)
+                summary.silver_report = self._validate_silver(spark, slice_name)
         else:
-            events.append(("INFO", "Latest watermark is empty."))
+            events.append(("INFO", "no new rows, the mark stays"))
         if self.keep_log:
             for report in (summary.bronze_report, summary.silver_report):
                 if report is not None and not report.success:
                     failed = ", ".join(report.failed_types)
-                    events.append(("ERROR", f"{report.layer} validation failed: {failed}"))
+                    events.append(("ERROR", f"checks of {report.layer} failed: {failed}"))
             append_events(spark, layout.runlog, events)
         return summary
 
     def _touched_aggregate(
-        self, spark: SparkSession, written: DataFrame, slice_name: str, first: str, last: str
+        self, spark: SparkSession, written: DataFrame, slice_name: str
     ) -> DataFrame:
         """Aggregate of every bronze row in a touched hour.
 
-        Three nested restrictions keep the read small: only folders of touched
-        months are listed, the time range skips row groups, the semi join is
-        exact.
+        Only folders of touched dates are read, and rows are aggregated before they meet
+        the touched hours, so what is shuffled and joined is hours.
         """
-        bronze = store.read_months_of_slice(spark, self.layout, slice_name)
-        bronze = bronze.filter(store.within_hours(first, last))
-        rows = rows_of_touched_hours(bronze, touched_hours(written))
-        return hourly_aggregate(rows, exact_digits=self.exact_digits)
+        bronze = store.read_dates_of_slice(spark, self.layout, slice_name)
+        hours = hourly_aggregate(bronze, exact_digits=self.exact_digits)
+        return only_touched(hours, touched_hours(written))
 
     def _validate_bronze(
-        self, spark: SparkSession, written: DataFrame, slice_name: str, previous: str | None
+        self, spark: SparkSession, slice_name: str, previous: str | None
     ) -> ValidationReport:
+        suite = self.bronze_suite
         if self.scope == TABLE:
-            table = store.read_bronze(spark, self.layout)
-            return self._report(spark, validate(table, self.bronze_suite, "Bronze", slice_name))
-        own = validate(written, self.bronze_suite, "Bronze_slice", slice_name)
+            table = store.as_stored(spark, self.layout)
+            return self._report(spark, validate(table, suite, "Bronze", slice_name))
+        stored = store.as_stored(spark, self.layout, slice_name)
+        own = validate(stored, suite, "Bronze_slice", slice_name)
         reports.write_report(spark, own, self.layout.reports)
         if self.scope == INCREMENT:
             return self._checked(own)
         if previous is None and store.holds_only(spark, self.layout, slice_name):
             return self._report(spark, replace(own, layer="Bronze"))
         combined = reports.combined_report(
-            spark, self.layout.reports, own, previous, self.bronze_suite, "Bronze"
+            spark, self.layout.reports, own, previous, suite, "Bronze"
         )
         if combined is None:
-            table = store.read_bronze(spark, self.layout)
-            combined = validate(table, self.bronze_suite, "Bronze", slice_name)
+            table = store.as_stored(spark, self.layout)
+            combined = validate(table, suite, "Bronze", slice_name)
         return self._report(spark, combined)
 
-    def _validate_silver(
-        self, spark: SparkSession, table: DataFrame, slice_name: str
-    ) -> ValidationReport:
-        return self._report(spark, validate(table, self.silver_suite, "Silver", slice_name))
+    def _validate_silver(self, spark: SparkSession, slice_name: str) -> ValidationReport:
+        suite, path = self.silver_suite, self.layout.silver
+        if self.scope == TABLE:
+            table = store.read_silver(spark, path)
+            return self._report(spark, validate(table, suite, "Silver", slice_name))
+        known = reports.known_parts(spark, self.layout.reports, suite)
+        dates = store.read_changed_dates(spark, path, known)
+        reports.write_parts(spark, dates, store.SILVER_PARTITION, suite, self.layout.reports)
+        report = reports.report_of_parts(spark, self.layout.reports, suite, "Silver", slice_name)
+        return self._report(spark, report)
 
     def _report(self, spark: SparkSession, report: ValidationReport) -> ValidationReport:
         reports.write_report(spark, report, self.layout.reports)

@@ -6,21 +6,27 @@ its statistics and its failed checks, are views over the stored results.
 
 from __future__ import annotations
 
+import hashlib
 import json
+from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.scalars import utc
 from tidemark.operators.suite import (
     RESULTS,
     Suite,
     ValidationReport,
     combine,
     failures,
+    list_of,
+    merge_lists,
+    partial_lists,
     statistics_columns,
 )
-from tidemark.shared import is_complete, small_frame
+from tidemark.shared import child_names, is_complete, small_frame
 
 STORED = (
     T.StructType(list(RESULTS.fields))
@@ -32,17 +38,22 @@ STORED = (
 
 def results_frame(spark: SparkSession, report: ValidationReport) -> DataFrame:
     """The rows of a report, one per expectation, with the run they belong to."""
-    offending = {
-        seq: [None if v is None else str(v) for v in values]
-        for seq, values in report.partial_lists.items()
-    }
     rows = [
-        (*row, offending.get(row["seq"], []), report.suite_name, report.run_time)
+        (*row, _encoded(report.partial_lists.get(row["seq"], [])), report.suite_name, report.run_time)
         for row in report.rows
     ]
     return small_frame(spark, rows, STORED)
 
 
+def _encoded(values: list) -> list:
+    """Unexpected values as JSON texts, a missing one as NULL."""
+    return [None if v is None else json.dumps(v, default=str) for v in values]
+
+
+def _decoded(values: list) -> list:
+    return [None if v is None else json.loads(v) for v in values]
+
+
 def _safe(text: str) -> str:
     """A value that needs no escaping in a partition folder."""
     return "".join(c if c.isalnum() or c in "-_" else "-" for c in text)
@@ -85,21 +96,91 @@ def combined_report(
     folder = _folder(path, previous_run, layer)
     if not is_complete(spark, folder):
         return None
-    before = spark.read.schema(STORED).parquet(folder).select(*RESULTS.names)
+    before = spark.read.schema(STORED).parquet(folder)
+    stored = before.select("seq", "kwargs", "expectation_type", "partial_unexpected_list").collect()
     checks = {(row["seq"], row["kwargs"], row["expectation_type"]) for row in newest.rows}
-    if {tuple(row) for row in before.select("seq", "kwargs", "expectation_type").collect()} != checks:
+    if {tuple(row)[:3] for row in stored} != checks:
         return None
-    rows = combine(before.unionByName(small_frame(spark, newest.rows, RESULTS)))
-    return ValidationReport(
-        rows.orderBy("seq").collect(),
-        newest.partial_lists,
-        suite.name,
-        layer,
-        newest.run_id,
-        newest.run_time,
+    lists: dict[int, list[list]] = {
+        row["seq"]: [_decoded(row["partial_unexpected_list"])] for row in stored
+    }
+    for seq, values in newest.partial_lists.items():
+        lists[seq].append(values)
+    parts = before.select(*RESULTS.names).unionByName(small_frame(spark, newest.rows, RESULTS))
+    return _report_of(combine(parts), lists, suite, layer, newest.run_id, newest.run_time)
+
+
+def _report_of(
+    combined: DataFrame,
+    lists: dict[int, list[list]],
+    suite: Suite,
+    layer: str,
+    run_id: str,
+    run_time: datetime,
+) -> ValidationReport:
+    rows = combined.orderBy("seq").collect()
+    merged = {
+        row["seq"]: merge_lists(lists.get(row["seq"], [])) for row in rows if row["unexpected_count"]
+    }
+    return ValidationReport(rows, merged, suite.name, layer, run_id, run_time)
+
+
+# --- results by part of a table -------------------------------------------------
+
+
+def _parts_folder(path: str, suite: Suite) -> str:
+    """Parts belong to the very checks that made them."""
+    checks = json.dumps([[e.expectation_type, e.kwargs_json] for e in suite.ordered()])
+    return f"{path}/parts/suite={hashlib.sha256(checks.encode()).hexdigest()[:16]}"
+
+
+def known_parts(spark: SparkSession, path: str, suite: Suite) -> set[str]:
+    """Folder names, ``group=value``, of the parts whose results are stored."""
+    return {name for name in child_names(spark, _parts_folder(path, suite)) if "=" in name}
+
+
+def write_parts(
+    spark: SparkSession, rows: DataFrame, group: str, suite: Suite, path: str
+) -> None:
+    """Store the results of a suite for each value of ``group`` in ``rows``, replacing the
+    stored results of just those. They are as many as parts times checks."""
+    expectations = suite.ordered()
+    results: list[Row] = suite.evaluate_by(rows, group).collect()
+    wrong = [row for row in results if row["unexpected_count"]]
+    failed = [(seq, expectations[seq]) for seq in sorted({row["seq"] for row in wrong})]
+    lists = partial_lists(rows, failed, group=group)
+    now = datetime.now(timezone.utc)
+    stored = []
+    for row in results:
+        part = str(row[group])
+        own = _encoded(list_of(row, lists, part)) if row["unexpected_count"] else []
+        values = [row[name] for name in RESULTS.names]
+        stored.append((*values, own, suite.name, now, part))
+    if not stored:
+        return
+    (
+        small_frame(spark, stored, T.StructType(list(STORED.fields)).add(group, "string"))
+        .repartition(group)
+        .write.option("partitionOverwriteMode", "dynamic")
+        .partitionBy(group)
+        .mode("overwrite")
+        .parquet(_parts_folder(path, suite))
     )
 
 
+def report_of_parts(
+    spark: SparkSession, path: str, suite: Suite, layer: str, run_id: str
+) -> ValidationReport:
+    """The report on a whole table from the stored results of its parts. No key of a
+    compound check may be in two parts."""
+    parts = spark.read.schema(STORED).parquet(_parts_folder(path, suite))
+    lists: dict[int, list[list]] = {}
+    for row in parts.filter("unexpected_count > 0").select("seq", "partial_unexpected_list").collect():
+        lists.setdefault(row["seq"], []).append(_decoded(row["partial_unexpected_list"]))
+    combined = combine(parts.select(*RESULTS.names))
+    return _report_of(combined, lists, suite, layer, run_id, datetime.now(timezone.utc))
+
+
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
     """Statistics per run and layer."""
     grouped = read_results(spark, path).groupBy("run_id", "layer", "suite_name", "run_time")
@@ -127,16 +208,21 @@ def read_summaries(spark: SparkSession, path: str) -> DataFrame:
     )
     grouped = read_results(spark, path).groupBy("run_id", "layer", "run_time")
     runs = grouped.agg(*statistics_columns(), failed.alias("failed"))
-    none = F.lit("All expectations passed successfully.")
+    none = F.lit("no check failed")
     lines = F.concat_ws(
         "\n",
-        F.concat("layer", F.lit(" Layer Validation")),
-        F.concat(F.lit("Validation Run: "), F.date_format("run_time", "yyyy-MM-dd HH:mm:ss")),
-        F.concat(F.lit("Success: "), F.col("success_percent").cast("string"), F.lit("%")),
-        F.concat(F.lit("Total Expectations: "), F.col("evaluated_expectations").cast("string")),
-        F.concat(F.lit("Passed: "), F.col("successful_expectations").cast("string")),
-        F.concat(F.lit("Failed: "), F.col("unsuccessful_expectations").cast("string")),
-        F.concat("layer", F.lit(" Failed Expectations")),
+        F.concat(F.lit("checks of "), "layer"),
+        F.concat(F.lit("at "), utc(F.col("run_time")).cast("string")),
+        F.concat(
+            F.col("successful_expectations").cast("string"),
+            F.lit(" of "),
+            F.col("evaluated_expectations").cast("string"),
+            F.lit(" passed, "),
+            F.col("unsuccessful_expectations").cast("string"),
+            F.lit(" failed ("),
+            F.col("success_percent").cast("string"),
+            F.lit("%)"),
+        ),
         F.when(F.size("failed") == 0, none).otherwise(F.array_join("failed", "\n")),
     )
     return runs.select("run_id", "layer", "run_time", lines.alias("summary"))

@@ -1,13 +1,17 @@
 """The tables of one pipeline below one root folder, written so that runs can be repeated.
 
-Bronze is partitioned by year and month, then by acceptance (rows without a key
-or an event time are kept, but apart) and by slice. A slice is one increment. It
-belongs to the generation of the control table it started from, and a run that
-is repeated before that generation ended replaces its own slice.
+Bronze is partitioned by the UTC date of the event, then by acceptance (rows without a key
+or an event time are kept apart, with their raw payload and the reason) and by slice. A
+slice is one increment and has a name of its own that no other batch ever uses.
 
-The control table keeps one small file per generation; the newest one counts.
+A slice is pending from before its write until its mark has moved. What an interrupted
+run left behind is found there: a slice that was not written whole is removed, one that
+was is finished before anything new begins.
 
-Silver is partitioned by date. An upsert reads and rewrites only the dates it
+The control table keeps one small file per generation; the newest one counts, and all but
+the last few are removed.
+
+Silver is partitioned by UTC date. An upsert reads and rewrites only the dates it
 touches. There is one writer at a time.
 
 Folder names tell which partitions a slice or an update touches, so the tables
@@ -16,15 +20,18 @@ are never listed whole to find them.
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import schemas
-from tidemark.operators.enrich import is_acceptable
+from tidemark.functions.scalars import utc
+from tidemark.operators.enrich import rejection
 from tidemark.operators.increment import advance_control, lookup_mark
 from tidemark.operators.upsert import ABSENT, upsert
 from tidemark.shared import (
@@ -33,7 +40,9 @@ from tidemark.shared import (
     is_complete,
     matching_paths,
     path_exists,
+    read_text,
     small_frame,
+    write_text,
 )
 
 
@@ -57,6 +66,11 @@ class Layout:
     def reports(self) -> str:
         return f"{self.root}/reports"
 
+    @property
+    def state(self) -> str:
+        """Pending slices and the last slice of each source."""
+        return f"{self.root}/state"
+
     @property
     def runlog(self) -> str:
         return f"{self.root}/runlog"
@@ -72,9 +86,46 @@ def _read_folders(
     return reader.parquet(*folders)
 
 
+# --- slices in progress ------------------------------------------------------
+
+STARTED, WRITTEN = "started", "written"
+
+
+def new_slice(generation: int) -> str:
+    """A name that no other batch has, in the order of runs."""
+    return f"run-{generation:08d}-{uuid.uuid4().hex[:8]}"
+
+
+def set_pending(spark: SparkSession, layout: Layout, name: str, **facts) -> None:
+    write_text(spark, f"{layout.state}/pending/{name}.json", json.dumps(facts))
+
+
+def forget_pending(spark: SparkSession, layout: Layout, name: str) -> None:
+    delete_path(spark, f"{layout.state}/pending/{name}.json")
+
+
+def pending_slices(spark: SparkSession, layout: Layout) -> dict[str, dict]:
+    """Slices whose run has not ended, oldest first, with what their run had noted."""
+    folder = f"{layout.state}/pending"
+    names = [n for n in child_names(spark, folder) if n.endswith(".json")]
+    return {n[: -len(".json")]: json.loads(read_text(spark, f"{folder}/{n}")) for n in names}
+
+
+def read_source(spark: SparkSession, layout: Layout, source: str) -> dict:
+    """What is known of a source after its last slice; empty before the first."""
+    return json.loads(read_text(spark, f"{layout.state}/sources/{source}.json") or "{}")
+
+
+def write_source(spark: SparkSession, layout: Layout, source: str, **facts) -> None:
+    write_text(spark, f"{layout.state}/sources/{source}.json", json.dumps(facts))
+
+
 # --- control table -----------------------------------------------------------
 
 
+KEPT_GENERATIONS = 3
+
+
 def latest_generation(spark: SparkSession, layout: Layout) -> int:
     """Number of the newest complete control file; 0 when there is none."""
     numbers = [int(name.split("=")[1]) for name in child_names(spark, layout.control)]
@@ -103,20 +154,31 @@ def write_mark(
         control = advance_control(control, table_name, mark)
     path = f"{layout.control}/generation={generation + 1}"
     control.coalesce(1).write.mode("overwrite").parquet(path)
+    for number in range(generation + 1 - KEPT_GENERATIONS, 0, -1):
+        expired = f"{layout.control}/generation={number}"
+        if not path_exists(spark, expired):
+            break
+        delete_path(spark, expired)
 
 
 # --- bronze ------------------------------------------------------------------
 
-BRONZE_PARTITIONS = ("year", "month", "accepted", "slice")
+BRONZE_PARTITIONS = ("event_date", "accepted", "slice")
 STORED_BRONZE = (
-    T.StructType(list(schemas.BRONZE.fields)).add("accepted", "boolean").add("slice", "string")
+    T.StructType(list(schemas.BRONZE.fields))
+    .add("payload", "string")
+    .add("reason", "string")
+    .add("event_date", "date")
+    .add("accepted", "boolean")
+    .add("slice", "string")
 )
+REJECTED = ("city", "payload", "reason", "slice")
 
 
 def _slice_folders(
     spark: SparkSession, layout: Layout, name: str, accepted: str = "true"
 ) -> list[str]:
-    pattern = f"{layout.bronze}/year=*/month=*/accepted={accepted}/slice={name}"
+    pattern = f"{layout.bronze}/event_date=*/accepted={accepted}/slice={name}"
     return matching_paths(spark, pattern)
 
 
@@ -125,33 +187,49 @@ def holds_only(spark: SparkSession, layout: Layout, name: str) -> bool:
     return _slice_folders(spark, layout, "*") == _slice_folders(spark, layout, name)
 
 
+def remove_slice(spark: SparkSession, layout: Layout, name: str) -> None:
+    """Remove what a write of this slice, and of no other, has left."""
+    for folder in _slice_folders(spark, layout, name, accepted="*"):
+        delete_path(spark, folder)
+
+
 def write_slice(rows: DataFrame, layout: Layout, name: str) -> None:
     """Write one increment in one pass, accepted and rejected rows side by side.
 
-    What an interrupted run left of the same slice is removed first. The
-    rebalance hint gathers a partition's rows before the write, and lets
-    adaptive execution spread a hot partition over several tasks.
+    ``rows`` are bronze rows with their ``payload``, which only rejected rows keep. The
+    rebalance hint spreads rows evenly, so that no date and no city is one task's work.
     """
-    spark = rows.sparkSession
-    for folder in _slice_folders(spark, layout, name, accepted="*"):
-        delete_path(spark, folder)
+    reason = rejection()
     (
-        rows.withColumns({"accepted": is_acceptable(), "slice": F.lit(name)})
-        .hint("rebalance", F.col("year"), F.col("month"), F.col("accepted"))
+        rows.select(
+            *schemas.BRONZE.names,
+            F.when(reason.isNotNull(), F.col("payload")).alias("payload"),
+            reason.alias("reason"),
+            F.to_date(utc(F.col("event_time"))).alias("event_date"),
+            reason.isNull().alias("accepted"),
+            F.lit(name).alias("slice"),
+        )
+        .hint("rebalance")
         .write.partitionBy(*BRONZE_PARTITIONS)
         .mode("append")
         .parquet(layout.bronze)
     )
 
 
-def read_bronze(spark: SparkSession, layout: Layout, accepted: bool = True) -> DataFrame:
+def read_bronze(spark: SparkSession, layout: Layout) -> DataFrame:
     rows = spark.read.schema(STORED_BRONZE).parquet(layout.bronze)
-    return rows.filter(F.col("accepted") == accepted).select(*schemas.BRONZE.names)
+    return rows.filter("accepted").select(*schemas.BRONZE.names)
+
+
+def holds_rows(spark: SparkSession, layout: Layout, name: str) -> bool:
+    """Whether a slice has any row, accepted or not."""
+    return bool(_slice_folders(spark, layout, name, accepted="*"))
 
 
-def read_rejected(spark: SparkSession, layout: Layout) -> DataFrame:
-    """The quarantine: rows that no hour and no key can hold."""
-    return read_bronze(spark, layout, accepted=False)
+def read_rejected(spark: SparkSession, layout: Layout, name: str = "*") -> DataFrame:
+    """The quarantine: raw payloads that no hour and no key can hold, and why."""
+    folders = _slice_folders(spark, layout, name, accepted="false")
+    return _read_folders(spark, layout.bronze, folders, STORED_BRONZE).select(*REJECTED)
 
 
 def read_slice(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
@@ -161,10 +239,21 @@ def read_slice(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
     return rows.select(*schemas.BRONZE.names)
 
 
-def read_months_of_slice(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
-    """All accepted rows of the months in which a slice has rows."""
-    months = [path.rsplit("/", 1)[0] for path in _slice_folders(spark, layout, name)]
-    rows = _read_folders(spark, layout.bronze, months, STORED_BRONZE)
+def as_stored(spark: SparkSession, layout: Layout, name: str = "*") -> DataFrame:
+    """Accepted rows under the schema that the files have, as checks of the schema need it.
+
+    Without any row there is no file to tell, and the declared schema stands in.
+    """
+    folders = _slice_folders(spark, layout, name)
+    if not folders:
+        return small_frame(spark, [], schemas.BRONZE)
+    return spark.read.parquet(*folders).drop("payload", "reason")
+
+
+def read_dates_of_slice(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
+    """All accepted rows of the dates on which a slice has rows, and of no other date."""
+    dates = [path.rsplit("/", 1)[0] for path in _slice_folders(spark, layout, name)]
+    rows = _read_folders(spark, layout.bronze, dates, STORED_BRONZE)
     return rows.select(*schemas.BRONZE.names)
 
 
@@ -182,10 +271,20 @@ def read_silver(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(STORED_SILVER).parquet(path).select(*schemas.SILVER.names)
 
 
+def read_changed_dates(spark: SparkSession, path: str, known: set[str]) -> DataFrame:
+    """The silver rows, with their date, of the dates that the staged updates touched and of
+    those not among the ``known`` folder names; under the schema that the files have."""
+    updated = set(_dates(spark, f"{path}_updates"))
+    changed = [date for date in _dates(spark, path) if date in updated or date not in known]
+    if not changed:
+        return small_frame(spark, [], STORED_SILVER)
+    return spark.read.option("basePath", path).parquet(*[f"{path}/{date}" for date in changed])
+
+
 def _write_dates(rows: DataFrame, path: str, partition_overwrite: str) -> None:
     (
-        rows.withColumn(SILVER_PARTITION, F.to_date("hour_start"))
-        .hint("rebalance", F.col(SILVER_PARTITION))
+        rows.withColumn(SILVER_PARTITION, F.to_date(utc(F.col("hour_start"))))
+        .hint("rebalance")
         .write.option("partitionOverwriteMode", partition_overwrite)
         .partitionBy(SILVER_PARTITION)
         .mode("overwrite")
@@ -254,14 +353,3 @@ def merge_into_silver(
 ) -> None:
     stage_updates(spark, path, source)
     merge_staged(spark, path, update_columns)
-
-
-def within_hours(first: str, last: str) -> Column:
-    """Bronze rows from the hour of ``first`` through the hour of ``last``.
-
-    The text column is compared, whose order is that of time: unlike the
-    timestamp column it always has statistics that let the scan skip row groups.
-    """
-    upto_hour = len("yyyy-MM-dd HH")
-    low, high = f"{first[:upto_hour]}:00:00", f"{last[:upto_hour]}:59:59"
-    return F.col("timestamp").between(low, high)

@@ -81,6 +81,29 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in files.listStatus(location))
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file written by the driver; appears whole or not at all."""
+    files, location = _file_system(spark, path)
+    draft = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}.draft-{uuid.uuid4().hex}")
+    stream = files.create(draft, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    files.delete(location, False)
+    files.rename(draft, location)
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The content of a small file; None when there is none."""
+    files, location = _file_system(spark, path)
+    if not files.exists(location):
+        return None
+    stream = files.open(location)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
 def small_frame(spark: SparkSession, rows: Iterable[tuple], schema: T.StructType) -> DataFrame:
     """A few driver-side rows as a local relation, which needs no job of its own."""
     arrow = pa.schema([(f.name, ARROW_TYPES[f.dataType.simpleString()]) for f in schema.fields])

@@ -36,15 +36,19 @@ def parsed(text: Column, schema: T.StructType | str) -> Column:
     return F.inline(F.array(F.from_json(text, schema)))
 
 
-def flatten_payloads(rows: DataFrame, as_of: datetime | str | None = None) -> DataFrame:
-    """``(city, payload)`` to the ten typed input columns.
+def flatten_payloads(
+    rows: DataFrame, as_of: datetime | str | None = None, keep_payload: bool = False
+) -> DataFrame:
+    """``(city, payload)`` to the ten typed input columns, and ``payload`` when it is kept.
 
     ``from_json`` reads an integer where a double is declared, and ``F.get``
     gives NULL for an empty ``weather`` array.
     """
-    documents = rows.select("city", parsed(F.col("payload"), schemas.PAYLOAD_DDL))
+    kept = ["payload"] if keep_payload else []
+    documents = rows.select("city", *kept, parsed(F.col("payload"), schemas.PAYLOAD_DDL))
     return documents.select(
         "city",
+        *kept,
         F.col("main.temp").alias("temperature"),
         epoch_to_string(F.col("dt")).alias("timestamp"),
         load_stamp(as_of).alias("load_time"),

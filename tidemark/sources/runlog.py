@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
-from tidemark.functions.scalars import TIMESTAMP_PATTERN
+from tidemark.functions.scalars import TIMESTAMP_PATTERN, parse_event_time, utc
 from tidemark.shared import small_frame
 from tidemark.sources.tables import table_exists
 
@@ -38,11 +38,11 @@ def parse_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     rest = F.substr(line, F.lit(LEVEL_START))
     level = F.substring_index(rest, "]", 1)
     message = F.substr(rest, F.length(level) + 3)
-    log_time = F.when(well_formed, F.try_to_timestamp(F.substring(line, 2, STAMP_LENGTH)))
+    log_time = F.when(well_formed, parse_event_time(F.substring(line, 2, STAMP_LENGTH)))
     return lines.withColumns(
         {
             "log_time": log_time,
-            "log_date": F.to_date(log_time),
+            "log_date": F.to_date(utc(log_time)),
             "level": F.when(well_formed, level),
             "message": F.when(well_formed, message),
         }
@@ -67,7 +67,7 @@ def append_events(
     rows = [(stamp, first + n, level, message) for n, (level, message) in enumerate(events)]
     (
         small_frame(spark, rows, schemas.RUN_EVENT)
-        .withColumn("log_date", F.to_date("log_time"))
+        .withColumn("log_date", F.to_date(utc(F.col("log_time"))))
         .coalesce(1)
         .write.partitionBy("log_date")
         .mode("append")

@@ -6,12 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.shared import path_exists
+from tidemark.shared import is_complete
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """Chooses the initial load over the incremental one."""
-    return path_exists(spark, path)
+    """Whether a write of the table has ended: chooses between initial and incremental load.
+
+    A folder that a first write is still filling, or has left half-written, is no table.
+    """
+    return is_complete(spark, path)
 
 
 def read_table(
@@ -34,13 +37,11 @@ def append_partitioned(
 ) -> None:
     """Append below ``path/<partition>=<value>/``.
 
-    The rebalance hint gathers a partition's rows before the write, so a batch
-    adds few files. Adaptive execution splits a hot partition over several
-    tasks and merges small ones, so a month with most of the rows is not one
-    task's work.
+    The rebalance hint spreads rows evenly over tasks of a fair size, so a batch adds few
+    files and a month with most of the rows is not one task's work.
     """
     (
-        rows.hint("rebalance", *[F.col(name) for name in partition_by])
+        rows.hint("rebalance")
         .write.format(fmt)
         .partitionBy(*partition_by)
         .mode("append")
@@ -48,7 +49,8 @@ def append_partitioned(
     )
 
 
-def latest_first(silver: DataFrame, rows: int | None = 20) -> DataFrame:
-    """The display order of the silver table: city ascending, hour descending."""
+def latest_first(silver: DataFrame, rows: int | None) -> DataFrame:
+    """The display order of the silver table: city ascending, hour descending; the first
+    ``rows`` of it, or all for None."""
     ordered = silver.orderBy(F.asc("city"), F.desc("hour_start"))
     return ordered if rows is None else ordered.limit(rows)

@@ -9,7 +9,6 @@ event-time watermark would silently drop such rows.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.plans import store
@@ -28,60 +27,55 @@ def read_payload_stream(
 
 
 def process_batch(
-    refresh: Refresh, batch: DataFrame, batch_id: int, drop_late: bool = False
+    refresh: Refresh,
+    batch: DataFrame,
+    batch_id: int,
+    drop_late: bool = False,
+    source: str = "stream",
 ) -> None:
-    """One micro-batch. Doing it again with the same id changes nothing.
+    """One micro-batch of the stream named ``source``. Doing it again changes nothing.
 
-    ``drop_late`` applies the stored mark as the scheduled job does. The control
-    generation is the batch id, so a replayed batch compares with the mark it
-    saw the first time.
+    Slices and marks belong to the source, so streams and scheduled runs on one root do not
+    meet. The newest time is always kept, and ``drop_late`` may be switched on at any batch;
+    a replayed batch is compared with the mark that it saw the first time.
     """
-    spark = batch.sparkSession
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    mark = None
-    if drop_late:
-        mark = store.read_mark(spark, refresh.layout, refresh.table_name, batch_id)
-    rows = refresh.new_rows(batch, mark)
-    previous = f"batch-{batch_id - 1}" if batch_id else None
-    summary = refresh.apply(spark, rows, f"batch-{batch_id}", mark, previous)
-    if drop_late:
-        store.write_mark(
-            spark, refresh.layout, refresh.table_name, summary.new_mark, batch_id
+    spark, layout = batch.sparkSession, refresh.layout
+    name = f"{source}-{batch_id:08d}"
+    with refresh.logged(spark):
+        known = store.read_source(spark, layout, source)
+        if known.get("batch", -1) > batch_id:
+            return  # done long ago; its slice and its mark stand
+        replayed = known.get("batch") == batch_id
+        before = known.get("before" if replayed else "after")
+        previous = known.get("previous" if replayed else "slice")
+        store.remove_slice(spark, layout, name)
+        summary = refresh.apply(
+            spark, batch, name, before if drop_late else None, previous, source
         )
+        newest = max(filter(None, (before, summary.new_mark)), default=None)
+        store.write_source(
+            spark, layout, source, batch=batch_id, slice=name, previous=previous,
+            before=before, after=newest,
+        )
+        store.forget_pending(spark, layout, name)
 
 
 def start_refresh(
-    refresh: Refresh, payloads: DataFrame, checkpoint: str, drop_late: bool = False
+    refresh: Refresh,
+    payloads: DataFrame,
+    checkpoint: str,
+    drop_late: bool = False,
+    source: str = "stream",
 ) -> StreamingQuery:
-    """Process everything that has landed, then stop; run it on a schedule."""
+    """Process everything that has landed, then stop; run it on a schedule.
+
+    Each checkpoint needs a ``source`` of its own: batch numbers start again with it.
+    """
     return (
         payloads.writeStream.foreachBatch(
-            lambda batch, batch_id: process_batch(refresh, batch, batch_id, drop_late)
+            lambda batch, batch_id: process_batch(refresh, batch, batch_id, drop_late, source)
         )
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
-
-
-def stateful_hourly_counts(
-    rows: DataFrame, delay: str, entity: str = "city", event_time: str = "event_time"
-) -> DataFrame:
-    """Opt-in stateful form, with an explicit lateness bound.
-
-    Rows later than ``delay`` behind the newest event are dropped; the progress
-    of the query reports them as ``numRowsDroppedByWatermark``, counted after
-    partial aggregation.
-    """
-    return (
-        rows.withColumn(event_time, F.col(event_time).cast("timestamp"))
-        .withWatermark(event_time, delay)
-        .groupBy(entity, F.window(event_time, "1 hour").alias("hour"))
-        .agg(F.count(F.lit(1)).alias("record_count"))
-        .select(
-            entity,
-            F.col("hour.start").alias("hour_start"),
-            F.col("hour.end").alias("hour_end"),
-            "record_count",
-        )
-    )
