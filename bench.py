@@ -14,6 +14,7 @@ from __future__ import annotations
 import json
 import os
 import statistics
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -53,6 +54,7 @@ def session(cpus: str) -> SparkSession:
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="bench-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -76,7 +76,8 @@ def only_touched(hours: DataFrame, touched: DataFrame, entity: str = "city") ->
     """The aggregated hours that an increment reaches.
 
     Aggregating only the new rows would be wrong for an hour that the mark cuts
-    through, so whole hours are aggregated, and joined after that: both sides have
-    one row per key.
+    through, so whole hours are aggregated, and joined after that. Both sides have one
+    row per key, so an inner join does; a semi join would be moved below the aggregation,
+    to the raw rows.
     """
-    return hours.join(touched, [entity, "hour_start"], "left_semi")
+    return hours.join(touched, [entity, "hour_start"]).select(*hours.columns)
