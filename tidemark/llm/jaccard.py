@@ -4,11 +4,16 @@ The overlaps of all pairs are the product of the document by shingle incidence m
 its transpose. Spark takes it in blocks of columns, the hash partitions by shingle:
 
 * Equal rows are merged: documents of one set are one node.
-* Of a row of n shingles only the first n - ceil(0.9 n) + SHARED in one common order, rare
-  ones first, are multiplied. Rows that are similar enough share SHARED of those.
-* A column gives the products of its nodes; they are added up by pair over all blocks.
-  Pairs whose sizes, or the places of a shared shingle, rule out the similarity are not
-  made; pairs with fewer than SHARED products are discarded. The rest is compared in full.
+* Of a row of n shingles only the first n - ceil(0.9 n) + 1 in one common order, rare ones
+  first, are multiplied. Rows that are similar enough share one of those.
+* A column gives the products of its nodes, which meet by pair over all blocks. Where two
+  rows share the column before, too, the product is left out: the pair has one there.
+  Two rows of n and m shingles are similar enough if they share a = ceil(0.9 (n + m) / 1.9),
+  so they have one of their first n - a + 1 and m - a + 1 in common; other products, and
+  those of sizes too far apart, are not made.
+* Each row has a sketch: the parity of its shingles in each of SKETCH_BITS slots. Sketches
+  differ in no more slots than rows differ in shingles, so pairs whose sketches differ in
+  more than n + m - 2 a are discarded. The rest is compared in full.
 
 Only components are asked for, so a column need not be multiplied out where its nodes are
 known to be connected. Star rounds multiply each column's first node with the others
@@ -23,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import staged
@@ -33,14 +38,14 @@ from tidemark.llm.shingles import portions, shingle_sets, slots, word_hashes
 WIDTH = 3
 #: Similarity of a link, in percent.
 PERCENT = 90
-#: Shingles that the multiplied parts of two similar rows have in common at least.
-SHARED = 4
+SKETCH_BITS = 512
 #: Words are counted in so many slots (as a power of two), to order columns by rarity.
 SLOT_BITS = 22
 BLOCK_BITS = 16
-#: Star rounds end when so many products per row of the multiplied matrix are left.
-PRODUCTS_PER_ROW = 2
-STAR_ROUNDS = 4
+#: Star rounds end when so many products per entry of the multiplied matrix are left.
+PRODUCTS_PER_ENTRY = 3
+#: A further round needs to have this share of the products gone in the one before.
+GAIN = 0.5
 
 
 def _texts(batch: pa.RecordBatch) -> list[str]:
@@ -84,41 +89,43 @@ def word_levels(docs: DataFrame) -> np.ndarray:
             for number, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 part = np.frombuffer(raw, np.uint32)
                 sums[number] = sums[number] + part if number in sums else part.astype(np.uint64)
+        levels = [(2 * np.log2(total + 1)).astype(np.uint8) for total in sums.values()]
         yield pa.record_batch(
             [
                 pa.array(list(sums), pa.int32()),
-                pa.array([part.tobytes() for part in sums.values()], pa.binary()),
+                pa.array([level.tobytes() for level in levels], pa.binary()),
             ],
-            names=["block", "counts"],
+            names=["block", "levels"],
         )
 
-    schema = "block int, counts binary"
-    partial = docs.select("text").mapInArrow(count, schema)
-    counts = np.zeros(size, np.uint64)
-    for row in partial.repartition("block").mapInArrow(add, schema).collect():
+    partial = docs.select("text").mapInArrow(count, "block int, counts binary")
+    whole = partial.repartition("block").mapInArrow(add, "block int, levels binary")
+    levels = np.zeros(size, np.uint8)
+    for row in whole.collect():
         at = row["block"] * block
-        counts[at : at + block] += np.frombuffer(row["counts"], np.uint64)
-    return (2 * np.log2(counts + 1)).astype(np.uint8)
+        levels[at : at + block] = np.frombuffer(row["levels"], np.uint8)
+    return levels
 
 
 def rows_of(docs: DataFrame, width: int, levels: np.ndarray) -> DataFrame:
-    """Each document's row: ``key``, ``tag``, ``n``, ``digest`` of its set, and the shingles
-    of it that are multiplied, in order (``prefix``)."""
+    """Each document's row: ``key``, ``tag``, ``n``, ``digest`` of its set, the shingles of it
+    that are multiplied, in order (``prefix``), and its ``sketch``."""
     shared = docs.sparkSession.sparkContext.broadcast(levels)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         levels = shared.value
         for batch in batches:
-            sizes, digests, prefixes = [], [], []
+            sizes, digests, prefixes, sketches = [], [], [], []
             for found, level in shingle_sets(_texts(batch), width, levels):
                 n = len(found)
                 sizes.append(n)
                 digests.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest())
+                sketches.append(_sketch(found))
                 least = int(_least_overlap(n))
                 if least == n:  # only an equal set, or one of n + 1, could be near
-                    length = SHARED if n >= 9 else 0
+                    length = int(n >= 9)
                 else:
-                    length = min(n - least + SHARED, n)
+                    length = min(n - least + 1, n)
                 order = np.lexsort((found, level))[:length]
                 prefixes.append(found[order].view(np.int64))
             ends = np.cumsum([0, *map(len, prefixes)])
@@ -130,15 +137,23 @@ def rows_of(docs: DataFrame, width: int, levels: np.ndarray) -> DataFrame:
                     pa.array(sizes, pa.int64()),
                     pa.array(digests, pa.binary()),
                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)),
+                    pa.array(sketches, pa.list_(pa.int64())),
                 ],
-                names=["key", "tag", "n", "digest", "prefix"],
+                names=["key", "tag", "n", "digest", "prefix", "sketch"],
             )
 
     return docs.select("key", F.md5("text").alias("tag"), "text").mapInArrow(
-        read, "key long, tag string, n long, digest binary, prefix array<long>"
+        read,
+        "key long, tag string, n long, digest binary, prefix array<long>, sketch array<long>",
     )
 
 
+def _sketch(found: np.ndarray) -> np.ndarray:
+    slot = found & np.uint64(SKETCH_BITS - 1)
+    odd = np.bincount(slot.astype(np.int64), minlength=SKETCH_BITS) & 1
+    return np.packbits(odd.astype(bool)).view(np.int64)
+
+
 def full_sets(docs: DataFrame, width: int) -> DataFrame:
     """``digest`` and all shingles (``shingles``) of each document's set."""
 
@@ -161,13 +176,24 @@ def full_sets(docs: DataFrame, width: int) -> DataFrame:
     return docs.select("text").mapInArrow(read, "digest binary, shingles array<long>")
 
 
+def _spare(own: Column, other: Column) -> Column:
+    """Shingles of a set of size ``own`` that a linked set of size ``other`` may lack."""
+    total = (own + other) * PERCENT
+    return own - (total + 99 + PERCENT - (total + 99 + PERCENT) % (100 + PERCENT)) / (100 + PERCENT)
+
+
 def _possible(left: str, right: str) -> Column:
-    """Whether sizes, and places of a shared shingle, allow two rows to be linked."""
+    """Whether sizes, the places of a shared shingle, and sketches allow a link."""
     n, m = F.col(f"{left}.n"), F.col(f"{right}.n")
-    i, j = F.col(f"{left}.place"), F.col(f"{right}.place")
-    most = F.least(i, j) + F.least(n - i, m - j)
     sizes = (n * 100 >= m * PERCENT) & (m * 100 >= n * PERCENT)
-    return sizes & (most * (100 + PERCENT) >= (n + m) * PERCENT)
+    first = F.col(f"{left}.place") <= _spare(n, m)
+    second = F.col(f"{right}.place") <= _spare(m, n)
+    x, y = F.col(f"{left}.sketch"), F.col(f"{right}.sketch")
+    differ = F.lit(0)
+    for word in range(SKETCH_BITS // 64):
+        both = F.get(x, F.lit(word)).bitwiseXOR(F.get(y, F.lit(word)))
+        differ = differ + F.bit_count(both)
+    return sizes & first & second & (differ <= _spare(n, m) + _spare(m, n))
 
 
 def _in_several(entries: DataFrame) -> DataFrame:
@@ -185,29 +211,25 @@ class _Join:
     """The columns with several nodes, and what is known about their components."""
 
     def __init__(self, docs: DataFrame, width: int, classes: DataFrame):
-        self.spark = docs.sparkSession
+        self.spark, self.docs, self.width, self.classes = docs.sparkSession, docs, width, classes
         entries = classes.where(F.size("prefix") > 0).select(
             "node", "n", F.posexplode("prefix").alias("place", "column")
         )
-        several = staged(self.spark, _in_several(entries), "jaccard-several")
-        # A node that has not SHARED such columns is linked with nothing.
-        enough = several.groupBy("node").agg(F.count("*").alias("k")).where(F.col("k") >= SHARED)
-        kept = several.join(enough.select("node"), "node")
-        self.entries = staged(self.spark, _in_several(kept), "jaccard-entries")
-        self.sets = self._sets(docs, width, classes)
+        own = Window.partitionBy("node").orderBy("place")
+        shared = _in_several(entries).withColumn("previous", F.lag("column").over(own))
+        sketched = shared.join(classes.select("node", "sketch"), "node")
+        self.entries = staged(self.spark, sketched, "jaccard-entries")
         self.links: DataFrame | None = None
         self.roots: DataFrame | None = None
 
-    def _sets(self, docs: DataFrame, width: int, classes: DataFrame) -> DataFrame:
-        """Full rows of the nodes that share a column, read again from their texts."""
-        nodes = self.entries.select("node").distinct()
-        wanted = staged(
-            self.spark,
-            classes.join(nodes, "node").select("node", "digest", F.col("key").alias("holder")),
-            "jaccard-wanted",
-        )
+    def sets_of(self, pairs: DataFrame) -> DataFrame:
+        """Full rows of the nodes in ``pairs``, read again from their texts."""
+        nodes = pairs.select("a").union(pairs.select("b")).distinct().toDF("node")
+        held = self.classes.select("node", "digest", F.col("key").alias("holder"))
+        wanted = staged(self.spark, held.join(nodes, "node"), "jaccard-wanted")
+        docs = self.docs
         holders = docs.join(wanted, docs["key"].eqNullSafe(wanted["holder"]), "left_semi")
-        found = full_sets(holders, width).join(wanted.select("digest", "node"), "digest")
+        found = full_sets(holders, self.width).join(wanted.select("digest", "node"), "digest")
         once = found.groupBy("node").agg(F.any_value("shingles").alias("shingles"))
         return staged(self.spark, once, "jaccard-sets")
 
@@ -228,12 +250,10 @@ class _Join:
         return staged(self.spark, named.join(mixed, "column"), "jaccard-open")
 
     def add(self, pairs: DataFrame) -> int:
-        """Compares ``pairs`` (a, b) in full, keeps those that are linked, renews the roots."""
-        both = (
-            pairs.join(self.sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
-            .join(self.sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
-            .select("a", "b", "x", "y")
-        )
+        """Compares ``pairs`` (a, b), keeps those that are linked, renews the roots."""
+        pairs = staged(self.spark, pairs, "jaccard-pairs")
+        sets = self.sets_of(pairs)
+        both = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
         common = F.size(F.array_intersect("x", "y"))
         union = F.size("x") + F.size("y") - F.col("common")
         linked = both.withColumn("common", common).where(100 * F.col("common") >= PERCENT * union)
@@ -246,8 +266,10 @@ class _Join:
 
 
 def _products(open_: DataFrame) -> int:
-    """Products that multiplying out between components would take."""
-    each = open_.groupBy("column", "root").agg(F.count("*").alias("n"))
+    """About how many products multiplying out between components would make: those of
+    entries that count for a set of the same size."""
+    counting = open_.where(F.col("place") <= _spare(F.col("n"), F.col("n")))
+    each = counting.groupBy("column", "root").agg(F.count("*").alias("n"))
     columns = each.groupBy("column").agg(
         F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("within")
     )
@@ -255,13 +277,14 @@ def _products(open_: DataFrame) -> int:
 
 
 def _star_pairs(open_: DataFrame, number: int) -> DataFrame:
-    """Each column's first node, in an order that changes by round, with all others of other
-    components."""
-    turn = F.xxhash64("node", F.lit(number)) if number else F.col("node")
+    """Each column's first node with all others of other components. First comes the node in
+    which the column stands foremost, that is the one with the fewest shingles of its own;
+    later rounds have an order of their own each."""
+    turn = F.xxhash64("node", F.lit(number)) if number else F.col("place")
     hubs = open_.groupBy("column").agg(
-        F.min(F.struct(turn, "node", "n", "place", "root")).alias("hub")
+        F.min(F.struct(turn.alias("turn"), "node", "n", "place", "root", "sketch")).alias("hub")
     )
-    hubs = hubs.select("column", "hub.node", "hub.n", "hub.place", "hub.root")
+    hubs = hubs.select("column", "hub.node", "hub.n", "hub.place", "hub.root", "hub.sketch")
     return (
         open_.alias("m")
         .join(hubs.alias("h"), "column")
@@ -275,18 +298,19 @@ def _star_pairs(open_: DataFrame, number: int) -> DataFrame:
 
 
 def _all_pairs(open_: DataFrame) -> DataFrame:
-    """The products between different components, added up by pair."""
+    """The pairs that the products between different components are of."""
+    again = F.coalesce(F.col("l.previous") == F.col("r.previous"), F.lit(False))
     return (
         open_.alias("l")
         .join(open_.alias("r"), "column")
         .where(
             (F.col("l.node") < F.col("r.node"))
             & (F.col("l.root") != F.col("r.root"))
+            & ~again
             & _possible("l", "r")
         )
         .groupBy(F.col("l.node").alias("a"), F.col("r.node").alias("b"))
         .agg(F.count("*").alias("products"))
-        .where(F.col("products") >= SHARED)
         .select("a", "b")
     )
 
@@ -294,8 +318,9 @@ def _all_pairs(open_: DataFrame) -> DataFrame:
 def jaccard_components(
     docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH
 ) -> DataFrame:
-    """``key``, ``tag`` (hash of the text), ``n_shingles`` and ``component_id`` (smallest key
-    reachable by links, its own included) for every row of ``docs``.
+    """``key``, ``tag`` (hash of the text), ``n_shingles``, ``component_id`` (smallest key
+    reachable by links, its own included) and ``component`` (a number of the component in
+    this run; null without shingles) for every row of ``docs``.
 
     Null and empty texts have no shingles and are linked with nothing, not even with each
     other: their component is their own key. Equal sets are linked at any size. Rows of one
@@ -312,17 +337,22 @@ def jaccard_components(
             F.min("key").alias("key"),
             F.any_value("n").alias("n"),
             F.any_value("prefix").alias("prefix"),
+            F.any_value("sketch").alias("sketch"),
         )
         .withColumn("node", F.monotonically_increasing_id())
     )
     classes = staged(spark, classes, "jaccard-classes")
     join = _Join(read, width, classes)
-    size = join.entries.count()
-    for number in range(STAR_ROUNDS):
-        open_ = join.labelled()
-        if _products(open_) <= PRODUCTS_PER_ROW * size or not join.add(_star_pairs(open_, number)):
+    limit = PRODUCTS_PER_ENTRY * join.entries.count()
+    open_, number = join.labelled(), 0
+    products = _products(open_)
+    while products > limit:
+        join.add(_star_pairs(open_, number))
+        open_, number, before = join.labelled(), number + 1, products
+        products = _products(open_)
+        if products > GAIN * before:
             break
-    join.add(_all_pairs(join.labelled()))
+    join.add(_all_pairs(open_))
 
     named = classes.select("node", "digest", "key")
     if join.roots is not None:
@@ -332,7 +362,7 @@ def jaccard_components(
         named = named.withColumn("root", F.col("node"))
     named = staged(spark, named, "jaccard-named")
     smallest = named.groupBy("root").agg(F.min("key").alias("component_id"))
-    labels = named.join(smallest, "root").select("digest", "component_id")
+    labels = named.join(smallest, "root").select("digest", "component_id", "root")
     return rows.join(labels, "digest", "left").select(
         "key",
         "tag",
@@ -340,6 +370,7 @@ def jaccard_components(
         F.when(F.col("n") == 0, F.col("key")).otherwise(F.col("component_id")).alias(
             "component_id"
         ),
+        F.col("root").alias("component"),
     )
 
 
@@ -350,7 +381,7 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", **opti
     rows = staged(spark, jaccard_components(docs, key, text, **options), "jaccard-components")
     some = rows.where("n_shingles > 0")
     lead = F.struct(F.col("key").isNull(), "key", "tag")
-    best = some.groupBy("component_id").agg(F.min(lead).alias("best"))
+    best = some.groupBy("component").agg(F.min(lead).alias("best"))
     best = staged(spark, best.select("best.key", "best.tag"), "jaccard-best")
 
     def same(left: DataFrame, right: DataFrame) -> Column:
