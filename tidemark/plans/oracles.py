@@ -430,16 +430,20 @@ def _runlog_events() -> str:
              f"ts > TIMESTAMP '{CUT}'"]
 
     def checks(part: int) -> str:
+        """What fails in the suites: the row bound, temperatures and country codes."""
         upto = " OR ".join(f"({p})" for p in parts[: part + 1])
         between = "expect_column_values_to_be_between"
+        hot = f"EXISTS (SELECT 1 FROM events WHERE ({upto}) AND NOT (value BETWEEN 0 AND 50))"
+        odd = f"EXISTS (SELECT 1 FROM events WHERE ({upto}) AND user_id % 27 = 26)"
+        many = f"(SELECT count(*) FROM events WHERE {upto}) > 1000"
         return f"""
             SELECT 'Bronze' AS layer, array_to_string(list_filter([
-                CASE WHEN (SELECT count(*) FROM events WHERE {upto}) > 1000
-                    THEN 'expect_table_row_count_to_be_between' END,
-                '{between}'], lambda c: c IS NOT NULL), ', ') AS checks
-            WHERE EXISTS (SELECT 1 FROM events WHERE ({upto}) AND NOT (value BETWEEN 0 AND 50))
-            UNION ALL SELECT 'Silver', '{between}'
-            WHERE EXISTS (SELECT 1 FROM events WHERE ({upto}) AND NOT (value BETWEEN 0 AND 50))
+                CASE WHEN {many} THEN 'expect_table_row_count_to_be_between' END,
+                CASE WHEN {hot} THEN '{between}' END,
+                CASE WHEN {odd} THEN 'expect_column_values_to_match_regex' END
+                ], lambda c: c IS NOT NULL), ', ') AS checks
+            WHERE {many} OR {hot} OR {odd}
+            UNION ALL SELECT 'Silver', '{between}' WHERE {hot}
         """
 
     def lines(part: int) -> str:
@@ -632,14 +636,22 @@ ORACLES: dict[str, str] = {
         _listed(5, "value::VARCHAR", VALUE_RULE, "stamped", "value"),
         _listed(7, "props", f"NOT regexp_matches(props, {TWO_DIGITS})", "stamped"),
     ])}""",
-    "validation_cumulative": f"""{WITH_BRONZE}, counted AS (
-        SELECT count(*) AS element_count, 0::BIGINT AS missing_count,
-            count(*) FILTER (WHERE NOT (temperature BETWEEN 0 AND 50)) AS unexpected_count
-        FROM bronze)
+    "validation_cumulative": f"""{WITH_BRONZE}
         SELECT 'expect_column_values_to_be_between' AS expectation_type,
-            'temperature' AS "column", element_count, missing_count, unexpected_count, place, value
-        FROM counted, ({_listed(0, "temperature::VARCHAR", "NOT (temperature BETWEEN 0 AND 50)",
-                                "bronze", "temperature")})
+            'temperature' AS "column", (SELECT count(*) FROM bronze) AS element_count,
+            0::BIGINT AS missing_count,
+            (SELECT count(*) FROM bronze WHERE NOT (temperature BETWEEN 0 AND 50))
+                AS unexpected_count, place, value
+        FROM ({_listed(0, "temperature::VARCHAR", "NOT (temperature BETWEEN 0 AND 50)",
+                       "bronze", "temperature")})
+        UNION ALL SELECT 'expect_column_values_to_match_regex', 'countrycode',
+            (SELECT count(*) FROM bronze), 0::BIGINT,
+            (SELECT count(*) FROM bronze
+                WHERE {_Rules.regex("countrycode", suites.BRONZE_REGEXES["countrycode"])}),
+            place, value
+        FROM ({_listed(0, "countrycode",
+                       _Rules.regex("countrycode", suites.BRONZE_REGEXES["countrycode"]),
+                       "bronze")})
     """,
     "validation_report": f"""{WITH_RESULTS}
         SELECT 'run-1' AS run_id, 'Events' AS layer, 'events' AS suite_name, {STATISTICS}
