@@ -23,6 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -33,8 +34,8 @@ from tidemark.llm.wordcodec import WordCodec
 
 END = 1
 KEYS_PER_BUCKET = 4096
-#: Characters that are encoded at a time.
-CHUNK = 4_000_000
+#: Bytes of text that are encoded at a time.
+CHUNK = 8_000_000
 RUN = "key long, shard int, file string, record long, n_records long, offset long, n_ids long"
 ENTRY = np.dtype(
     [("shard", "<i4"), ("record", "<i8"), ("n_records", "<i8"), ("offset", "<i8"), ("n_ids", "<i8")]
@@ -53,17 +54,14 @@ def _opened(root: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(root)
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str]]]:
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches cut to rows of about CHUNK bytes of text."""
     for batch in batches:
-        keys, texts = batch.column(0).to_pylist(), batch.column(1)
-        start = 0
-        while start < len(keys):
-            end, size = start, 0
-            while end < len(keys) and size < CHUNK:
-                size += len(texts[end].as_py() or "")
-                end += 1
-            yield keys[start:end], [t or "" for t in texts[start:end].to_pylist()]
-            start = end
+        sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(False)
+        chunk = np.cumsum(sizes, dtype=np.int64) // CHUNK
+        cuts = [0, *(np.flatnonzero(np.diff(chunk)) + 1).tolist(), batch.num_rows]
+        for start, end in zip(cuts[:-1], cuts[1:], strict=True):
+            yield batch.slice(start, end - start)
 
 
 def write_store(
@@ -74,9 +72,11 @@ def write_store(
     text: str = "text",
     end_id: int = END,
     width: int = 2,
+    shards: int | None = None,
 ) -> None:
     """Encodes every row of ``docs`` into a new store at ``root``, a folder all executors
-    and pyarrow reach. ``width`` is the bytes of an id; a larger id raises.
+    and pyarrow reach. ``width`` is the bytes of an id; a larger id raises. Without
+    ``shards`` Spark chooses their number by the size of the texts.
 
     Keys are integers. Null keys come first, null texts are empty (the end id alone),
     rows of equal keys are stored one after the other in order of their text. Other
@@ -85,7 +85,9 @@ def write_store(
     spark = docs.sparkSession
     ordered = (
         docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-        .repartitionByRange(F.col("key").asc_nulls_first(), F.xxhash64("text").asc())
+        .repartitionByRange(
+            *[shards] * bool(shards), F.col("key").asc_nulls_first(), F.xxhash64("text").asc()
+        )
         .sortWithinPartitions(F.col("key").asc_nulls_first(), F.xxhash64("text"), "text")
     )
 
@@ -93,20 +95,19 @@ def write_store(
         shard = TaskContext.get().partitionId()
         name = f"{shard:07d}-{uuid.uuid4().hex}"
         store, folder = _opened(root)
-        codec, end = _codec(tokenizer, width), np.array([end_id], f"<u{width}").tobytes()
+        codec = _codec(tokenizer, width)
         runs: dict = {}  # key: record, n_records, offset, n_ids; keys come in order
         record = offset = 0
         ids = lens = None
-        for keys, texts in _chunks(batches):
+        for chunk in _chunks(batches):
             if ids is None:
                 store.create_dir(f"{folder}/shards", recursive=True)
                 ids = store.open_output_stream(f"{folder}/shards/{name}.ids")
                 lens = store.open_output_stream(f"{folder}/shards/{name}.lens")
-            encoded = [raw + end for raw in codec.encode(texts)]
-            sizes = [len(raw) // width for raw in encoded]
-            ids.write(b"".join(encoded))
-            lens.write(np.array(sizes, "<u4").tobytes())
-            for k, n in zip(keys, sizes, strict=True):
+            encoded, sizes = codec.encode(pc.fill_null(chunk.column("text"), ""), end_id)
+            ids.write(encoded.tobytes())
+            lens.write(sizes.astype("<u4").tobytes())
+            for k, n in zip(chunk.column("key").to_pylist(), sizes.tolist(), strict=True):
                 run = runs.setdefault(k, [record, 0, offset, 0])
                 run[1] += 1
                 run[3] += n

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 MARK = "\x01"
 STOPS = ".,"
@@ -13,21 +14,23 @@ STOPS = ".,"
 
 class WordCodec:
     """Encodes with a tokenizer for which white space only separates words, so that the ids
-    of a text are those of its words in order. Words are encoded once and remembered.
+    of a text are those of its words in order. Words, between ASCII white space, are encoded
+    once and remembered.
 
     Two more identities of such tokenizers are used: a full stop or comma behind a letter
-    is a piece of its own, and A-Z counts as lower case. The memory is emptied when it
-    holds ``most`` words. Words are encoded many at a time, with a mark between them that
+    is a piece of its own, and A-Z counts as lower case. The memory has two halves of
+    ``most`` / 2 words; when the younger is full, it replaces the older. Words are encoded many at a time, with a mark between them that
     the tokenizer gives one id of its own; words with the mark in them are encoded alone.
     """
 
-    def __init__(self, path: str, width: int, most: int = 600_000):
+    def __init__(self, path: str, width: int, most: int = 1_000_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.type = np.dtype(f"<u{width}")
         self.most = most
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         (self.mark,) = self._ids(MARK)
 
     def _ids(self, text: str) -> list[int]:
@@ -41,8 +44,8 @@ class WordCodec:
                 known[word] = np.array(self._ids(word), self.type).tobytes()
             else:
                 plain.append(word)
-        for at in range(0, len(plain), 4096):
-            some = plain[at : at + 4096]
+        for at in range(0, len(plain), 256):
+            some = plain[at : at + 256]
             ids = np.array(self._ids(f" {MARK} ".join(some)), self.type)
             marks = np.flatnonzero(ids == self.mark).tolist()
             raw, start = ids.tobytes(), 0
@@ -50,30 +53,49 @@ class WordCodec:
                 known[word] = raw[start * width : end * width]
                 start = end + 1
 
-    @staticmethod
-    def _words(text: str) -> list[str]:
-        """Split at white space that tokenizers know: not at the separators 1C to 1F."""
-        if any(c in text for c in "\x1c\x1d\x1e\x1f"):
-            return re.findall(r"(?:[^\s]|[\x1c-\x1f])+", text)
-        return text.split()
+    def encode(self, texts: pa.Array, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, each followed by ``end_id``, and how many each has."""
+        split = pc.ascii_split_whitespace(texts)
+        words = split.flatten().dictionary_encode()
+        forms = words.dictionary.to_pylist()
+        raws = self._raws(forms)
+        ends = np.array([] if end_id is None else [end_id], self.type).tobytes()
+        ids = np.frombuffer(b"".join([*raws, ends]), self.type)
+        sizes = np.array([*map(len, raws), len(ends)]) // self.type.itemsize
+        starts = np.cumsum(sizes) - sizes
+        # A word after the last of each text stands for its end.
+        last = split.offsets.to_numpy()[1:] - split.offsets.to_numpy()[0]
+        order = np.insert(words.indices.to_numpy(), last, len(forms))
+        counts = sizes[order]
+        behind = np.cumsum(counts)
+        total = int(behind[-1]) if len(behind) else 0
+        shift = (starts[order] - behind + counts).astype(np.int32)
+        places = np.repeat(shift, counts) + np.arange(total, dtype=np.int32)
+        own_end = behind[last + np.arange(len(last))]
+        return ids[places], np.diff(own_end, prepend=0)
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text, as little-endian bytes."""
-        if len(self.known) > self.most:
-            self.known.clear()
-        known = self.known
-        split = [self._words(text) for text in texts]
-        fresh = {word for words in split for word in words if word not in known}
-        stems = {}
-        for word in fresh:
-            cut = len(word) - (word[-1] in STOPS and word[:-1].isalpha())
-            stem = word[:cut]
+    def _raws(self, forms: list[str]) -> list[bytes]:
+        """The ids of each word, as bytes."""
+        if len(self.known) > self.most // 2:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        fresh = set(STOPS).union(forms).difference(known)
+        again = fresh.intersection(older)
+        known.update(zip(again, map(older.__getitem__, again), strict=True))
+        fresh -= again
+        # Lists and no pairs: Python's collector would walk over millions of those.
+        words = [word for word in fresh if word and word not in STOPS]
+        stems, stops = [], []
+        for word in words:
+            stem, stop = word, ""
+            if word[-1] in STOPS and word[:-1].isalpha():
+                stem, stop = word[:-1], word[-1]
             if stem.isascii() and "<" not in stem:  # "<" may open a special token
                 stem = stem.lower()
-            stems[word] = stem, word[cut:]
-        wanted = {stem for stem, _ in stems.values()}
-        self._learn(wanted.union(STOPS).difference(known))
-        for word, (stem, stop) in stems.items():
-            known[word] = known[stem] + known[stop] if stop else known[stem]
-        find = known.__getitem__
-        return [b"".join(map(find, words)) for words in split]
+            stems.append(stem)
+            stops.append(stop)
+        self._learn(set(stems).union(STOPS).difference(known))
+        known[""] = none = b""
+        for word, stem, stop in zip(words, stems, stops, strict=True):
+            known[word] = known[stem] + (known[stop] if stop else none)
+        return list(map(known.__getitem__, forms))
