@@ -9,7 +9,7 @@ import numpy as np
 from tidemark.llm.perfecthash import mix
 
 #: Bytes of text that are worked on at a time; a longer text is read alone, whole.
-PORTION = 2_000_000
+PORTION = 1_000_000
 BASE = 0x9FB21C651E98DF25
 WORD_SEED, SHINGLE_SEED, SHORT_SEED = 11, 12, 13
 _POWERS: list[np.ndarray] = []
