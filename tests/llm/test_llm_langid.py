@@ -1,5 +1,6 @@
 """Models against the formula on dictionaries, and held-out accuracy."""
 
+import dataclasses
 import math
 import random
 from collections import Counter, defaultdict
@@ -8,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import charmodel, langid
+from tidemark.llm import charmodel, charstore, langid
 from tidemark.llm.charmodel import CharModels
 
 
@@ -152,3 +153,38 @@ def test_empty_table_and_no_labels(nothing, documents):
     assert langid.language_id(nothing).count() == 0
     row = langid.language_id(documents([(1, "some text", None, "s")])).first()
     assert (row.lang_pred, row.score, row.rejected) == ("und", 0.0, True)
+
+
+def test_models_keep_every_gram_however_many(spark, documents):
+    # 40 languages of 11,000 grams each, more than 16 million numbers as one table, and one
+    # of three words: none of its grams is frequent.
+    hot = [(n, "".join(chr(0x4E00 + (n * 7919 + at * at * 31 + at) % 20_000) for at in range(11_000))) for n in range(40)]
+    rows = [(n, text, f"hot{n:02}", "s") for n, text in hot] + [(99, "le petit chat", "rare", "s")]
+    learned = langid.train(documents(rows))
+    probes = ["le petit chat", "chat", hot[3][1][:300]]
+    bits, sizes = learned.entropies(probes)
+    for lang in ("rare", "hot03"):
+        reference = Reference([r[1] for r in rows if r[2] == lang])
+        for row, text in enumerate(probes):
+            assert bits[row, learned.languages.index(lang)] == pytest.approx(reference.bits(text), rel=1e-4)
+    assert [learned.languages[at] for at in bits.argmin(axis=1)] == ["rare", "rare", "hot03"]
+
+
+def test_blocks_do_not_change_the_models(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    learned = langid.train(docs)
+    texts = [r.text for r in docs.limit(40).collect()] + ["", "z", "漢字 école", "the cat " * 200_000]
+    whole = learned.entropies(texts)
+    charstore._HELD.clear()
+    parts = dataclasses.replace(learned, most=5_000).entropies(texts)
+    assert not charstore._HELD
+    assert np.array_equal(whole[0], parts[0]) and np.array_equal(whole[1], parts[1])
+
+
+def test_stored_models_equal_the_models_in_memory(spark, documents):
+    rows = [(n, text, lang, "s") for lang, own in TEXTS.items() for n, text in enumerate(own)]
+    learned, both = langid.train(documents(rows)), models(TEXTS)
+    probes = ["the cat", "école là", "zzz", "", "Das ist neu 🙂 漢字", "the cat" * 50]
+    assert learned.languages == both.languages
+    assert np.allclose(learned.entropies(probes)[0], both.entropies(probes)[0], rtol=1e-4)
+    assert np.allclose(learned.mean, both.mean) and np.allclose(learned.deviation, both.deviation)

@@ -1,9 +1,8 @@
 """Language identification with one Kneser-Ney character model per language.
 
-Counts of grams cover all training texts: tasks count, Spark adds up. The models fit in
-``most_cells`` numbers whatever the corpus is, so each task can hold them: if there are
-too many grams, those with the smallest counts go. A text gets the language in whose
-model it takes the fewest bits per symbol. It is rejected if even those are far more than
+Counts of grams cover all training texts: tasks count, Spark adds up and makes the models,
+which keep every gram and are read in blocks that a task can hold. A text gets the language
+in whose model it takes the fewest bits per symbol. It is rejected if even those are far more than
 that language's own texts take.
 """
 
@@ -14,14 +13,14 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.charmodel import CharModels, grams, pieces
+from tidemark.llm.charmodel import grams, pieces
+from tidemark.llm.charstore import StoredModels, store_models
 from tidemark.llm.common import staged
 
 UNDETERMINED = "und"
-MOST_CELLS = 16_000_000
 #: A text may take so many bits per symbol more than its language's training text, ...
 MARGIN = 3.0
 #: ... and so many of the deviations that a text of its length has by chance.
@@ -81,7 +80,7 @@ def gram_counts(texts: DataFrame) -> DataFrame:
     return partial.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
-def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> CharModels | None:
+def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> StoredModels | None:
     """Models from every row of ``docs`` with a text and a language; None without any."""
     spark = docs.sparkSession
     usable = docs.select(F.col(lang).alias("lang"), F.col(text).alias("text")).where(
@@ -91,24 +90,15 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> CharModels
     languages = sorted(r[0] for r in counts.select("lang").distinct().collect())
     if not languages:
         return None
-    # The smallest count that leaves no more grams than the models may hold.
-    sizes = counts.groupBy("n").agg(F.count("*").alias("grams"))
-    above = F.sum("grams").over(Window.partitionBy(F.lit(0)).orderBy(F.col("n").desc()))
-    fits = sizes.select("n", above.alias("above")).where(
-        F.col("above") <= MOST_CELLS // len(languages)
-    )
-    least = fits.agg(F.min("n")).first()[0]
-    table = counts.where(F.col("n") >= F.lit(least)).toArrow()
-    found = table.column("gram").to_numpy().view(np.uint64)
-    keys, at = np.unique(found, return_inverse=True)
-    matrix = np.zeros((len(keys), len(languages)))
-    of = np.searchsorted(languages, table.column("lang").to_numpy(zero_copy_only=False).astype(str))
-    matrix[at, of] = table.column("n").to_numpy()
-    return CharModels(languages, keys, matrix)
+    root, usual = store_models(counts)
+    found = {r["lang"]: r for r in usual.collect()}
+    mean = np.array([found[lang]["mean"] for lang in languages])
+    deviation = np.array([found[lang]["deviation"] for lang in languages])
+    return StoredModels(languages, root, mean, deviation)
 
 
 def identify(
-    docs: DataFrame, models: CharModels | None, text: str = "text"
+    docs: DataFrame, models: StoredModels | None, text: str = "text"
 ) -> DataFrame:
     """``doc`` (the row as a struct), ``lang_pred``, ``score`` (0 to 1), ``bits`` (per symbol)
     and ``rejected``, for every row of ``docs``.
@@ -129,7 +119,7 @@ def identify(
     return rows.withColumn("judged", judge(F.col(f"doc.{text}"))).select("doc", "judged.*")
 
 
-def _judged(models: CharModels | None, texts: list[str]) -> pd.DataFrame:
+def _judged(models: StoredModels | None, texts: list[str]) -> pd.DataFrame:
     none = pd.DataFrame(
         {"lang_pred": UNDETERMINED, "score": 0.0, "bits": None, "rejected": True},
         index=range(len(texts)),
