@@ -182,9 +182,54 @@ def test_blocks_do_not_change_the_models(spark, sf_dir):
 
 
 def test_stored_models_equal_the_models_in_memory(spark, documents):
-    rows = [(n, text, lang, "s") for lang, own in TEXTS.items() for n, text in enumerate(own)]
+    rows = [(None, text, lang, "s") for lang, own in TEXTS.items() for text in own]
     learned, both = langid.train(documents(rows)), models(TEXTS)
     probes = ["the cat", "école là", "zzz", "", "Das ist neu 🙂 漢字", "the cat" * 50]
     assert learned.languages == both.languages
     assert np.allclose(learned.entropies(probes)[0], both.entropies(probes)[0], rtol=1e-4)
     assert np.allclose(learned.mean, both.mean) and np.allclose(learned.deviation, both.deviation)
+
+
+@pytest.mark.parametrize("unlearned", ["de", "en", "es", "fr"])
+def test_a_language_left_out_of_training_is_rejected(spark, unlearned):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    learned = langid.train(docs.where(F.col("lang") != unlearned))
+    foreign = docs.where(F.col("lang") == unlearned).limit(100)
+    judged = langid.identify(foreign, learned).select("rejected", F.length("doc.text").alias("size"))
+    rows = judged.collect()
+    # Chance alone may take a short text so far while few texts calibrate.
+    assert len(rows) == 100 and sum(r.rejected for r in rows) > 75
+    assert all(r.rejected for r in rows if r.size > 1_500)
+
+
+def test_bounds_let_the_stated_share_pass(spark, documents):
+    # By chance alone, texts of one source differ the more the shorter they are.
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randrange(2, 9))) for _ in range(300)]
+    rows = [
+        (n, " ".join(rng.choice(words) for _ in range(rng.choice([3, 10, 100]))), "aa", "s")
+        for n in range(14_000)
+    ]
+    docs = documents(rows)
+    got = langid.language_id(docs).where(langid.held_out(F.col("doc.doc_id")))
+    short = F.length("doc.text") < 40
+    for part in (got.where(short), got.where(~short)):
+        n, rejected = part.agg(F.count("*"), F.sum(F.col("rejected").cast("int"))).first()
+        assert n > 300 and rejected / n < 0.01
+    noise = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(600)) for _ in range(20)]
+    judged = langid.identify(spark.createDataFrame([(t,) for t in noise], "text string"), langid.train(docs))
+    assert judged.where("rejected").count() == 20
+
+
+def test_calibrating_texts_are_never_held_out_and_teach_nothing(spark, documents):
+    docs = spark.range(20_000).withColumnRenamed("id", "doc_id")
+    apart, out = langid.calibrating(F.col("doc_id")), langid.held_out(F.col("doc_id"))
+    assert docs.where(apart & out).count() == 0 and 1_800 < docs.where(apart).count() < 2_200
+    keys = [r.doc_id for r in docs.where(apart).limit(20).collect()]
+    rest = [r.doc_id for r in docs.where(~apart & ~out).limit(20).collect()]
+    rows = [(k, "the cat sat on the mat", "en", "s") for k in rest]
+    plain = langid.train(documents(rows))
+    more = langid.train(documents([*rows, *[(k, "zzyzx qqq", "en", "s") for k in keys]]))
+    assert np.array_equal(plain.entropies(["zzyzx"])[0], more.entropies(["zzyzx"])[0])
+    alone = langid.train(documents([*rows, *[(k, "zzyzx qqq", "zz", "s") for k in keys]]))
+    assert alone.languages == ["en", "zz"]

@@ -15,8 +15,10 @@ ORDER = 4
 BITS = 16
 SYMBOLS = 1 << BITS
 PAD = ORDER - 1
-#: Symbols that are worked on at a time; a longer text is read in pieces that start afresh.
+#: Symbols of a text that are worked on at a time; a longer one is read in pieces that start afresh.
 PIECE = 1_000_000
+#: Shorter texts are put together to so many.
+PORTION = 250_000
 
 _LETTERS: list[np.ndarray] = []
 
@@ -32,7 +34,7 @@ def _letters() -> np.ndarray:
 
 
 def pieces(texts: list[str]) -> Iterator[tuple[list[str], np.ndarray]]:
-    """``texts`` in portions of about PIECE characters: pieces, and the text each is of."""
+    """``texts`` in portions of PORTION characters or more: pieces, and the text each is of."""
     some: list[str] = []
     of: list[int] = []
     size = 0
@@ -41,7 +43,7 @@ def pieces(texts: list[str]) -> Iterator[tuple[list[str], np.ndarray]]:
             some.append(text[start : start + PIECE])
             of.append(number)
             size += len(some[-1])
-            if size >= PIECE:
+            if size >= PORTION:
                 yield some, np.array(of)
                 some, of, size = [], [], 0
     if some:

@@ -25,7 +25,7 @@ from tidemark.shared import fresh_folder
 #: Entries that a task holds at a time.
 BLOCK = 8_000_000
 #: Symbols, and numbers of one table, that are looked up together.
-SLAB, CELLS = 4_000_000, 16_000_000
+SLAB, CELLS = 1_000_000, 4_000_000
 
 Block = dict[tuple[int, int], Sorted]
 _HELD: dict[str, Block] = {}
@@ -156,14 +156,25 @@ def _blocks(root: str, languages: list[str], most: int) -> Iterator[Block]:
 @dataclass
 class StoredModels:
     """Models of ``languages`` below ``root``, with the mean and the deviation of the bits per
-    symbol of each language's own text."""
+    symbol of the texts learned. By its bound, a language's texts of s symbols take no more than
+    usual + slack + reach * sqrt(between + deviation ** 2 / s) bits per symbol."""
 
     languages: list[str]
     root: str
     mean: np.ndarray
     deviation: np.ndarray
+    usual: np.ndarray | None = None
+    between: np.ndarray | None = None
+    reach: np.ndarray | None = None
+    slack: np.ndarray | None = None
     most: int = BLOCK
 
+    def bound(self, best: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """The bits per symbol beyond which texts of ``sizes`` are not of the language ``best``."""
+        chance = self.deviation[best] ** 2 / np.maximum(sizes, 1)
+        spread = np.sqrt(self.between[best] + chance)
+        return self.usual[best] + self.slack[best] + self.reach[best] * spread
+
     def entropies(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Bits per symbol of each text in each language, and its number of symbols."""
         bits = np.zeros((len(texts), len(self.languages)))

@@ -2,29 +2,38 @@
 
 Counts of grams cover all training texts: tasks count, Spark adds up and makes the models,
 which keep every gram and are read in blocks that a task can hold. A text gets the language
-in whose model it takes the fewest bits per symbol. It is rejected if even those are far more than
-that language's own texts take.
+in whose model it takes the fewest bits per symbol. It is rejected if even those are more than a stated
+share of that language's own texts of its length take: texts that the models have not
+learned from, kept back to calibrate the bounds.
 """
 
 from __future__ import annotations
 
+import dataclasses
+import math
 from collections.abc import Iterator
+from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.charmodel import grams, pieces
 from tidemark.llm.charstore import StoredModels, store_models
 from tidemark.llm.common import staged
+from tidemark.shared import small_frame
 
 UNDETERMINED = "und"
-#: A text may take so many bits per symbol more than its language's training text, ...
-MARGIN = 3.0
-#: ... and so many of the deviations that a text of its length has by chance.
-DEVIATIONS = 6.0
+#: The share of a language's own texts that its bound lets pass, and the calibrating texts
+#: that it takes to read such a share off their distribution.
+QUANTILE, ENOUGH = 0.999, 1000
+#: Fewer calibrating texts of a language, or of all, say nothing.
+LEAST = 5
+#: Median of the square of a normal distance.
+HALF = 0.455
 #: A score is a probability as if a text had no more symbols than this.
 SCORED_SYMBOLS = 50
 #: Grams that a task gathers before it passes them on.
@@ -36,6 +45,12 @@ def held_out(key: Column) -> Column:
     return F.coalesce(F.crc32(key.cast("string")) % 4 == 2, F.lit(False))
 
 
+def calibrating(key: Column) -> Column:
+    """Whether a document calibrates the bounds instead of being learned: one in ten of all.
+    Its checksum is odd, so it is never one that is held out."""
+    return F.coalesce(F.crc32(key.cast("string")) % 10 == 3, F.lit(False))
+
+
 def gram_counts(texts: DataFrame) -> DataFrame:
     """``lang``, ``gram``, ``n`` over all rows of ``texts`` (lang, text; no nulls)."""
 
@@ -80,13 +95,24 @@ def gram_counts(texts: DataFrame) -> DataFrame:
     return partial.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
-def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> StoredModels | None:
-    """Models from every row of ``docs`` with a text and a language; None without any."""
+def train(
+    docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id"
+) -> StoredModels | None:
+    """Models from the rows of ``docs`` with a text and a language, and bounds from those of
+    them that are :func:`calibrating`; None without any. Languages of which all texts are
+    calibrating are learned from those."""
     spark = docs.sparkSession
-    usable = docs.select(F.col(lang).alias("lang"), F.col(text).alias("text")).where(
-        "lang is not null and text is not null"
-    )
-    counts = staged(spark, gram_counts(usable), "langid-counts")
+    usable = docs.select(
+        F.col(lang).alias("lang"), F.col(text).alias("text"), calibrating(F.col(key)).alias("apart")
+    ).where("lang is not null and text is not null")
+    apart = usable.where("apart")
+    counts = staged(spark, gram_counts(usable.where("not apart")), "langid-counts")
+    learned = {r[0] for r in counts.select("lang").distinct().collect()}
+    others = {r[0] for r in apart.select("lang").distinct().collect()} - learned
+    if others:
+        more = gram_counts(apart.where(F.col("lang").isin(*others)))
+        counts = staged(spark, counts.unionByName(more), "langid-counts")
+        apart = apart.where(~F.col("lang").isin(*others))
     languages = sorted(r[0] for r in counts.select("lang").distinct().collect())
     if not languages:
         return None
@@ -94,7 +120,74 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> StoredMode
     found = {r["lang"]: r for r in usual.collect()}
     mean = np.array([found[lang]["mean"] for lang in languages])
     deviation = np.array([found[lang]["deviation"] for lang in languages])
-    return StoredModels(languages, root, mean, deviation)
+    return calibrated(StoredModels(languages, root, mean, deviation), apart)
+
+
+def calibrated(models: StoredModels, texts: DataFrame) -> StoredModels:
+    """``models`` with their bounds, from ``texts`` (lang, text) that they did not learn.
+
+    Bits per symbol vary between a language's texts, and by chance the more the shorter a
+    text is: a bound is a reach in units of that spread and a slack in bits. With ENOUGH texts
+    of a language, or else of all, the reach is what a normal distribution needs and the slack
+    the QUANTILE of what texts take beyond it. With fewer, the reach holds for every
+    distribution with their mean square (Cantelli's inequality). Only texts that are given
+    their own language count, as wrong labels would widen it.
+    """
+    spark, languages = texts.sparkSession, models.languages
+    shared = spark.sparkContext.broadcast(models)
+
+    @F.pandas_udf("lang_pred string, bits double, size long")
+    def read(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        models = shared.value
+        for some in batches:
+            bits, sizes = models.entropies(some.tolist())
+            best = np.array(models.languages, object)[bits.argmin(axis=1)]
+            yield pd.DataFrame({"lang_pred": best, "bits": bits.min(axis=1), "size": sizes})
+
+    own = texts.select("lang", read("text").alias("read")).select("lang", "read.*")
+    own = own.where("size > 0 and lang = lang_pred").drop("lang_pred")
+    own = staged(spark, own, "langid-calibration")
+
+    def described(**values: np.ndarray) -> DataFrame:
+        schema = "lang string, " + ", ".join(f"{name} double" for name in values)
+        rows = zip(languages, *[v.tolist() for v in values.values()], strict=True)
+        return own.join(small_frame(spark, rows, T._parse_datatype_string(schema)), "lang")
+
+    def by_language(frame: DataFrame, *measures: Column) -> tuple[np.ndarray, np.ndarray]:
+        """A row of the count and ``measures`` for each language, and one for all together."""
+        found = frame.rollup("lang").agg(F.count("*"), *measures).collect()
+        found = {r[0]: [np.nan if v is None else v for v in r[1:]] for r in found}
+        none = [0] + [np.nan] * len(measures)
+        return np.array([found.get(lang, none) for lang in languages]), np.array(found.get(None, none))
+
+    off, chance = F.col("bits") - F.col("usual"), F.col("within") / F.col("size")
+    median = F.percentile_approx(off, 0.5, 100_000)
+    each, whole = by_language(described(usual=models.mean), median)
+    if whole[0] < LEAST:
+        same = np.ones(len(languages))
+        return dataclasses.replace(
+            models, usual=models.mean, between=same, reach=same * np.inf, slack=same
+        )
+    usual = models.mean + np.where(each[:, 0] < LEAST, whole[1], each[:, 1])
+    within = models.deviation**2
+    excess = F.percentile_approx(off * off / HALF, 0.5, 100_000) - F.percentile_approx(
+        chance, 0.5, 100_000
+    )
+    each, whole = by_language(described(usual=usual, within=within), excess)
+    between = np.maximum(np.where(each[:, 0] < LEAST, whole[1], each[:, 1]), 0)
+    spread = F.sqrt(F.col("between") + chance)
+    normal = NormalDist().inv_cdf(QUANTILE)
+    each, whole = by_language(
+        described(usual=usual, within=within, between=between),
+        F.percentile_approx(off - normal * spread, QUANTILE, 100_000),
+        F.sqrt(F.avg((off / spread) ** 2)) * math.sqrt(QUANTILE / (1 - QUANTILE)),
+    )
+    if whole[0] >= ENOUGH:
+        slack = np.maximum(np.where(each[:, 0] >= ENOUGH, each[:, 1], whole[1]), 0)
+        reach = np.full(len(languages), normal)
+    else:
+        slack, reach = np.zeros(len(languages)), np.full(len(languages), whole[2])
+    return dataclasses.replace(models, usual=usual, between=between, reach=reach, slack=slack)
 
 
 def identify(
@@ -105,7 +198,8 @@ def identify(
 
     Null texts and texts without a letter are ``und``, score 0, rejected. Ties go to the
     language that sorts first. A text with a letter is always given a language, rejected or
-    not; without any model everything is ``und``. Texts of any length are read whole.
+    not; without any model everything is ``und``, and with too few texts to calibrate the bounds
+    no text with a letter is rejected. Texts of any length are read whole.
     """
     shared = docs.sparkSession.sparkContext.broadcast(models)
 
@@ -131,8 +225,7 @@ def _judged(models: StoredModels | None, texts: list[str]) -> pd.DataFrame:
     least = bits[np.arange(len(texts)), best]
     weight = np.minimum(sizes, SCORED_SYMBOLS)[:, None]
     score = 1 / np.exp2(-(bits - least[:, None]) * weight).sum(axis=1)
-    chance = models.deviation[best] / np.sqrt(np.maximum(sizes, 1))
-    rejected = least > models.mean[best] + MARGIN + DEVIATIONS * chance
+    rejected = least > models.bound(best, sizes)
     judged = pd.DataFrame(
         {
             "lang_pred": np.array(models.languages, object)[best],
@@ -148,5 +241,5 @@ def language_id(
     docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang"
 ) -> DataFrame:
     """:func:`identify` for ``docs``, learned from those of them that are not held out."""
-    models = train(docs.where(~held_out(F.col(key))), text, lang)
+    models = train(docs.where(~held_out(F.col(key))), text, lang, key)
     return identify(docs, models, text)
