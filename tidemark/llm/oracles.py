@@ -176,3 +176,56 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
     sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT dropped), '')) AS kept_sha256
 FROM marked GROUP BY doc_id
 """
+
+ORACLES["op12_divergence"] = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS number, coalesce(lang, '') AS lang,
+        coalesce(source, '') AS source, coalesce(text, '') AS text
+    FROM documents
+), words AS (
+    SELECT number, lang, source, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM docs
+), kept AS (
+    SELECT lang, term, count(*) AS n FROM words
+    GROUP BY lang, term HAVING count(DISTINCT number) >= 3
+), langs AS (
+    SELECT lang, count(*) AS terms, sum(n) AS total FROM kept GROUP BY lang
+), found AS (
+    SELECT w.lang, w.source, w.term, count(*) AS n
+    FROM words w JOIN kept k ON w.lang = k.lang AND w.term = k.term
+    GROUP BY w.lang, w.source, w.term
+), groups AS (
+    SELECT g.lang, g.source, coalesce(any_value(l.terms), 0) AS terms,
+        coalesce(sum(f.n), 0) AS total
+    FROM (SELECT DISTINCT lang, source FROM docs) g
+    LEFT JOIN langs l ON g.lang = l.lang
+    LEFT JOIN found f ON g.lang = f.lang AND g.source = f.source
+    GROUP BY g.lang, g.source
+), shares AS (
+    SELECT g.lang, g.source, k.term, coalesce(f.n, 0) AS n,
+        1 + 1000000000::HUGEINT * (coalesce(f.n, 0) + 1) // (g.total + g.terms) AS p,
+        1 + 1000000000::HUGEINT * (k.n + 1) // (l.total + l.terms) AS q
+    FROM groups g JOIN kept k ON g.lang = k.lang JOIN langs l ON g.lang = l.lang
+    LEFT JOIN found f ON f.lang = g.lang AND f.source = g.source AND f.term = k.term
+), pairs AS (
+    SELECT a.lang, a.source, b.source AS item,
+        coalesce(sum((x.p - y.p) * (x.p - y.p) // y.p), 0) AS value
+    FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN shares x ON x.lang = a.lang AND x.source = a.source
+    LEFT JOIN shares y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+    WHERE x.term IS NULL OR y.term IS NOT NULL
+    GROUP BY a.lang, a.source, b.source
+), parts AS (
+    SELECT lang, source, 'pair' AS part, item, value FROM pairs
+    UNION ALL
+    SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM shares WHERE n > 0 AND p > q
+), ranked AS (
+    SELECT *, row_number() OVER (
+        PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS rank
+    FROM parts
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM ranked WHERE part = 'pair' OR rank <= 200
+"""

@@ -7,19 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, mixing, quality
+from tidemark.llm import bpe, chat, mixing, quality
 from tidemark.llm.decontaminate import decontaminate
+from tidemark.llm.divergence import source_divergence
 from tidemark.llm.jaccard import jaccard_components
 from tidemark.llm.langid import held_out, language_id
 from tidemark.llm.linededup import dedup_lines
 from tidemark.llm.tokenstore import TokenStore, write_store
 from tidemark.llm.toxicity import grade_toxicity
 from tidemark.llm.urlfilter import judge_urls
+from tidemark.llm.whitening import whiten
 from tidemark.shared import fresh_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 TOKENIZER = "word_bpe_49k.json"
+BYTE_TOKENIZER = "byte_bpe_50k.json"
 
 
 def register(query: Query) -> Query:
@@ -66,10 +69,10 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = TOKENIZER) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path(TOKENIZER)
+    return public_tokenizers.path(name)
 
 
 def token_table(spark: SparkSession, docs: DataFrame) -> DataFrame:
@@ -143,3 +146,29 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = grade_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return judged.select("doc.doc_id", "severity", "grade", "toxic")
+
+
+@register
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    white = whiten(table(spark, sf_dir, "embeddings"))
+    return white.select(
+        "doc.vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"
+    )
+
+
+@register
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(table(spark, sf_dir, "documents"))
+
+
+@register
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = tokenizer_path(BYTE_TOKENIZER)
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), tokenizer).select(
+        "row.doc_id",
+        "ids",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+    )
+    decoded = bpe.decode(encoded, tokenizer, keep=("doc_id", "n_tokens", "ids_sha256"))
+    return decoded.select("row.*", F.sha2("text", 256).alias("decoded_sha256"))
