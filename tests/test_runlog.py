@@ -54,3 +54,29 @@ def test_text_lines_round_trip(spark, tmp_path):
     assert [r[0] for r in parsed.orderBy("seq").select(line).collect()] == (
         file.read_text().splitlines()[:2]
     )
+
+
+def test_lines_are_numbered_over_splits_and_files(spark, tmp_path):
+    for day in ("06", "07"):
+        lines = [
+            f"[2025-11-{day} 10:{n // 60:02d}:{n % 60:02d}] [{'ERROR' if n % 50 == 0 else 'INFO'}] line {n}"
+            for n in range(900)
+        ]
+        lines[5] = "a trace below line 4"
+        (tmp_path / f"log_2025-11-{day}.txt").write_text("\n".join(lines) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 3000)
+    try:
+        log = runlog.read_text_log(spark, str(tmp_path)).collect()
+        last = runlog.tail_lines(runlog.read_text_log(spark, str(tmp_path)), 20, "ERROR").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(log) == 1800
+    for row in log:
+        if row["message"] is not None:
+            assert row["message"] == f"line {row['seq'] - 1}"
+        else:
+            assert row["seq"] == 6 and row["value"] == "a trace below line 4"
+    assert [(r["file"][-6:-4], r["message"]) for r in last] == [
+        *[("06", f"line {n}") for n in range(800, 900, 50)],
+        *[("07", f"line {n}") for n in range(0, 900, 50)],
+    ]

@@ -430,8 +430,9 @@ def test_reports_keep_every_run_and_replace_a_repeated_one(spark, tmp_path):
         f"- {ex.NOT_NULL}",
     ]
     assert summaries["run-2"].endswith("no check failed")
-    assert second.summary() == {
-        "layer": "Bronze", "success_percent": 100.0, "total": 1, "passed": 1, "failed": 0
-    }
+    assert second.statistics == {
+        "evaluated_expectations": 1, "successful_expectations": 1,
+        "unsuccessful_expectations": 0, "success_percent": 100.0,
+    }
     documents = [json.loads(r["value"]) for r in reports.read_documents(spark, path).collect()]
     assert sorted(d["success"] for d in documents) == [False, True]

@@ -293,9 +293,9 @@ def _checked(df: DataFrame, seq: int, expectation: Expectation) -> _Check:
 def _counted(df: DataFrame, checks: list[_Check], groups: list[str]) -> DataFrame:
     """One row of counts (one per group), from one pass over ``df``.
 
-    A row gives one entry with the mask of its tests and one with each compound key.
-    Equal entries are counted before and after a shuffle, so a hot key costs a row per
-    task. The counts by mask, and by whether a key is empty and repeated, are few.
+    Rows of equal masks of tests are counted before and after a shuffle; such counts are
+    few. With compound keys, a row gives one entry with its mask and one with each key, and
+    equal keys are counted first, so that a hot key costs a row per task.
     """
     tests = list({name: test for check in checks for name, test in check.tests.items()}.items())
     n_masks = -(-len(tests) // MASK_BITS)
@@ -312,6 +312,23 @@ def _counted(df: DataFrame, checks: list[_Check], groups: list[str]) -> DataFram
         ]
         return reduce(lambda a, b: a.bitwiseOR(b), parts)
 
+    def total(condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col("__n"))), F.lit(0))
+
+    def counts_of(row: Column) -> list[Column]:
+        """The number of rows and of those that each test hits."""
+        counts = [total(row).alias(ROWS)]
+        for number, (name, _) in enumerate(tests):
+            mask, bit = masks[number // MASK_BITS], 1 << number % MASK_BITS
+            hit = F.col(mask).bitwiseAND(F.lit(bit).cast("long")) != 0
+            counts.append(total(row & hit).alias(name))
+        return counts
+
+    if not keyed:
+        masked = df.select(*groups, *[bits(m).alias(name) for m, name in enumerate(masks)])
+        few = masked.groupBy(*groups, *masks).agg(F.count(F.lit(1)).alias("__n"))
+        return few.groupBy(*groups).agg(*counts_of(F.lit(True)))
+
     def entry(number: int, key: list[str]) -> Column:
         zero = F.lit(0).cast("long")
         values = [bits(m) if number == 0 else zero for m in range(n_masks)]
@@ -333,15 +350,7 @@ def _counted(df: DataFrame, checks: list[_Check], groups: list[str]) -> DataFram
     few = each.groupBy(*kept, filled.alias("__filled"), (F.col("__n") > 1).alias("__repeated"))
     few = few.agg(F.sum("__n").alias("__n"))
 
-    def total(condition: Column) -> Column:
-        return F.coalesce(F.sum(F.when(condition, F.col("__n"))), F.lit(0))
-
-    row = F.col("__set") == 0
-    counts = [total(row).alias(ROWS)]
-    for number, (name, _) in enumerate(tests):
-        mask, bit = masks[number // MASK_BITS], 1 << number % MASK_BITS
-        hit = F.col(mask).bitwiseAND(F.lit(bit).cast("long")) != 0
-        counts.append(total(row & hit).alias(name))
+    counts = counts_of(F.col("__set") == 0)
     for number, check in enumerate(keyed, 1):
         own = F.col("__set") == number
         counts.append(total(own & ~F.col("__filled")).alias(check.missing))
@@ -413,13 +422,14 @@ def combine(parts: DataFrame) -> DataFrame:
     keys = ["seq", "expectation_type", "column", "kwargs"]
     is_row_count = F.col("expectation_type") == ex.ROW_COUNT
     observed = F.col("observed_value")
+    telling = F.struct((~F.col("success")).alias("failed"), observed.alias("value"))
     grouped = parts.groupBy(*keys).agg(
         F.sum("element_count").alias("element_count"),
         F.sum("missing_count").alias("missing_count"),
         F.sum("unexpected_count").alias("unexpected_count"),
         F.bool_and("success").alias("all_succeeded"),
         F.sum(F.when(is_row_count, observed.try_cast("bigint"))).alias("rows"),
-        F.max(observed).alias("observed"),
+        F.max(telling)["value"].alias("observed"),
         F.bool_or("raised_exception").alias("raised_exception"),
         F.max("exception_message").alias("exception_message"),
     )
@@ -570,17 +580,6 @@ class ValidationReport:
             "success_percent": successful * 100 / evaluated if evaluated else None,
         }
 
-    def summary(self) -> dict:
-        """The statistics under the names that a reader of reports expects."""
-        counted = self.statistics
-        return {
-            "layer": self.layer,
-            "success_percent": counted["success_percent"],
-            "total": counted["evaluated_expectations"],
-            "passed": counted["successful_expectations"],
-            "failed": counted["unsuccessful_expectations"],
-        }
-
     @property
     def failed_types(self) -> list[str]:
         return [row["expectation_type"] for row in self.rows if not row["success"]]

@@ -7,11 +7,11 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark import schemas
-from tidemark.functions.scalars import TIMESTAMP_PATTERN, parse_event_time, utc
+from tidemark.functions.scalars import TIMESTAMP_PATTERN, parse_plain_time, utc
 from tidemark.shared import small_frame
 from tidemark.sources.tables import table_exists
 
@@ -38,7 +38,7 @@ def parse_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     rest = F.substr(line, F.lit(LEVEL_START))
     level = F.substring_index(rest, "]", 1)
     message = F.substr(rest, F.length(level) + 3)
-    log_time = F.when(well_formed, parse_event_time(F.substring(line, 2, STAMP_LENGTH)))
+    log_time = F.when(well_formed, parse_plain_time(F.substring(line, 2, STAMP_LENGTH)))
     return lines.withColumns(
         {
             "log_time": log_time,
@@ -49,10 +49,44 @@ def parse_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     )
 
 
+def number_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``file``, ``seq`` (the number of the line in its file, from 1) and ``value`` for every
+    line of the text files at ``path``, however they are split and dealt to tasks.
+
+    Lines are numbered within their split, and each split starts after all lines of the
+    splits before it in the file. A split is numbered by one task, so files that cannot be
+    split (compressed ones) are numbered whole.
+    """
+    lines = spark.read.text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+    )
+    split = ["file", "block"]
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    counts = lines.groupBy(*split).agg(F.count(F.lit(1)).alias("lines"))
+    starts = counts.select(*split, F.coalesce(F.sum("lines").over(earlier), F.lit(0)).alias("start"))
+    # Only the order of these ids within a split is used, not the ids.
+    within = Window.partitionBy(*split).orderBy("place")
+    placed = lines.withColumn("place", F.monotonically_increasing_id())
+    numbered = placed.withColumn("number", F.row_number().over(within))
+    joined = numbered.join(starts, split)
+    return joined.select("file", (F.col("start") + F.col("number")).alias("seq"), "value")
+
+
 def read_text_log(spark: SparkSession, path: str) -> DataFrame:
-    """Parsed lines of text log files. ``seq`` follows the order of lines in a file."""
-    lines = spark.read.text(path).withColumn("seq", F.monotonically_increasing_id())
-    return parse_lines(lines)
+    """Parsed lines of text log files with their ``file`` and ``seq``, the number of the line
+    in it. Lines without a time of their own keep their place between the others."""
+    return parse_lines(number_lines(spark, path))
+
+
+def tail_lines(log: DataFrame, count: int, level: str | None = None) -> DataFrame:
+    """The last lines over several files, which follow each other by name, in their order."""
+    chosen = log if level is None else log.filter(F.col("level") == level)
+    last = chosen.orderBy(F.desc("file"), F.desc("seq")).limit(count)
+    return last.orderBy("file", "seq")
 
 
 def append_events(
