@@ -1,0 +1,101 @@
+"""Exact sums against whole-number arithmetic."""
+
+import math
+import random
+from fractions import Fraction
+
+import pytest
+from pyspark.sql import functions as F
+
+from helpers import plan_of
+from tidemark.operators.exactsum import exact_total, hourly_reproducible, limb_entries
+from tidemark.plans.observations import table
+
+
+def totals(spark, groups):
+    rows = [(key, value) for key, values in groups.items() for value in values]
+    frame = spark.createDataFrame(rows, "key string, value double").repartition(5)
+    entries = limb_entries(frame, ["key"], [F.col("value")]).where("limb <> 101")
+    summed = entries.groupBy("key", "limb").agg(
+        F.sum(F.col("part").cast("decimal(20,0)")).cast("decimal(38,0)").alias("part")
+    )
+    listed = summed.groupBy("key").agg(F.collect_list(F.struct("limb", "part")).alias("parts"))
+    return {r["key"]: r["total"] for r in listed.select("key", exact_total(F.col("parts")).alias("total")).collect()}
+
+
+def nearest(values):
+    return float(sum((Fraction(v) for v in values), Fraction(0)))
+
+
+SPECIAL = {
+    "cancel": [1e300, 1.0, -1e300, 2.0**-30],
+    "minus": [-1.0, -2.0**-40, 0.25],
+    "denormal": [5e-324, 5e-324, -1e-310, 2.5e-308],
+    "mixed sizes": [1e-300, 1e300, -1e300, 3e-300],
+    "largest": [1.7976931348623157e308, -1.0],
+    "tenths": [0.1] * 11,
+    "edges": [2.0**32, 2.0**32 - 1, -(2.0**64), 2.0**-32, 2.0**31 - 0.5, 2.0**-64],
+    "small negative": [-5e-324, 1e-320],
+    "halves": [2.0**53, 1.0, 2.0**-60],
+}
+
+
+def test_sums_of_any_doubles_are_the_nearest_double(spark):
+    rng = random.Random(3)
+    groups = dict(SPECIAL)
+    for n in range(120):
+        spread = rng.choice([3, 40, 300])
+        groups[f"random {n}"] = [
+            rng.uniform(-1, 1) * 10.0 ** rng.randint(-spread, spread)
+            for _ in range(rng.randint(1, 30))
+        ]
+    found = totals(spark, groups)
+    for key, values in groups.items():
+        want = nearest(values)
+        assert found.get(key, 0.0) == want, (key, values)
+
+
+def test_values_that_are_not_finite(spark):
+    inf, nan = float("inf"), float("nan")
+    groups = {"plus": [inf, 1.0], "minus": [-inf, 2.0], "both": [inf, -inf], "nan": [nan, 1.0]}
+    found = totals(spark, groups)
+    assert found["plus"] == inf and found["minus"] == -inf
+    assert math.isnan(found["both"]) and math.isnan(found["nan"])
+
+
+@pytest.mark.parametrize("parts", [1, 7, 211])
+def test_every_partitioning_gives_the_same_bits(spark, sf_dir, parts):
+    rows = table(spark, sf_dir, "events").withColumn("value", F.col("value") / 3 + F.rand(1) * 0)
+    means, maxima = {"mean": "value"}, {"top": "value"}
+
+    def hours(frame):
+        result = hourly_reproducible(frame, "event_type", "ts", means, maxima, round_to=None)
+        return sorted(map(tuple, result.collect()))
+
+    once = hours(rows)
+    assert hours(rows.repartition(parts, F.rand(parts))) == once
+    values = {}
+    for r in rows.collect():
+        key = (r["event_type"], r["ts"].replace(minute=0, second=0, microsecond=0))
+        values.setdefault(key, []).append(r["value"])
+    for kind, start, _, mean, top, count in once:
+        own = values[kind, start]
+        assert (count, top) == (len(own), max(own))
+        assert mean == nearest(own) / len(own)
+
+
+def test_nulls_and_rows_without_a_time(spark):
+    rows = spark.createDataFrame(
+        [("a", "2024-01-01 10:05:00", None), ("a", "2024-01-01 10:06:00", 2.5),
+         ("b", "2024-01-01 10:06:00", None), ("b", None, 3.0)],
+        "city string, at string, value double",
+    ).withColumn("at", F.col("at").cast("timestamp_ntz"))
+    got = hourly_reproducible(rows, "city", "at", {"mean": "value"}, {"top": "value"})
+    found = {(r["city"], r["mean"], r["top"], r["record_count"]) for r in got.collect()}
+    assert ("a", 2.5, 2.5, 2) in found and ("b", None, None, 1) in found
+
+
+def test_it_stays_in_generated_code(spark, sf_dir):
+    rows = table(spark, sf_dir, "events")
+    plan = plan_of(hourly_reproducible(rows, "event_type", "ts", {"mean": "value"}, {"top": "value"}))
+    assert "Python" not in plan and plan.count("Generate") == 1
