@@ -5,8 +5,10 @@ import math
 import duckdb
 import pytest
 
-from tidemark.plans.oracles import ORACLES
-from tidemark.plans.queries import QUERIES
+from tidemark.plans import job_oracles, jobs, oracles, queries
+
+QUERIES = queries.QUERIES | jobs.QUERIES
+ORACLES = oracles.ORACLES | job_oracles.ORACLES
 
 TABLES = ("nation", "customer", "orders", "lineitem", "events")
 TYPES = {

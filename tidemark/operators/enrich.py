@@ -12,6 +12,7 @@ from tidemark.functions.scalars import parse_event_time, utc, utc_offset_label,
 
 UNKNOWN = "Unknown"
 
+
 def dictionary_lookup(
     rows: DataFrame,
     key: str,
@@ -53,11 +54,14 @@ def to_bronze(inputs: DataFrame, countries: DataFrame, keep: Sequence[str] = ())
     return named.select(*schemas.BRONZE.names, *keep)
 
 
-def rejection() -> Column:
-    """Why a bronze row can be neither aggregated nor merged; NULL for all others."""
-    return F.when(F.col("city").isNull(), F.lit("no city")).when(
-        F.col("event_time").isNull(), F.lit("no event time")
-    )
+def rejection(faults: Column | None = None) -> Column:
+    """Why a bronze row can be neither aggregated nor merged, or, given the ``faults`` of its
+    payload, which of its values is not of its type; NULL for all others."""
+    reason = F.when(F.col("city").isNull(), F.lit("no city"))
+    if faults is not None:
+        named = F.concat(F.lit("wrong type: "), F.array_join(faults, ", "))
+        reason = reason.when(F.size(faults) > 0, named)
+    return reason.when(F.col("event_time").isNull(), F.lit("no event time"))
 
 
 def is_acceptable() -> Column:

@@ -44,21 +44,42 @@ def late_rows(batch: DataFrame, column: str, mark) -> DataFrame:
     return batch.filter(named(column) <= _literal(batch, column, mark))
 
 
+ENTITY_MARK = "__mark"
+
+
 def entity_marks(rows: DataFrame, entities: list[str], column: str) -> DataFrame:
     """One mark per entity."""
-    return rows.groupBy(*entities).agg(F.max(named(column)).alias("__mark"))
+    return rows.groupBy(*entities).agg(F.max(named(column)).alias(ENTITY_MARK))
+
+
+def raise_entity_marks(marks: DataFrame, increment: DataFrame, entities: list[str]) -> DataFrame:
+    """The marks after an increment, from both: an entity keeps the higher one, a new one enters."""
+    return marks.unionByName(increment).groupBy(*entities).agg(F.max(ENTITY_MARK).alias(ENTITY_MARK))
+
+
+def beside_entity_marks(batch: DataFrame, marks: DataFrame, entities: list[str]) -> DataFrame:
+    """``batch`` with each entity's mark. The marks grow with the number of entities, so Spark
+    chooses the join by their size."""
+    return batch.join(marks, entities, "left")
 
 
 def above_entity_marks(
-    batch: DataFrame, marks: DataFrame, entities: list[str], column: str
+    batch: DataFrame,
+    marks: DataFrame,
+    entities: list[str],
+    column: str,
+    least=None,
 ) -> DataFrame:
     """Opt-in variant: each entity is compared with its own mark.
 
-    An entity without a mark is new and passes whole. The marks grow with the
-    number of entities, so Spark chooses the join by their size.
+    An entity without a mark is new and passes whole, or, given the ``least`` of all marks,
+    from there on: no row at or before it can be new then, and the comparison with this
+    literal reaches the scan, ahead of the join.
     """
-    joined = batch.join(marks, entities, "left")
-    new = F.col("__mark").isNull() | (named(column) > F.col("__mark"))
+    if least is not None:
+        batch = above_mark(batch, column, least)
+    joined = beside_entity_marks(batch, marks, entities)
+    new = F.col(ENTITY_MARK).isNull() | (named(column) > F.col(ENTITY_MARK))
     return joined.filter(named(column).isNotNull() & new).select(*batch.columns)
 
 

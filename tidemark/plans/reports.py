@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+from collections.abc import Mapping
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.scalars import utc
+from tidemark.operators.expectations import COMPOUND_UNIQUE
 from tidemark.operators.suite import (
     RESULTS,
     Suite,
@@ -25,7 +27,9 @@ from tidemark.operators.suite import (
     merge_lists,
     partial_lists,
     statistics_columns,
+    validate,
 )
+from tidemark.plans.keyindex import merged_texts
 from tidemark.shared import child_names, is_complete, small_frame
 
 STORED = (
@@ -84,14 +88,18 @@ def combined_report(
     previous_run: str | None,
     suite: Suite,
     layer: str,
+    keys: Mapping[int, tuple[int, list]] | None = None,
 ) -> ValidationReport | None:
     """The report on a table that grew by one slice, without scanning the table.
 
     Counts of the previous run's report on the table and of ``newest``, the
-    report on the slice, add up. None when there is no such report, or it was
-    made with another suite, or the suite has counts that do not add up.
+    report on the slice, add up. Rows with repeated keys do not; ``keys`` has, by the ``seq``
+    of such checks, by how much they have grown and the keys that are repeated now. None when
+    there is no such report, or it was made with another suite, or ``keys`` lacks a check.
     """
-    if previous_run is None or not suite.is_additive():
+    keys = keys or {}
+    compound = {n for n, e in enumerate(suite.ordered()) if e.expectation_type == COMPOUND_UNIQUE}
+    if previous_run is None or not compound <= keys.keys():
         return None
     folder = _folder(path, previous_run, layer)
     if not is_complete(spark, folder):
@@ -105,11 +113,41 @@ def combined_report(
         row["seq"]: [_decoded(row["partial_unexpected_list"])] for row in stored
     }
     for seq, values in newest.partial_lists.items():
-        lists[seq].append(values)
-    parts = before.select(*RESULTS.names).unionByName(small_frame(spark, newest.rows, RESULTS))
+        if seq not in keys:
+            lists[seq].append(values)
+    for seq, (_, values) in keys.items():
+        lists[seq] = [merged_texts(*lists[seq], values)]
+    added = [_grown(row, keys[row["seq"]][0]) if row["seq"] in keys else row for row in newest.rows]
+    parts = before.select(*RESULTS.names).unionByName(small_frame(spark, added, RESULTS))
     return _report_of(combine(parts), lists, suite, layer, newest.run_id, newest.run_time)
 
 
+def _grown(row: Row, grown: int) -> tuple:
+    """The result of a compound check on a slice, as what the slice adds to the table's."""
+    if row["raised_exception"]:
+        return tuple(row)
+    added = {**row.asDict(), "unexpected_count": grown, "success": grown == 0}
+    return tuple(added[name] for name in RESULTS.names)
+
+
+def validate_parts(
+    parts: list[DataFrame], suite: Suite, layer: str, run_id: str
+) -> ValidationReport:
+    """The report on a table that is stored in parts with schemas of their own: a check of the
+    schema holds if it holds for every part, counts add up. No key of a compound check may be
+    in two parts."""
+    each = [validate(part, suite, layer, run_id) for part in parts]
+    if len(each) == 1:
+        return each[0]
+    spark = parts[0].sparkSession
+    results = small_frame(spark, [row for report in each for row in report.rows], RESULTS)
+    lists: dict[int, list[list]] = {}
+    for report in each:
+        for seq, values in report.partial_lists.items():
+            lists.setdefault(seq, []).append(values)
+    return _report_of(combine(results), lists, suite, layer, run_id, each[0].run_time)
+
+
 def _report_of(
     combined: DataFrame,
     lists: dict[int, list[list]],

@@ -11,19 +11,23 @@ was is finished before anything new begins.
 The control table keeps one small file per generation; the newest one counts, and all but
 the last few are removed.
 
-Silver is partitioned by UTC date. An upsert reads and rewrites only the dates it
-touches. There is one writer at a time.
-
-Folder names tell which partitions a slice or an update touches, so the tables
-are never listed whole to find them.
+Silver is partitioned by UTC date. An upsert reads only the dates it touches and writes
+each of them as a folder of a new version; a small snapshot file, written last, says which
+version of each date counts. Readers take one snapshot and see a merge whole or not at all.
+The last few snapshots and their folders stay, for readers that began earlier. There is
+one writer at a time.
+
+Which dates a slice touches is found by a glob over the names of bronze's date folders; their
+files are not listed. Silver's dates are known from its snapshot.
 """
 
 from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,7 +36,7 @@ from pyspark.sql import types as T
 from tidemark import schemas
 from tidemark.functions.scalars import utc
 from tidemark.operators.enrich import rejection
-from tidemark.operators.increment import advance_control, lookup_mark
+from tidemark.operators.increment import ENTITY_MARK, advance_control, lookup_mark
 from tidemark.operators.upsert import ABSENT, upsert
 from tidemark.shared import (
     child_names,
@@ -161,6 +165,59 @@ def write_mark(
         delete_path(spark, expired)
 
 
+# --- marks of entities and landed files, by slice --------------------------------
+
+ENTITY = "city"
+ENTITY_MARKS = T.StructType().add(ENTITY, "string").add(ENTITY_MARK, "string")
+LANDED = T.StructType().add("path", "string").add("length", "long").add("slice", "string")
+#: Slices of a source whose marks stay, for runs and batches that are done again.
+KEPT_MARKS = 4
+
+
+def _marks_folder(layout: Layout, name: str) -> str:
+    return f"{layout.state}/entity_marks/{name}"
+
+
+def read_entity_marks(spark: SparkSession, layout: Layout, name: str | None) -> DataFrame | None:
+    """The mark of each entity as of a slice; None if none were kept then."""
+    folder = _marks_folder(layout, name or "")
+    if name is None or not is_complete(spark, folder):
+        return None
+    return spark.read.schema(ENTITY_MARKS).parquet(folder)
+
+
+def write_entity_marks(marks: DataFrame, layout: Layout, name: str) -> None:
+    marks.select(*ENTITY_MARKS.names).coalesce(1).write.mode("overwrite").parquet(
+        _marks_folder(layout, name)
+    )
+
+
+def forget_entity_marks(spark: SparkSession, layout: Layout, names: Sequence[str]) -> None:
+    for name in names:
+        delete_path(spark, _marks_folder(layout, name))
+
+
+def _landed_folder(layout: Layout) -> str:
+    return f"{layout.state}/landed"
+
+
+def read_landed(spark: SparkSession, layout: Layout) -> DataFrame:
+    """The files that slices were made of: ``path``, ``length``, ``slice``."""
+    if not child_names(spark, _landed_folder(layout)):
+        return small_frame(spark, [], LANDED)
+    return spark.read.schema(LANDED).parquet(_landed_folder(layout))
+
+
+def write_landed(files: DataFrame, layout: Layout, name: str) -> None:
+    """Note which files (``path``, ``length``) a slice is made of."""
+    chosen = files.select("path", "length").coalesce(1)
+    chosen.write.mode("overwrite").parquet(f"{_landed_folder(layout)}/slice={name}")
+
+
+def forget_landed(spark: SparkSession, layout: Layout, name: str) -> None:
+    delete_path(spark, f"{_landed_folder(layout)}/slice={name}")
+
+
 # --- bronze ------------------------------------------------------------------
 
 BRONZE_PARTITIONS = ("event_date", "accepted", "slice")
@@ -173,9 +230,11 @@ STORED_BRONZE = (
     .add("slice", "string")
 )
 REJECTED = ("city", "payload", "reason", "slice")
+#: Footers that the driver reads at a time.
+SCHEMA_READERS = 16
 
 
-def _slice_folders(
+def slice_folders(
     spark: SparkSession, layout: Layout, name: str, accepted: str = "true"
 ) -> list[str]:
     pattern = f"{layout.bronze}/event_date=*/accepted={accepted}/slice={name}"
@@ -184,22 +243,23 @@ def _slice_folders(
 
 def holds_only(spark: SparkSession, layout: Layout, name: str) -> bool:
     """Whether the accepted rows of bronze are all in one slice."""
-    return _slice_folders(spark, layout, "*") == _slice_folders(spark, layout, name)
+    return slice_folders(spark, layout, "*") == slice_folders(spark, layout, name)
 
 
 def remove_slice(spark: SparkSession, layout: Layout, name: str) -> None:
     """Remove what a write of this slice, and of no other, has left."""
-    for folder in _slice_folders(spark, layout, name, accepted="*"):
+    for folder in slice_folders(spark, layout, name, accepted="*"):
         delete_path(spark, folder)
 
 
 def write_slice(rows: DataFrame, layout: Layout, name: str) -> None:
     """Write one increment in one pass, accepted and rejected rows side by side.
 
-    ``rows`` are bronze rows with their ``payload``, which only rejected rows keep. The
-    rebalance hint spreads rows evenly, so that no date and no city is one task's work.
+    ``rows`` are bronze rows with their ``payload``, which only rejected rows keep, and with
+    its ``faults`` if those are known. The rebalance hint spreads rows evenly, so that no date
+    and no city is one task's work.
     """
-    reason = rejection()
+    reason = rejection(F.col("faults") if "faults" in rows.columns else None)
     (
         rows.select(
             *schemas.BRONZE.names,
@@ -221,128 +281,251 @@ def read_bronze(spark: SparkSession, layout: Layout) -> DataFrame:
     return rows.filter("accepted").select(*schemas.BRONZE.names)
 
 
+def read_other_slices(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
+    """The accepted rows of all slices but one."""
+    rows = spark.read.schema(STORED_BRONZE).parquet(layout.bronze)
+    others = rows.filter(F.col("accepted") & (F.col("slice") != name))
+    return others.select(*schemas.BRONZE.names)
+
+
 def holds_rows(spark: SparkSession, layout: Layout, name: str) -> bool:
     """Whether a slice has any row, accepted or not."""
-    return bool(_slice_folders(spark, layout, name, accepted="*"))
+    return bool(slice_folders(spark, layout, name, accepted="*"))
 
 
 def read_rejected(spark: SparkSession, layout: Layout, name: str = "*") -> DataFrame:
     """The quarantine: raw payloads that no hour and no key can hold, and why."""
-    folders = _slice_folders(spark, layout, name, accepted="false")
+    folders = slice_folders(spark, layout, name, accepted="false")
     return _read_folders(spark, layout.bronze, folders, STORED_BRONZE).select(*REJECTED)
 
 
 def read_slice(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
     """The accepted rows of one increment."""
-    folders = _slice_folders(spark, layout, name)
+    folders = slice_folders(spark, layout, name)
     rows = _read_folders(spark, layout.bronze, folders, STORED_BRONZE)
     return rows.select(*schemas.BRONZE.names)
 
 
-def as_stored(spark: SparkSession, layout: Layout, name: str = "*") -> DataFrame:
-    """Accepted rows under the schema that the files have, as checks of the schema need it.
+def _schema_of(spark: SparkSession, folder: str) -> T.StructType:
+    return spark.read.parquet(folder).schema
+
+
+def _by_schema(spark: SparkSession, folders: Sequence[str]) -> list[tuple[T.StructType, list[str]]]:
+    """Folders grouped by the schema that their files have. Each folder was filled by one
+    write, so one of its files tells; a footer is read for each, several at a time."""
+    if not folders:
+        return []
+    with ThreadPoolExecutor(SCHEMA_READERS) as pool:
+        schemas_of = list(pool.map(lambda folder: _schema_of(spark, folder), folders))
+    groups: dict[str, tuple[T.StructType, list[str]]] = {}
+    for schema, folder in zip(schemas_of, folders, strict=True):
+        groups.setdefault(schema.json(), (schema, []))[1].append(folder)
+    return list(groups.values())
+
+
+def as_stored(
+    spark: SparkSession, layout: Layout, name: str = "*", folders: Sequence[str] | None = None
+) -> DataFrame:
+    """Accepted rows, of one slice or of some folders, under the schema that their files have,
+    as checks of the schema need it.
 
     Without any row there is no file to tell, and the declared schema stands in.
     """
-    folders = _slice_folders(spark, layout, name)
+    folders = slice_folders(spark, layout, name) if folders is None else folders
     if not folders:
         return small_frame(spark, [], schemas.BRONZE)
     return spark.read.parquet(*folders).drop("payload", "reason")
 
 
+def stored_parts(spark: SparkSession, layout: Layout) -> list[DataFrame]:
+    """All accepted rows, in one part for each schema that slices have been stored with."""
+    groups = _by_schema(spark, slice_folders(spark, layout, "*"))
+    return [as_stored(spark, layout, "*", folders) for _, folders in groups or [(None, [])]]
+
+
 def read_dates_of_slice(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
     """All accepted rows of the dates on which a slice has rows, and of no other date."""
-    dates = [path.rsplit("/", 1)[0] for path in _slice_folders(spark, layout, name)]
+    dates = [path.rsplit("/", 1)[0] for path in slice_folders(spark, layout, name)]
     rows = _read_folders(spark, layout.bronze, dates, STORED_BRONZE)
     return rows.select(*schemas.BRONZE.names)
 
 
 # --- silver ------------------------------------------------------------------
 
-SILVER_PARTITION = "hour_date"
-STORED_SILVER = T.StructType(list(schemas.SILVER.fields)).add(SILVER_PARTITION, "date")
+SILVER_PARTITION, VERSION = "hour_date", "version"
+STORED_SILVER = (
+    T.StructType(list(schemas.SILVER.fields)).add(SILVER_PARTITION, "date").add(VERSION, "string")
+)
+#: Snapshots that readers may still be at.
+KEPT_VERSIONS = 3
+
+
+@dataclass(frozen=True)
+class Snapshot:
+    """Which version of each date makes up the silver table; names of folders both."""
+
+    number: int = 0
+    dates: Mapping[str, str] = field(default_factory=dict)
+
+    def folders(self, path: str, dates: Sequence[str] | None = None) -> list[str]:
+        chosen = sorted(self.dates) if dates is None else dates
+        return [f"{path}/{date}/{self.dates[date]}" for date in chosen]
+
+    def to_json(self) -> str:
+        return json.dumps({"number": self.number, "dates": dict(self.dates)})
+
+
+def _snapshot_numbers(spark: SparkSession, path: str) -> list[int]:
+    names = child_names(spark, f"{path}/_versions")
+    return sorted(int(name[: -len(".json")]) for name in names if name[:-len(".json")].isdigit())
+
+
+def _read_snapshot(spark: SparkSession, file: str) -> Snapshot | None:
+    text = read_text(spark, file)
+    return None if text is None else Snapshot(**json.loads(text))
+
+
+def snapshot(spark: SparkSession, path: str, version: int | None = None) -> Snapshot:
+    """The newest snapshot, or that of ``version``; empty before the first merge."""
+    numbers = _snapshot_numbers(spark, path)
+    if version is None and not numbers:
+        return Snapshot()
+    if version is not None and version not in numbers:
+        raise ValueError(f"version {version} of {path} is not kept; there are {numbers}")
+    number = numbers[-1] if version is None else version
+    return _read_snapshot(spark, f"{path}/_versions/{number:010d}.json")
+
+
+def read_silver(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """The silver table as of the newest or a given, still kept, version."""
+    folders = snapshot(spark, path, version).folders(path)
+    return _read_folders(spark, path, folders, STORED_SILVER).select(*schemas.SILVER.names)
 
 
 def _dates(spark: SparkSession, path: str) -> list[str]:
     return [name for name in child_names(spark, path) if name.startswith(f"{SILVER_PARTITION}=")]
 
 
-def read_silver(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(STORED_SILVER).parquet(path).select(*schemas.SILVER.names)
+def _staged(path: str) -> str:
+    return f"{path}_updates"
+
+
+def silver_parts(spark: SparkSession, path: str) -> list[DataFrame]:
+    """The silver table in one part for each schema that its dates have been stored with. No
+    date, and so no key, is in two parts."""
+    groups = _by_schema(spark, snapshot(spark, path).folders(path))
+    if not groups:
+        return [small_frame(spark, [], schemas.SILVER)]
+    return [spark.read.parquet(*folders) for _, folders in groups]
+
+
+def staged_as_stored(spark: SparkSession, path: str) -> DataFrame:
+    """The staged updates under the schema that their files have."""
+    if not _dates(spark, _staged(path)):
+        return small_frame(spark, [], schemas.SILVER)
+    return spark.read.parquet(_staged(path)).drop(SILVER_PARTITION)
 
 
 def read_changed_dates(spark: SparkSession, path: str, known: set[str]) -> DataFrame:
     """The silver rows, with their date, of the dates that the staged updates touched and of
     those not among the ``known`` folder names; under the schema that the files have."""
-    updated = set(_dates(spark, f"{path}_updates"))
-    changed = [date for date in _dates(spark, path) if date in updated or date not in known]
+    current, updated = snapshot(spark, path), set(_dates(spark, _staged(path)))
+    changed = [date for date in sorted(current.dates) if date in updated or date not in known]
     if not changed:
-        return small_frame(spark, [], STORED_SILVER)
-    return spark.read.option("basePath", path).parquet(*[f"{path}/{date}" for date in changed])
+        return small_frame(spark, [], STORED_SILVER).drop(VERSION)
+    reader = spark.read.option("basePath", path)
+    return reader.parquet(*current.folders(path, changed)).drop(VERSION)
 
 
-def _write_dates(rows: DataFrame, path: str, partition_overwrite: str) -> None:
-    (
-        rows.withColumn(SILVER_PARTITION, F.to_date(utc(F.col("hour_start"))))
-        .hint("rebalance")
-        .write.option("partitionOverwriteMode", partition_overwrite)
-        .partitionBy(SILVER_PARTITION)
-        .mode("overwrite")
-        .parquet(path)
-    )
+def _write_dates(rows: DataFrame, path: str, mode: str, version: str | None = None) -> None:
+    dated = rows.withColumn(SILVER_PARTITION, F.to_date(utc(F.col("hour_start"))))
+    partitions = [SILVER_PARTITION]
+    if version is not None:
+        dated, partitions = dated.withColumn(VERSION, F.lit(version)), [SILVER_PARTITION, VERSION]
+    dated.hint("rebalance").write.partitionBy(*partitions).mode(mode).parquet(path)
 
 
-def _publish(rows: DataFrame, path: str) -> None:
-    """Replace exactly the dates that ``rows`` holds."""
-    _write_dates(rows, path, "dynamic")
+def _publish(spark: SparkSession, path: str, new: Snapshot) -> None:
+    """Make ``new`` the table, by one file."""
+    write_text(spark, f"{path}/_versions/{new.number:010d}.json", new.to_json())
 
 
 def _finish_pending(spark: SparkSession, path: str) -> None:
-    """Publish a merge result that an interrupted run wrote but did not publish."""
-    pending = f"{path}_pending"
-    if is_complete(spark, pending):
-        _publish(read_silver(spark, pending), path)
+    """Publish a snapshot whose folders are all written, also one that an interrupted run left,
+    and let go of versions that are no longer kept."""
+    pending = f"{path}/_versions/pending.json"
+    new = _read_snapshot(spark, pending)
+    if new is None:
+        return
+    if new.number not in _snapshot_numbers(spark, path):
+        _publish(spark, path, new)
+    _expire(spark, path)
     delete_path(spark, pending)
 
 
+def _expire(spark: SparkSession, path: str) -> None:
+    numbers = _snapshot_numbers(spark, path)
+    held = {
+        folder
+        for number in numbers[-KEPT_VERSIONS:]
+        for folder in snapshot(spark, path, number).folders(path)
+    }
+    for number in numbers[:-KEPT_VERSIONS]:
+        for folder in snapshot(spark, path, number).folders(path):
+            if folder not in held:
+                delete_path(spark, folder)
+        delete_path(spark, f"{path}/_versions/{number:010d}.json")
+
+
 def stage_updates(spark: SparkSession, path: str, source: DataFrame) -> DataFrame:
     """Write the source of a merge next to its table and read it back.
 
     Whatever is done with it afterwards, checks and the merge, reads the stored
     rows and does not compute the source again.
     """
-    staged = f"{path}_updates"
-    _write_dates(source.select(*schemas.SILVER.names), staged, "static")
-    return read_silver(spark, staged)
+    _write_dates(source.select(*schemas.SILVER.names), _staged(path), "overwrite")
+    return _read_staged(spark, path)
+
+
+def _read_staged(spark: SparkSession, path: str) -> DataFrame:
+    stored = STORED_SILVER[: len(schemas.SILVER.names) + 1]
+    return spark.read.schema(stored).parquet(_staged(path)).select(*schemas.SILVER.names)
 
 
 def merge_staged(
     spark: SparkSession, path: str, update_columns: Sequence[str] = schemas.SILVER_MEASURES
-) -> None:
-    """Upsert the staged updates into the silver table, or create the table from them.
+) -> list[str]:
+    """Upsert the staged updates into the silver table, or create the table from them, and
+    return the dates it rewrote, as names of folders.
 
-    The merged dates are first written next to the table and only then
-    published. Should the driver stop in between, the next merge publishes them
-    first; nothing is lost and nothing is merged twice.
+    The merged dates are written as a version of their own, which nobody reads until its
+    snapshot is published. Should the driver stop before that, the folders are left and
+    never read; should it stop while publishing, the next merge publishes first. Nothing is
+    lost and nothing is merged twice.
     """
     _finish_pending(spark, path)
-    staged = f"{path}_updates"
-    source = read_silver(spark, staged)
-    if not path_exists(spark, path):
-        _publish(source, path)
-        return
-    stored = set(_dates(spark, path))
-    touched = [f"{path}/{date}" for date in _dates(spark, staged) if date in stored]
-    target = _read_folders(spark, path, touched, STORED_SILVER)
-    merged = upsert(
-        target.select(*schemas.SILVER.names),
-        source,
-        keys=schemas.SILVER_KEYS,
-        update_columns=update_columns,
-        null_keys=ABSENT,
-    )
-    _write_dates(merged, f"{path}_pending", "static")
+    current, dates = snapshot(spark, path), _dates(spark, _staged(path))
+    if not dates:
+        return []
+    merged = _read_staged(spark, path)
+    touched = [date for date in dates if date in current.dates]
+    if touched:
+        target = _read_folders(spark, path, current.folders(path, touched), STORED_SILVER)
+        merged = upsert(
+            target.select(*schemas.SILVER.names),
+            merged,
+            keys=schemas.SILVER_KEYS,
+            update_columns=update_columns,
+            null_keys=ABSENT,
+        )
+    number = current.number + 1
+    version = f"{number:010d}-{uuid.uuid4().hex[:8]}"
+    _write_dates(merged, path, "append", version)
+    rewritten = dict.fromkeys(dates, f"{VERSION}={version}")
+    new = Snapshot(number, {**current.dates, **rewritten})
+    write_text(spark, f"{path}/_versions/pending.json", new.to_json())
     _finish_pending(spark, path)
+    return dates
 
 
 def merge_into_silver(

@@ -67,6 +67,14 @@ def delete_path(spark: SparkSession, path: str) -> None:
     files.delete(location, True)
 
 
+def move_path(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file or folder; what is at ``target`` must be gone."""
+    files, location = _file_system(spark, source)
+    goal = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
+    if not files.rename(location, goal):
+        raise OSError(f"cannot move {source} to {target}")
+
+
 def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
     """Paths that match a glob pattern, such as partition folders."""
     files, location = _file_system(spark, pattern)
