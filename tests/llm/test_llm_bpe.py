@@ -2,7 +2,9 @@
 
 import hashlib
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -20,9 +22,9 @@ def ids(text):
     return LIBRARY.encode(text or "", add_special_tokens=False).ids
 
 
-def check(docs):
+def check(docs, **options):
     rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
-    encoded = bpe.encode(docs, PATH, keep=("doc_id", "text"))
+    encoded = bpe.encode(docs, PATH, keep=("doc_id", "text"), **options)
     got = [(r.row.doc_id, r.row.text, r.ids) for r in encoded.collect()]
     assert sorted(got, key=str) == sorted(((k, t, ids(t)) for k, t in rows), key=str)
     back = bpe.decode(encoded, PATH).collect()
@@ -43,13 +45,10 @@ def test_empty_table(nothing):
     check(nothing)
 
 
-def test_small_blocks_and_batches(spark, tricky, monkeypatch):
-    monkeypatch.setattr(bpe, "BLOCK", 500)
-    monkeypatch.setattr(bpe, "OUT", 100)
-    monkeypatch.setattr(bpe, "BATCH", 3)
+def test_small_blocks_and_batches(spark, tricky):
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 5)
     try:
-        check(tricky.where("length(text) < 5000 or text is null"))
+        check(tricky.where("length(text) < 5000 or text is null"), block_bytes=500)
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
@@ -84,13 +83,44 @@ def test_decoding_of_ids_that_are_no_text(spark):
         assert r.text == LIBRARY.decode(want, skip_special_tokens=False)
 
 
-def test_every_word_is_encoded_once(spark, sf_dir):
+def words(texts):
+    found, counts = bpe.words_of(pa.array([t.encode() for t in texts], pa.binary()))
+    ends = np.cumsum([0, *counts])
+    return [found.slice(a, b - a).to_pylist() for a, b in zip(ends[:-1], ends[1:], strict=True)]
+
+
+def test_words_put_together_are_the_text(monkeypatch, tricky):
+    texts = [r.text or "" for r in tricky.collect()] + ["", "a", " ", "a b", "a1-b's <|endoftext|>."]
+    whole = words(texts)
+    assert ["".join(own) for own in whole] == texts
+    assert whole[-1] == ["a", "1", "-", "b's", " <|endoftext|>", "."] or "".join(whole[-1]) == texts[-1]
+    for size in (1, 2, 3, 7):
+        monkeypatch.setattr(bpe, "SLICE", size)
+        short = [t for t in texts if len(t) < 3000]
+        assert words(short) == [own for own, t in zip(whole, texts, strict=True) if len(t) < 3000]
+    sliced = pa.array([t.encode() for t in texts], pa.binary()).slice(3, 4)
+    assert bpe.words_of(sliced)[0].to_pylist() == sum(whole[3:7], [])
+
+
+def test_equal_words_of_all_blocks_are_encoded_once(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    words = docs.select(F.explode(bpe.words_of(F.col("text"))).alias("word"))
-    table = bpe.word_ids(words, PATH).collect()
-    assert len({r.word for r in table}) == len(table) < words.count() / 2
-    whole = docs.select("text", F.concat_ws("", bpe.words_of(F.col("text"))).alias("again"))
-    assert whole.where("text <> again").count() == 0
+    check(docs.repartition(5), block_bytes=40_000)
+    read = docs.select(F.struct("doc_id").alias("row"), F.col("text").cast("binary").alias("text"))
+    entries = bpe.distinct_words(read, 40_000)
+    assert entries.select("block").distinct().count() > 5
+    assert entries.select("word").distinct().count() < entries.count()
+    met = entries.repartition("word").select("word", F.spark_partition_id().alias("task"))
+    assert met.distinct().count() == entries.select("word").distinct().count()
+
+
+def test_texts_that_are_read_differently_raise(spark):
+    rows = spark.range(200).select(
+        F.col("id").alias("doc_id"), F.concat(F.lit("word "), F.rand().cast("string")).alias("text")
+    )
+    rand = F.udf(lambda _: __import__("random").random(), "double").asNondeterministic()
+    rows = rows.withColumn("text", F.concat("text", rand("doc_id").cast("string")))
+    with pytest.raises(Exception, match="not alike"):
+        bpe.encode(rows, PATH).count()
 
 
 def test_query(spark, sf_dir):

@@ -1,9 +1,10 @@
 """Byte-level BPE through a table of distinct words, and back through a table of pieces.
 
-Encoding: Spark cuts texts into words, tasks number the words of a block of texts, and each
-distinct word of all blocks is encoded once. A join of the blocks' words with that table
-brings the ids back, and the numbers say at which positions they stand. What is shuffled is
-the distinct words of each block and a number for each word of a text, never the texts.
+Encoding: tasks cut texts into words at places where the tokenizer always cuts, and number
+the distinct words of a block of texts. Words of all blocks meet by hash, and each distinct
+one is encoded once; the ids go back to the blocks, where the numbers say at which positions
+they stand. What is shuffled is the distinct words of each block, their ids, and a number for
+each word of a text, compressed; never the texts.
 
 Decoding: a row for each id meets the piece of the id, and the pieces of a row are put
 together where they are.
@@ -11,31 +12,41 @@ together where they are.
 
 from __future__ import annotations
 
+import functools
 import os
-import uuid
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+import xxhash
+import zstandard
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import staged
-
-#: Anything but white space, controls and marks of which any Unicode version may think
-#: differently.
-SOLID = r"[^\x00-\x20\x7F-\xA0\u1680\u180E\u2000-\u206F\u3000\uFEFF]"
-#: Places at which such a tokenizer always cuts: before a lone space or line end between two
-#: solid characters, and between a letter or digit and a sign (no apostrophe).
-CUTS = rf"(?<={SOLID})(?=[ \n]{SOLID})|(?<=[A-Za-z0-9])(?=[,.;:!?])"
-#: Bytes of words that share one numbering, and that are put out together.
-BLOCK, OUT = 8_000_000, 4_000_000
+#: Classes of bytes: letters, digits, signs, what is no white space but part of longer things
+#: (apostrophes of contractions, bars of special tokens), a blank that may stand before a word.
+LETTER, DIGIT, SIGN, BOUND, BLANK = 1, 2, 3, 4, 5
+#: Bytes of texts that share one numbering, that are looked at together, and of texts put out.
+BLOCK, SLICE, OUT = 32_000_000, 2_000_000, 4_000_000
 #: Words that are encoded together.
 BATCH = 2_000
 #: Ids of a vocabulary that may be sent to every task.
 MOST_PIECES = 2_000_000
-CODES = "block string, row {row}, codes binary, words array<string>"
+
+
+def _classes() -> np.ndarray:
+    table = np.zeros(256, np.uint8)
+    for byte in range(ord("!"), ord("~") + 1):
+        letter = chr(byte)
+        table[byte] = LETTER if letter.isalpha() else DIGIT if letter.isdigit() else SIGN
+    table[[ord("'"), ord("|")]] = BOUND
+    table[[ord(" "), ord("\n")]] = BLANK
+    return table
+
+
+CLASSES = _classes()
 
 
 def _tokenizer(path: str):
@@ -48,127 +59,239 @@ def _tokenizer(path: str):
     return tokenizer
 
 
-def words_of(text: Column) -> Column:
-    """The words of a text, in order; put together they are the text. A null has none."""
-    return F.when(text.isNull(), F.array().cast("array<string>")).otherwise(
-        F.split(text, CUTS, -1)
-    )
-
-
-def _code_type(n_words: int) -> np.dtype:
-    return np.dtype("<u2" if n_words <= 1 << 16 else "<u4")
-
-
-def _numbered(rows: pa.Array, words: pa.Array) -> pa.RecordBatch:
-    """A block: a row for each text with the numbers of its words, and one with the words."""
-    forms = words.flatten().dictionary_encode()
-    codes = forms.indices.to_numpy().astype(_code_type(len(forms.dictionary))).tobytes()
-    wide = _code_type(len(forms.dictionary)).itemsize
-    ends = (words.offsets.to_numpy().astype(np.int64) - words.offsets[0].as_py()) * wide
-    offsets = pa.array(np.append(ends, ends[-1]).astype(np.int64))
-    cut = pa.Array.from_buffers(
-        pa.large_binary(), len(rows) + 1, [None, offsets.buffers()[1], pa.py_buffer(codes)]
-    )
-    lists = [None] * len(rows) + [forms.dictionary]
-    return pa.record_batch(
-        [
-            pa.array([uuid.uuid4().hex] * (len(rows) + 1)),
-            pa.concat_arrays([rows, pa.nulls(1, rows.type)]),
-            cut.cast(pa.binary()),
-            pa.array(lists, pa.list_(pa.string())),
-        ],
-        names=["block", "row", "codes", "words"],
-    )
-
-
-def number_words(docs: DataFrame, text: str, keep: Sequence[str]) -> DataFrame:
-    """Texts in blocks of about BLOCK bytes: ``block``, and ``row`` (the kept columns) with its
-    ``codes``, or, once in each block, the ``words`` that the codes number."""
+def cuts(raw: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Where words begin in the bytes of several texts, which begin at ``starts``.
 
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, words, size = [], [], 0
-        for batch in batches:
-            lists = batch.column("words")
-            inner = pc.fill_null(pc.binary_length(lists.flatten()), 0).to_numpy(False)
-            behind = np.concatenate([[0], np.cumsum(inner, dtype=np.int64)])
-            ends = behind[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
-            at = 0
-            while at < batch.num_rows:
-                full = ends[at] + BLOCK - size
-                end = max(int(np.searchsorted(ends, full, "right")) - 1, at + (not rows))
-                rows.append(batch.column("row").slice(at, end - at))
-                words.append(lists.slice(at, end - at))
-                size += int(ends[end] - ends[at])
-                at = end
-                if at < batch.num_rows or size >= BLOCK:
-                    yield _numbered(pa.concat_arrays(rows), pa.concat_arrays(words))
-                    rows, words, size = [], [], 0
-        if rows:
-            yield _numbered(pa.concat_arrays(rows), pa.concat_arrays(words))
-
-    cut = docs.select(F.struct(*keep).alias("row"), words_of(F.col(text)).alias("words"))
-    row = cut.schema["row"].dataType.simpleString()
-    return cut.mapInArrow(number, CODES.format(row=row))
-
-
-def word_ids(words: DataFrame, tokenizer: str) -> DataFrame:
-    """``word`` and its ``ids`` for the distinct words of ``words`` (one column ``word``)."""
+    Besides there, that is before a blank between two printable ASCII characters, and between
+    two of those of which one is a letter and one a digit, or one of them and a sign. No
+    tokenizer of this kind has a piece across such a place, whatever surrounds it; characters
+    beyond ASCII, of which versions of Unicode may think differently, are never cut at.
+    """
+    found = [starts]
+    for at in range(0, len(raw), SLICE):
+        own = CLASSES[raw[max(at - 1, 0) : at + SLICE + 1]]  # a neighbour on each side
+        shift = min(at, 1)
+        before, here = own[: len(own) - 1], own[1:]
+        differ = (before != here) & (before >= LETTER) & (before <= SIGN)
+        differ &= (here >= LETTER) & (here <= SIGN)
+        solid = (own >= LETTER) & (own <= BOUND)
+        blank = np.zeros(len(before), bool)
+        blank[:-1] = (here[:-1] == BLANK) & solid[:-2] & solid[2:]
+        places = np.flatnonzero(differ | blank) + 1 + at - shift
+        found.append(places[places < at + SLICE + (1 - shift)])
+    return np.unique(np.concatenate(found))
+
+
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of texts (binary, no nulls), in a row, and how many each text has."""
+    offsets = np.frombuffer(texts.buffers()[1], np.int32)[
+        texts.offset : texts.offset + len(texts) + 1
+    ]
+    data = texts.buffers()[2]
+    raw = np.frombuffer(data or b"", np.uint8)[offsets[0] : offsets[-1]]
+    starts = (offsets - offsets[0]).astype(np.int64)
+    places = cuts(raw, starts[:-1][np.diff(starts) > 0])
+    ends = np.append(places, len(raw)).astype(np.int32)
+    words = pa.StringArray.from_buffers(len(places), pa.py_buffer(ends), pa.py_buffer(raw))
+    return words, np.diff(np.searchsorted(places, starts))
+
+
+def _packed(numbers: np.ndarray) -> bytes:
+    """Numbers below 2**32 by planes of bytes, of which the higher ones are nearly empty."""
+    planes = numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T
+    return zstandard.ZstdCompressor(1).compress(planes.tobytes())
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8)
+    return planes.reshape(4, -1).T.copy().view("<u4")[:, 0]
+
+
+class _Block:
+    """Texts that share one numbering of their words, the most frequent first."""
+
+    def __init__(self, number: int):
+        self.number, self.size = number, 0
+        self.rows: list[pa.Array] = []
+        self.words: list[pa.Array] = []
+        self.counts: list[np.ndarray] = []
+
+    def add(self, rows: pa.Array, texts: pa.Array) -> None:
+        words, counts = words_of(texts)
+        self.rows.append(rows)
+        self.words.append(words.dictionary_encode())
+        self.counts.append(counts)
+        self.size += int(pc.sum(pc.binary_length(texts)).as_py() or 0)
+
+    def numbered(self) -> tuple[pa.Array, np.ndarray]:
+        """The distinct words, and the number of each word of the texts."""
+        whole = pa.chunked_array(self.words).unify_dictionaries().combine_chunks()
+        codes = whole.indices.to_numpy()
+        often = np.bincount(codes, minlength=len(whole.dictionary))
+        order = np.argsort(-often, kind="stable")
+        rank = np.empty(len(order), np.uint32)
+        rank[order] = np.arange(len(order), dtype=np.uint32)
+        return whole.dictionary.take(pa.array(order)), rank[codes]
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[_Block]:
+    """The texts of a task in blocks of about ``size`` bytes, numbered by task."""
+    task = TaskContext.get().partitionId()
+    number = 0
+    block = _Block(task << 24)
+    for batch in batches:
+        texts = pc.fill_null(batch.column("text").cast(pa.binary()), b"")
+        sizes = np.cumsum(pc.binary_length(texts).to_numpy(False), dtype=np.int64)
+        at = 0
+        while at < batch.num_rows:
+            before = sizes[at - 1] if at else 0
+            room = before + max(size - block.size, 0)
+            end = max(int(np.searchsorted(sizes, room, "right")), at + (not block.rows))
+            if end > at:
+                block.add(batch.column("row").slice(at, end - at), texts.slice(at, end - at))
+            at = end
+            if at < batch.num_rows or block.size >= size:
+                yield block
+                number += 1
+                block = _Block((task << 24) + number)
+    if block.rows:
+        yield block
+
+
+def _digest(words: pa.Array) -> int:
+    """A fingerprint of a block's words, to know that two passes have numbered them alike."""
+    ends, data = np.frombuffer(words.buffers()[1], np.int32), words.buffers()[2]
+    hashed = xxhash.xxh64(ends[: len(words) + 1].tobytes())
+    hashed.update(data or b"")
+    return hashed.intdigest() & (1 << 62) - 1
+
+
+def _positions(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """A row for each block: its rows, and which of its words stand where."""
+    for block in _blocks(batches, size):
+        words, codes = block.numbered()
+        rows = pa.concat_arrays(block.rows)
+        lists = pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows)
+        yield pa.record_batch(
+            [
+                pa.array([block.number], pa.int64()),
+                pa.array([_digest(words)], pa.int64()),
+                lists,
+                pa.array([_packed(np.concatenate(block.counts))], pa.binary()),
+                pa.array([_packed(codes)], pa.binary()),
+            ],
+            names=["of", "digest", "rows", "counts", "codes"],
+        )
+
+
+def _entries(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """A row for each distinct word of each block."""
+    for block in _blocks(batches, size):
+        words, _ = block.numbered()
+        names = ["block", "digest", "code", "word"]
+        for start in range(0, len(words), 1 << 16):
+            some = words.slice(start, 1 << 16)
+            yield pa.record_batch(
+                [
+                    pa.array(np.full(len(some), block.number), pa.int64()),
+                    pa.array(np.full(len(some), _digest(words)), pa.int64()),
+                    pa.array(np.arange(start, start + len(some), dtype=np.int32)),
+                    some,
+                ],
+                names=names,
+            )
+
+
+def word_ids(entries: DataFrame, tokenizer: str) -> DataFrame:
+    """``block``, ``digest``, ``code`` and the ``ids`` (4 bytes each) of its ``word``, for every
+    row of ``entries``. Equal words meet in one task, one after the other, and are encoded
+    once; a word may be in any share of the blocks."""
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _tokenizer(tokenizer)
+        last: tuple[str, bytes] | None = None
         for batch in batches:
-            for start in range(0, batch.num_rows, BATCH):
-                some = batch.column(0).slice(start, BATCH)
-                encoded = codec.encode_batch_fast(some.to_pylist(), add_special_tokens=False)
-                ids = pa.array([e.ids for e in encoded], pa.list_(pa.int32()))
-                yield pa.record_batch([some, ids], names=["word", "ids"])
-
-    return words.distinct().mapInArrow(look_up, "word string, ids array<int>")
+            encoded = batch.column("word").dictionary_encode()
+            forms = encoded.dictionary.to_pylist()
+            known = {last[0]: last[1]} if last is not None else {}
+            fresh = [form for form in forms if form not in known]
+            for start in range(0, len(fresh), BATCH):
+                some = fresh[start : start + BATCH]
+                found = codec.encode_batch_fast(some, add_special_tokens=False)
+                known.update(
+                    (form, np.array(e.ids, "<u4").tobytes())
+                    for form, e in zip(some, found, strict=True)
+                )
+            ids = pa.array([known[form] for form in forms], pa.binary()).take(encoded.indices)
+            if forms:
+                final = batch.column("word")[-1].as_py()
+                last = final, known[final]
+            yield pa.record_batch(
+                [*(batch.column(name) for name in ("block", "digest", "code")), ids],
+                names=["block", "digest", "code", "ids"],
+            )
+
+    met = entries.repartition("word").sortWithinPartitions("word")
+    return met.mapInArrow(look_up, "block long, digest long, code int, ids binary")
 
 
 def _gathered(left: pa.Table, right: pa.Table) -> pa.Table:
-    """The ids of each row of a block, from its codes and the ids of each word."""
+    """The ids of each row of a block, from the positions of its words and the words' ids."""
     right = right.sort_by("code")
-    lists = right.column("ids").combine_chunks()
-    values, starts = lists.flatten().to_numpy(), lists.offsets.to_numpy().astype(np.int64)
-    sizes = np.diff(starts)
-    starts = starts[:-1] - (starts[0] if len(starts) else 0)
-    raw = left.column("codes").combine_chunks()
-    codes = np.frombuffer(b"".join(raw.to_pylist()), _code_type(right.num_rows))
+    (digest,) = left.column("digest").to_pylist()
+    if set(right.column("digest").unique().to_pylist()) - {digest}:
+        raise RuntimeError("the texts were read twice and not alike: write them to a table first")
+    raw = right.column("ids").combine_chunks()
+    if isinstance(raw, pa.ChunkedArray):  # no word at all
+        raw = pa.array([], pa.binary())
+    values = np.frombuffer(b"".join(raw.to_pylist()), "<i4")
+    sizes = (pc.binary_length(raw).to_numpy(False) // 4).astype(np.int32)
+    starts = np.cumsum(sizes, dtype=np.int32) - sizes
+    codes = _unpacked(left.column("codes")[0].as_py())
     counts = sizes[codes]
-    behind = np.cumsum(counts)
+    behind = np.cumsum(counts, dtype=np.int64)
     total = int(behind[-1]) if len(behind) else 0
-    places = np.repeat(starts[codes] - behind + counts, counts) + np.arange(total)
-    n_codes = pc.binary_length(raw).to_numpy(False) // _code_type(right.num_rows).itemsize
-    ends = np.concatenate([[0], behind])[np.concatenate([[0], np.cumsum(n_codes)])]
-    ids = pa.ListArray.from_arrays(
-        pa.array(ends.astype(np.int32)), pa.array(values[places].astype(np.int32))
-    )
-    return pa.table({"row": left.column("row"), "ids": ids})
+    kind = np.int32 if total < 1 << 31 else np.int64
+    places = np.repeat((starts[codes] - (behind - counts)).astype(kind), counts)
+    places += np.arange(total, dtype=kind)
+    n_words = np.cumsum(_unpacked(left.column("counts")[0].as_py()), dtype=np.int64)
+    ends = np.concatenate([[0], behind])[np.concatenate([[0], n_words])]
+    ids = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(values[places]))
+    return pa.table({"row": left.column("rows").combine_chunks().flatten(), "ids": ids})
+
+
+def distinct_words(texts: DataFrame, block_bytes: int = BLOCK) -> DataFrame:
+    """``block``, ``digest``, ``code`` and ``word`` for each distinct word of each block of
+    ``texts`` (``row``, and ``text`` as bytes)."""
+    each = functools.partial(_entries, size=block_bytes)
+    return texts.mapInArrow(each, "block long, digest long, code int, word string")
 
 
 def encode(
-    docs: DataFrame, tokenizer: str, text: str = "text", keep: Sequence[str] = ("doc_id",)
+    docs: DataFrame,
+    tokenizer: str,
+    text: str = "text",
+    keep: Sequence[str] = ("doc_id",),
+    block_bytes: int = BLOCK,
 ) -> DataFrame:
     """``row`` (a struct of the ``keep`` columns) and ``ids`` of the whole text, for every row.
 
     ``tokenizer`` is the file of a byte-level BPE tokenizer on every executor. Special tokens
     within a text get their own id, none is added. Null and empty texts have no ids; equal
     rows stay apart; an empty table gives an empty one. Columns not kept are not read, so
-    their names do not matter. A text of any length is encoded whole; only a text, or a
-    stretch without any cut, of its own size has to fit into a task.
+    their names do not matter. A text of any length is encoded whole; a task holds a block
+    of texts, or a longer text, and its words.
+
+    Texts are read twice, once for the words and once for their positions, which costs less
+    than keeping either. Rows that come otherwise the second time are found and raise.
     """
-    spark = docs.sparkSession
-    blocks = staged(spark, number_words(docs, text, keep), "bpe-blocks")
-    words = blocks.where("words is not null").select(
-        "block", F.posexplode("words").alias("code", "word")
-    )
-    table = staged(spark, word_ids(words.select("word"), tokenizer), "bpe-words")
-    found = words.join(table, "word").select("block", "code", "ids")
-    texts = blocks.where("words is null").select(F.col("block").alias("of"), "row", "codes")
-    row = texts.schema["row"].dataType.simpleString()
+    read = docs.select(F.struct(*keep).alias("row"), F.col(text).cast("binary").alias("text"))
+    row = read.schema["row"].dataType.simpleString()
+    schema = f"of long, digest long, rows array<{row}>, counts binary, codes binary"
+    positions = read.mapInArrow(functools.partial(_positions, size=block_bytes), schema)
+    found = word_ids(distinct_words(read, block_bytes), tokenizer)
     return (
-        texts.groupBy("of")
+        positions.groupBy("of")
         .cogroup(found.groupBy("block"))
         .applyInArrow(_gathered, f"row {row}, ids array<int>")
     )
