@@ -6,13 +6,14 @@ one is encoded once; the ids go back to the blocks, where the numbers say at whi
 they stand. What is shuffled is the distinct words of each block, their ids, and a number for
 each word of a text, compressed; never the texts.
 
-Decoding: a row for each id meets the piece of the id, and the pieces of a row are put
-together where they are.
+Decoding: ids meet the table of pieces, which is broadcast, and the pieces of a row are put
+together where the row is.
 """
 
 from __future__ import annotations
 
 import functools
+import itertools
 import os
 from collections.abc import Iterator, Sequence
 
@@ -28,12 +29,15 @@ from pyspark.sql import functions as F
 #: Classes of bytes: letters, digits, signs, what is no white space but part of longer things
 #: (apostrophes of contractions, bars of special tokens), a blank that may stand before a word.
 LETTER, DIGIT, SIGN, BOUND, BLANK = 1, 2, 3, 4, 5
-#: Bytes of texts that share one numbering, that are looked at together, and of texts put out.
-BLOCK, SLICE, OUT = 32_000_000, 2_000_000, 4_000_000
-#: Words that are encoded together.
-BATCH = 2_000
+#: Bytes of texts that share one numbering, and that are looked at together.
+BLOCK, SLICE = 32_000_000, 2_000_000
+#: Words that are encoded together, and ids that are joined with their pieces together.
+BATCH, JOINED = 2_000, 2_000_000
 #: Ids of a vocabulary that may be sent to every task.
 MOST_PIECES = 2_000_000
+#: A word's place is its number, in so many bits, behind the number of its block, of which so
+#: many bits count the blocks of a task.
+CODE_BITS, BLOCK_BITS = 32, 10
 
 
 def _classes() -> np.ndarray:
@@ -67,19 +71,19 @@ def cuts(raw: np.ndarray, starts: np.ndarray) -> np.ndarray:
     tokenizer of this kind has a piece across such a place, whatever surrounds it; characters
     beyond ASCII, of which versions of Unicode may think differently, are never cut at.
     """
-    found = [starts]
+    cut = np.zeros(len(raw) + 1, bool)
     for at in range(0, len(raw), SLICE):
         own = CLASSES[raw[max(at - 1, 0) : at + SLICE + 1]]  # a neighbour on each side
-        shift = min(at, 1)
-        before, here = own[: len(own) - 1], own[1:]
-        differ = (before != here) & (before >= LETTER) & (before <= SIGN)
-        differ &= (here >= LETTER) & (here <= SIGN)
+        before, here = own[:-1], own[1:]
+        graded = (own >= LETTER) & (own <= SIGN)
+        differ = (before != here) & graded[:-1] & graded[1:]
         solid = (own >= LETTER) & (own <= BOUND)
-        blank = np.zeros(len(before), bool)
-        blank[:-1] = (here[:-1] == BLANK) & solid[:-2] & solid[2:]
-        places = np.flatnonzero(differ | blank) + 1 + at - shift
-        found.append(places[places < at + SLICE + (1 - shift)])
-    return np.unique(np.concatenate(found))
+        differ[:-1] |= (here[:-1] == BLANK) & solid[:-2] & solid[2:]
+        first = max(at - 1, 0) + 1
+        # The last place of a slice has no neighbour behind it, and is the first of the next.
+        cut[first : first + len(differ)] |= differ
+    cut[starts] = True
+    return np.flatnonzero(cut[: len(raw)])
 
 
 def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -138,7 +142,13 @@ def _blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[_Block]:
     """The texts of a task in blocks of about ``size`` bytes, numbered by task."""
     task = TaskContext.get().partitionId()
     number = 0
-    block = _Block(task << 24)
+
+    def named() -> _Block:
+        if task >> 63 - CODE_BITS - BLOCK_BITS or number >> BLOCK_BITS:
+            raise ValueError("too many blocks: read the texts in partitions of usual size")
+        return _Block((task << BLOCK_BITS) + number)
+
+    block = named()
     for batch in batches:
         texts = pc.fill_null(batch.column("text").cast(pa.binary()), b"")
         sizes = np.cumsum(pc.binary_length(texts).to_numpy(False), dtype=np.int64)
@@ -153,17 +163,23 @@ def _blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[_Block]:
             if at < batch.num_rows or block.size >= size:
                 yield block
                 number += 1
-                block = _Block((task << 24) + number)
+                block = named()
     if block.rows:
         yield block
 
 
-def _digest(words: pa.Array) -> int:
-    """A fingerprint of a block's words, to know that two passes have numbered them alike."""
-    ends, data = np.frombuffer(words.buffers()[1], np.int32), words.buffers()[2]
-    hashed = xxhash.xxh64(ends[: len(words) + 1].tobytes())
-    hashed.update(data or b"")
-    return hashed.intdigest() & (1 << 62) - 1
+def _checks(words: pa.Array) -> np.ndarray:
+    """A byte for each word, of its length and its first and last byte, by which two passes over
+    the texts are compared."""
+    ends = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1]
+    data = np.frombuffer(words.buffers()[2] or b"\0", np.uint8)
+    first, last = ends[:-1].astype(np.int64), ends[1:].astype(np.int64) - 1
+    seen = data[np.minimum(first, len(data) - 1)] * 31 + data[np.maximum(last, 0)] * 7
+    return (seen + (last - first + 1)).astype(np.uint8)
+
+
+def _digest(checks: np.ndarray) -> int:
+    return xxhash.xxh64_intdigest(checks.tobytes()) & (1 << 62) - 1
 
 
 def _positions(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
@@ -175,7 +191,7 @@ def _positions(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Reco
         yield pa.record_batch(
             [
                 pa.array([block.number], pa.int64()),
-                pa.array([_digest(words)], pa.int64()),
+                pa.array([_digest(_checks(words))], pa.int64()),
                 lists,
                 pa.array([_packed(np.concatenate(block.counts))], pa.binary()),
                 pa.array([_packed(codes)], pa.binary()),
@@ -188,83 +204,98 @@ def _entries(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Record
     """A row for each distinct word of each block."""
     for block in _blocks(batches, size):
         words, _ = block.numbered()
-        names = ["block", "digest", "code", "word"]
         for start in range(0, len(words), 1 << 16):
             some = words.slice(start, 1 << 16)
-            yield pa.record_batch(
-                [
-                    pa.array(np.full(len(some), block.number), pa.int64()),
-                    pa.array(np.full(len(some), _digest(words)), pa.int64()),
-                    pa.array(np.arange(start, start + len(some), dtype=np.int32)),
-                    some,
-                ],
-                names=names,
-            )
+            places = np.arange(start, start + len(some)) + (block.number << CODE_BITS)
+            yield pa.record_batch([pa.array(places), some], names=["place", "word"])
 
 
 def word_ids(entries: DataFrame, tokenizer: str) -> DataFrame:
-    """``block``, ``digest``, ``code`` and the ``ids`` (4 bytes each) of its ``word``, for every
-    row of ``entries``. Equal words meet in one task, one after the other, and are encoded
-    once; a word may be in any share of the blocks."""
+    """``place``, a ``check`` byte and the ``ids`` of its ``word`` (2 bytes each if all ids of the
+    tokenizer fit, else 4), for every row of ``entries``. Equal words meet in one task, one after
+    the other, and are encoded once; a word may be in any share of the blocks."""
+    kind = _id_type(tokenizer)
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _tokenizer(tokenizer)
-        last: tuple[str, bytes] | None = None
+        word, own = None, pa.array([], pa.binary())  # the last one of the batch before
         for batch in batches:
             encoded = batch.column("word").dictionary_encode()
             forms = encoded.dictionary.to_pylist()
-            known = {last[0]: last[1]} if last is not None else {}
-            fresh = [form for form in forms if form not in known]
-            for start in range(0, len(fresh), BATCH):
-                some = fresh[start : start + BATCH]
-                found = codec.encode_batch_fast(some, add_special_tokens=False)
-                known.update(
-                    (form, np.array(e.ids, "<u4").tobytes())
-                    for form, e in zip(some, found, strict=True)
-                )
-            ids = pa.array([known[form] for form in forms], pa.binary()).take(encoded.indices)
+            known = int(forms[:1] == [word])
+            found = pa.concat_arrays([own[:known], _encoded(codec, forms[known:], kind)])
             if forms:
-                final = batch.column("word")[-1].as_py()
-                last = final, known[final]
+                last = encoded.indices[-1].as_py()
+                word, own = forms[last], found.slice(last, 1)
             yield pa.record_batch(
-                [*(batch.column(name) for name in ("block", "digest", "code")), ids],
-                names=["block", "digest", "code", "ids"],
+                [
+                    batch.column("place"),
+                    pa.array(_checks(encoded.dictionary).view(np.int8)).take(encoded.indices),
+                    found.take(encoded.indices),
+                ],
+                names=["place", "check", "ids"],
             )
 
     met = entries.repartition("word").sortWithinPartitions("word")
-    return met.mapInArrow(look_up, "block long, digest long, code int, ids binary")
+    return met.mapInArrow(look_up, "place long, check byte, ids binary")
+
+
+def _encoded(codec, words: list[str], kind: str) -> pa.Array:
+    """The ids of each word as bytes."""
+    parts = [pa.array([], pa.binary())]
+    for start in range(0, len(words), BATCH):
+        found = codec.encode_batch_fast(words[start : start + BATCH], add_special_tokens=False)
+        lists = [e.ids for e in found]
+        ends = np.cumsum([0, *map(len, lists)]) * np.dtype(kind).itemsize
+        flat = np.fromiter(itertools.chain.from_iterable(lists), kind)
+        buffers = [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(flat)]
+        parts.append(pa.Array.from_buffers(pa.binary(), len(lists), buffers))
+    return pa.concat_arrays(parts)
 
 
-def _gathered(left: pa.Table, right: pa.Table) -> pa.Table:
+def _id_type(tokenizer: str) -> str:
+    return "<u2" if _tokenizer(tokenizer).get_vocab_size() <= 1 << 16 else "<u4"
+
+
+def _flat(raw: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """What binary values hold as numbers, in a row, and where each value ends, from 0 on."""
+    size = np.dtype(kind).itemsize
+    ends = np.frombuffer(raw.buffers()[1], np.int32)[raw.offset : raw.offset + len(raw) + 1]
+    data = (raw.buffers()[2] or b"")[: ends[-1]] if len(raw) else b""
+    values = np.frombuffer(data, kind, offset=int(ends[0]) if len(raw) else 0)
+    return values, (ends.astype(np.int64) - ends[0]) // size if len(raw) else np.zeros(1, int)
+
+
+def _gathered(left: pa.Table, right: pa.Table, kind: str) -> pa.Table:
     """The ids of each row of a block, from the positions of its words and the words' ids."""
-    right = right.sort_by("code")
-    (digest,) = left.column("digest").to_pylist()
-    if set(right.column("digest").unique().to_pylist()) - {digest}:
+    right = right.sort_by("place")
+    raw, checks = (
+        pa.concat_arrays([pa.array([], kind_), *right.column(name).chunks])
+        for name, kind_ in (("ids", pa.binary()), ("check", pa.int8()))
+    )
+    if left.column("digest").to_pylist() != [_digest(checks.to_numpy())]:
         raise RuntimeError("the texts were read twice and not alike: write them to a table first")
-    raw = right.column("ids").combine_chunks()
-    if isinstance(raw, pa.ChunkedArray):  # no word at all
-        raw = pa.array([], pa.binary())
-    values = np.frombuffer(b"".join(raw.to_pylist()), "<i4")
-    sizes = (pc.binary_length(raw).to_numpy(False) // 4).astype(np.int32)
+    values, ends = _flat(raw, kind)
+    sizes = np.diff(ends).astype(np.int32)
     starts = np.cumsum(sizes, dtype=np.int32) - sizes
     codes = _unpacked(left.column("codes")[0].as_py())
     counts = sizes[codes]
     behind = np.cumsum(counts, dtype=np.int64)
     total = int(behind[-1]) if len(behind) else 0
-    kind = np.int32 if total < 1 << 31 else np.int64
-    places = np.repeat((starts[codes] - (behind - counts)).astype(kind), counts)
-    places += np.arange(total, dtype=kind)
+    small = np.int32 if total < 1 << 31 else np.int64
+    places = np.repeat((starts[codes] - (behind - counts)).astype(small), counts)
+    places += np.arange(total, dtype=small)
     n_words = np.cumsum(_unpacked(left.column("counts")[0].as_py()), dtype=np.int64)
     ends = np.concatenate([[0], behind])[np.concatenate([[0], n_words])]
-    ids = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(values[places]))
+    ids = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(values[places].astype(np.int32)))
     return pa.table({"row": left.column("rows").combine_chunks().flatten(), "ids": ids})
 
 
 def distinct_words(texts: DataFrame, block_bytes: int = BLOCK) -> DataFrame:
-    """``block``, ``digest``, ``code`` and ``word`` for each distinct word of each block of
-    ``texts`` (``row``, and ``text`` as bytes)."""
+    """``place`` and ``word`` of each distinct word of each block of ``texts`` (``row``, and
+    ``text`` as bytes)."""
     each = functools.partial(_entries, size=block_bytes)
-    return texts.mapInArrow(each, "block long, digest long, code int, word string")
+    return texts.mapInArrow(each, "place long, word string")
 
 
 def encode(
@@ -290,10 +321,16 @@ def encode(
     schema = f"of long, digest long, rows array<{row}>, counts binary, codes binary"
     positions = read.mapInArrow(functools.partial(_positions, size=block_bytes), schema)
     found = word_ids(distinct_words(read, block_bytes), tokenizer)
+    found = found.select(F.shiftright("place", CODE_BITS).alias("block"), "*")
+    kind = _id_type(tokenizer)
+
+    def gathered(left: pa.Table, right: pa.Table) -> pa.Table:
+        return _gathered(left, right, kind)
+
     return (
         positions.groupBy("of")
         .cogroup(found.groupBy("block"))
-        .applyInArrow(_gathered, f"row {row}, ids array<int>")
+        .applyInArrow(gathered, f"row {row}, ids array<int>")
     )
 
 
@@ -319,47 +356,27 @@ def pieces(tokenizer: str) -> pa.Table:
     return pa.table({"id": pa.array(known.values(), pa.int32()), "piece": pa.array(raw)})
 
 
-def _stitched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of one id each, in order, to rows of one text each."""
-    rows, texts, size = [], [], 0
-    open_row: pa.Array | None = None
-    parts: list[bytes] = []
-    after = 0
+class Pieces:
+    """The pieces of all ids, in a row: the right side of a join that every task has whole."""
 
-    def flushed() -> pa.RecordBatch:
-        return pa.record_batch([pa.concat_arrays(rows), pa.array(texts)], names=["row", "text"])
+    def __init__(self, table: pa.Table):
+        size = max(table.column("id").to_pylist(), default=-1) + 1
+        held = [b""] * (size + 1)  # the last stands for ids that the tokenizer does not have
+        for number, piece in zip(*(table.column(c).to_pylist() for c in ("id", "piece")), strict=True):
+            held[number] = piece
+        self.sizes = np.fromiter(map(len, held), np.int64, len(held))
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.bytes = np.frombuffer(b"".join(held), np.uint8)
 
-    for batch in batches:
-        at = pc.fill_null(batch.column("pos"), 0).to_numpy(False)
-        piece = pc.fill_null(batch.column("piece").cast(pa.binary()), b"")
-        firsts = np.flatnonzero(at == 0)
-        bounds = [0, *firsts.tolist(), len(at)]
-        expected = np.arange(len(at)) + after
-        for first, end in zip(bounds[1:-1], bounds[2:], strict=True):
-            expected[first:end] = np.arange(end - first)
-        if (at != expected).any():
-            raise RuntimeError("the ids of a row came out of order")
-        after = int(at[-1]) + 1
-        offsets = np.frombuffer(piece.buffers()[1], np.int32)[
-            piece.offset : piece.offset + len(piece) + 1
-        ]
-        data = memoryview(piece.buffers()[2] or b"")
-        for number, (start, end) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
-            if number:
-                if open_row is not None:
-                    rows.append(open_row)
-                    texts.append(b"".join(parts).decode("utf-8", "replace"))
-                    size += len(texts[-1])
-                    if size >= OUT:
-                        yield flushed()
-                        rows, texts, size = [], [], 0
-                open_row, parts = batch.column("row").slice(start, 1), []
-            parts.append(bytes(data[offsets[start] : offsets[end]]))
-    if open_row is not None:
-        rows.append(open_row)
-        texts.append(b"".join(parts).decode("utf-8", "replace"))
-    if rows:
-        yield flushed()
+    def joined(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes of the pieces of ``ids`` in a row, and how many bytes there are up to each."""
+        known = np.where((ids >= 0) & (ids < len(self.sizes) - 1), ids, len(self.sizes) - 1)
+        counts = self.sizes[known]
+        behind = np.cumsum(counts)
+        total = int(behind[-1]) if len(behind) else 0
+        places = np.repeat(self.starts[known] - (behind - counts), counts)
+        places += np.arange(total)
+        return self.bytes[places], np.concatenate([[0], behind])
 
 
 def decode(
@@ -367,19 +384,42 @@ def decode(
 ) -> DataFrame:
     """``row`` (a struct of the ``keep`` columns) and the ``text`` of its ids, for every row.
 
-    Special tokens are text like any other; ids that the tokenizer does not have are left
-    out, bytes that are no UTF-8 become U+FFFD. Null or no ids give an empty text. The pieces
-    are a table of the vocabulary's size, checked, which every task gets; the rows of one text
-    stay where and as they are, which is checked as well.
+    Special tokens are text like any other; ids that the tokenizer does not have and nulls are
+    left out, bytes that are no UTF-8 become U+FFFD. Null or no ids give an empty text. The
+    pieces are a table of the vocabulary's size, checked, that is broadcast; ids meet it where
+    their rows are, JOINED of them at a time, and nothing is shuffled.
     """
     spark = encoded.sparkSession
-    table = F.broadcast(spark.createDataFrame(pieces(tokenizer)))
-    tokens = encoded.select(
-        F.struct(*keep).alias("row"), F.posexplode_outer(ids).alias("pos", "id")
-    )
-    row = tokens.schema["row"].dataType.simpleString()
-    first = F.coalesce(F.col("pos"), F.lit(0)) == 0
-    met = tokens.join(table, "id", "left").select(
-        F.when(first, F.col("row")).alias("row"), "pos", "piece"
-    )
-    return met.mapInArrow(_stitched, f"row {row}, text string")
+    shared = spark.sparkContext.broadcast(Pieces(pieces(tokenizer)))
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = shared.value
+        for batch in batches:
+            lists = batch.column("ids")
+            counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(False)
+            ends = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
+            flat = pc.fill_null(lists.flatten(), -1).to_numpy(False)
+            at = 0
+            while at < batch.num_rows:
+                end = max(int(np.searchsorted(ends, ends[at] + JOINED, "right")) - 1, at + 1)
+                texts = _texts(table, flat[ends[at] : ends[end]], ends[at : end + 1] - ends[at])
+                yield pa.record_batch(
+                    [batch.column("row").slice(at, end - at), texts], names=["row", "text"]
+                )
+                at = end
+
+    rows = encoded.select(F.struct(*keep).alias("row"), F.col(ids).alias("ids"))
+    row = rows.schema["row"].dataType.simpleString()
+    return rows.mapInArrow(join, f"row {row}, text string")
+
+
+def _texts(table: Pieces, ids: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The texts of rows of ids, put in a row, that end at ``ends``; more than JOINED are of one."""
+    if len(ids) > JOINED:
+        parts = [table.joined(ids[at : at + JOINED])[0] for at in range(0, len(ids), JOINED)]
+        raws = [b"".join(part.tobytes() for part in parts)]
+    else:
+        raw, behind = table.joined(ids)
+        whole, cut = raw.tobytes(), behind[ends].tolist()
+        raws = [whole[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)]
+    return pa.array([raw.decode("utf-8", "replace") for raw in raws], pa.string())
