@@ -8,11 +8,13 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tidemark.llm.perfecthash import PerfectHash
 from tidemark.llm.queries import TOKENIZER, token_table
-from tidemark.llm.tokenstore import TokenStore, write_store
+from tidemark.llm import tokenstore
+from tidemark.llm.tokenstore import TokenStore, bucket_of, write_store
 from tidemark.llm.wordcodec import WordCodec
 from tidemark.shared import fresh_folder
 
@@ -27,7 +29,7 @@ def plain():
 
 @pytest.fixture(scope="module")
 def codec():
-    return WordCodec(PATH, 2, most=50)
+    return WordCodec(PATH, 2, most=25_000)
 
 
 def encoded(codec, texts, end_id=None):
@@ -108,6 +110,86 @@ def test_one_key_over_several_shards(spark, documents, plain):
     assert store.documents(keys).count() == 61
 
 
+def test_one_key_is_found_without_a_job_and_by_few_small_reads(spark, documents, plain, monkeypatch):
+    docs = documents([(n, f"text number {n}") for n in range(9000)])
+    root = fresh_folder(spark, "tokens")
+    write_store(docs, root, PATH, shards=6)
+    store, reads = TokenStore(spark, root), []
+    assert store.buckets == 3
+
+    class Counting:
+        def __init__(self, files):
+            self.files = files
+
+        def __getattr__(self, name):
+            return getattr(self.files, name)
+
+        def open_input_file(self, path):
+            file = self.files.open_input_file(path)
+
+            class Open:
+                __enter__ = lambda own: own
+                __exit__ = lambda own, *a: file.close()
+
+                @staticmethod
+                def read_at(size, at):
+                    reads.append((path.rsplit("/", 2)[-2], size))
+                    return file.read_at(size, at)
+
+            return Open()
+
+    opened = tokenstore._opened
+    monkeypatch.setattr(tokenstore, "_opened", lambda r: (Counting(opened(r)[0]), opened(r)[1]))
+    monkeypatch.setattr(spark, "_jsparkSession", None)  # any job would fail
+    for key in (0, 4321, 8999):
+        reads.clear()
+        assert store.get(key) == [[*plain(f"text number {key}"), 1]]
+        assert [folder for folder, _ in reads] == ["index", "index", root.rsplit("/", 1)[1], "shards", "shards"]
+        assert sum(size for _, size in reads) < 200_000
+    reads.clear()
+    assert store.get(123456789) == [] and len(reads) == 2
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.integers(-(2**63), 2**63 - 1), st.integers(1, 10**6))
+def test_buckets_of_single_keys_are_in_range(key, buckets):
+    assert 0 <= bucket_of(key, buckets) < buckets
+
+
+def test_buckets_of_single_keys_are_those_of_columns(spark):
+    keys = [None, 0, 1, -1, 42, 2**63 - 1, -(2**63), 123456789012345]
+    frame = spark.createDataFrame([(k,) for k in keys], "key long")
+    got = [r[0] for r in frame.select(tokenstore._bucket(977)).collect()]
+    assert got == [bucket_of(k, 977) for k in keys]
+
+
+def test_near_documents_are_read_at_once():
+    places = [(0, 10), (10, 5), (15, 0), (100_000, 3), (100_003, 9_000_000), (9_100_003, 1)]
+    got = [(first, end, some) for first, end, some in tokenstore._stretches(places)]
+    assert got == [(0, 15, [0, 1, 2]), (100_000, 100_003, [3]), (100_003, 9_100_003, [4]), (9_100_003, 9_100_004, [5])]
+
+
+def test_long_texts_are_encoded_in_parts(spark, documents, plain):
+    words = " ".join(f"word{n % 977}, and" for n in range(400_000))
+    root = fresh_folder(spark, "tokens")
+    write_store(documents([(1, words), (2, "x" * 5_000_000 + " y"), (3, "end")]), root, PATH)
+    store = TokenStore(spark, root)
+    assert store.get(1) == [[*plain(words), 1]] and store.get(3) == [[*plain("end"), 1]]
+    assert store.get(2) == [[*plain("x" * 5_000_000 + " y"), 1]]
+
+
+def test_copies_of_one_row_lie_in_several_shards(spark, documents):
+    docs = documents([(7, "the same words again")] * 4000 + [(n, "other") for n in range(8, 40)])
+    root = fresh_folder(spark, "tokens")
+    write_store(docs.repartition(6), root, PATH, shards=4)
+    runs = spark.read.parquet(f"{root}/runs").where("key = 7")
+    assert runs.agg(F.max("n_records")).first()[0] < 2000
+    store = TokenStore(spark, root)
+    assert len(store.get(7)) == 4000
+    keys = spark.createDataFrame([(7,)], "key long")
+    assert sorted(r.start for r in store.documents(keys).collect()) == [5 * n for n in range(4000)]
+
+
 def test_null_key_is_found(spark, documents, plain):
     root = fresh_folder(spark, "tokens")
     write_store(documents([(None, "lost"), (3, None)]), root, PATH)

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import string
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.shared import fresh_folder
+from tidemark.shared import delete_path, fresh_folder
 
 SPACES = "\x20\x09\x0a\x0b\x0c\x0d"
 #: Runs of anything but ASCII white space. Java tests a class of single characters with one
@@ -15,13 +19,62 @@ SPACES = "\x20\x09\x0a\x0b\x0c\x0d"
 WORD = r"[^\x20\x09\x0A\x0B\x0C\x0D]+"
 
 
+#: What operators keep in a Python worker between tasks, by operator: a call lets go of it and
+#: says whether there was anything.
+_KEPT: dict[str, Callable[[], bool]] = {}
+#: Lists of the folders that :func:`staged` writes, the innermost :func:`staging` last.
+_SCOPES: list[list[str]] = []
+
+
+def keeps(operator: str, release: Callable[[], bool]) -> None:
+    """Registers how to let go of what ``operator`` keeps in a worker."""
+    _KEPT[operator] = release
+
+
+def enter(operator: str) -> None:
+    """Called by a task: a worker that served another operator before gives its memory back."""
+    dropped = [release() for other, release in _KEPT.items() if other != operator]
+    if any(dropped):
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (AttributeError, OSError):  # not every C library has it
+            pass
+
+
+@contextlib.contextmanager
+def staging() -> Iterator[list[str]]:
+    """Gathers the folders that operators stage meanwhile."""
+    folders: list[str] = []
+    _SCOPES.append(folders)
+    try:
+        yield folders
+    finally:
+        _SCOPES.remove(folders)
+
+
+def forget(spark: SparkSession, folders: list[str]) -> None:
+    """Deletes staged folders. Only for whoever has written all results that are read from
+    them, as a pipeline has between two stages."""
+    while folders:
+        delete_path(spark, folders.pop())
+
+
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new folder for what an operator writes on its way."""
+    path = fresh_folder(spark, label)
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
 def staged(spark: SparkSession, frame: DataFrame, label: str) -> DataFrame:
     """``frame`` written to the shared folder and read back.
 
     Cuts the lineage: what reads the result survives a lost executor without
     computing ``frame`` again, and Spark plans with the size of the files.
     """
-    path = fresh_folder(spark, label)
+    path = scratch(spark, label)
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 

@@ -6,8 +6,14 @@ A store is a folder:
   ascending order of their key, each closed by the end id;
 * ``shards/*.lens``: the number of ids of each document, 4 bytes each;
 * ``runs``: where each key's documents lie in a shard (equal keys are neighbours);
-* ``index``: buckets of keys by hash, each with a perfect hash, its fingerprints and, by
-  slot, the runs of the key.
+* ``shards.bin``: 24 bytes for each shard, its name and the number of ids before it;
+* ``index/*.bin``: buckets of keys by hash, each with a perfect hash, its fingerprints and, by
+  slot, the runs of the key; a file begins with the places of its buckets;
+* ``meta.json``: the number of buckets.
+
+One key is found by its hash, with one small read from its index file for the place of the
+bucket, one for the bucket, one for the shard's name and one for the ids, whatever the size
+of the store. No job is run for that.
 
 Shards are written by the tasks that encode. A task names its files anew at each attempt
 and only what a finished attempt reports enters ``runs``, so lost executors leave stray
@@ -16,6 +22,10 @@ files at worst.
 
 from __future__ import annotations
 
+import functools
+import json
+import re
+import struct
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -24,18 +34,27 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import enter, keeps
 from tidemark.llm.perfecthash import PerfectHash
 from tidemark.llm.wordcodec import WordCodec
+from tidemark.shared import read_text, write_text
 
 END = 1
 KEYS_PER_BUCKET = 4096
+#: Buckets of one index file.
+BUCKETS_PER_FILE = 64
 #: Bytes of text that are encoded at a time.
-CHUNK = 8_000_000
+CHUNK = 4_000_000
+#: Bytes of ids that are read together, also when so many between them are not wanted.
+READ, GAP = 8_000_000, 65_536
+SPACE = re.compile(r"[ \t\n\r\x0b\x0c]")
+SHARD = struct.Struct("<16sq")
 RUN = "key long, shard int, file string, record long, n_records long, offset long, n_ids long"
 ENTRY = np.dtype(
     [("shard", "<i4"), ("record", "<i8"), ("n_records", "<i8"), ("offset", "<i8"), ("n_ids", "<i8")]
@@ -43,8 +62,18 @@ ENTRY = np.dtype(
 _CODECS: dict[tuple[str, int], WordCodec] = {}
 
 
+def _release() -> bool:
+    held = bool(_CODECS)
+    _CODECS.clear()
+    return held
+
+
+keeps("tokens", _release)
+
+
 def _codec(path: str, width: int) -> WordCodec:
-    """A worker's codec: what it has learned serves all its tasks."""
+    """A worker's codec: what it has learned serves all its tasks of this operator."""
+    enter("tokens")
     if (path, width) not in _CODECS:
         _CODECS[path, width] = WordCodec(path, width)
     return _CODECS[path, width]
@@ -64,6 +93,35 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.slice(start, end - start)
 
 
+def _long(texts: pa.Array) -> bool:
+    return len(texts) == 1 and pc.binary_length(texts)[0].as_py() > CHUNK
+
+
+def _in_parts(text: str) -> Iterator[str]:
+    """A long text in parts that end before white space."""
+    start = 0
+    while start < len(text):
+        found = SPACE.search(text, start + CHUNK)
+        end = found.start() if found else len(text)
+        yield text[start:end]
+        start = end
+
+
+def _write_ids(codec: WordCodec, texts: pa.Array, end_id: int, out) -> np.ndarray:
+    """Writes the ids of texts, each closed by ``end_id``; how many each has."""
+    if not _long(texts):
+        encoded, sizes = codec.encode(texts, end_id)
+        out.write(encoded.tobytes())
+        return sizes
+    total = 1
+    for part in _in_parts(texts[0].as_py()):
+        encoded, _ = codec.encode(pa.array([part], pa.string()))
+        out.write(encoded.tobytes())
+        total += len(encoded)
+    out.write(np.array([end_id], codec.type).tobytes())
+    return np.array([total])
+
+
 def write_store(
     docs: DataFrame,
     root: str,
@@ -83,12 +141,14 @@ def write_store(
     columns are not read. An empty table gives a store without shards.
     """
     spark = docs.sparkSession
+    # Ranges may end between equal rows, so that copies of one row are not one task's work.
+    order = [F.col("key").asc_nulls_first(), F.xxhash64("text").asc()]
     ordered = (
         docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-        .repartitionByRange(
-            *[shards] * bool(shards), F.col("key").asc_nulls_first(), F.xxhash64("text").asc()
-        )
-        .sortWithinPartitions(F.col("key").asc_nulls_first(), F.xxhash64("text"), "text")
+        .withColumn("copy", F.monotonically_increasing_id())
+        .repartitionByRange(*[shards] * bool(shards), *order, "copy")
+        .drop("copy")
+        .sortWithinPartitions(*order, "text")
     )
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -104,8 +164,7 @@ def write_store(
                 store.create_dir(f"{folder}/shards", recursive=True)
                 ids = store.open_output_stream(f"{folder}/shards/{name}.ids")
                 lens = store.open_output_stream(f"{folder}/shards/{name}.lens")
-            encoded, sizes = codec.encode(pc.fill_null(chunk.column("text"), ""), end_id)
-            ids.write(encoded.tobytes())
+            sizes = _write_ids(codec, pc.fill_null(chunk.column("text"), ""), end_id, ids)
             lens.write(sizes.astype("<u4").tobytes())
             for k, n in zip(chunk.column("key").to_pylist(), sizes.tolist(), strict=True):
                 run = runs.setdefault(k, [record, 0, offset, 0])
@@ -134,47 +193,80 @@ def write_store(
         )
 
     ordered.mapInArrow(write, RUN).write.parquet(f"{root}/runs")
+    _write_shards(spark, root)
     _write_index(spark, root)
 
 
+def _write_shards(spark: SparkSession, root: str) -> None:
+    """The list of shards, which has a row for each task that encoded, and never for a document."""
+    runs = spark.read.schema(RUN).parquet(f"{root}/runs")
+    each = runs.groupBy("shard", "file").agg(F.sum("n_ids").alias("n"))
+    before = F.sum("n").over(Window.partitionBy(F.lit(0)).orderBy("shard")) - F.col("n")
+    each.select("shard", "file", before.alias("base")).coalesce(1).write.parquet(f"{root}/shard-list")
+    listed = spark.read.parquet(f"{root}/shard-list").orderBy("shard").collect()
+    table = bytearray(SHARD.size * (listed[-1]["shard"] + 1 if listed else 0))
+    for row in listed:
+        name = bytes.fromhex(row["file"].split("-")[1])
+        SHARD.pack_into(table, SHARD.size * row["shard"], name, row["base"])
+    store, folder = _opened(root)
+    with store.open_output_stream(f"{folder}/shards.bin") as out:
+        out.write(bytes(table))
+
+
 def _bucket(buckets: int):
     return F.pmod(F.xxhash64("key"), F.lit(buckets)).cast("int")
 
 
+def bucket_of(key: int | None, buckets: int) -> int:
+    """The bucket of one key, as Spark's hash of a long has it."""
+    hashed = 42 if key is None else xxhash.xxh64_intdigest(struct.pack("<q", key), 42)
+    signed = hashed - (1 << 64) if hashed >> 63 else hashed
+    return signed % buckets
+
+
 def _write_index(spark: SparkSession, root: str) -> None:
     runs = spark.read.schema(RUN).parquet(f"{root}/runs")
-    buckets = runs.count() // KEYS_PER_BUCKET + 1
+    n = runs.count()
+    buckets = n // KEYS_PER_BUCKET + 1 if n else 0
+    write_text(spark, f"{root}/meta.json", json.dumps({"buckets": buckets}))
+    if not n:
+        return
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
-        known = pdf[pdf["key"].notna()]
-        keys, of = np.unique(known["key"].to_numpy(np.int64), return_inverse=True)
-        table = PerfectHash.build(keys)
-        slots = table.find(keys)[of]
-        order = np.lexsort((known["shard"], slots))
-        counts = np.bincount(slots, minlength=len(keys))
+        part = int(pdf["part"].iloc[0])
+        by = dict(tuple(pdf.groupby("bucket")))
+        first = part * BUCKETS_PER_FILE
         packed = [
-            _entries(known.iloc[order]),
-            _entries(pdf[pdf["key"].isna()].sort_values("shard")),
+            _packed_bucket(by[bucket]) if bucket in by else b""
+            for bucket in range(first, first + BUCKETS_PER_FILE)
         ]
-        return pd.DataFrame(
-            {
-                "bucket": [int(pdf["bucket"].iloc[0])],
-                "hash": [table.to_bytes()],
-                "counts": [counts.astype("<u4").tobytes()],
-                "entries": [packed[0]],
-                "null_entries": [packed[1]],
-            }
-        )
-
-    schema = "bucket int, hash binary, counts binary, entries binary, null_entries binary"
-    (
-        runs.drop("file")
-        .withColumn("bucket", _bucket(buckets))
-        .groupBy("bucket")
-        .applyInPandas(build, schema)
-        .withColumn("buckets", F.lit(buckets))
-        .write.parquet(f"{root}/index")
+        head = np.cumsum([8 * (BUCKETS_PER_FILE + 1), *map(len, packed)]).astype("<i8")
+        store, folder = _opened(root)
+        store.create_dir(f"{folder}/index", recursive=True)
+        draft = f"{folder}/index/{part:07d}.draft-{uuid.uuid4().hex}"
+        with store.open_output_stream(draft) as out:
+            out.write(head.tobytes() + b"".join(packed))
+        # Every attempt writes the same, so the last to finish may replace the others.
+        store.move(draft, f"{folder}/index/{part:07d}.bin")
+        return pd.DataFrame({"part": [part]})
+
+    bucket = _bucket(buckets)
+    parts = runs.drop("file").withColumns(
+        {"bucket": bucket, "part": F.floor(bucket / BUCKETS_PER_FILE).cast("int")}
     )
+    parts.groupBy("part").applyInPandas(build, "part int").write.parquet(f"{root}/index-parts")
+
+
+def _packed_bucket(pdf: pd.DataFrame) -> bytes:
+    known = pdf[pdf["key"].notna()]
+    keys, of = np.unique(known["key"].to_numpy(np.int64), return_inverse=True)
+    table = PerfectHash.build(keys)
+    slots = table.find(keys)[of]
+    order = np.lexsort((known["shard"], slots))
+    counts = np.bincount(slots, minlength=len(keys)).astype("<u4")
+    nulls = pdf[pdf["key"].isna()].sort_values("shard")
+    parts = [table.to_bytes(), counts.tobytes(), _entries(known.iloc[order]), _entries(nulls)]
+    return struct.pack("<4Q", *map(len, parts)) + b"".join(parts)
 
 
 def _entries(pdf: pd.DataFrame) -> bytes:
@@ -187,12 +279,16 @@ def _entries(pdf: pd.DataFrame) -> bytes:
 class IndexBucket:
     """One bucket of the index: the runs of a key in constant time."""
 
-    def __init__(self, row):
-        self.hash = PerfectHash.from_bytes(row["hash"])
-        counts = np.frombuffer(row["counts"], "<u4").astype(np.int64)
+    def __init__(self, raw: bytes):
+        parts, at = [], 32
+        for size in struct.unpack_from("<4Q", raw):
+            parts.append(raw[at : at + size])
+            at += size
+        self.hash = PerfectHash.from_bytes(parts[0])
+        counts = np.frombuffer(parts[1], "<u4").astype(np.int64)
         self.first = np.concatenate([[0], np.cumsum(counts)])
-        self.entries = np.frombuffer(row["entries"], ENTRY)
-        self.null_entries = np.frombuffer(row["null_entries"], ENTRY)
+        self.entries = np.frombuffer(parts[2], ENTRY)
+        self.null_entries = np.frombuffer(parts[3], ENTRY)
 
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Runs of the keys that are held: (position of the key, entry)."""
@@ -204,51 +300,81 @@ class IndexBucket:
         return np.repeat(held, counts), self.entries[at + np.arange(counts.sum())]
 
 
+def _read_bucket(store: fs.FileSystem, folder: str, bucket: int) -> IndexBucket | None:
+    """One bucket, by two reads of its index file; None if it holds no key."""
+    part, place = divmod(bucket, BUCKETS_PER_FILE)
+    path = f"{folder}/index/{part:07d}.bin"
+    if store.get_file_info(path).type == fs.FileType.NotFound:
+        return None
+    with store.open_input_file(path) as file:
+        start, end = np.frombuffer(file.read_at(16, 8 * place), "<i8").tolist()
+        return IndexBucket(file.read_at(end - start, start)) if end > start else None
+
+
+def _stretches(places: list[tuple[int, int]]) -> Iterator[tuple[int, int, list[int]]]:
+    """Places (start, size), in order of their start, in stretches (start, end, places) that
+    are read at once."""
+    first = end = 0
+    some: list[int] = []
+    for number, (start, size) in enumerate(places):
+        if some and (start - end > GAP or start + size - first > READ):
+            yield first, end, some
+            some = []
+        if not some:
+            first = start
+        some.append(number)
+        end = max(start + size, end) if len(some) > 1 else start + size
+    if some:
+        yield first, end, some
+
+
 class TokenStore:
     """Keyed access to a store that :func:`write_store` has made."""
 
     def __init__(self, spark: SparkSession, root: str, width: int = 2):
         self.spark, self.root, self.width = spark, root, width
 
+    @functools.cached_property
+    def buckets(self) -> int:
+        return json.loads(read_text(self.spark, f"{self.root}/meta.json"))["buckets"]
+
     def shards(self) -> DataFrame:
         """One row per shard with the number of ids before it."""
-        runs = self.spark.read.schema(RUN).parquet(f"{self.root}/runs")
-        each = runs.groupBy("shard", "file").agg(F.sum("n_ids").alias("n"))
-        before = F.sum("n").over(Window.partitionBy(F.lit(0)).orderBy("shard")) - F.col("n")
-        return each.select("shard", "file", before.alias("base"))
+        schema = "shard int, file string, base long"
+        return self.spark.read.schema(schema).parquet(f"{self.root}/shard-list")
 
     def lookup(self, keys: DataFrame) -> DataFrame:
-        """Where the documents of ``keys`` (distinct ``key``) lie; unknown keys have no row."""
-        index = self.spark.read.parquet(f"{self.root}/index")
-        first = index.select("buckets").first()
-        if first is None:
-            return self.spark.createDataFrame([], RUN).drop("file")
-
-        def find(wanted: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
-            if not len(wanted) or not len(held):
-                return pd.DataFrame(columns=["key", *ENTRY.names])
-            bucket = IndexBucket(held.iloc[0])
-            known = wanted["key"].dropna().to_numpy(np.int64)
-            at, entries = bucket.find(known)
-            found = pd.DataFrame({n: entries[n] for n in ENTRY.names})
-            found.insert(0, "key", pd.array(known[at], "Int64"))
-            if wanted["key"].isna().any():
-                nulls = pd.DataFrame({n: bucket.null_entries[n] for n in ENTRY.names})
-                nulls.insert(0, "key", pd.array([None] * len(nulls), "Int64"))
-                found = pd.concat([found, nulls])
-            return found
-
+        """Where the documents of ``keys`` (distinct ``key``) lie; unknown keys have no row.
+        Keys meet by the index file that may have them."""
+        root = self.root
         schema = "key long, shard int, record long, n_records long, offset long, n_ids long"
-        return (
-            keys.select("key", _bucket(first[0]).alias("bucket"))
-            .groupBy("bucket")
-            .cogroup(index.groupBy("bucket"))
-            .applyInPandas(find, schema)
-        )
+        if not self.buckets:
+            return self.spark.createDataFrame([], schema)
+
+        def find(wanted: pd.DataFrame) -> pd.DataFrame:
+            store, folder = _opened(root)
+            found = [pd.DataFrame(columns=["key", *ENTRY.names])]
+            for number, own in wanted.groupby("bucket"):
+                bucket = _read_bucket(store, folder, int(number))
+                if bucket is None:
+                    continue
+                known = own["key"].dropna().to_numpy(np.int64)
+                at, entries = bucket.find(known)
+                found.append(_located(pd.array(known[at], "Int64"), entries))
+                if own["key"].isna().any():
+                    nulls = bucket.null_entries
+                    found.append(_located(pd.array([None] * len(nulls), "Int64"), nulls))
+            return pd.concat([f for f in found if len(f)] or found)
+
+        bucket = _bucket(self.buckets)
+        placed = keys.select("key", bucket.alias("bucket"))
+        part = F.floor(F.col("bucket") / BUCKETS_PER_FILE)
+        return placed.groupBy(part.alias("part")).applyInPandas(find, schema)
 
     def documents(self, keys: DataFrame) -> DataFrame:
         """The documents of ``keys`` as read from the shards: ``key``, ``start`` (ids of all
-        documents before it), ``n_tokens`` and ``ids_crc32`` (of the ids as 4 bytes each)."""
+        documents before it), ``n_tokens`` and ``ids_crc32`` (of the ids as 4 bytes each).
+        Documents that lie near each other are read at once."""
         root, width = self.root, self.width
         found = self.lookup(keys).join(self.shards(), "shard")
 
@@ -256,21 +382,24 @@ class TokenStore:
             store, folder = _opened(root)
             name, base = pdf["file"].iloc[0], int(pdf["base"].iloc[0])
             pdf = pdf.sort_values("record")
-            rows = []
+            columns = [pdf[n].tolist() for n in ("key", "record", "n_records", "offset", "n_ids")]
+            runs, rows = list(zip(*columns, strict=True)), []
+            places = [(offset * width, n_ids * width) for *_, offset, n_ids in runs]
             with (
                 store.open_input_file(f"{folder}/shards/{name}.ids") as ids,
                 store.open_input_file(f"{folder}/shards/{name}.lens") as lens,
             ):
-                columns = (pdf[n] for n in ("key", "record", "n_records", "offset", "n_ids"))
-                for key, record, n_records, offset, n_ids in zip(*columns, strict=True):
-                    sizes = [n_ids]
-                    if n_records > 1:
-                        sizes = np.frombuffer(lens.read_at(4 * n_records, 4 * record), "<u4")
-                    for size in map(int, sizes):
-                        raw = ids.read_at(size * width, offset * width)
-                        wide = np.frombuffer(raw, f"<u{width}").astype("<u4")
-                        rows.append((key, base + offset, size, zlib.crc32(wide)))
-                        offset += size
+                for first, end, some in _stretches(places):
+                    raw = ids.read_at(end - first, first)
+                    for key, record, n_records, offset, n_ids in (runs[n] for n in some):
+                        sizes = [n_ids]
+                        if n_records > 1:
+                            sizes = np.frombuffer(lens.read_at(4 * n_records, 4 * record), "<u4")
+                        for size in map(int, sizes):
+                            at = offset * width - first
+                            wide = np.frombuffer(raw[at : at + size * width], f"<u{width}")
+                            rows.append((key, base + offset, size, zlib.crc32(wide.astype("<u4"))))
+                            offset += size
             out = pd.DataFrame(rows, columns=["key", "start", "n_tokens", "ids_crc32"])
             return out.astype({"key": "Int64"})
 
@@ -278,31 +407,32 @@ class TokenStore:
         return found.groupBy("shard").applyInPandas(read, schema)
 
     def get(self, key: int | None) -> list[list[int]]:
-        """The ids of the documents of one key; empty when the store has none."""
-        index = self.spark.read.parquet(f"{self.root}/index")
-        first = index.select("buckets").first()
-        if first is None:
+        """The ids of the documents of one key; empty when the store has none. Reads the bucket
+        of the key and its documents, and runs no job."""
+        if not self.buckets:
             return []
-        keys = self.spark.range(1).select(F.lit(key).cast("long").alias("key"))
-        number = keys.select(_bucket(first[0])).first()[0]
-        row = index.where(F.col("bucket") == number).first()
-        if row is None:
+        store, folder = _opened(self.root)
+        bucket = _read_bucket(store, folder, bucket_of(key, self.buckets))
+        if bucket is None:
             return []
-        bucket = IndexBucket(row)
         entries = bucket.null_entries if key is None else bucket.find(np.array([key]))[1]
-        store, folder = _opened(self.root)
-        names = {r["shard"]: r["file"] for r in self.shards().collect()}
         out = []
-        for entry in entries:
-            path = f"{folder}/shards/{names[int(entry['shard'])]}"
-            with (
-                store.open_input_file(f"{path}.ids") as ids,
-                store.open_input_file(f"{path}.lens") as lens,
-            ):
-                n, at = int(entry["n_records"]), int(entry["offset"])
-                sizes = np.frombuffer(lens.read_at(4 * n, 4 * int(entry["record"])), "<u4")
-                for size in map(int, sizes):
-                    raw = ids.read_at(size * self.width, at * self.width)
-                    out.append(np.frombuffer(raw, f"<u{self.width}").tolist())
-                    at += size
+        with store.open_input_file(f"{folder}/shards.bin") as shards:
+            for entry in entries:
+                shard, n = int(entry["shard"]), int(entry["n_records"])
+                name, _ = SHARD.unpack(shards.read_at(SHARD.size, SHARD.size * shard))
+                path = f"{folder}/shards/{shard:07d}-{name.hex()}"
+                with store.open_input_file(f"{path}.lens") as lens:
+                    sizes = np.frombuffer(lens.read_at(4 * n, 4 * int(entry["record"])), "<u4")
+                with store.open_input_file(f"{path}.ids") as ids:
+                    size, offset = int(entry["n_ids"]), int(entry["offset"])
+                    raw = ids.read_at(size * self.width, offset * self.width)
+                parts = np.split(np.frombuffer(raw, f"<u{self.width}"), np.cumsum(sizes)[:-1])
+                out += [part.tolist() for part in parts]
         return out
+
+
+def _located(keys: pd.api.extensions.ExtensionArray, entries: np.ndarray) -> pd.DataFrame:
+    found = pd.DataFrame({name: entries[name] for name in ENTRY.names})
+    found.insert(0, "key", keys)
+    return found

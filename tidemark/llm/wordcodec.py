@@ -10,6 +10,8 @@ import pyarrow.compute as pc
 
 MARK = "\x01"
 STOPS = ".,"
+#: Bytes that a codec's memory takes, about, and that a word's entry takes besides its letters.
+MEMORY, ENTRY = 96_000_000, 240
 
 
 class WordCodec:
@@ -19,16 +21,18 @@ class WordCodec:
 
     Two more identities of such tokenizers are used: a full stop or comma behind a letter
     is a piece of its own, and A-Z counts as lower case. The memory has two halves of
-    ``most`` / 2 words; when the younger is full, it replaces the older. Words are encoded many at a time, with a mark between them that
-    the tokenizer gives one id of its own; words with the mark in them are encoded alone.
+    about ``most`` / 2 bytes; when the younger is full, it replaces the older. Words are
+    encoded many at a time, with a mark between them that the tokenizer gives one id of its
+    own; words with the mark in them are encoded alone.
     """
 
-    def __init__(self, path: str, width: int, most: int = 1_000_000):
+    def __init__(self, path: str, width: int, most: int = MEMORY):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.type = np.dtype(f"<u{width}")
         self.most = most
+        self.size = 0
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         (self.mark,) = self._ids(MARK)
@@ -76,12 +80,13 @@ class WordCodec:
 
     def _raws(self, forms: list[str]) -> list[bytes]:
         """The ids of each word, as bytes."""
-        if len(self.known) > self.most // 2:
-            self.known, self.older = {}, self.known
+        if self.size > self.most // 2:
+            self.known, self.older, self.size = {}, self.known, 0
         known, older = self.known, self.older
         fresh = set(STOPS).union(forms).difference(known)
         again = fresh.intersection(older)
         known.update(zip(again, map(older.__getitem__, again), strict=True))
+        self.size += len(fresh) * ENTRY + sum(map(len, fresh))
         fresh -= again
         # Lists and no pairs: Python's collector would walk over millions of those.
         words = [word for word in fresh if word and word not in STOPS]
