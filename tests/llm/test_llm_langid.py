@@ -66,7 +66,7 @@ class Reference:
 
 
 def models(texts):
-    found = {lang: charmodel.grams(own)[0] for lang, own in texts.items()}
+    found = {lang: charmodel.grams([text.lower() for text in own])[0] for lang, own in texts.items()}
     keys = np.unique(np.concatenate(list(found.values())))
     counts = np.array([[(found[lang] == k).sum() for lang in sorted(texts)] for k in keys])
     return CharModels(sorted(texts), keys, counts)
@@ -233,3 +233,26 @@ def test_calibrating_texts_are_never_held_out_and_teach_nothing(spark, documents
     assert np.array_equal(plain.entropies(["zzyzx"])[0], more.entropies(["zzyzx"])[0])
     alone = langid.train(documents([*rows, *[(k, "zzyzx qqq", "zz", "s") for k in keys]]))
     assert alone.languages == ["en", "zz"]
+
+
+def test_long_texts_are_read_without_cuts(monkeypatch):
+    rng = random.Random(8)
+    letters = "abcdéσΣİ 漢,. 12\n"
+    texts = ["".join(rng.choice(letters) for _ in range(n)) for n in (0, 1, 3, 250, 999, 2, 700)]
+    whole = [(g.tolist(), o.tolist()) for g, o in charmodel.text_grams(texts)]
+    found, of = (sum(parts, []) for parts in zip(*whole, strict=True))
+    for piece, portion in ((1, 1), (2, 5), (7, 3), (100, 64), (251, 251)):
+        monkeypatch.setattr(charmodel, "PIECE", piece)
+        monkeypatch.setattr(charmodel, "PORTION", min(portion, piece))
+        parts = list(charmodel.text_grams(texts))
+        assert np.concatenate([g for g, _ in parts]).tolist() == found
+        assert np.concatenate([o for _, o in parts]).tolist() == of
+
+
+def test_a_task_passes_its_counts_on_for_all_languages_together(spark, monkeypatch):
+    rng = random.Random(9)
+    rows = [(f"l{n % 30}", "".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(400))) for n in range(300)]
+    texts = spark.createDataFrame(rows, "lang string, text string")
+    whole = sorted(map(tuple, langid.gram_counts(texts.repartition(1)).collect()))
+    few = sorted(map(tuple, langid.gram_counts(texts.repartition(2), 5_000).collect()))
+    assert few == whole and sum(n for _, _, n in whole) == sum(len(t) + 1 for _, t in rows)

@@ -15,7 +15,8 @@ ORDER = 4
 BITS = 16
 SYMBOLS = 1 << BITS
 PAD = ORDER - 1
-#: Symbols of a text that are worked on at a time; a longer one is read in pieces that start afresh.
+#: Symbols of a text that are worked on at a time; a longer one is read in pieces, of which each
+#: goes on with the symbols before it.
 PIECE = 1_000_000
 #: Shorter texts are put together to so many.
 PORTION = 250_000
@@ -33,44 +34,70 @@ def _letters() -> np.ndarray:
     return _LETTERS[0]
 
 
-def pieces(texts: list[str]) -> Iterator[tuple[list[str], np.ndarray]]:
-    """``texts`` in portions of PORTION characters or more: pieces, and the text each is of."""
+def pieces(texts: list[str]) -> Iterator[tuple[list[str], np.ndarray, bool]]:
+    """``texts`` in portions of PORTION characters or more: lower-cased pieces, the text each
+    is of, and whether the last piece goes on as the first of the next portion."""
     some: list[str] = []
     of: list[int] = []
     size = 0
     for number, text in enumerate(texts):
-        for start in range(0, len(text), PIECE):
-            some.append(text[start : start + PIECE])
+        lowered = text.lower()
+        for start in range(0, len(lowered), PIECE):
+            some.append(lowered[start : start + PIECE])
             of.append(number)
             size += len(some[-1])
-            if size >= PORTION:
-                yield some, np.array(of)
+            goes_on = start + PIECE < len(lowered)
+            if size >= PORTION or goes_on:
+                yield some, np.array(of), goes_on
                 some, of, size = [], [], 0
     if some:
-        yield some, np.array(of)
-
-
-def grams(some: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """The grams of each piece, one for each symbol: (grams, piece of each)."""
-    lowered = [text.lower() + " " for text in some]
-    raw = "".join(lowered).encode("utf-32-le", "surrogatepass")
+        yield some, np.array(of), False
+
+
+def text_grams(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The grams of all texts, one for each symbol, in portions: (grams, text of each)."""
+    before = None
+    for some, text_of, goes_on in pieces(texts):
+        found, of, before = grams(some, before, goes_on)
+        if not goes_on:
+            before = None
+        yield found, text_of[of]
+
+
+def grams(
+    some: list[str], before: np.ndarray | None = None, goes_on: bool = False
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The grams of each lower-cased piece, one for each symbol: (grams, piece of each, last
+    symbols of the last piece).
+
+    ``before`` are the last symbols before the first piece, if that is not the start of its
+    text. All texts end with a boundary; the last piece has none if its text ``goes_on``.
+    """
+    ended = [text + " " for text in some]
+    if goes_on:
+        ended[-1] = some[-1]
+    raw = "".join(ended).encode("utf-32-le", "surrogatepass")
     symbols = _letters()[np.frombuffer(raw, "<u4")]
-    sizes = np.fromiter(map(len, lowered), np.int64, len(lowered))
-    of = np.repeat(np.arange(len(lowered)), sizes)
-    # Of a run of boundaries the first stays, and none at the start of a piece.
+    sizes = np.fromiter(map(len, ended), np.int64, len(ended))
+    of = np.repeat(np.arange(len(ended)), sizes)
+    # Of a run of boundaries the first stays, and none at the start of a text.
     letter = symbols > 0
     after = np.zeros(len(symbols), bool)
     after[1:] = letter[:-1]
     after[np.cumsum(sizes)[:-1]] = False
+    if before is not None:
+        after[0] = before[-1] > 0
     keep = np.flatnonzero(letter | after)
     of = of[keep]
-    padded = np.zeros(len(keep) + PAD * len(lowered), np.uint64)
+    padded = np.zeros(len(keep) + PAD * len(ended), np.uint64)
+    if before is not None:
+        padded[:PAD] = before
     at = np.arange(len(keep)) + PAD * (of + 1)
     padded[at] = symbols[keep]
     found = padded[at]
     for back in range(1, ORDER):
         found |= padded[at - back] << np.uint64(BITS * back)
-    return found, of
+    return found, of, padded[-PAD:]
 
 
 class Sorted:
@@ -154,13 +181,12 @@ class CharModels:
         """Bits per symbol of each text in each language, and its number of symbols."""
         bits = np.zeros((len(texts), len(self.languages)))
         sizes = np.zeros(len(texts), np.int64)
-        for some, text_of in pieces(texts):
-            found, of = grams(some)
+        for found, of in text_grams(texts):
             if not len(found):
                 continue
             starts = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]]))
             sums = np.add.reduceat(self._lower(found, ORDER), starts, axis=0, dtype=np.float64)
-            owners = text_of[of[starts]]
+            owners = of[starts]
             np.add.at(bits, owners, -sums)
             np.add.at(sizes, owners, np.diff(np.append(starts, len(found))))
         return bits / np.maximum(sizes, 1)[:, None], sizes

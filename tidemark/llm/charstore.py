@@ -18,9 +18,8 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.charmodel import BITS, ORDER, SYMBOLS, Sorted, grams, pieces
-from tidemark.llm.common import staged
-from tidemark.shared import fresh_folder
+from tidemark.llm.charmodel import BITS, ORDER, SYMBOLS, Sorted, text_grams
+from tidemark.llm.common import keeps, scratch, staged
 
 #: Entries that a task holds at a time.
 BLOCK = 8_000_000
@@ -31,6 +30,15 @@ Block = dict[tuple[int, int], Sorted]
 _HELD: dict[str, Block] = {}
 
 
+def _release() -> bool:
+    held = bool(_HELD)
+    _HELD.clear()
+    return held
+
+
+keeps("langid", _release)
+
+
 def _context(gram: Column) -> Column:
     return F.shiftrightunsigned(gram, BITS)
 
@@ -97,7 +105,7 @@ def store_models(counts: DataFrame) -> tuple[str, DataFrame]:
                     F.log2(value).cast("float").alias("value"),
                 )
             )
-    root = fresh_folder(spark, "langid-entries")
+    root = scratch(spark, "langid-entries")
     union = entries[0]
     for more in entries[1:]:
         union = union.unionByName(more)
@@ -181,10 +189,9 @@ class StoredModels:
         sizes = np.zeros(len(texts), np.int64)
         slab: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         symbols = kinds = 0
-        for some, text_of in pieces(texts):
-            found, of = grams(some)
+        for found, of in text_grams(texts):
             keys, at = np.unique(found, return_inverse=True)
-            slab.append((keys, at.astype(np.int32), text_of[of].astype(np.int32)))
+            slab.append((keys, at.astype(np.int32), of.astype(np.int32)))
             symbols, kinds = symbols + len(found), kinds + len(keys)
             if symbols >= SLAB or kinds * len(self.languages) >= CELLS:
                 self._add(slab, bits, sizes)

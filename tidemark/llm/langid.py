@@ -21,9 +21,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.charmodel import grams, pieces
+from tidemark.llm.charmodel import text_grams
 from tidemark.llm.charstore import StoredModels, store_models
-from tidemark.llm.common import staged
+from tidemark.llm.common import enter, staged
 from tidemark.shared import small_frame
 
 UNDETERMINED = "und"
@@ -36,7 +36,7 @@ LEAST = 5
 HALF = 0.455
 #: A score is a probability as if a text had no more symbols than this.
 SCORED_SYMBOLS = 50
-#: Grams that a task gathers before it passes them on.
+#: Grams, of all languages together, that a task gathers before it passes them on.
 FLUSH = 2_000_000
 
 
@@ -51,8 +51,9 @@ def calibrating(key: Column) -> Column:
     return F.coalesce(F.crc32(key.cast("string")) % 10 == 3, F.lit(False))
 
 
-def gram_counts(texts: DataFrame) -> DataFrame:
-    """``lang``, ``gram``, ``n`` over all rows of ``texts`` (lang, text; no nulls)."""
+def gram_counts(texts: DataFrame, most: int = FLUSH) -> DataFrame:
+    """``lang``, ``gram``, ``n`` over all rows of ``texts`` (lang, text; no nulls). A task holds
+    about ``most`` grams, however many languages they are of."""
 
     def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
         keys = np.concatenate([k for k, _ in parts])
@@ -69,27 +70,27 @@ def gram_counts(texts: DataFrame) -> DataFrame:
         )
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter("langid")
         seen: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
+        held = 0
         for batch in batches:
             langs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for some, text_of in pieces(texts):
-                found, of = grams(some)
-                names, of_name = np.unique([langs[t] for t in text_of], return_inverse=True)
+            names, of_name = np.unique(langs, return_inverse=True)
+            for found, of in text_grams(texts):
                 spoken = of_name[of]
-                for number, lang in enumerate(names.tolist()):
-                    own = found[spoken == number] if len(names) > 1 else found
-                    if len(own):
-                        keys, n = np.unique(own, return_counts=True)
-                        seen.setdefault(lang, []).append((keys, n.astype(np.int64)))
-            for lang, parts in seen.items():
-                if sum(len(k) for k, _ in parts) > FLUSH:
-                    seen[lang] = parts = [merged(parts)]
-                    if len(parts[0][0]) > FLUSH // 2:
+                for number in np.unique(spoken).tolist():
+                    keys, n = np.unique(found[spoken == number], return_counts=True)
+                    seen.setdefault(str(names[number]), []).append((keys, n.astype(np.int64)))
+                    held += len(keys)
+                if held > most:
+                    seen = {lang: [merged(parts)] for lang, parts in seen.items()}
+                    held = sum(len(parts[0][0]) for parts in seen.values())
+                if held > most // 2 and all(len(parts) == 1 for parts in seen.values()):
+                    for lang, parts in seen.items():
                         yield rows(lang, *parts[0])
-                        seen[lang] = []
+                    seen, held = {}, 0
         for lang, parts in seen.items():
-            if parts:
-                yield rows(lang, *merged(parts))
+            yield rows(lang, *merged(parts))
 
     partial = texts.select("lang", "text").mapInArrow(count, "lang string, gram long, n long")
     return partial.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
@@ -138,6 +139,7 @@ def calibrated(models: StoredModels, texts: DataFrame) -> StoredModels:
 
     @F.pandas_udf("lang_pred string, bits double, size long")
     def read(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        enter("langid")
         models = shared.value
         for some in batches:
             bits, sizes = models.entropies(some.tolist())
@@ -205,6 +207,7 @@ def identify(
 
     @F.pandas_udf("lang_pred string, score double, bits double, rejected boolean")
     def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        enter("langid")
         models = shared.value
         for texts in batches:
             yield _judged(models, [t if isinstance(t, str) else "" for t in texts])
