@@ -8,16 +8,17 @@ import pytest
 
 from tidemark.llm import jaccard
 from tidemark.llm.components import components
+from tidemark.llm import shingles as shingles_module
 from tidemark.llm.shingles import shingle_sets
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def shingles(text):
+def shingles(text, width=3):
     words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOWER))
-    if 0 < len(words) < 3:
+    if 0 < len(words) < width:
         return frozenset([tuple(words)])
-    return frozenset(zip(words, words[1:], words[2:], strict=False))
+    return frozenset(zip(*[words[n:] for n in range(width)], strict=False))
 
 
 def roots(links, nodes):
@@ -35,18 +36,18 @@ def roots(links, nodes):
     return {n: find(n) for n in nodes}
 
 
-def brute(rows):
+def brute(rows, width=3, percent=90):
     """(key, number of shingles, smallest key of the component) of each row (key, text)."""
-    return [row[:3] for row in brute_components(rows)]
+    return [row[:3] for row in brute_components(rows, width, percent)]
 
 
-def brute_components(rows):
-    sets = [shingles(text) for _, text in rows]
+def brute_components(rows, width=3, percent=90):
+    sets = [shingles(text, width) for _, text in rows]
     links = [
         (a, b)
         for b in range(len(rows))
         for a in range(b)
-        if sets[a] and 100 * len(sets[a] & sets[b]) >= 90 * len(sets[a] | sets[b])
+        if sets[a] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])
     ]
     root = roots(links, range(len(rows)))
     smallest = defaultdict(list)
@@ -59,10 +60,11 @@ def brute_components(rows):
     ]
 
 
-def check(docs):
+def check(docs, **options):
     rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
-    got = jaccard.jaccard_components(docs).select("key", "n_shingles", "component_id").collect()
-    assert sorted(map(str, map(tuple, got))) == sorted(map(str, brute(rows)))
+    got = jaccard.jaccard_components(docs, **options)
+    got = got.select("key", "n_shingles", "component_id").collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, brute(rows, **options)))
     return got
 
 
@@ -70,6 +72,33 @@ def test_given_documents(spark, sf_dir):
     check(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+@pytest.mark.parametrize(("width", "percent"), [(5, 80), (2, 60), (1, 100)])
+def test_other_widths_and_similarities(spark, sf_dir, tricky, documents, width, percent):
+    check(spark.read.parquet(f"{sf_dir}/documents.parquet"), width=width, percent=percent)
+    check(tricky, width=width, percent=percent)
+    rng = random.Random(width)
+    base = [f"w{n}" for n in range(60)]
+    rows = []
+    for n in range(60):  # similarities around the bound, from both sides, also of short texts
+        words = base[: rng.choice([3, 5, 8, 20, 60])]
+        for _ in range(rng.randint(0, 4)):
+            words = [*words[: (at := rng.randrange(len(words)))], rng.choice(["x", "y"]), *words[at + 1 :]]
+        rows.append((n, " ".join(words)))
+    check(documents(rows), width=width, percent=percent)
+
+
+def test_long_texts_are_taken_in_parts_between_words(monkeypatch):
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice("abc") * rng.randint(1, 30) for _ in range(300)), "x" * 500, "", "a  b "]
+    whole = [(s.tolist()) for s, _ in shingle_sets(texts, 3)]
+    for portion in (7, 64, 1000):
+        monkeypatch.setattr(shingles_module, "PORTION", portion)
+        shingles_module._POWERS.clear()
+        assert [s.tolist() for s, _ in shingle_sets(texts, 3)] == whole
+        assert not shingles_module._POWERS or len(shingles_module._POWERS[0]) == portion
+    shingles_module._POWERS.clear()
+
+
 def edited(rng, words, n):
     words = list(words)
     for _ in range(n):

@@ -1,14 +1,14 @@
-"""N-gram Jaccard join: documents whose shingle sets have a similarity of 0.9 or more.
+"""N-gram Jaccard join: documents whose shingle sets have a similarity of s (0.9) or more.
 
 The overlaps of all pairs are the product of the document by shingle incidence matrix with
 its transpose. Spark takes it in blocks of columns, the hash partitions by shingle:
 
 * Equal rows are merged: documents of one set are one node.
-* Of a row of n shingles only the first n - ceil(0.9 n) + 1 in one common order, rare ones
+* Of a row of n shingles only the first n - ceil(s n) + 1 in one common order, rare ones
   first, are multiplied. Rows that are similar enough share one of those.
 * A column gives the products of its nodes, which meet by pair over all blocks. Where two
   rows share the column before, too, the product is left out: the pair has one there.
-  Two rows of n and m shingles are similar enough if they share a = ceil(0.9 (n + m) / 1.9),
+  Two rows of n and m shingles are similar enough if they share a = ceil(s (n + m) / (1 + s)),
   so they have one of their first n - a + 1 and m - a + 1 in common; other products, and
   those of sizes too far apart, are not made.
 * Each row has a sketch: the parity of its shingles in each of SKETCH_BITS slots. Sketches
@@ -31,13 +31,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import staged
+from tidemark.llm.common import enter, staged
 from tidemark.llm.components import components
 from tidemark.llm.shingles import portions, shingle_sets, slots, word_hashes
 
-WIDTH = 3
-#: Similarity of a link, in percent.
-PERCENT = 90
+#: Words of a shingle, and the similarity of a link in percent, unless told otherwise.
+WIDTH, PERCENT = 3, 90
 SKETCH_BITS = 512
 #: Words are counted in so many slots (as a power of two), to order columns by rarity.
 SLOT_BITS = 22
@@ -52,9 +51,9 @@ def _texts(batch: pa.RecordBatch) -> list[str]:
     return [text or "" for text in batch.column("text").to_pylist()]
 
 
-def _least_overlap(n) -> np.ndarray:
+def _least_overlap(n: int, percent: int) -> int:
     """Shingles that a set of ``n`` must share with any set it is linked to."""
-    return -(-PERCENT * n // 100)
+    return -(-percent * n // 100)
 
 
 def word_levels(docs: DataFrame) -> np.ndarray:
@@ -68,6 +67,7 @@ def word_levels(docs: DataFrame) -> np.ndarray:
     size, block = 1 << SLOT_BITS, 1 << BLOCK_BITS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter("jaccard")
         total = np.zeros(size, np.uint32)
         for batch in batches:
             for some in portions(_texts(batch)):
@@ -107,12 +107,13 @@ def word_levels(docs: DataFrame) -> np.ndarray:
     return levels
 
 
-def rows_of(docs: DataFrame, width: int, levels: np.ndarray) -> DataFrame:
+def rows_of(docs: DataFrame, width: int, levels: np.ndarray, percent: int = PERCENT) -> DataFrame:
     """Each document's row: ``key``, ``tag``, ``n``, ``digest`` of its set, the shingles of it
     that are multiplied, in order (``prefix``), and its ``sketch``."""
     shared = docs.sparkSession.sparkContext.broadcast(levels)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter("jaccard")
         levels = shared.value
         for batch in batches:
             sizes, digests, prefixes, sketches = [], [], [], []
@@ -121,9 +122,9 @@ def rows_of(docs: DataFrame, width: int, levels: np.ndarray) -> DataFrame:
                 sizes.append(n)
                 digests.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest())
                 sketches.append(_sketch(found))
-                least = int(_least_overlap(n))
+                least = _least_overlap(n, percent)
                 if least == n:  # only an equal set, or one of n + 1, could be near
-                    length = int(n >= 9)
+                    length = int(100 * n >= percent * (n + 1))
                 else:
                     length = min(n - least + 1, n)
                 order = np.lexsort((found, level))[:length]
@@ -158,6 +159,7 @@ def full_sets(docs: DataFrame, width: int) -> DataFrame:
     """``digest`` and all shingles (``shingles``) of each document's set."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter("jaccard")
         for batch in batches:
             digests, sets = [], []
             for found, _ in shingle_sets(_texts(batch), width):
@@ -176,24 +178,25 @@ def full_sets(docs: DataFrame, width: int) -> DataFrame:
     return docs.select("text").mapInArrow(read, "digest binary, shingles array<long>")
 
 
-def _spare(own: Column, other: Column) -> Column:
+def _spare(own: Column, other: Column, percent: int) -> Column:
     """Shingles of a set of size ``own`` that a linked set of size ``other`` may lack."""
-    total = (own + other) * PERCENT
-    return own - (total + 99 + PERCENT - (total + 99 + PERCENT) % (100 + PERCENT)) / (100 + PERCENT)
+    above = (own + other) * percent + 99 + percent
+    return own - (above - above % (100 + percent)) / (100 + percent)
 
 
-def _possible(left: str, right: str) -> Column:
+def _possible(left: str, right: str, percent: int) -> Column:
     """Whether sizes, the places of a shared shingle, and sketches allow a link."""
     n, m = F.col(f"{left}.n"), F.col(f"{right}.n")
-    sizes = (n * 100 >= m * PERCENT) & (m * 100 >= n * PERCENT)
-    first = F.col(f"{left}.place") <= _spare(n, m)
-    second = F.col(f"{right}.place") <= _spare(m, n)
+    sizes = (n * 100 >= m * percent) & (m * 100 >= n * percent)
+    spare = _spare(n, m, percent), _spare(m, n, percent)
+    first = F.col(f"{left}.place") <= spare[0]
+    second = F.col(f"{right}.place") <= spare[1]
     x, y = F.col(f"{left}.sketch"), F.col(f"{right}.sketch")
     differ = F.lit(0)
     for word in range(SKETCH_BITS // 64):
         both = F.get(x, F.lit(word)).bitwiseXOR(F.get(y, F.lit(word)))
         differ = differ + F.bit_count(both)
-    return sizes & first & second & (differ <= _spare(n, m) + _spare(m, n))
+    return sizes & first & second & (differ <= spare[0] + spare[1])
 
 
 def _in_several(entries: DataFrame) -> DataFrame:
@@ -210,8 +213,9 @@ def _in_several(entries: DataFrame) -> DataFrame:
 class _Join:
     """The columns with several nodes, and what is known about their components."""
 
-    def __init__(self, docs: DataFrame, width: int, classes: DataFrame):
+    def __init__(self, docs: DataFrame, width: int, classes: DataFrame, percent: int):
         self.spark, self.docs, self.width, self.classes = docs.sparkSession, docs, width, classes
+        self.percent = percent
         entries = classes.where(F.size("prefix") > 0).select(
             "node", "n", F.posexplode("prefix").alias("place", "column")
         )
@@ -256,7 +260,7 @@ class _Join:
         both = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
         common = F.size(F.array_intersect("x", "y"))
         union = F.size("x") + F.size("y") - F.col("common")
-        linked = both.withColumn("common", common).where(100 * F.col("common") >= PERCENT * union)
+        linked = both.withColumn("common", common).where(100 * F.col("common") >= self.percent * union)
         linked = staged(self.spark, linked.select("a", "b"), "jaccard-links")
         found = linked.count()
         if found:
@@ -265,10 +269,10 @@ class _Join:
         return found
 
 
-def _products(open_: DataFrame) -> int:
+def _products(open_: DataFrame, percent: int) -> int:
     """About how many products multiplying out between components would make: those of
     entries that count for a set of the same size."""
-    counting = open_.where(F.col("place") <= _spare(F.col("n"), F.col("n")))
+    counting = open_.where(F.col("place") <= _spare(F.col("n"), F.col("n"), percent))
     each = counting.groupBy("column", "root").agg(F.count("*").alias("n"))
     columns = each.groupBy("column").agg(
         F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("within")
@@ -276,7 +280,7 @@ def _products(open_: DataFrame) -> int:
     return columns.agg(F.sum((F.col("n") * F.col("n") - F.col("within")) / 2)).first()[0] or 0
 
 
-def _star_pairs(open_: DataFrame, number: int) -> DataFrame:
+def _star_pairs(open_: DataFrame, number: int, percent: int) -> DataFrame:
     """Each column's first node with all others of other components. First comes the node in
     which the column stands foremost, that is the one with the fewest shingles of its own;
     later rounds have an order of their own each."""
@@ -288,7 +292,7 @@ def _star_pairs(open_: DataFrame, number: int) -> DataFrame:
     return (
         open_.alias("m")
         .join(hubs.alias("h"), "column")
-        .where((F.col("m.root") != F.col("h.root")) & _possible("m", "h"))
+        .where((F.col("m.root") != F.col("h.root")) & _possible("m", "h", percent))
         .groupBy(
             F.least("m.node", "h.node").alias("a"), F.greatest("m.node", "h.node").alias("b")
         )
@@ -297,7 +301,7 @@ def _star_pairs(open_: DataFrame, number: int) -> DataFrame:
     )
 
 
-def _all_pairs(open_: DataFrame) -> DataFrame:
+def _all_pairs(open_: DataFrame, percent: int) -> DataFrame:
     """The pairs that the products between different components are of."""
     again = F.coalesce(F.col("l.previous") == F.col("r.previous"), F.lit(False))
     return (
@@ -307,7 +311,7 @@ def _all_pairs(open_: DataFrame) -> DataFrame:
             (F.col("l.node") < F.col("r.node"))
             & (F.col("l.root") != F.col("r.root"))
             & ~again
-            & _possible("l", "r")
+            & _possible("l", "r", percent)
         )
         .groupBy(F.col("l.node").alias("a"), F.col("r.node").alias("b"))
         .agg(F.count("*").alias("products"))
@@ -316,11 +320,16 @@ def _all_pairs(open_: DataFrame) -> DataFrame:
 
 
 def jaccard_components(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    width: int = WIDTH,
+    percent: int = PERCENT,
 ) -> DataFrame:
     """``key``, ``tag`` (hash of the text), ``n_shingles``, ``component_id`` (smallest key
     reachable by links, its own included) and ``component`` (a number of the component in
-    this run; null without shingles) for every row of ``docs``.
+    this run; null without shingles) for every row of ``docs``. Links are similarities of
+    ``percent`` or more between sets of shingles of ``width`` words. Keys are integers.
 
     Null and empty texts have no shingles and are linked with nothing, not even with each
     other: their component is their own key. Equal sets are linked at any size. Rows of one
@@ -329,7 +338,7 @@ def jaccard_components(
     """
     spark = docs.sparkSession
     read = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-    rows = staged(spark, rows_of(read, width, word_levels(read)), "jaccard-rows")
+    rows = staged(spark, rows_of(read, width, word_levels(read), percent), "jaccard-rows")
     classes = (
         rows.where("n > 0")
         .groupBy("digest")
@@ -342,17 +351,17 @@ def jaccard_components(
         .withColumn("node", F.monotonically_increasing_id())
     )
     classes = staged(spark, classes, "jaccard-classes")
-    join = _Join(read, width, classes)
+    join = _Join(read, width, classes, percent)
     limit = PRODUCTS_PER_ENTRY * join.entries.count()
     open_, number = join.labelled(), 0
-    products = _products(open_)
+    products = _products(open_, percent)
     while products > limit:
-        join.add(_star_pairs(open_, number))
+        join.add(_star_pairs(open_, number, percent))
         open_, number, before = join.labelled(), number + 1, products
-        products = _products(open_)
+        products = _products(open_, percent)
         if products > GAIN * before:
             break
-    join.add(_all_pairs(open_))
+    join.add(_all_pairs(open_, percent))
 
     named = classes.select("node", "digest", "key")
     if join.roots is not None:

@@ -6,24 +6,41 @@ from collections.abc import Iterator
 
 import numpy as np
 
+from tidemark.llm.common import keeps
 from tidemark.llm.perfecthash import mix
 
-#: Bytes of text that are worked on at a time; a longer text is read alone, whole.
+#: Bytes of text that are worked on at a time; a longer text is taken in parts between words.
 PORTION = 1_000_000
 BASE = 0x9FB21C651E98DF25
 WORD_SEED, SHINGLE_SEED, SHORT_SEED = 11, 12, 13
 _POWERS: list[np.ndarray] = []
 
 
+def _release() -> bool:
+    held = bool(_POWERS)
+    _POWERS.clear()
+    return held
+
+
+keeps("jaccard", _release)
+
+
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers 1 to ``n`` of BASE modulo 2**64, and their inverses."""
-    if not _POWERS or len(_POWERS[0]) < n:
-        size = max(n, PORTION)
-        inverse = pow(BASE, -1, 1 << 64)
-        _POWERS[:] = [np.cumprod(np.full(size, b, np.uint64)) for b in (BASE, inverse)]
+    """Powers 1 to ``n`` of BASE modulo 2**64, and their inverses. Only those that a part of a
+    text takes are kept; a longer word has its own."""
+    if n > PORTION:
+        return _computed(n)
+    if not _POWERS:
+        _POWERS[:] = _computed(PORTION)
     return _POWERS[0][:n], _POWERS[1][:n]
 
 
+def _computed(n: int) -> tuple[np.ndarray, np.ndarray]:
+    inverse = pow(BASE, -1, 1 << 64)
+    first, second = (np.cumprod(np.full(n, b, np.uint64)) for b in (BASE, inverse))
+    return first, second
+
+
 def _table() -> np.ndarray:
     """Lower-cases A-Z; white space becomes 0 and every other byte is one higher."""
     table = np.arange(1, 257, dtype=np.uint64)
@@ -49,18 +66,35 @@ def portions(texts: list[str]) -> Iterator[list[bytes]]:
         yield some
 
 
+def _parts(raw: np.ndarray) -> Iterator[slice]:
+    """Stretches of PORTION bytes at most, each but a longer word's ending behind white space,
+    as ``raw`` itself does."""
+    start = 0
+    while start < len(raw):
+        end, step = start, PORTION
+        while end == start:
+            blanks = np.flatnonzero(TABLE[raw[start : start + step]] == 0)
+            end, step = start + (int(blanks[-1]) + 1 if len(blanks) else 0), 2 * step
+        yield slice(start, end)
+        start = end
+
+
 def word_hashes(some: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """A 64-bit hash of every word, in order, and the text that each is of."""
     raw = np.frombuffer(b"\n".join([*some, b""]), np.uint8)
-    values = TABLE[raw]
-    power, inverse = _powers(len(values))
-    sums = np.concatenate([[np.uint64(0)], np.cumsum(values * power)])
-    word = np.concatenate([[False], values > 0, [False]])
-    starts = np.flatnonzero(word[1:] & ~word[:-1])
-    ends = np.flatnonzero(~word[1:] & word[:-1])
-    hashes = mix((sums[ends] - sums[starts]) * inverse[starts], WORD_SEED)
+    hashes, places = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for part in _parts(raw):
+        values = TABLE[raw[part]]
+        power, inverse = _powers(len(values))
+        sums = np.concatenate([[np.uint64(0)], np.cumsum(values * power)])
+        word = np.concatenate([[False], values > 0, [False]])
+        starts = np.flatnonzero(word[1:] & ~word[:-1])
+        ends = np.flatnonzero(~word[1:] & word[:-1])
+        hashes.append(mix((sums[ends] - sums[starts]) * inverse[starts], WORD_SEED))
+        places.append(starts + part.start)
     text_ends = np.cumsum([len(b) + 1 for b in some])
-    return hashes, np.searchsorted(text_ends, starts, side="right")
+    of = np.searchsorted(text_ends, np.concatenate(places), side="right")
+    return np.concatenate(hashes), of
 
 
 def shingle_sets(
