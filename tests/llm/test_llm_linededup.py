@@ -2,7 +2,10 @@
 
 from collections import defaultdict
 
+import pytest
+
 from tidemark.llm.linededup import LineRuns, dedup_lines, line_table
+from tidemark.shared import child_names
 
 SPACES = " \t\n\x0b\x0c\r"
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -67,24 +70,51 @@ def table_of(docs):
     return line_table(docs, "doc_id", "text", 20)
 
 
+def hashes(frame):
+    return {tuple(r) for r in frame.select("h1", "h2", "n_docs", "last_doc").collect()}
+
+
 def test_runs_are_sorted_and_compacted(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     runs = LineRuns(spark, fanout=2)
-    whole = {tuple(r) for r in runs.run_of(table_of(docs)).collect()}
+    whole = hashes(runs.run_of(table_of(docs)))
     for number in range(5):
         runs.add(table_of(docs.where(f"doc_id % 5 = {number}")))
-    assert [len(level) for level in runs.levels] == [1, 0, 1]
-    assert {tuple(r) for r in runs.merged().collect()} == whole
-    for path in (p for level in runs.levels for p in level):
-        for name in spark.read.parquet(path).inputFiles():
-            file = [(r.h1, r.h2) for r in spark.read.parquet(name).collect()]
+    for levels in runs.levels.values():
+        assert [len(level) for level in levels] == [1, 0, 1]
+    assert hashes(runs.merged()) == whole
+    listed = {name for kind in runs.levels for level in runs.levels[kind] for name in level}
+    assert {n for n in child_names(spark, runs.root) if n.startswith("run-")} == listed
+    for name in listed:
+        for path in spark.read.parquet(f"{runs.root}/{name}").inputFiles():
+            file = [(r.h1, r.h2) for r in spark.read.parquet(path).collect()]
             assert file == sorted(file)
 
 
-def test_a_batch_meets_what_came_before(spark, documents):
-    runs = LineRuns(spark)
-    old, new = "an old line of text, long enough", "a new line of text, long enough"
-    first = table_of(documents([(1, old)]))
-    assert runs.fresh(first).count() == 1
-    runs.add(first)
-    assert runs.fresh(table_of(documents([(2, f"{old}\n{new}\n{new}")]))).count() == 1
+def test_each_batch_is_anti_joined_with_the_runs(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    runs, seen = LineRuns(spark, fanout=3), set()
+    for number in range(4):
+        batch = table_of(docs.where(f"doc_id % 4 = {number}"))
+        own = {row[:2] for row in hashes(runs.run_of(batch))}
+        assert {row[:2] for row in hashes(runs.fresh(runs.run_of(batch)))} == own - seen
+        runs.add(batch)
+        seen |= own
+        keys = [(r.h1, r.h2) for r in runs._keys().collect()]
+        assert len(keys) == len(set(keys)) and set(keys) == seen
+    assert runs._names("updates")
+
+
+def test_runs_go_on_in_a_later_session(spark, sf_dir, monkeypatch):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    first = LineRuns(spark, fanout=2)
+    for number in range(3):
+        first.add(table_of(docs.where(f"doc_id % 5 = {number}")))
+    with monkeypatch.context() as patch:
+        patch.setattr(LineRuns, "_list", lambda self: (_ for _ in ()).throw(RuntimeError("stopped")))
+        with pytest.raises(RuntimeError):
+            LineRuns(spark, first.root, fanout=2).add(table_of(docs.where("doc_id % 5 = 3")))
+    again = LineRuns(spark, first.root, fanout=2)
+    for number in (3, 4):
+        again.add(table_of(docs.where(f"doc_id % 5 = {number}")))
+    assert hashes(again.merged()) == hashes(again.run_of(table_of(docs)))

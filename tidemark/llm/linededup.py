@@ -1,20 +1,25 @@
 """Line deduplication over levelled sorted runs of line hashes.
 
 The hashes of the lines seen so far live in runs: sorted tables of (hash, documents
-that hold it, largest of their keys). A batch of documents adds one run to level 0.
-When a level holds ``fanout`` runs, they are compacted into one run of the next level,
-so n batches leave O(fanout * log n) runs and each hash is rewritten O(log n) times.
+that hold it, largest of their keys). A batch is anti-joined with them: hashes that no run
+holds are new and make a run of keys, the others a run of updates, which say how many more
+documents hold them and the largest key among those. So each hash is in one run of keys, and
+updates are as few as lines that batches share. When a level holds ``fanout`` runs, they are
+compacted into one run of the next level, so n batches leave O(fanout * log n) runs and each
+hash is rewritten O(log n) times. A small file lists the runs that count and is written last:
+a later session goes on with the same runs, and what a stopped write leaves is not read.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
+import json
+import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.llm.common import SPACES, ascii_lower, row_key, staged
-from tidemark.shared import delete_path, fresh_folder
+from tidemark.llm.common import SPACES, ascii_lower, row_key, scratch, staged
+from tidemark.shared import delete_path, read_text, write_text
 
 RUN_KEY = ["h1", "h2"]
 #: A null document key counts as smaller than any other.
@@ -70,15 +75,20 @@ def _rank(key: Column) -> Column:
     return F.coalesce(key.cast("long"), F.lit(SMALLEST))
 
 
+KEYS, UPDATES = "keys", "updates"
+RUN = "h1 long, h2 long, n_docs long, last_doc long"
+
+
 class LineRuns:
-    """The runs of one corpus, below the shared folder or ``root``. Batches are rows of
-    :func:`line_table`."""
+    """The runs of one corpus below ``root`` (or a new folder), as they were left there. Batches
+    are rows of :func:`line_table`."""
 
     def __init__(self, spark: SparkSession, root: str | None = None, fanout: int = 3):
         self.spark, self.fanout = spark, fanout
-        self.root = root or fresh_folder(spark, "line-runs")
-        self.levels: list[list[str]] = []
-        self.written = 0
+        self.root = root or scratch(spark, "line-runs")
+        listed = json.loads(read_text(spark, f"{self.root}/runs.json") or "{}")
+        #: By kind, the names of the runs of each level.
+        self.levels: dict[str, list[list[str]]] = listed or {KEYS: [], UPDATES: []}
 
     def run_of(self, batch: DataFrame) -> DataFrame:
         """The run of a batch: a document counts once for each of its different lines."""
@@ -90,49 +100,66 @@ class LineRuns:
         )
 
     def add(self, batch: DataFrame) -> None:
-        """Adds a batch's run and compacts every level that is full."""
-        self._put(0, self.run_of(batch))
-        level = 0
-        while level < len(self.levels):
-            if len(self.levels[level]) >= self.fanout:
-                self._compact(level)
-            level += 1
-
-    def fresh(self, batch: DataFrame) -> DataFrame:
-        """The batch's line hashes that no run holds yet: the merge-anti-join."""
-        return self.run_of(batch).join(self.merged(), RUN_KEY, "left_anti")
+        """Takes a batch in: what no run holds as keys, the rest as updates."""
+        own = self._written(self.run_of(batch))
+        run = self._read([own])
+        fresh = self._written(self.fresh(run))
+        known = self._written(run.join(self._keys(), RUN_KEY, "left_semi"))
+        old = [own]
+        for kind, name in ((KEYS, fresh), (UPDATES, known)):
+            levels = self.levels[kind]
+            levels[:] = levels or [[]]
+            levels[0].append(name)
+            old += self._compacted(kind)
+        self._list()
+        for name in old:
+            delete_path(self.spark, f"{self.root}/{name}")
+
+    def fresh(self, run: DataFrame) -> DataFrame:
+        """The hashes of a batch's run that no run holds yet: the merge-anti-join."""
+        return run.join(self._keys(), RUN_KEY, "left_anti")
 
     def merged(self) -> DataFrame:
-        """All runs as one."""
-        return self._merge([path for level in self.levels for path in level])
-
-    def _merge(self, paths: list[str]) -> DataFrame:
-        schema = "h1 long, h2 long, n_docs long, last_doc long"
-        if not paths:
-            return self.spark.createDataFrame([], schema)
-        runs = [self.spark.read.schema(schema).parquet(path) for path in paths]
-        if len(runs) == 1:
-            return runs[0]
-        return (
-            reduce(DataFrame.unionByName, runs)
-            .groupBy(*RUN_KEY)
-            .agg(F.sum("n_docs").alias("n_docs"), F.max("last_doc").alias("last_doc"))
-        )
+        """All runs as one: of each hash the documents and the largest key."""
+        return self._merge([n for kind in self.levels for n in self._names(kind)])
+
+    def _names(self, kind: str) -> list[str]:
+        return [name for level in self.levels[kind] for name in level]
+
+    def _keys(self) -> DataFrame:
+        return self._read(self._names(KEYS)).select(*RUN_KEY)
+
+    def _read(self, names: list[str]) -> DataFrame:
+        if not names:
+            return self.spark.createDataFrame([], RUN)
+        return self.spark.read.schema(RUN).parquet(*[f"{self.root}/{name}" for name in names])
+
+    def _merge(self, names: list[str]) -> DataFrame:
+        runs = self._read(names).groupBy(*RUN_KEY)
+        return runs.agg(F.sum("n_docs").alias("n_docs"), F.max("last_doc").alias("last_doc"))
+
+    def _written(self, run: DataFrame) -> str:
+        name = f"run-{uuid.uuid4().hex}"
+        run.sortWithinPartitions(*RUN_KEY).write.parquet(f"{self.root}/{name}")
+        return name
+
+    def _compacted(self, kind: str) -> list[str]:
+        """Merges every level that is full into one run of the next; the runs that go."""
+        levels, old, level = self.levels[kind], [], 0
+        while level < len(levels):
+            if len(levels[level]) >= self.fanout:
+                # Runs of keys share no hash: put together, they need no adding up.
+                whole = self._read(levels[level]) if kind == KEYS else self._merge(levels[level])
+                if level + 1 == len(levels):
+                    levels.append([])
+                levels[level + 1].append(self._written(whole))
+                old += levels[level]
+                levels[level] = []
+            level += 1
+        return old
 
-    def _put(self, level: int, run: DataFrame) -> None:
-        path = f"{self.root}/level-{level}-run-{self.written}"
-        self.written += 1
-        run.sortWithinPartitions(*RUN_KEY).write.parquet(path)
-        while len(self.levels) <= level:
-            self.levels.append([])
-        self.levels[level].append(path)
-
-    def _compact(self, level: int) -> None:
-        old = self.levels[level]
-        self._put(level + 1, self._merge(old))
-        self.levels[level] = []
-        for path in old:
-            delete_path(self.spark, path)
+    def _list(self) -> None:
+        write_text(self.spark, f"{self.root}/runs.json", json.dumps(self.levels))
 
     def repeated(self, batch: DataFrame, least_docs: int) -> DataFrame:
         """The places (``drops``) of the lines of each ``row`` of a batch that ``least_docs``
@@ -142,10 +169,7 @@ class LineRuns:
         few repeated hashes are broadcast if they are small, else Spark splits the batch.
         """
         held = self.merged().where(F.col("n_docs") >= least_docs).drop("n_docs")
-        path = f"{self.root}/repeated-{self.written}"
-        self.written += 1
-        held.sortWithinPartitions(*RUN_KEY).write.parquet(path)
-        held = self.spark.read.schema(held.schema).parquet(path)
+        held = staged(self.spark, held, "line-repeated")
         places = batch.select("row", "rank", F.explode("places").alias("place"))
         return (
             places.select("row", "rank", "place.at", "place.h1", "place.h2")
@@ -193,13 +217,17 @@ def dedup_lines(
 
     Rows count as documents, repeated rows too; rows that share the largest key all keep
     their lines. Null and empty texts are one empty line and keep it. A null key is the
-    smallest. An empty table gives an empty result.
+    smallest; keys are integers. An empty table gives an empty result.
     """
     spark = docs.sparkSession
-    table = staged(spark, line_table(docs, key, text, least_chars), "line-table")
+    path = scratch(spark, "line-table")
+    table = line_table(docs, key, text, least_chars)
+    number = F.pmod(F.xxhash64("rank"), F.lit(batches)).cast("int").alias("batch")
+    table.select("*", number).write.partitionBy("batch").parquet(path)
+    stored = T.StructType([*table.schema.fields, T.StructField("batch", T.IntegerType())])
+    table = spark.read.schema(stored).parquet(path)
     runs = LineRuns(spark, fanout=fanout)
-    number = F.pmod(F.xxhash64("rank"), F.lit(batches))
-    for batch in range(batches):
-        runs.add(table.where(number == batch))
+    for batch in range(batches):  # each is a folder of its own, the others are not read
+        runs.add(table.where(F.col("batch") == batch))
     drops = staged(spark, runs.repeated(table, least_docs), "line-drops")
     return without_lines(docs, drops, key, text)
