@@ -129,30 +129,38 @@ FROM failed
 """
 
 ORACLES["op6_chat"] = r"""
-WITH turns AS (
-    SELECT conv_id, floor(turn / 512) AS segment, turn, coalesce(role, 'unknown') AS role,
-        coalesce(text, '') AS text, coalesce(role, 'unknown') = 'system' AS instruction
+WITH named AS (
+    SELECT row_number() OVER () AS number, conv_id, turn, replace(translate(
+            coalesce(role, 'unknown'), chr(13) || chr(10), '  '), '<|im_', '<| im_') AS role,
+        replace(coalesce(text, ''), '<|im_', '<| im_') AS text
     FROM conversations
+), turns AS (
+    SELECT *, role = 'system' AS instruction,
+        coalesce(CAST(conv_id AS VARCHAR), 'row ' || number) AS conversation,
+        row_number() OVER (PARTITION BY coalesce(CAST(conv_id AS VARCHAR), 'row ' || number)
+            ORDER BY turn NULLS LAST, role, text) - 1 AS place
+    FROM named
 ), speaking AS (
-    SELECT DISTINCT conv_id, role AS participant FROM turns WHERE NOT instruction
+    SELECT DISTINCT conversation, role AS participant FROM turns WHERE NOT instruction
 ), parts AS (
-    SELECT t.*, participant, NOT instruction AND role = participant AS own,
+    SELECT t.*, place // 512 AS segment, participant,
+        NOT instruction AND role = participant AS own,
         '<|im_start|>' || CASE WHEN instruction THEN role
             WHEN role = participant THEN 'assistant' ELSE 'user name=' || role END || chr(10) AS head,
         text || '<|im_end|>' || chr(10) AS body
-    FROM turns t JOIN speaking s ON t.conv_id = s.conv_id
+    FROM turns t JOIN speaking s ON t.conversation = s.conversation
 ), placed AS (
     SELECT *, sum(length(head) + length(body)) OVER (
-        PARTITION BY conv_id, participant, segment ORDER BY turn, role, text
+        PARTITION BY conversation, participant, segment ORDER BY place
         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - length(body) AS start
     FROM parts
 )
-SELECT conv_id, participant, CAST(segment AS BIGINT) AS segment, count(*) AS n_turns,
-    count(*) FILTER (own) AS n_trained,
-    string_agg(head || body, '' ORDER BY turn, role, text) AS rendered,
+SELECT any_value(conv_id) AS conv_id, participant, CAST(segment AS BIGINT) AS segment,
+    count(*) AS n_turns, count(*) FILTER (own) AS n_trained,
+    string_agg(head || body, '' ORDER BY place) AS rendered,
     coalesce(string_agg(CASE WHEN own THEN CAST(start AS BIGINT) || ':' || length(body) END, ','
-        ORDER BY turn, role, text), '') AS mask
-FROM placed GROUP BY conv_id, participant, segment
+        ORDER BY place), '') AS mask
+FROM placed GROUP BY conversation, participant, segment
 """
 
 ORACLES["op9_line_dedup"] = r"""
