@@ -1,6 +1,9 @@
 """The fit against numerical gradients and known weights, and labelled documents."""
 
+import math
 import random
+import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -36,7 +39,10 @@ def test_grades_rise_with_marks():
         ["^scumm", "day", "scum"],
         np.array([6, 6, 6]),
         np.array([0, 60, 0]),
+        6,
+        60,
         toxic,
+        np.ones(n),
         np.concatenate([np.arange(6), np.arange(6), np.arange(n)]),
         np.repeat([2, 0, 1], [6, 6, n]),
         np.concatenate([marks, np.full(6, 50), np.full(n, 2)]),
@@ -82,6 +88,72 @@ def test_nulls_long_texts_and_repeated_rows(spark, tricky, documents):
     assert rows[1].severity == rows[2].severity
 
 
+def brute_counts(rows, label):
+    """Toxic and other labelled documents that have each feature."""
+    inside, outside = Counter(), Counter()
+    for key, text in rows:
+        if key in label and text is not None:
+            (inside if label[key] else outside).update(toxicity.word_counts(text).keys())
+    return inside, outside
+
+
+def test_features_and_results_follow_from_all_labelled_documents(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    label = {r.doc_id: r.toxic > 0 for r in labels.collect() if r.toxic is not None}
+    inside, outside = brute_counts(rows, label)
+    n_clean = sum(not label[k] for k, t in rows if k in label)
+    expected = {
+        f for f in inside.keys() | outside.keys()
+        if inside[f] + outside[f] >= toxicity.LEAST_DOCS and outside[f] <= toxicity.MOST_SHARE * n_clean
+    }
+    for most in (16_000, 30):  # the sample does not decide what is a feature
+        sample = toxicity.training_sample(docs, labels, "doc_id", "text", "toxic", most)
+        assert set(sample.features) == expected
+        assert [inside[f] for f in sample.features] == sample.inside.tolist()
+        assert [outside[f] for f in sample.features] == sample.outside.tolist()
+        assert (sample.n_toxic + sample.n_clean, sample.n_clean) == (sum(k in label for k, _ in rows), n_clean)
+    assert len(sample.toxic) < 80
+
+    whole = toxicity.training_sample(docs, labels, "doc_id", "text", "toxic", 16_000)
+    model = whole.fit()
+    got = toxicity.grade_toxicity(docs, labels).select("doc.doc_id", "severity", "grade", "toxic")
+    for r in got.collect():
+        words = Counter(re.findall(r"[^\W\d_]+", (dict(rows)[r.doc_id] or "").lower()))
+        stems = Counter()
+        for word, n in words.items():
+            if len(word) > 5:
+                stems["^" + word[:5]] += n
+        score = sum(
+            model.weights.get(f, 0.0) * (1 + math.log2(min(n, 8))) for f, n in (words + stems).items()
+        )
+        above = [1 / (1 + math.exp(-max(min(score - t, 40), -40))) for t in model.thresholds]
+        edges = [1.0, *above, 0.0]
+        assert r.severity == pytest.approx(sum(above)) and r.toxic == (above[0] > 0.5)
+        assert r.grade == max(range(len(above) + 1), key=lambda k: edges[k] - edges[k + 1])
+
+
+def test_one_document_with_a_third_of_all_rows_is_one_entry(spark, documents):
+    plain = " ".join(f"w{n % 40}" for n in range(60))
+    known = [(n, f"{plain} {'scum' if n % 3 == 0 else 'good'} x{n % 5}", "en", "s") for n in range(90)]
+    docs = documents(known + [(0, known[0][1], "en", "s")] * 45).repartition(6)
+    labels = labelled(spark, [(key, int("scum" in text)) for key, text, _, _ in known])
+    sample = toxicity.training_sample(docs, labels, "doc_id", "text", "toxic", 16_000)
+    assert len(sample.toxic) == 90 and sorted(sample.times)[-1] == 46 and sample.times.sum() == 135
+    assert sample.n_toxic == 30 + 45
+
+
+def test_small_tasks_pass_their_counts_on(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").where("text is not null")
+    rows = docs.selectExpr("doc_id % 3 = 0 as toxic", "text").repartition(3)
+    got = {r.feature: (r.inside, r.outside) for r in toxicity.feature_counts(rows, held=50).collect()}
+    inside, outside = brute_counts(
+        [(r.doc_id, r.text) for r in docs.collect()], {r.doc_id: r.doc_id % 3 == 0 for r in docs.collect()}
+    )
+    assert got == {f: (inside[f], outside[f]) for f in inside.keys() | outside.keys()}
+
+
 def test_nothing_to_learn(spark, tricky, nothing):
     for rows in ([], [(4, 0)], [(4, 1)]):
         judged = toxicity.grade_toxicity(tricky, labelled(spark, rows))

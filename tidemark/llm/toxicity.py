@@ -5,9 +5,10 @@ words, which inflected forms share). One set of weights serves all
 grades: the probability of grade k or more is logistic in the score less a threshold that
 rises with k. The expected severity is the sum of those probabilities.
 
-Labels say toxic or not. Severity among toxic documents is read off the training sample
-itself: words far more frequent in toxic documents mark them, and documents with many
-marks get the higher grade.
+Labels say toxic or not. Severity among toxic documents is read off the labelled documents
+themselves: words far more frequent in toxic documents mark them, and documents with many
+marks get the higher grade. Which words are features and which are marks follows from counts
+over all labelled documents; only the weights are fitted to a sample.
 """
 
 from __future__ import annotations
@@ -28,9 +29,12 @@ from tidemark.llm.common import row_key, staged
 
 #: Labelled documents that the weights are fitted to, at most (about).
 TRAINING_DOCS = 16_000
-#: A word or stem is a feature if so many documents of the sample have it, but no more than
-#: this share of those with the lowest grade.
-LEAST_DOCS, MOST_SHARE = 5, 0.1
+#: A word or stem is a feature if so many labelled documents have it, but no more than this
+#: share of those that are not toxic; of more features than MOST_FEATURES those stay whose
+#: shares of toxic and of other documents differ most.
+LEAST_DOCS, MOST_SHARE, MOST_FEATURES = 5, 0.1, 200_000
+#: Features that a task counts before it passes them on.
+HELD = 300_000
 #: A mark is a word in so many toxic documents, and so many times as frequent there.
 MARK_DOCS, MARK_RATIO = 5, 10.0
 #: Toxic documents with so many marks have the highest grade.
@@ -80,16 +84,23 @@ def _logistic(x: np.ndarray) -> np.ndarray:
 
 
 def fit_ordinal(
-    rows: np.ndarray, columns: np.ndarray, values: np.ndarray, grades: np.ndarray, n_columns: int
+    rows: np.ndarray,
+    columns: np.ndarray,
+    values: np.ndarray,
+    grades: np.ndarray,
+    n_columns: int,
+    times: np.ndarray | None = None,
 ) -> tuple[np.ndarray, np.ndarray]:
     """Weights and rising thresholds that maximise the mean log-likelihood of the cumulative
     logit model less the penalty, by steps that shrink with each weight's own gradients.
 
-    Entry i of the sparse matrix is ``values[i]`` at (``rows[i]``, ``columns[i]``).
+    Entry i of the sparse matrix is ``values[i]`` at (``rows[i]``, ``columns[i]``). Row j counts
+    ``times[j]`` times, or once.
     """
     n, top = len(grades), int(grades.max())
     index = np.arange(n)
-    share = np.array([(grades >= k).mean() for k in range(1, top + 1)])
+    weight = np.ones(n) / n if times is None else times / times.sum()
+    share = np.array([weight[grades >= k].sum() for k in range(1, top + 1)])
     thresholds = np.log((1 - share) / share)
     weights = np.zeros(n_columns)
     past, past_t = np.full(n_columns, 1e-8), np.full(top, 1e-8)
@@ -100,7 +111,7 @@ def fit_ordinal(
         edges = np.concatenate([np.ones((n, 1)), above, np.zeros((n, 1))], axis=1)
         slope = edges * (1 - edges)
         p = np.maximum(edges[index, grades] - edges[index, grades + 1], 1e-12)
-        at, behind = slope[index, grades] / p / n, slope[index, grades + 1] / p / n
+        at, behind = (slope[index, grades + k] / p * weight for k in (0, 1))
         gradient = np.bincount(columns, values * (behind - at)[rows], minlength=n_columns)
         gradient_t = np.bincount(grades, at, minlength=top + 1)[1:]
         gradient_t -= np.bincount(grades, behind, minlength=top + 1)[:top]
@@ -116,25 +127,32 @@ def fit_ordinal(
 @dataclass
 class Sample:
     """Labelled documents as a sparse matrix of feature counts: entry i is ``counts[i]`` at
-    (``rows[i]``, ``columns[i]``). ``inside`` and ``outside`` are the toxic and the other
-    documents that have each feature."""
+    (``rows[i]``, ``columns[i]``), and document j stands for ``times[j]`` equal ones. Of all
+    labelled documents, ``n_toxic`` and ``n_clean`` are toxic and not, and ``inside`` and
+    ``outside`` of those have each feature."""
 
     features: list[str]
     inside: np.ndarray
     outside: np.ndarray
+    n_toxic: int
+    n_clean: int
     toxic: np.ndarray
+    times: np.ndarray
     rows: np.ndarray
     columns: np.ndarray
     counts: np.ndarray
 
-    def grades(self) -> np.ndarray:
-        """0 for documents that are not toxic, else 1, or 2 with many marks."""
-        n_in, n_out = max(self.toxic.sum(), 1), max((~self.toxic).sum(), 1)
+    def marks(self) -> np.ndarray:
+        """Which features mark toxic documents."""
+        n_in, n_out = max(self.n_toxic, 1), max(self.n_clean, 1)
         often = self.inside / n_in >= MARK_RATIO * (self.outside + 1) / n_out
         words = np.array([not f.startswith(STEM_MARK) for f in self.features], bool)
-        mark = often & words & (self.inside >= MARK_DOCS)
+        return often & words & (self.inside >= MARK_DOCS)
+
+    def grades(self) -> np.ndarray:
+        """0 for documents that are not toxic, else 1, or 2 with many marks."""
         marked = np.bincount(
-            self.rows, self.counts * mark[self.columns], minlength=len(self.toxic)
+            self.rows, self.counts * self.marks()[self.columns], minlength=len(self.toxic)
         )
         return np.where(self.toxic, 1 + (marked >= SEVERE_MARKS), 0)
 
@@ -145,20 +163,58 @@ class Sample:
         if len(present) < 2:
             return None
         weights, thresholds = fit_ordinal(
-            self.rows, self.columns, strength(self.counts), grades, len(self.features)
+            self.rows, self.columns, strength(self.counts), grades, len(self.features), self.times
         )
         steps = np.searchsorted(present[1:], np.arange(1, present[-1] + 1))
         used = {f: float(w) for f, w in zip(self.features, weights, strict=True) if w}
         return OrdinalModel(used, thresholds[steps])
 
 
+def feature_counts(labelled: DataFrame, held: int = HELD) -> DataFrame:
+    """``feature`` and the ``inside`` (toxic) and ``outside`` documents that have it, over all
+    rows of ``labelled`` (``toxic``, ``text``). Tasks add up their own documents."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        outside, inside = seen = (Counter(), Counter())
+
+        def rows() -> pa.RecordBatch:
+            features = list(outside.keys() | inside.keys())
+            return pa.record_batch(
+                [
+                    pa.array(features, pa.string()),
+                    pa.array([inside[f] for f in features], pa.int64()),
+                    pa.array([outside[f] for f in features], pa.int64()),
+                ],
+                names=["feature", "inside", "outside"],
+            )
+
+        for batch in batches:
+            for toxic, text in zip(*(batch.column(c) for c in ("toxic", "text")), strict=True):
+                seen[toxic.as_py()].update(word_counts(text.as_py()).keys())
+                if len(outside) + len(inside) > held:
+                    yield rows()
+                    outside.clear()
+                    inside.clear()
+        if outside or inside:
+            yield rows()
+
+    each = labelled.select("toxic", "text").mapInArrow(
+        count, "feature string, inside long, outside long"
+    )
+    return each.groupBy("feature").agg(
+        F.sum("inside").alias("inside"), F.sum("outside").alias("outside")
+    )
+
+
 def training_sample(
     docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, most: int
 ) -> Sample:
-    """About ``most`` labelled documents, those with the smallest hashes.
+    """Features and their counts over all labelled documents, and about ``most`` of these
+    documents, those with the smallest hashes, with their features.
 
-    Words become numbers before anything is collected: first the features, then each
-    document's entries, all bounded by the sample.
+    Equal documents of one key are one entry with its number, so a key with any share of all
+    rows is no more than that. Words become numbers before anything is collected: first the
+    features, bounded by MOST_FEATURES, then each document's entries, bounded by the sample.
     """
     spark = docs.sparkSession
     known = (
@@ -166,38 +222,46 @@ def training_sample(
         .groupBy(F.col(key).alias("key"))
         .agg((F.max(label) > 0).alias("toxic"))
     )
-    share = most / max(known.count(), most)
-    wanted = known.where(F.pmod(F.xxhash64("key"), F.lit(1_000_000)) < int(1_000_000 * share))
     read = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).where("text is not null")
-    found = read.join(F.broadcast(wanted), "key")
+    labelled = read.join(known, "key")
+    toxic = F.count_if("toxic")
+    n_toxic, n_clean = labelled.agg(toxic, F.count("*") - toxic).first()
+
+    apart = F.abs(
+        F.col("inside") / max(n_toxic, 1) - F.col("outside") / max(n_clean, 1)
+    )
+    vocabulary = (
+        feature_counts(labelled)
+        .where(F.col("inside") + F.col("outside") >= LEAST_DOCS)
+        .where(F.col("outside") <= MOST_SHARE * n_clean)
+        .orderBy(apart.desc(), "feature")
+        .limit(MOST_FEATURES)
+    )
+
+    share = most / max(n_toxic + n_clean, most)
+    order = row_key(F.col("key"), F.col("text"))
+    chosen = F.pmod(F.xxhash64("order"), F.lit(1_000_000)) < int(1_000_000 * share)
+    found = labelled.withColumn("order", order).where(chosen).groupBy("order").agg(
+        F.any_value("toxic").alias("toxic"),
+        F.any_value("text").alias("text"),
+        F.count("*").alias("times"),
+    )
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             held = [word_counts(t) for t in batch.column("text").to_pylist()]
             yield pa.record_batch(
                 [
-                    batch.column("order"),
-                    batch.column("toxic"),
+                    *(batch.column(c) for c in ("order", "toxic", "times")),
                     pa.array([list(w) for w in held], pa.list_(pa.string())),
                     pa.array([list(w.values()) for w in held], pa.list_(pa.int32())),
                 ],
-                names=["order", "toxic", "features", "counts"],
+                names=["order", "toxic", "times", "features", "counts"],
             )
 
-    ordered = found.select(row_key(F.col("key"), F.col("text")).alias("order"), "toxic", "text")
-    schema = "order string, toxic boolean, features array<string>, counts array<int>"
-    sample = staged(spark, ordered.mapInArrow(count, schema), "toxicity-sample")
+    schema = "order string, toxic boolean, times long, features array<string>, counts array<int>"
+    sample = staged(spark, found.mapInArrow(count, schema), "toxicity-sample")
 
-    clean = sample.where("not toxic").count()
-    inside = F.sum(F.col("toxic").cast("long"))
-    outside = F.sum((~F.col("toxic")).cast("long"))
-    vocabulary = (
-        sample.select("toxic", F.explode("features").alias("feature"))
-        .groupBy("feature")
-        .agg(inside.alias("inside"), outside.alias("outside"))
-        .where((F.col("inside") + F.col("outside") >= LEAST_DOCS))
-        .where(F.col("outside") <= MOST_SHARE * clean)
-    )
     table = vocabulary.toArrow().sort_by("feature")
     features = table.column("feature").to_pylist()
     numbers = spark.sparkContext.broadcast({f: at for at, f in enumerate(features)})
@@ -206,29 +270,31 @@ def training_sample(
         find = numbers.value.get
         for batch in batches:
             at, n = [], []
-            held = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)
+            held = zip(*(batch.column(c).to_pylist() for c in ("features", "counts")), strict=True)
             for own, counts in held:
                 pairs = [(find(f), c) for f, c in zip(own, counts, strict=True) if f in numbers.value]
                 at.append([a for a, _ in sorted(pairs)])
                 n.append([c for _, c in sorted(pairs)])
             yield pa.record_batch(
                 [
-                    batch.column(0),
-                    batch.column(1),
+                    *(batch.column(c) for c in ("order", "toxic", "times")),
                     pa.array(at, pa.list_(pa.int32())),
                     pa.array(n, pa.list_(pa.int32())),
                 ],
-                names=["order", "toxic", "columns", "counts"],
+                names=["order", "toxic", "times", "columns", "counts"],
             )
 
-    schema = "order string, toxic boolean, columns array<int>, counts array<int>"
+    schema = "order string, toxic boolean, times long, columns array<int>, counts array<int>"
     entries = sample.mapInArrow(number, schema).toArrow().sort_by("order").combine_chunks()
     lengths = pa.compute.list_value_length(entries.column("columns")).to_numpy()
     return Sample(
         features,
         table.column("inside").to_numpy(),
         table.column("outside").to_numpy(),
+        n_toxic,
+        n_clean,
         entries.column("toxic").to_numpy().astype(bool),
+        entries.column("times").to_numpy().astype(float),
         np.repeat(np.arange(len(lengths)), lengths),
         pa.compute.list_flatten(entries.column("columns")).to_numpy().astype(np.int64),
         pa.compute.list_flatten(entries.column("counts")).to_numpy().astype(np.int64),
