@@ -106,11 +106,16 @@ def test_equal_words_of_all_blocks_are_encoded_once(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     check(docs.repartition(5), block_bytes=40_000)
     read = docs.select(F.struct("doc_id").alias("row"), F.col("text").cast("binary").alias("text"))
-    entries = bpe.distinct_words(read, 40_000)
-    assert entries.selectExpr("shiftright(place, 32)").distinct().count() > 5
-    assert entries.select("word").distinct().count() < entries.count()
-    met = entries.repartition("word").select("word", F.spark_partition_id().alias("task"))
-    assert met.distinct().count() == entries.select("word").distinct().count()
+    entries = bpe.distinct_words(read, 40_000).collect()
+    assert len({r.block for r in entries}) > 5 and len({(r.block, r.part) for r in entries}) == len(entries)
+    parts = {}
+    for r in entries:
+        own = bpe._values_of(bpe._unpacked(r["sizes"]), bpe._whole(r["words"]), pa.string()).to_pylist()
+        assert len(set(own)) == len(own)
+        for word in own:
+            assert parts.setdefault(word, r.part) == r.part
+    whole = words([r.text or "" for r in docs.collect()])
+    assert set(parts) == {w for own in whole for w in own}
 
 
 def test_texts_that_are_read_differently_raise(spark):

@@ -1,10 +1,10 @@
 """Byte-level BPE through a table of distinct words, and back through a table of pieces.
 
 Encoding: tasks cut texts into words at places where the tokenizer always cuts, and number
-the distinct words of a block of texts. Words of all blocks meet by hash, and each distinct
-one is encoded once; the ids go back to the blocks, where the numbers say at which positions
-they stand. What is shuffled is the distinct words of each block, their ids, and a number for
-each word of a text, compressed; never the texts.
+the distinct words of a block of texts. Words of all blocks meet by hash, in parts of one table
+of distinct words, and each is encoded once; the ids go back to the blocks, where the numbers
+say at which positions they stand. What is shuffled is the distinct words of each block, their
+ids, and a number for each word of a text, packed; never the texts.
 
 Decoding: ids meet the table of pieces, which is broadcast, and the pieces of a row are put
 together where the row is.
@@ -26,18 +26,23 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import enter, keeps
+
 #: Classes of bytes: letters, digits, signs, what is no white space but part of longer things
 #: (apostrophes of contractions, bars of special tokens), a blank that may stand before a word.
 LETTER, DIGIT, SIGN, BOUND, BLANK = 1, 2, 3, 4, 5
 #: Bytes of texts that share one numbering, and that are looked at together.
-BLOCK, SLICE = 32_000_000, 2_000_000
+BLOCK, SLICE = 24_000_000, 2_000_000
 #: Words that are encoded together, and ids that are joined with their pieces together.
 BATCH, JOINED = 2_000, 2_000_000
 #: Ids of a vocabulary that may be sent to every task.
 MOST_PIECES = 2_000_000
-#: A word's place is its number, in so many bits, behind the number of its block, of which so
-#: many bits count the blocks of a task.
-CODE_BITS, BLOCK_BITS = 32, 10
+#: Blocks of one task, as a power of two.
+BLOCK_BITS = 20
+#: Parts of the table of distinct words for each partition of a shuffle.
+PARTS = 4
+#: Words of a block whose ids are put in place together.
+GATHERED = 1_000_000
 
 
 def _classes() -> np.ndarray:
@@ -103,14 +108,38 @@ def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
 def _packed(numbers: np.ndarray) -> bytes:
     """Numbers below 2**32 by planes of bytes, of which the higher ones are nearly empty."""
     planes = numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T
-    return zstandard.ZstdCompressor(1).compress(planes.tobytes())
+    return _small(planes.tobytes())
 
 
 def _unpacked(raw: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8)
+    planes = np.frombuffer(_whole(raw), np.uint8)
     return planes.reshape(4, -1).T.copy().view("<u4")[:, 0]
 
 
+def _small(raw: bytes) -> bytes:
+    return zstandard.ZstdCompressor(1).compress(raw)
+
+
+def _whole(raw: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(raw)
+
+
+def _bytes_of(values: pa.Array) -> tuple[np.ndarray, bytes]:
+    """The sizes of strings or binary values, and what they hold, in a row."""
+    if not len(values):
+        return np.zeros(0, np.int64), b""
+    ends = np.frombuffer(values.buffers()[1], np.int32)[values.offset : values.offset + len(values) + 1]
+    data = values.buffers()[2]
+    return np.diff(ends).astype(np.int64), bytes(data[ends[0] : ends[-1]]) if data else b""
+
+
+def _values_of(sizes: np.ndarray, raw: bytes, kind: pa.DataType) -> pa.Array:
+    ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    return pa.Array.from_buffers(
+        kind, len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(raw)]
+    )
+
+
 class _Block:
     """Texts that share one numbering of their words, the most frequent first."""
 
@@ -144,8 +173,6 @@ def _blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[_Block]:
     number = 0
 
     def named() -> _Block:
-        if task >> 63 - CODE_BITS - BLOCK_BITS or number >> BLOCK_BITS:
-            raise ValueError("too many blocks: read the texts in partitions of usual size")
         return _Block((task << BLOCK_BITS) + number)
 
     block = named()
@@ -168,18 +195,12 @@ def _blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[_Block]:
         yield block
 
 
-def _checks(words: pa.Array) -> np.ndarray:
-    """A byte for each word, of its length and its first and last byte, by which two passes over
-    the texts are compared."""
-    ends = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1]
-    data = np.frombuffer(words.buffers()[2] or b"\0", np.uint8)
-    first, last = ends[:-1].astype(np.int64), ends[1:].astype(np.int64) - 1
-    seen = data[np.minimum(first, len(data) - 1)] * 31 + data[np.maximum(last, 0)] * 7
-    return (seen + (last - first + 1)).astype(np.uint8)
-
-
-def _digest(checks: np.ndarray) -> int:
-    return xxhash.xxh64_intdigest(checks.tobytes()) & (1 << 62) - 1
+def _digest(words: pa.Array) -> int:
+    """A fingerprint of a block's words, by which two passes over the texts are compared."""
+    sizes, raw = _bytes_of(words)
+    hashed = xxhash.xxh64(sizes.tobytes())
+    hashed.update(raw)
+    return hashed.intdigest() & (1 << 62) - 1
 
 
 def _positions(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
@@ -191,7 +212,7 @@ def _positions(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Reco
         yield pa.record_batch(
             [
                 pa.array([block.number], pa.int64()),
-                pa.array([_digest(_checks(words))], pa.int64()),
+                pa.array([_digest(words)], pa.int64()),
                 lists,
                 pa.array([_packed(np.concatenate(block.counts))], pa.binary()),
                 pa.array([_packed(codes)], pa.binary()),
@@ -200,44 +221,81 @@ def _positions(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Reco
         )
 
 
-def _entries(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    """A row for each distinct word of each block."""
+def _entries(batches: Iterator[pa.RecordBatch], size: int, parts: int) -> Iterator[pa.RecordBatch]:
+    """A row for the distinct words of each block that belong to one part of the table."""
     for block in _blocks(batches, size):
         words, _ = block.numbered()
-        for start in range(0, len(words), 1 << 16):
-            some = words.slice(start, 1 << 16)
-            places = np.arange(start, start + len(some)) + (block.number << CODE_BITS)
-            yield pa.record_batch([pa.array(places), some], names=["place", "word"])
+        held = words.to_pylist()
+        of = np.fromiter((xxhash.xxh32_intdigest(w.encode()) for w in held), np.int64, len(held))
+        of %= parts
+        order = np.argsort(of, kind="stable")
+        cuts = np.flatnonzero(np.diff(of[order])) + 1
+        some = [codes for codes in np.split(order, cuts) if len(codes)]
+        taken = [_bytes_of(words.take(pa.array(codes))) for codes in some]
+        n = len(some)
+        yield pa.record_batch(
+            [
+                pa.array([int(of[codes[0]]) for codes in some], pa.int32()),
+                pa.array(np.full(n, block.number), pa.int64()),
+                pa.array(np.full(n, _digest(words)), pa.int64()),
+                pa.array([_packed(np.diff(codes, prepend=0)) for codes in some], pa.binary()),
+                pa.array([_packed(sizes) for sizes, _ in taken], pa.binary()),
+                pa.array([_small(raw) for _, raw in taken], pa.binary()),
+            ],
+            names=["part", "block", "digest", "codes", "sizes", "words"],
+        )
 
 
 def word_ids(entries: DataFrame, tokenizer: str) -> DataFrame:
-    """``place``, a ``check`` byte and the ``ids`` of its ``word`` (2 bytes each if all ids of the
-    tokenizer fit, else 4), for every row of ``entries``. Equal words meet in one task, one after
-    the other, and are encoded once; a word may be in any share of the blocks."""
+    """``block``, ``digest``, ``codes`` and, for each code, how many ids its word has (``sizes``)
+    and which (``ids``; 2 bytes each if all ids of the tokenizer fit, else 4), for every row of
+    ``entries``. Equal words are in one part of the table, where they are encoded once."""
     kind = _id_type(tokenizer)
 
-    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _tokenizer(tokenizer)
-        word, own = None, pa.array([], pa.binary())  # the last one of the batch before
-        for batch in batches:
-            encoded = batch.column("word").dictionary_encode()
-            forms = encoded.dictionary.to_pylist()
-            known = int(forms[:1] == [word])
-            found = pa.concat_arrays([own[:known], _encoded(codec, forms[known:], kind)])
-            if forms:
-                last = encoded.indices[-1].as_py()
-                word, own = forms[last], found.slice(last, 1)
-            yield pa.record_batch(
-                [
-                    batch.column("place"),
-                    pa.array(_checks(encoded.dictionary).view(np.int8)).take(encoded.indices),
-                    found.take(encoded.indices),
-                ],
-                names=["place", "check", "ids"],
-            )
-
-    met = entries.repartition("word").sortWithinPartitions("word")
-    return met.mapInArrow(look_up, "place long, check byte, ids binary")
+    def look_up(part: pa.Table) -> pa.Table:
+        packed = [part.column(c).to_pylist() for c in ("sizes", "words")]
+        each = [
+            _values_of(_unpacked(sizes), _whole(raw), pa.string())
+            for sizes, raw in zip(*packed, strict=True)
+        ]
+        encoded = pa.concat_arrays(each).dictionary_encode()
+        found = _encoded(_codec(tokenizer), encoded.dictionary.to_pylist(), kind)
+        ids = found.take(encoded.indices)
+        starts = np.cumsum([0, *map(len, each)])
+        own = [_bytes_of(ids.slice(a, b - a)) for a, b in zip(starts[:-1], starts[1:], strict=True)]
+        wide = np.dtype(kind).itemsize
+        return pa.table(
+            {
+                "block": part.column("block"),
+                "digest": part.column("digest"),
+                "codes": part.column("codes"),
+                "sizes": pa.array([_packed(sizes // wide) for sizes, _ in own], pa.binary()),
+                "ids": pa.array([_small(raw) for _, raw in own], pa.binary()),
+            }
+        )
+
+    schema = "block long, digest long, codes binary, sizes binary, ids binary"
+    return entries.groupBy("part").applyInArrow(look_up, schema)
+
+
+_CODECS: dict = {}
+
+
+def _release() -> bool:
+    held = bool(_CODECS)
+    _CODECS.clear()
+    return held
+
+
+keeps("bpe", _release)
+
+
+def _codec(path: str):
+    """A worker's tokenizer, which serves all parts that it looks up."""
+    enter("bpe")
+    if path not in _CODECS:
+        _CODECS[path] = _tokenizer(path)
+    return _CODECS[path]
 
 
 def _encoded(codec, words: list[str], kind: str) -> pa.Array:
@@ -246,10 +304,9 @@ def _encoded(codec, words: list[str], kind: str) -> pa.Array:
     for start in range(0, len(words), BATCH):
         found = codec.encode_batch_fast(words[start : start + BATCH], add_special_tokens=False)
         lists = [e.ids for e in found]
-        ends = np.cumsum([0, *map(len, lists)]) * np.dtype(kind).itemsize
         flat = np.fromiter(itertools.chain.from_iterable(lists), kind)
-        buffers = [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(flat)]
-        parts.append(pa.Array.from_buffers(pa.binary(), len(lists), buffers))
+        sizes = np.fromiter(map(len, lists), np.int64, len(lists)) * flat.itemsize
+        parts.append(_values_of(sizes, flat.tobytes(), pa.binary()))
     return pa.concat_arrays(parts)
 
 
@@ -257,45 +314,56 @@ def _id_type(tokenizer: str) -> str:
     return "<u2" if _tokenizer(tokenizer).get_vocab_size() <= 1 << 16 else "<u4"
 
 
-def _flat(raw: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
-    """What binary values hold as numbers, in a row, and where each value ends, from 0 on."""
-    size = np.dtype(kind).itemsize
-    ends = np.frombuffer(raw.buffers()[1], np.int32)[raw.offset : raw.offset + len(raw) + 1]
-    data = (raw.buffers()[2] or b"")[: ends[-1]] if len(raw) else b""
-    values = np.frombuffer(data, kind, offset=int(ends[0]) if len(raw) else 0)
-    return values, (ends.astype(np.int64) - ends[0]) // size if len(raw) else np.zeros(1, int)
-
-
 def _gathered(left: pa.Table, right: pa.Table, kind: str) -> pa.Table:
     """The ids of each row of a block, from the positions of its words and the words' ids."""
-    right = right.sort_by("place")
-    raw, checks = (
-        pa.concat_arrays([pa.array([], kind_), *right.column(name).chunks])
-        for name, kind_ in (("ids", pa.binary()), ("check", pa.int8()))
-    )
-    if left.column("digest").to_pylist() != [_digest(checks.to_numpy())]:
+    (digest,) = left.column("digest").to_pylist()
+    if set(right.column("digest").to_pylist()) - {digest}:
         raise RuntimeError("the texts were read twice and not alike: write them to a table first")
-    values, ends = _flat(raw, kind)
-    sizes = np.diff(ends).astype(np.int32)
-    starts = np.cumsum(sizes, dtype=np.int32) - sizes
+    parts = [
+        (np.cumsum(_unpacked(codes), dtype=np.int64), _unpacked(sizes), _whole(ids))
+        for codes, sizes, ids in zip(
+            *(right.column(c).to_pylist() for c in ("codes", "sizes", "ids")), strict=True
+        )
+    ]
+    values = np.frombuffer(b"".join(raw for _, _, raw in parts), kind)
+    sizes = np.zeros(sum(len(own) for own, _, _ in parts), np.int32)
+    starts = np.zeros(len(sizes), np.int64)
+    at = 0
+    for own, counts, _ in parts:
+        sizes[own] = counts
+        starts[own] = at + np.cumsum(counts, dtype=np.int64) - counts
+        at += int(counts.sum(dtype=np.int64))
     codes = _unpacked(left.column("codes")[0].as_py())
-    counts = sizes[codes]
-    behind = np.cumsum(counts, dtype=np.int64)
-    total = int(behind[-1]) if len(behind) else 0
-    small = np.int32 if total < 1 << 31 else np.int64
-    places = np.repeat((starts[codes] - (behind - counts)).astype(small), counts)
-    places += np.arange(total, dtype=small)
-    n_words = np.cumsum(_unpacked(left.column("counts")[0].as_py()), dtype=np.int64)
-    ends = np.concatenate([[0], behind])[np.concatenate([[0], n_words])]
-    ids = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(values[places].astype(np.int32)))
-    return pa.table({"row": left.column("rows").combine_chunks().flatten(), "ids": ids})
+    ends = np.cumsum(_unpacked(left.column("counts")[0].as_py()), dtype=np.int64)
+    rows = left.column("rows").combine_chunks().flatten()
+    if isinstance(rows, pa.ChunkedArray):
+        rows = rows.combine_chunks()
+    batches, row = [], 0
+    while row < len(rows):
+        first = int(ends[row - 1]) if row else 0
+        last = max(int(np.searchsorted(ends, first + GATHERED, "right")), row + 1)
+        own = codes[first : ends[last - 1]]
+        counts = sizes[own]
+        behind = np.cumsum(counts, dtype=np.int64)
+        total = int(behind[-1]) if len(behind) else 0
+        places = np.repeat(starts[own] - (behind - counts), counts)
+        places += np.arange(total)
+        cut = np.concatenate([[0], behind])[np.concatenate([[0], ends[row:last] - first])]
+        ids = pa.ListArray.from_arrays(
+            pa.array(cut.astype(np.int32)), pa.array(values[places].astype(np.int32))
+        )
+        batches.append(pa.record_batch([rows.slice(row, last - row), ids], names=["row", "ids"]))
+        row = last
+    return pa.Table.from_batches(batches)
 
 
 def distinct_words(texts: DataFrame, block_bytes: int = BLOCK) -> DataFrame:
-    """``place`` and ``word`` of each distinct word of each block of ``texts`` (``row``, and
-    ``text`` as bytes)."""
-    each = functools.partial(_entries, size=block_bytes)
-    return texts.mapInArrow(each, "place long, word string")
+    """The distinct words of each block of ``texts`` (``row``, and ``text`` as bytes), packed by
+    parts of the table of all words: ``part``, ``block``, ``digest``, ``codes``, ``sizes``, ``words``."""
+    tasks = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    each = functools.partial(_entries, size=block_bytes, parts=PARTS * tasks)
+    schema = "part int, block long, digest long, codes binary, sizes binary, words binary"
+    return texts.mapInArrow(each, schema)
 
 
 def encode(
@@ -321,7 +389,6 @@ def encode(
     schema = f"of long, digest long, rows array<{row}>, counts binary, codes binary"
     positions = read.mapInArrow(functools.partial(_positions, size=block_bytes), schema)
     found = word_ids(distinct_words(read, block_bytes), tokenizer)
-    found = found.select(F.shiftright("place", CODE_BITS).alias("block"), "*")
     kind = _id_type(tokenizer)
 
     def gathered(left: pa.Table, right: pa.Table) -> pa.Table:
