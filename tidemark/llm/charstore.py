@@ -23,8 +23,8 @@ from tidemark.llm.common import keeps, scratch, staged
 
 #: Entries that a task holds at a time.
 BLOCK = 8_000_000
-#: Symbols, and numbers of one table, that are looked up together.
-SLAB, CELLS = 1_000_000, 4_000_000
+#: Symbols, and numbers of one table, that are looked up together; entries read together.
+SLAB, CELLS, READ = 500_000, 2_000_000, 1 << 18
 
 Block = dict[tuple[int, int], Sorted]
 _HELD: dict[str, Block] = {}
@@ -119,22 +119,35 @@ def store_models(counts: DataFrame) -> tuple[str, DataFrame]:
     return root, usual
 
 
-def _block(languages: list[str], parts: list[pa.RecordBatch]) -> Block:
-    table = pa.Table.from_batches(parts)
-    names = table.column("lang").combine_chunks().dictionary_encode()
-    number = np.array([languages.index(name) for name in names.dictionary.to_pylist()])
-    lang = number[names.indices.to_numpy()]
-    kind = table.column("kind").to_numpy()
-    keys = table.column("key").to_numpy().view(np.uint64)
-    values = table.column("value").to_numpy()
-    group = kind * len(languages) + lang
-    order = np.lexsort((keys, group))
-    group, keys, values = group[order], keys[order], values[order]
-    cuts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1], [True]]))
-    return {
-        divmod(int(group[start]), len(languages)): Sorted(keys[start:end], values[start:end])
-        for start, end in zip(cuts[:-1], cuts[1:], strict=True)
-    }
+class _Gathered:
+    """Entries on their way into a block, as numbers."""
+
+    def __init__(self, languages: list[str]):
+        self.number = {name: n for n, name in enumerate(languages)}
+        self.size = 0
+        self.parts: dict[tuple[int, int], list[tuple[np.ndarray, np.ndarray]]] = {}
+
+    def add(self, batch: pa.RecordBatch) -> None:
+        names = batch.column("lang").dictionary_encode()
+        own = np.array([self.number[name] for name in names.dictionary.to_pylist()])
+        kind = batch.column("kind").to_numpy().astype(np.int64)
+        group = kind * len(self.number) + own[names.indices.to_numpy()]
+        keys = batch.column("key").to_numpy().view(np.uint64)
+        values = batch.column("value").to_numpy()
+        for number in np.unique(group).tolist():
+            here = group == number
+            part = keys[here], values[here]
+            self.parts.setdefault(divmod(number, len(self.number)), []).append(part)
+        self.size += batch.num_rows
+
+    def block(self) -> Block:
+        """The tables of each kind and language, put in order one after the other."""
+        found = {}
+        for which in list(self.parts):
+            keys, values = map(np.concatenate, zip(*self.parts.pop(which), strict=True))
+            order = np.argsort(keys)
+            found[which] = Sorted(keys[order], values[order])
+        return found
 
 
 def _blocks(root: str, languages: list[str], most: int) -> Iterator[Block]:
@@ -144,20 +157,19 @@ def _blocks(root: str, languages: list[str], most: int) -> Iterator[Block]:
         return
     files, path = fs.FileSystem.from_uri(root)
     found = [f.path for f in files.get_file_info(fs.FileSelector(path)) if f.size]
-    number, size, parts, block = 0, 0, [], {}
+    number, gathered = 0, _Gathered(languages)
     for name in sorted(f for f in found if f.endswith(".parquet")):
         with files.open_input_file(name) as raw:
-            for batch in pq.ParquetFile(raw).iter_batches(min(most, 1 << 20)):
-                if size + batch.num_rows > most and parts:
-                    yield _block(languages, parts)
-                    number, size, parts = number + 1, 0, []
-                parts.append(batch)
-                size += batch.num_rows
-    if parts:
-        block = _block(languages, parts)
+            for batch in pq.ParquetFile(raw).iter_batches(min(most, READ)):
+                if gathered.size and gathered.size + batch.num_rows > most:
+                    yield gathered.block()
+                    number, gathered = number + 1, _Gathered(languages)
+                gathered.add(batch)
+    block = gathered.block()
     if not number:
         _HELD.clear()
         _HELD[root] = block
+    pa.default_memory_pool().release_unused()
     yield block
 
 
