@@ -28,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,6 +39,8 @@ from tidemark.llm.shingles import portions, shingle_sets, slots, word_hashes
 #: Words of a shingle, and the similarity of a link in percent, unless told otherwise.
 WIDTH, PERCENT = 3, 90
 SKETCH_BITS = 512
+#: Bytes of text that a task works on at a time.
+SLICE = 4_000_000
 #: Words are counted in so many slots (as a power of two), to order columns by rarity.
 SLOT_BITS = 22
 BLOCK_BITS = 16
@@ -51,6 +54,17 @@ def _texts(batch: pa.RecordBatch) -> list[str]:
     return [text or "" for text in batch.column("text").to_pylist()]
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches cut to rows of about SLICE bytes of text, so that no task holds more than the
+    shingles of those."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(False)
+        part = np.cumsum(sizes, dtype=np.int64) // SLICE
+        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+        for start, end in zip(cuts[:-1], cuts[1:], strict=True):
+            yield batch.slice(start, end - start)
+
+
 def _least_overlap(n: int, percent: int) -> int:
     """Shingles that a set of ``n`` must share with any set it is linked to."""
     return -(-percent * n // 100)
@@ -69,7 +83,7 @@ def word_levels(docs: DataFrame) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enter("jaccard")
         total = np.zeros(size, np.uint32)
-        for batch in batches:
+        for batch in _slices(batches):
             for some in portions(_texts(batch)):
                 at = slots(word_hashes(some)[0], total)
                 found, n = np.unique(at, return_counts=True)
@@ -115,7 +129,7 @@ def rows_of(docs: DataFrame, width: int, levels: np.ndarray, percent: int = PERC
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enter("jaccard")
         levels = shared.value
-        for batch in batches:
+        for batch in _slices(batches):
             sizes, digests, prefixes, sketches = [], [], [], []
             for found, level in shingle_sets(_texts(batch), width, levels):
                 n = len(found)
@@ -160,7 +174,7 @@ def full_sets(docs: DataFrame, width: int) -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enter("jaccard")
-        for batch in batches:
+        for batch in _slices(batches):
             digests, sets = [], []
             for found, _ in shingle_sets(_texts(batch), width):
                 digests.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest())
