@@ -95,3 +95,29 @@ def test_trees_learn_lexical_features(spark):
     unknown = [r for r in got if r.rule is None]
     right = [(r.verdict == BLOCK) == (r.path.count("/") > 3) for r in unknown]
     assert len(unknown) == 200 and sum(right) / len(right) > 0.9
+
+
+def test_held_out_hosts_are_judged_better_than_by_a_constant(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    found = urlfilter.held_out_accuracy(pages)
+    assert found["urls"] > 50 and found["trees"] >= found["constant"]
+
+
+def test_a_url_with_a_third_of_all_rows_is_one_row_of_the_sample(spark):
+    urls = [f"http://h{n}.x.com/" for n in range(60)] + [f"http://h{n}.net/fr/a{n}" for n in range(60)]
+    pages = frame(spark, urls + [urls[0]] * 60).repartition(5)
+    known = urlfilter._labelled(urlfilter._read(pages, "page_id", "url", RULES))
+    assert sorted(r.copies for r in known.collect())[-2:] == [1, 61] and known.count() == 120
+    rows = judge_urls(pages).where("host = 'h0.x.com'").collect()
+    assert len(rows) == 61 and len({r.risk for r in rows}) == 1
+
+
+def test_a_url_does_not_count_in_its_own_statistics(spark):
+    urls = ["http://a.net/fr/1", "http://b.net/fr/2", "http://a.net/es/3", "http://c.com/"]
+    known = urlfilter._labelled(urlfilter._read(frame(spark, urls), "page_id", "url", RULES))
+    found = urlfilter.described(known, urlfilter.suffix_statistics(known), 0.75)
+    rows = {r.url: r for r in found.collect()}
+    prior = 0.75 * urlfilter.PRIOR
+    assert rows[urls[0]].share_1 == pytest.approx((2 + prior) / (2 + urlfilter.PRIOR))
+    assert rows[urls[0]].count_2 == pytest.approx(math.log(2)) and rows[urls[1]].count_2 == 0
+    assert rows[urls[3]].share_1 == pytest.approx(prior / urlfilter.PRIOR)

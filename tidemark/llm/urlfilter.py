@@ -111,36 +111,100 @@ def suffix(labels: int) -> Column:
     return F.substring_index(F.col("host"), ".", -labels)
 
 
-def with_suffix_statistics(rows: DataFrame, share: float) -> tuple[DataFrame, list[str]]:
-    """``rows`` with the labelled URLs and the blocked share of each suffix of the host.
-
-    Statistics are one row per suffix, added up where the URLs are. A suffix may have any
-    share of the URLs: Spark broadcasts the statistics if they are small and else splits
-    the large side of the join.
-    """
-    names = []
+def suffix_statistics(known: DataFrame) -> dict[int, DataFrame]:
+    """For each number of labels, how many of the labelled URLs ``known`` (each once) end in a
+    suffix, and how many of those are blocked: one row per suffix, added up where the URLs are."""
+    found = {}
     for labels in (*SUFFIXES, 99):
         blocked = F.sum((F.col("decided.verdict") == BLOCK).cast("long"))
-        known = (
-            rows.where("decided is not null")
-            .groupBy(suffix(labels).alias(f"suffix_{labels}"))
-            .agg(F.count("*").alias("n"), blocked.alias("blocked"))
-            .select(
-                f"suffix_{labels}",
-                F.log1p("n").alias(f"count_{labels}"),
-                ((F.col("blocked") + share * PRIOR) / (F.col("n") + PRIOR)).alias(
-                    f"share_{labels}"
-                ),
-            )
+        counted = known.groupBy(suffix(labels).alias(f"suffix_{labels}")).agg(
+            F.count("*").alias(f"n_{labels}"), blocked.alias(f"blocked_{labels}")
         )
-        known = staged(rows.sparkSession, known, "url-suffixes")
-        rows = (
-            rows.withColumn(f"suffix_{labels}", suffix(labels))
-            .join(known, f"suffix_{labels}", "left")
-            .fillna({f"count_{labels}": 0.0, f"share_{labels}": share})
+        found[labels] = staged(known.sparkSession, counted, "url-suffixes")
+    return found
+
+
+def described(rows: DataFrame, statistics: dict[int, DataFrame], share: float) -> DataFrame:
+    """``rows`` with the number of labelled URLs and the blocked share of each suffix of the
+    host; a labelled URL does not count in its own.
+
+    A suffix may have any share of the URLs: Spark broadcasts the statistics if they are small
+    and else splits the large side of the join.
+    """
+    own = F.col("decided").isNotNull().cast("long")
+    own_blocked = F.coalesce((F.col("decided.verdict") == BLOCK).cast("long"), F.lit(0))
+    for labels, counted in statistics.items():
+        name = f"suffix_{labels}"
+        rows = rows.withColumn(name, suffix(labels)).join(counted, name, "left")
+        n = F.coalesce(F.col(f"n_{labels}"), F.lit(0)) - own
+        blocked = F.coalesce(F.col(f"blocked_{labels}"), F.lit(0)) - own_blocked
+        rows = rows.withColumns(
+            {
+                f"count_{labels}": F.log1p(n.cast("double")),
+                f"share_{labels}": (blocked + share * PRIOR) / (n + PRIOR),
+            }
+        ).drop(name, f"n_{labels}", f"blocked_{labels}")
+    return rows
+
+
+class Trees:
+    """Gradient-boosted trees grown on labelled URLs, and what their features need."""
+
+    def __init__(self, known: DataFrame, training_rows: int):
+        """``known`` are distinct labelled URLs with their ``copies``, of both kinds."""
+        n, copies, blocked = known.agg(
+            F.count("*"), F.sum("copies"), F.sum(F.col("copies") * _is_blocked().cast("long"))
+        ).first()
+        self.share = blocked / copies
+        self.statistics = suffix_statistics(known)
+        self.names = [*lexical()]
+        self.names += [f"{kind}_{k}" for k in self.statistics for kind in ("count", "share")]
+        spread = F.pmod(F.xxhash64("url"), F.lit(1_000_000))
+        part = int(1_000_000 * min(1.0, training_rows / n)) + 1
+        sample = self.ready(known.where(spread < F.lit(part))).select(
+            "features", _is_blocked().cast("double").alias("label"), "copies"
+        )
+        trees = GBTClassifier(
+            labelCol="label", weightCol="copies", maxIter=15, maxDepth=4, maxBins=32, seed=7
         )
-        names += [f"count_{labels}", f"share_{labels}"]
-    return rows, names
+        self.model = trees.fit(sample.withColumn("copies", F.col("copies").cast("double")))
+
+    def ready(self, rows: DataFrame) -> DataFrame:
+        assembler = VectorAssembler(inputCols=self.names, outputCol="features")
+        return assembler.transform(described(rows, self.statistics, self.share))
+
+    def risk(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with the probability of block."""
+        judged = self.model.transform(self.ready(rows))
+        return judged.withColumn("risk", vector_to_array("probability").getItem(1))
+
+
+def _is_blocked() -> Column:
+    return F.col("decided.verdict") == BLOCK
+
+
+def _read(pages: DataFrame, key: str, url: str, rules: tuple[Rule, ...]) -> DataFrame:
+    """URLs with their parts, features and what the rules say (``decided``)."""
+    read = pages.select(F.col(key).alias("key"), F.coalesce(F.col(url), F.lit("")).alias("url"))
+    rows = read.select("*", *[c.alias(name) for name, c in parts(F.col("url")).items()])
+    features = lexical()
+    rows = rows.withColumn("decided", decide(rules)).select(
+        "key", "url", "host", "path", "decided", *[c.alias(n) for n, c in features.items()]
+    )
+    return staged(pages.sparkSession, rows, "urls")
+
+
+def _labelled(rows: DataFrame) -> DataFrame:
+    """Each labelled URL once, with its ``copies``: one that has any share of all rows is one."""
+    others = [F.any_value(c).alias(c) for c in rows.columns if c not in ("key", "url")]
+    known = rows.where("decided is not null").groupBy("url")
+    return staged(rows.sparkSession, known.agg(F.count("*").alias("copies"), *others), "urls-known")
+
+
+def _one_kind(known: DataFrame) -> float | None:
+    """The risk of all URLs where there is nothing to tell apart; else None."""
+    n, blocked = known.agg(F.count("*"), F.count_if(_is_blocked())).first()
+    return None if 0 < blocked < n else float(n > 0 and blocked == n)
 
 
 def judge_urls(
@@ -154,40 +218,18 @@ def judge_urls(
     none fits), ``verdict`` and ``risk`` (the trees' probability of block).
 
     The longest rule that fits decides; other URLs, null and broken ones too, get the trees'
-    verdict. Trees see at most about ``training_rows`` labelled URLs, those with the smallest
-    hashes. With labels of one kind that kind is the verdict for all, without any label
-    ``allow``. Repeated rows are judged alike. An empty table gives an empty result.
+    verdict. Trees see at most about ``training_rows`` different labelled URLs, those with the
+    smallest hashes, each weighed with its number of rows. With labels of one kind that kind is
+    the verdict for all, without any label ``allow``. Repeated rows are judged alike. An empty
+    table gives an empty result.
     """
-    spark = pages.sparkSession
-    read = pages.select(F.col(key).alias("key"), F.coalesce(F.col(url), F.lit("")).alias("url"))
-    rows = read.select("*", *[c.alias(name) for name, c in parts(F.col("url")).items()])
-    features = lexical()
-    rows = rows.withColumn("decided", decide(rules)).select(
-        "key", "url", "host", "path", "decided", *[c.alias(n) for n, c in features.items()]
-    )
-    rows = staged(spark, rows, "urls")
-    labelled = rows.where("decided is not null")
-    n, blocked = labelled.agg(
-        F.count("*"), F.coalesce(F.sum((F.col("decided.verdict") == BLOCK).cast("long")), F.lit(0))
-    ).first()
-    share = blocked / n if n else 0.0
-    if share in (0.0, 1.0):
-        judged = rows.withColumn("risk", F.lit(share))
+    rows = _read(pages, key, url, rules)
+    known = _labelled(rows)
+    same = _one_kind(known)
+    if same is None:
+        judged = Trees(known, training_rows).risk(rows)
     else:
-        described, names = with_suffix_statistics(rows, share)
-        described = staged(spark, described, "url-features")
-        assembler = VectorAssembler(inputCols=[*features, *names], outputCol="features")
-        ready = assembler.transform(described)
-        spread = F.pmod(F.xxhash64("url"), F.lit(1_000_000))
-        sample = ready.where("decided is not null").where(
-            spread < F.lit(int(1_000_000 * min(1.0, training_rows / n)) + 1)
-        )
-        label = (F.col("decided.verdict") == BLOCK).cast("double")
-        trees = GBTClassifier(labelCol="label", maxIter=15, maxDepth=4, maxBins=32, seed=7)
-        model = trees.fit(sample.select("features", label.alias("label")))
-        judged = model.transform(ready).withColumn(
-            "risk", vector_to_array("probability").getItem(1)
-        )
+        judged = rows.withColumn("risk", F.lit(same))
     learned = F.when(F.col("risk") >= 0.5, F.lit(BLOCK)).otherwise(F.lit(ALLOW))
     return judged.select(
         F.col("key").alias(key),
@@ -197,3 +239,31 @@ def judge_urls(
         F.coalesce("decided.verdict", learned).alias("verdict"),
         "risk",
     )
+
+
+def held_out_accuracy(
+    pages: DataFrame,
+    key: str = "page_id",
+    url: str = "url",
+    rules: tuple[Rule, ...] = RULES,
+    folds: int = 5,
+    training_rows: int = TRAINING_ROWS,
+) -> dict[str, float]:
+    """How often trees that have not seen one labelled host in ``folds`` get its URLs right
+    (``trees``), beside always giving the more frequent verdict (``constant``)."""
+    known = _labelled(_read(pages, key, url, rules))
+    apart = F.pmod(F.xxhash64("host"), F.lit(folds)) == 0
+    seen = known.where(~apart)
+    if _one_kind(seen) is not None:
+        raise ValueError("the labelled hosts that are seen have one verdict")
+    trees = Trees(seen, training_rows)
+    # Their labels are not among the statistics, so they are not taken out of them either.
+    tested = known.where(apart).withColumns(
+        {"blocked": _is_blocked(), "decided": F.lit(None).cast("struct<rule:string,verdict:string>")}
+    )
+    right = ((F.col("risk") >= 0.5) == F.col("blocked")).cast("double")
+    n, trees_right, blocked = trees.risk(tested).agg(
+        F.count("*"), F.avg(right), F.avg(F.col("blocked").cast("double"))
+    ).first()
+    constant = blocked if trees.share >= 0.5 else 1 - blocked
+    return {"urls": n, "trees": trees_right, "constant": constant}
