@@ -9,7 +9,7 @@ from helpers import document, payload_frame, sorted_rows
 from test_refresh import CITIES, STAMPS, full, job, observations, silver
 from test_streaming import land, run_stream
 from tidemark import schemas
-from tidemark.operators.suite import Suite
+from tidemark.operators.suite import Suite, validate
 from tidemark.plans import catalog, store
 from tidemark.plans.jobs import without_column
 from tidemark.plans.refresh import CUMULATIVE, INCREMENT
@@ -375,6 +375,18 @@ def test_types_that_differ_between_slices(spark, tmp_path, countries):
     assert not again.success and again.rows[0]["observed_value"] == "StringType"
 
 
+def test_keys_repeated_between_slices_of_different_schemas(spark, tmp_path, countries):
+    suite = Suite().expect_compound_columns_to_be_unique(["humidity", "city"])
+    suite = suite.expect_column_to_exist("windspeed")
+    refresh = job(tmp_path, countries, bronze_suite=suite)
+    first = refresh.run(spark, payload_frame(spark, observations(STAMPS[:2])))
+    without_column(spark, store.slice_folders(spark, refresh.layout, first.slice_name)[:1], "windspeed")
+    report = refresh.run(spark, payload_frame(spark, observations(STAMPS[2:6]))).bronze_report
+    whole = validate(store.read_bronze(spark, refresh.layout), suite)
+    assert report.rows[0] == whole.rows[0] and report.partial_lists == whole.partial_lists
+    assert failed(report) == {(r["expectation_type"], r["column"]) for r in report.rows}
+
+
 def test_an_empty_silver_table_is_checked_as_declared(spark, tmp_path):
     (part,) = store.silver_parts(spark, str(tmp_path / "nothing"))
     assert part.schema == schemas.SILVER and part.count() == 0

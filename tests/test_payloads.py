@@ -75,6 +75,17 @@ def test_typed_batch_matches_by_name(spark):
     assert [tuple(r) for r in got.collect()] == [("x", 7.0), ("y", None)]
 
 
+def test_typed_batch_names_what_is_not_of_its_type(spark):
+    documents = spark.createDataFrame(
+        [('{"a": "x", "b": "7", "c": {"d": "no"}}',), ('{"a": 5, "b": 7.5, "c": 1}',), ("broken",),
+         ('{"b": null}',), (None,)], "doc string",
+    )
+    got = typed_batch(documents, "doc", "a string, b double, c struct<d: int>", faults="wrong")
+    assert [(r["a"], r["b"], r["wrong"]) for r in got.collect()] == [
+        ("x", None, ["b", "c.d"]), ("5", 7.5, ["c"]), (None, None, []), (None, None, []), (None, None, []),
+    ]
+
+
 def test_dictionary_lookup_defaults_and_never_multiplies(spark):
     rows = spark.createDataFrame([(1, "GB"), (2, "XX"), (3, None), (4, "GB")], "id int, cc string")
     names = spark.createDataFrame(

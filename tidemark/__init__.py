@@ -4,10 +4,11 @@ from tidemark.operators.aggregate import hourly_aggregate
 from tidemark.operators.expectations import Expectation
 from tidemark.operators.suite import Suite, build_suite, validate
 from tidemark.operators.upsert import upsert
+from tidemark.version import __version__
 
-__version__ = "0.1.0"
 
 __all__ = [
+    "__version__",
     "Expectation",
     "Suite",
     "build_suite",

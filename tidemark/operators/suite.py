@@ -25,6 +25,7 @@ from tidemark.functions.scalars import named
 from tidemark.operators import expectations as ex
 from tidemark.operators.expectations import Expectation, ExpectationError
 from tidemark.shared import small_frame
+from tidemark.version import __version__
 
 # The reference value: how many unexpected values a result lists.
 PARTIAL_LIST_SIZE = 20
@@ -564,6 +565,8 @@ class ValidationReport:
     layer: str
     run_id: str
     run_time: datetime
+    #: When the checks had been evaluated; the run began before that.
+    validation_time: datetime = field(default_factory=lambda: datetime.now(timezone.utc))
 
     @property
     def success(self) -> bool:
@@ -594,7 +597,8 @@ class ValidationReport:
             "meta": {
                 "expectation_suite_name": self.suite_name,
                 "run_id": {"run_name": self.run_id, "run_time": self.run_time.isoformat()},
-                "validation_time": self.run_time.strftime("%Y%m%dT%H%M%S.%fZ"),
+                "validation_time": self.validation_time.strftime("%Y%m%dT%H%M%S.%fZ"),
+                "tidemark_version": __version__,
                 "layer": self.layer,
             },
         }
@@ -658,11 +662,11 @@ def validate(
     suite into an error. An error of the engine, such as a damaged file, is no verdict: it
     is raised.
     """
+    run_time = run_time or datetime.now(timezone.utc)
     numbered = list(enumerate(suite.ordered()))
     rows = sorted(_evaluate(df, numbered).collect(), key=lambda row: row["seq"])
     wrong = [row for row in rows if row["unexpected_count"]]
     lists = partial_lists(df, [numbered[row["seq"]] for row in wrong], partial_list_size)
-    run_time = run_time or datetime.now(timezone.utc)
     report = ValidationReport(
         rows,
         {row["seq"]: list_of(row, lists) for row in wrong},

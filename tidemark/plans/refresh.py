@@ -225,9 +225,8 @@ class Refresh:
             raised = entity_marks(written, [store.ENTITY], "timestamp")
             raised = raise_entity_marks(marks, raised, [store.ENTITY])
             store.write_entity_marks(raised, layout, slice_name)
-        newest, n_rows = written.agg(F.max("timestamp"), F.count(F.lit(1))).first()
+        newest, n_rows, rejected = store.slice_counts(spark, layout, slice_name)
         new_mark = newest if mark is None or (newest or "") > mark else mark
-        rejected = store.read_rejected(spark, layout, slice_name).count()
         summary = RunSummary(slice_name, mark, new_mark, n_rows, rejected, facts["late"])
         events = [
             (
@@ -344,7 +343,7 @@ class Refresh:
         suite, path = self.silver_suite, self.layout.silver
         if self.scope == TABLE:
             parts = store.silver_parts(spark, path)
-            report = reports.validate_parts(parts, suite, "Silver", slice_name)
+            report = reports.validate_parts(parts, suite, "Silver", slice_name, keys_apart=True)
             return self._report(spark, report)
         known = reports.known_parts(spark, self.layout.reports, suite)
         dates = store.read_changed_dates(spark, path, known)

@@ -10,6 +10,7 @@ import hashlib
 import json
 from collections.abc import Mapping
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -30,21 +31,24 @@ from tidemark.operators.suite import (
     validate,
 )
 from tidemark.plans.keyindex import merged_texts
-from tidemark.shared import child_names, is_complete, small_frame
+from tidemark.shared import child_names, is_complete, small_frame, write_text
+from tidemark.version import __version__
 
 STORED = (
     T.StructType(list(RESULTS.fields))
     .add("partial_unexpected_list", T.ArrayType(T.StringType()))
     .add("suite_name", "string")
     .add("run_time", "timestamp")
+    .add("validation_time", "timestamp")
+    .add("version", "string")
 )
 
 
 def results_frame(spark: SparkSession, report: ValidationReport) -> DataFrame:
     """The rows of a report, one per expectation, with the run they belong to."""
+    about = (report.suite_name, report.run_time, report.validation_time, __version__)
     rows = [
-        (*row, _encoded(report.partial_lists.get(row["seq"], [])), report.suite_name, report.run_time)
-        for row in report.rows
+        (*row, _encoded(report.partial_lists.get(row["seq"], [])), *about) for row in report.rows
     ]
     return small_frame(spark, rows, STORED)
 
@@ -73,7 +77,7 @@ def write_report(spark: SparkSession, report: ValidationReport, path: str) -> No
     results.write.mode("overwrite").parquet(_folder(path, report.run_id, report.layer))
     document = json.dumps(report.to_json_dict(), default=str)
     target = _folder(path, report.run_id, report.layer, "documents")
-    spark.range(1).select(F.lit(document).alias("value")).write.mode("overwrite").text(target)
+    write_text(spark, f"{target}/document.json", document + "\n")
 
 
 def read_results(spark: SparkSession, path: str) -> DataFrame:
@@ -119,9 +123,37 @@ def combined_report(
         lists[seq] = [merged_texts(*lists[seq], values)]
     added = [_grown(row, keys[row["seq"]][0]) if row["seq"] in keys else row for row in newest.rows]
     parts = before.select(*RESULTS.names).unionByName(small_frame(spark, added, RESULTS))
+    parts = parts.coalesce(1)  # as few rows as a suite has checks, twice
     return _report_of(combine(parts), lists, suite, layer, newest.run_id, newest.run_time)
 
 
+def _with_whole_keys(
+    each: list[ValidationReport], parts: list[DataFrame], suite: Suite, layer: str, run_id: str
+) -> list[ValidationReport]:
+    """Reports on parts, of which the last has all repeated keys of the table and the others
+    none. A check that some part has no columns for stays as it is."""
+    together = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    whole = validate(together, suite, layer, run_id)
+    broken = {row["seq"] for report in each for row in report.rows if row["raised_exception"]}
+    keyed = {
+        n for n, e in enumerate(suite.ordered()) if e.expectation_type == COMPOUND_UNIQUE
+    } - broken
+    found = {row["seq"]: row["unexpected_count"] for row in whole.rows}
+    for report in each:
+        last = report is each[-1]
+        report.rows = [
+            Row(*RESULTS.names)(*_grown(row, found[row["seq"]] if last else 0))
+            if row["seq"] in keyed
+            else row
+            for row in report.rows
+        ]
+        for seq in keyed:
+            report.partial_lists.pop(seq, None)
+            if last and seq in whole.partial_lists:
+                report.partial_lists[seq] = whole.partial_lists[seq]
+    return each
+
+
 def _grown(row: Row, grown: int) -> tuple:
     """The result of a compound check on a slice, as what the slice adds to the table's."""
     if row["raised_exception"]:
@@ -131,16 +163,19 @@ def _grown(row: Row, grown: int) -> tuple:
 
 
 def validate_parts(
-    parts: list[DataFrame], suite: Suite, layer: str, run_id: str
+    parts: list[DataFrame], suite: Suite, layer: str, run_id: str, keys_apart: bool = False
 ) -> ValidationReport:
     """The report on a table that is stored in parts with schemas of their own: a check of the
-    schema holds if it holds for every part, counts add up. No key of a compound check may be
-    in two parts."""
+    schema holds if it holds for every part, counts add up. Compound checks see all parts
+    together, unless it is known that no key is in two of them (``keys_apart``)."""
     each = [validate(part, suite, layer, run_id) for part in parts]
     if len(each) == 1:
         return each[0]
+    if not keys_apart and not suite.is_additive():
+        each = _with_whole_keys(each, parts, suite, layer, run_id)
     spark = parts[0].sparkSession
     results = small_frame(spark, [row for report in each for row in report.rows], RESULTS)
+    results = results.coalesce(1)
     lists: dict[int, list[list]] = {}
     for report in each:
         for seq, values in report.partial_lists.items():
@@ -156,7 +191,7 @@ def _report_of(
     run_id: str,
     run_time: datetime,
 ) -> ValidationReport:
-    rows = combined.orderBy("seq").collect()
+    rows = sorted(combined.collect(), key=lambda row: row["seq"])
     merged = {
         row["seq"]: merge_lists(lists.get(row["seq"], [])) for row in rows if row["unexpected_count"]
     }
@@ -193,7 +228,7 @@ def write_parts(
         part = str(row[group])
         own = _encoded(list_of(row, lists, part)) if row["unexpected_count"] else []
         values = [row[name] for name in RESULTS.names]
-        stored.append((*values, own, suite.name, now, part))
+        stored.append((*values, own, suite.name, now, now, __version__, part))
     if not stored:
         return
     (

@@ -187,9 +187,8 @@ def read_entity_marks(spark: SparkSession, layout: Layout, name: str | None) ->
 
 
 def write_entity_marks(marks: DataFrame, layout: Layout, name: str) -> None:
-    marks.select(*ENTITY_MARKS.names).coalesce(1).write.mode("overwrite").parquet(
-        _marks_folder(layout, name)
-    )
+    folder = _marks_folder(layout, name)
+    marks.select(*ENTITY_MARKS.names).write.mode("overwrite").parquet(folder)
 
 
 def forget_entity_marks(spark: SparkSession, layout: Layout, names: Sequence[str]) -> None:
@@ -299,6 +298,17 @@ def read_rejected(spark: SparkSession, layout: Layout, name: str = "*") -> DataF
     return _read_folders(spark, layout.bronze, folders, STORED_BRONZE).select(*REJECTED)
 
 
+def slice_counts(spark: SparkSession, layout: Layout, name: str) -> tuple[str | None, int, int]:
+    """The newest timestamp of a slice's accepted rows, their number, and that of rejected ones,
+    from one pass over what was written."""
+    folders = slice_folders(spark, layout, name, accepted="*")
+    rows = _read_folders(spark, layout.bronze, folders, STORED_BRONZE)
+    accepted = F.col("accepted")
+    return rows.agg(
+        F.max(F.when(accepted, F.col("timestamp"))), F.count_if(accepted), F.count_if(~accepted)
+    ).first()
+
+
 def read_slice(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
     """The accepted rows of one increment."""
     folders = slice_folders(spark, layout, name)

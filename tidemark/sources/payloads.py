@@ -109,9 +109,17 @@ def flatten_payloads(
     )
 
 
-def typed_batch(documents: DataFrame, column: str, schema: T.StructType | str) -> DataFrame:
-    """Flat JSON objects under a declared schema.
+def typed_batch(
+    documents: DataFrame, column: str, schema: T.StructType | str, faults: str | None = None
+) -> DataFrame:
+    """JSON objects under a declared schema.
 
-    Fields are matched by name: a missing one is NULL, an extra one is dropped.
+    Fields are matched by name: a missing one is NULL, an extra one is dropped. One that is not
+    of its type is NULL, too, and named in the array ``faults``, a column of that name, if asked.
     """
-    return documents.select(parsed(named(column), schema))
+    if faults is None:
+        return documents.select(parsed(named(column), schema))
+    declared = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+    rows = documents.select(named(column).alias("__document"), parsed(named(column), declared))
+    found = type_faults(F.col("__document"), declared, named)
+    return rows.select(*map(named, declared.names), found.alias(faults))
