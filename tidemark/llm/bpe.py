@@ -32,9 +32,9 @@ from tidemark.llm.common import enter, keeps
 #: (apostrophes of contractions, bars of special tokens), a blank that may stand before a word.
 LETTER, DIGIT, SIGN, BOUND, BLANK = 1, 2, 3, 4, 5
 #: Bytes of texts that share one numbering, and that are looked at together.
-BLOCK, SLICE = 24_000_000, 2_000_000
+BLOCK, SLICE = 12_000_000, 1_000_000
 #: Words that are encoded together, and ids that are joined with their pieces together.
-BATCH, JOINED = 2_000, 2_000_000
+BATCH, JOINED = 2_000, 500_000
 #: Ids of a vocabulary that may be sent to every task.
 MOST_PIECES = 2_000_000
 #: Blocks of one task, as a power of two.
@@ -42,7 +42,7 @@ BLOCK_BITS = 20
 #: Parts of the table of distinct words for each partition of a shuffle.
 PARTS = 4
 #: Words of a block whose ids are put in place together.
-GATHERED = 1_000_000
+GATHERED = 250_000
 
 
 def _classes() -> np.ndarray:
