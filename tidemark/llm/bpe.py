@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import enter, keeps
+from tidemark.llm.common import enter, keeps, small_batches
 
 #: Classes of bytes: letters, digits, signs, what is no white space but part of longer things
 #: (apostrophes of contractions, bars of special tokens), a blank that may stand before a word.
@@ -384,6 +384,7 @@ def encode(
     Texts are read twice, once for the words and once for their positions, which costs less
     than keeping either. Rows that come otherwise the second time are found and raise.
     """
+    small_batches(docs.sparkSession)
     read = docs.select(F.struct(*keep).alias("row"), F.col(text).cast("binary").alias("text"))
     row = read.schema["row"].dataType.simpleString()
     schema = f"of long, digest long, rows array<{row}>, counts binary, codes binary"
@@ -457,6 +458,7 @@ def decode(
     their rows are, JOINED of them at a time, and nothing is shuffled.
     """
     spark = encoded.sparkSession
+    small_batches(spark)
     shared = spark.sparkContext.broadcast(Pieces(pieces(tokenizer)))
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

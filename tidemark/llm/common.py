@@ -42,6 +42,16 @@ def enter(operator: str) -> None:
             pass
 
 
+BATCH_SETTING, USUAL_ROWS, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "1000"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Texts go to Python in batches of BATCH_ROWS rows, unless the session has a number of its
+    own: buffers of Spark's usual number of long texts stay in the executors' memory."""
+    if spark.conf.get(BATCH_SETTING) == USUAL_ROWS:
+        spark.conf.set(BATCH_SETTING, BATCH_ROWS)
+
+
 @contextlib.contextmanager
 def staging() -> Iterator[list[str]]:
     """Gathers the folders that operators stage meanwhile."""

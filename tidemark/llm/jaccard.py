@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import enter, staged
+from tidemark.llm.common import enter, small_batches, staged
 from tidemark.llm.components import components
 from tidemark.llm.shingles import portions, shingle_sets, slots, word_hashes
 
@@ -88,14 +88,12 @@ def word_levels(docs: DataFrame) -> np.ndarray:
                 at = slots(word_hashes(some)[0], total)
                 found, n = np.unique(at, return_counts=True)
                 total[found] += n.astype(np.uint32)
-        parts = [(n, part) for n, part in enumerate(total.reshape(-1, block)) if part.any()]
-        yield pa.record_batch(
-            [
-                pa.array([n for n, _ in parts], pa.int32()),
-                pa.array([part.tobytes() for _, part in parts], pa.binary()),
-            ],
-            names=["block", "counts"],
-        )
+        for number, part in enumerate(total.reshape(-1, block)):
+            if part.any():
+                yield pa.record_batch(
+                    [pa.array([number], pa.int32()), pa.array([part.tobytes()], pa.binary())],
+                    names=["block", "counts"],
+                )
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
@@ -351,6 +349,7 @@ def jaccard_components(
     another key. Other columns are not read; an empty table gives an empty result.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     read = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
     rows = staged(spark, rows_of(read, width, word_levels(read), percent), "jaccard-rows")
     classes = (

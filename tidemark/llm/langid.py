@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from tidemark.llm.charmodel import text_grams
 from tidemark.llm.charstore import StoredModels, store_models
-from tidemark.llm.common import enter, staged
+from tidemark.llm.common import enter, small_batches, staged
 from tidemark.shared import small_frame
 
 UNDETERMINED = "und"
@@ -103,6 +103,7 @@ def train(
     them that are :func:`calibrating`; None without any. Languages of which all texts are
     calibrating are learned from those."""
     spark = docs.sparkSession
+    small_batches(spark)
     usable = docs.select(
         F.col(lang).alias("lang"), F.col(text).alias("text"), calibrating(F.col(key)).alias("apart")
     ).where("lang is not null and text is not null")
@@ -203,6 +204,7 @@ def identify(
     not; without any model everything is ``und``, and with too few texts to calibrate the bounds
     no text with a letter is rejected. Texts of any length are read whole.
     """
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(models)
 
     @F.pandas_udf("lang_pred string, score double, bits double, rejected boolean")

@@ -40,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import enter, keeps
+from tidemark.llm.common import enter, keeps, small_batches
 from tidemark.llm.perfecthash import PerfectHash
 from tidemark.llm.wordcodec import WordCodec
 from tidemark.shared import read_text, write_text
@@ -50,7 +50,7 @@ KEYS_PER_BUCKET = 4096
 #: Buckets of one index file.
 BUCKETS_PER_FILE = 64
 #: Bytes of text that are encoded at a time.
-CHUNK = 4_000_000
+CHUNK = 2_000_000
 #: Bytes of ids that are read together, also when so many between them are not wanted.
 READ, GAP = 8_000_000, 65_536
 SPACE = re.compile(r"[ \t\n\r\x0b\x0c]")
@@ -141,6 +141,7 @@ def write_store(
     columns are not read. An empty table gives a store without shards.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     # Ranges may end between equal rows, so that copies of one row are not one task's work.
     order = [F.col("key").asc_nulls_first(), F.xxhash64("text").asc()]
     ordered = (

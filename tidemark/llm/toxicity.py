@@ -25,7 +25,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import row_key, staged
+from tidemark.llm.common import row_key, small_batches, staged
 
 #: Labelled documents that the weights are fitted to, at most (about).
 TRAINING_DOCS = 16_000
@@ -217,6 +217,7 @@ def training_sample(
     features, bounded by MOST_FEATURES, then each document's entries, bounded by the sample.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     known = (
         labels.where(F.col(key).isNotNull() & F.col(label).isNotNull())
         .groupBy(F.col(key).alias("key"))
