@@ -170,7 +170,7 @@ def test_near_documents_are_read_at_once():
 
 
 def test_long_texts_are_encoded_in_parts(spark, documents, plain):
-    words = " ".join(f"word{n % 977}, and" for n in range(400_000))
+    words = " ".join(f"word{n % 977}, and" for n in range(800_000))
     root = fresh_folder(spark, "tokens")
     write_store(documents([(1, words), (2, "x" * 5_000_000 + " y"), (3, "end")]), root, PATH)
     store = TokenStore(spark, root)

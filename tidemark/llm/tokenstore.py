@@ -50,7 +50,7 @@ KEYS_PER_BUCKET = 4096
 #: Buckets of one index file.
 BUCKETS_PER_FILE = 64
 #: Bytes of text that are encoded at a time.
-CHUNK = 2_000_000
+CHUNK = 8_000_000
 #: Bytes of ids that are read together, also when so many between them are not wanted.
 READ, GAP = 8_000_000, 65_536
 SPACE = re.compile(r"[ \t\n\r\x0b\x0c]")
@@ -84,13 +84,26 @@ def _opened(root: str) -> tuple[fs.FileSystem, str]:
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches cut to rows of about CHUNK bytes of text."""
+    """Rows of about CHUNK bytes of text together; a longer text is alone."""
+    held: list[pa.RecordBatch] = []
+    size = 0
     for batch in batches:
-        sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(False)
-        chunk = np.cumsum(sizes, dtype=np.int64) // CHUNK
-        cuts = [0, *(np.flatnonzero(np.diff(chunk)) + 1).tolist(), batch.num_rows]
-        for start, end in zip(cuts[:-1], cuts[1:], strict=True):
-            yield batch.slice(start, end - start)
+        lengths = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(False)
+        ends = np.cumsum(lengths, dtype=np.int64)
+        at = 0
+        while at < batch.num_rows:
+            before = int(ends[at - 1]) if at else 0
+            fits = int(np.searchsorted(ends, before + CHUNK - size, "right"))
+            end = max(fits, at + (not held))
+            if end > at:
+                held.append(batch.slice(at, end - at))
+                size += int(ends[end - 1]) - before
+                at = end
+            if at < batch.num_rows or size >= CHUNK:
+                yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+                held, size = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
 
 def _long(texts: pa.Array) -> bool:

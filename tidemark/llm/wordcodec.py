@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 MARK = "\x01"
 STOPS = ".,"
 #: Bytes that a codec's memory takes, about, and that a word's entry takes besides its letters.
-MEMORY, ENTRY = 48_000_000, 240
+MEMORY, ENTRY = 200_000_000, 240
 
 
 class WordCodec:
