@@ -33,6 +33,8 @@ TRAINING_DOCS = 16_000
 #: share of those that are not toxic; of more features than MOST_FEATURES those stay whose
 #: shares of toxic and of other documents differ most.
 LEAST_DOCS, MOST_SHARE, MOST_FEATURES = 5, 0.1, 200_000
+#: Labels that may be broadcast (a key and a mark each, some tens of bytes in memory).
+MOST_BROADCAST = 2_000_000
 #: Features that a task counts before it passes them on.
 HELD = 300_000
 #: A mark is a word in so many toxic documents, and so many times as frequent there.
@@ -224,7 +226,10 @@ def training_sample(
         .agg((F.max(label) > 0).alias("toxic"))
     )
     read = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).where("text is not null")
-    labelled = read.join(known, "key")
+    known = staged(spark, known, "toxicity-labels")
+    # Few labels go to the texts; more meet them by key, which takes the texts through a shuffle.
+    few = known.count() <= MOST_BROADCAST
+    labelled = read.join(F.broadcast(known) if few else known, "key")
     toxic = F.count_if("toxic")
     n_toxic, n_clean = labelled.agg(toxic, F.count("*") - toxic).first()
 
