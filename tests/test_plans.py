@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from helpers import optimized_plan_of, plan_of
 from tidemark.operators.suite import Suite
-from tidemark.plans.observations import bronze, countries, table
-from tidemark.plans.queries import QUERIES
+from tidemark.plans.observations import bronze, countries, payloads, table
+from tidemark.plans.queries import CUT, QUERIES, batches
 from tidemark.plans.refresh import Refresh
 from tidemark.plans.store import (
     Layout,
@@ -129,3 +129,16 @@ def test_partitioned_writes_are_rebalanced(spark, sf_dir):
     """Rows are dealt out evenly, so no month is one task's work."""
     rows = table(spark, sf_dir, "orders").withColumn("year", F.year("o_orderdate"))
     assert "RoundRobinPartitioning" in plan_of(rows.hint("rebalance"))
+
+
+def test_events_of_a_batch_are_dealt_out_before_they_are_rendered(spark, sf_dir):
+    """They lie in the order of time: the scan's tasks have all of a batch's rows or none."""
+    parts = batches(spark, sf_dir, "2024-01-10 00:20:00", CUT)
+    for part in parts:
+        lines = optimized_plan_of(part).splitlines()
+        at = lambda text: next(n for n, line in enumerate(lines) if text in line)
+        assert at("StructsToJson") < at("RebalancePartitions") < at("Filter")
+        assert "event_id" not in lines[at("RebalancePartitions") + 1]
+    given = payloads(spark, sf_dir).select("city", "payload")
+    together = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    assert together.exceptAll(given).isEmpty() and together.count() == given.count()

@@ -40,6 +40,15 @@ def _city() -> Column:
 
 def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(city, payload)``; two country codes in 27 are not in the dictionary."""
+    return rendered(table(spark, sf_dir, "events"))
+
+
+#: The columns of events that payloads are made of.
+RENDERED = ("ts", "user_id", "event_type", "value", "props")
+
+
+def rendered(events: DataFrame) -> DataFrame:
+    """Events as ``(city, payload)``, with their ``ts``."""
     user, ts = F.col("user_id"), F.col("ts")
     humidity = F.from_json("props", "k int")["k"]
     seconds = F.unix_timestamp(ts)
@@ -53,7 +62,7 @@ def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(((user % 300) / 10).alias("speed")).alias("wind"),
         offset_seconds().alias("timezone"),
     )
-    return table(spark, sf_dir, "events").select(
+    return events.select(
         _city().alias("city"), F.to_json(document).alias("payload"), "ts"
     )
 

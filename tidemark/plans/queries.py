@@ -24,11 +24,13 @@ from tidemark.operators.upsert import ABSENT, upsert
 from tidemark.plans import reports, store
 from tidemark.plans.observations import (
     AS_OF,
+    RENDERED,
     bronze,
     countries,
     inputs,
     offset_seconds,
     payloads,
+    rendered,
     table,
 )
 from tidemark.plans.refresh import CUMULATIVE, INCREMENT, Refresh
@@ -585,14 +587,18 @@ def refresh_job(spark, sf_dir, folder: str, scope: str) -> Refresh:
 
 
 def batches(spark, sf_dir, *cuts: str) -> list[DataFrame]:
-    """The landed payloads in parts, up to each cut and after the last."""
-    landed = payloads(spark, sf_dir)
+    """The landed payloads in parts, up to each cut and after the last.
+
+    Events lie in the order of their time, so a part is in a few places of the file: its
+    events are dealt out before they are rendered and parsed.
+    """
+    happened = events(spark, sf_dir).select(*RENDERED)
     parts, low = [], None
     for cut in (*cuts, None):
-        part = increment.above_mark(landed, "ts", low)
+        part = increment.above_mark(happened, "ts", low)
         parts.append((part if cut is None else increment.late_rows(part, "ts", cut)))
         low = cut
-    return [part.select("city", "payload") for part in parts]
+    return [rendered(part.hint("rebalance")).select("city", "payload") for part in parts]
 
 
 class Stopping(Refresh):
