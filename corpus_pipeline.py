@@ -23,6 +23,9 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 #: Near duplicates share this percentage of their shingles of so many words.
 NEAR_WORDS, NEAR_PERCENT = 5, 80
+#: Bytes that the token store encodes at a time and of words that it remembers: by the last
+#: stage the executors' JVMs have grown to their limit and leave little to Python.
+TOKEN_CHUNK, TOKEN_MEMORY = 2_000_000, 60_000_000
 #: Folders that the stage before has staged.
 _LEFT: list[str] = []
 
@@ -92,7 +95,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Null and empty texts have the end id alone. Rows of one key stand one after the other, null
     keys first. An empty table gives an empty one.
     """
-    return token_table(spark, docs)
+    return token_table(spark, docs, chunk=TOKEN_CHUNK, memory=TOKEN_MEMORY)
 
 
 STAGES: list[tuple[str, Stage]] = [

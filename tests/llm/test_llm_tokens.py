@@ -1,5 +1,6 @@
 """Token stores against encoding every text whole, and the hash against a dictionary."""
 
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -13,7 +14,7 @@ from tokenizers import Tokenizer
 
 from tidemark.llm.perfecthash import PerfectHash
 from tidemark.llm.queries import TOKENIZER, token_table
-from tidemark.llm import tokenstore
+from tidemark.llm import tokenstore, wordcodec
 from tidemark.llm.tokenstore import TokenStore, bucket_of, write_store
 from tidemark.llm.wordcodec import WordCodec
 from tidemark.shared import fresh_folder
@@ -65,6 +66,34 @@ def test_end_id_follows_every_text(plain, codec):
     assert codec.encode(sliced, 7)[1].tolist() == [len(plain(t)) + 1 for t in texts]
 
 
+def test_words_are_placed_some_at_a_time(plain, codec, monkeypatch):
+    texts = ["", "a b c d e f g", "h", " ", "", "i, j. k", ""]
+    whole = encoded(codec, texts, 7)
+    monkeypatch.setattr(wordcodec, "PLACED", 2)
+    assert encoded(codec, texts, 7) == whole == [[*plain(t), 7] for t in texts]
+    assert encoded(codec, texts) == [plain(t) for t in texts]
+    assert codec.encode(pa.array([], pa.string()), 7)[0].tolist() == []
+
+
+def test_placing_words_takes_little_memory(codec):
+    texts = pa.array(["one and two and three " * 200] * 1000)
+    codec.encode(texts, 7)
+    tracemalloc.start()
+    ids, _ = codec.encode(texts, 7)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 2 * ids.nbytes + 60 * wordcodec.PLACED
+
+
+@pytest.mark.parametrize("chunk, memory", [(1, 0), (100, 1000)])
+def test_chunks_and_memory_change_no_result(spark, tricky, plain, chunk, memory):
+    rows = tricky.select("doc_id", "text").collect()
+    got = token_table(spark, tricky, chunk=chunk, memory=memory).collect()
+    key = lambda r: (r[0] is not None, r[0] or 0, *r[1:])
+    assert sorted(map(tuple, got), key=key) == sorted(map(tuple, token_table(spark, tricky).collect()), key=key)
+    assert sum(r.n_tokens for r in got) == sum(len(plain(r.text)) + 1 for r in rows)
+
+
 def brute(rows, encode):
     out, start = [], 0
     order = sorted(rows, key=lambda r: (r.doc_id is not None, r.doc_id or 0))

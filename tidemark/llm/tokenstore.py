@@ -40,9 +40,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import enter, keeps, small_batches
+from tidemark.llm.common import enter, keeps, small_batches, trim
 from tidemark.llm.perfecthash import PerfectHash
-from tidemark.llm.wordcodec import WordCodec
+from tidemark.llm.wordcodec import MEMORY, WordCodec
 from tidemark.shared import read_text, write_text
 
 END = 1
@@ -59,7 +59,7 @@ RUN = "key long, shard int, file string, record long, n_records long, offset lon
 ENTRY = np.dtype(
     [("shard", "<i4"), ("record", "<i8"), ("n_records", "<i8"), ("offset", "<i8"), ("n_ids", "<i8")]
 )
-_CODECS: dict[tuple[str, int], WordCodec] = {}
+_CODECS: dict[tuple[str, int, int], WordCodec] = {}
 
 
 def _release() -> bool:
@@ -71,20 +71,21 @@ def _release() -> bool:
 keeps("tokens", _release)
 
 
-def _codec(path: str, width: int) -> WordCodec:
+def _codec(path: str, width: int, memory: int) -> WordCodec:
     """A worker's codec: what it has learned serves all its tasks of this operator."""
     enter("tokens")
-    if (path, width) not in _CODECS:
-        _CODECS[path, width] = WordCodec(path, width)
-    return _CODECS[path, width]
+    if (path, width, memory) not in _CODECS:
+        _CODECS.clear()
+        _CODECS[path, width, memory] = WordCodec(path, width, memory)
+    return _CODECS[path, width, memory]
 
 
 def _opened(root: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(root)
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of about CHUNK bytes of text together; a longer text is alone."""
+def _chunks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """Rows of about ``most`` bytes of text together; a longer text is alone."""
     held: list[pa.RecordBatch] = []
     size = 0
     for batch in batches:
@@ -93,41 +94,43 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = 0
         while at < batch.num_rows:
             before = int(ends[at - 1]) if at else 0
-            fits = int(np.searchsorted(ends, before + CHUNK - size, "right"))
+            fits = int(np.searchsorted(ends, before + most - size, "right"))
             end = max(fits, at + (not held))
             if end > at:
                 held.append(batch.slice(at, end - at))
                 size += int(ends[end - 1]) - before
                 at = end
-            if at < batch.num_rows or size >= CHUNK:
-                yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            if at < batch.num_rows or size >= most:
+                together = pa.Table.from_batches(held).combine_chunks().to_batches()
                 held, size = [], 0
+                yield from together
+                del together
     if held:
         yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
 
-def _long(texts: pa.Array) -> bool:
-    return len(texts) == 1 and pc.binary_length(texts)[0].as_py() > CHUNK
+def _long(texts: pa.Array, most: int) -> bool:
+    return len(texts) == 1 and pc.binary_length(texts)[0].as_py() > most
 
 
-def _in_parts(text: str) -> Iterator[str]:
+def _in_parts(text: str, most: int) -> Iterator[str]:
     """A long text in parts that end before white space."""
     start = 0
     while start < len(text):
-        found = SPACE.search(text, start + CHUNK)
+        found = SPACE.search(text, start + most)
         end = found.start() if found else len(text)
         yield text[start:end]
         start = end
 
 
-def _write_ids(codec: WordCodec, texts: pa.Array, end_id: int, out) -> np.ndarray:
+def _write_ids(codec: WordCodec, texts: pa.Array, end_id: int, out, most: int) -> np.ndarray:
     """Writes the ids of texts, each closed by ``end_id``; how many each has."""
-    if not _long(texts):
+    if not _long(texts, most):
         encoded, sizes = codec.encode(texts, end_id)
         out.write(encoded.tobytes())
         return sizes
     total = 1
-    for part in _in_parts(texts[0].as_py()):
+    for part in _in_parts(texts[0].as_py(), most):
         encoded, _ = codec.encode(pa.array([part], pa.string()))
         out.write(encoded.tobytes())
         total += len(encoded)
@@ -144,16 +147,20 @@ def write_store(
     end_id: int = END,
     width: int = 2,
     shards: int | None = None,
+    chunk: int | None = None,
+    memory: int = MEMORY,
 ) -> None:
     """Encodes every row of ``docs`` into a new store at ``root``, a folder all executors
     and pyarrow reach. ``width`` is the bytes of an id; a larger id raises. Without
-    ``shards`` Spark chooses their number by the size of the texts.
+    ``shards`` Spark chooses their number by the size of the texts. ``chunk`` bytes of text
+    (CHUNK) are encoded at a time, and words of ``memory`` bytes are remembered: less of
+    either takes time, not results.
 
     Keys are integers. Null keys come first, null texts are empty (the end id alone),
     rows of equal keys are stored one after the other in order of their text. Other
     columns are not read. An empty table gives a store without shards.
     """
-    spark = docs.sparkSession
+    spark, most = docs.sparkSession, chunk or CHUNK
     small_batches(spark)
     # Ranges may end between equal rows, so that copies of one row are not one task's work.
     order = [F.col("key").asc_nulls_first(), F.xxhash64("text").asc()]
@@ -169,18 +176,18 @@ def write_store(
         shard = TaskContext.get().partitionId()
         name = f"{shard:07d}-{uuid.uuid4().hex}"
         store, folder = _opened(root)
-        codec = _codec(tokenizer, width)
+        codec = _codec(tokenizer, width, memory)
         runs: dict = {}  # key: record, n_records, offset, n_ids; keys come in order
         record = offset = 0
         ids = lens = None
-        for chunk in _chunks(batches):
+        for part in _chunks(batches, most):
             if ids is None:
                 store.create_dir(f"{folder}/shards", recursive=True)
                 ids = store.open_output_stream(f"{folder}/shards/{name}.ids")
                 lens = store.open_output_stream(f"{folder}/shards/{name}.lens")
-            sizes = _write_ids(codec, pc.fill_null(chunk.column("text"), ""), end_id, ids)
+            sizes = _write_ids(codec, pc.fill_null(part.column("text"), ""), end_id, ids, most)
             lens.write(sizes.astype("<u4").tobytes())
-            for k, n in zip(chunk.column("key").to_pylist(), sizes.tolist(), strict=True):
+            for k, n in zip(part.column("key").to_pylist(), sizes.tolist(), strict=True):
                 run = runs.setdefault(k, [record, 0, offset, 0])
                 run[1] += 1
                 run[3] += n
@@ -190,6 +197,7 @@ def write_store(
             return
         ids.close()
         lens.close()
+        trim()
         columns = zip(*runs.values(), strict=True)
         first, counts, offsets, totals = (pa.array(c, pa.int64()) for c in columns)
         n = len(runs)

@@ -12,6 +12,8 @@ MARK = "\x01"
 STOPS = ".,"
 #: Bytes that a codec's memory takes, about, and that a word's entry takes besides its letters.
 MEMORY, ENTRY = 200_000_000, 240
+#: Words whose ids are put into their places at a time: what that takes is 50 bytes a word.
+PLACED = 200_000
 
 
 class WordCodec:
@@ -61,22 +63,35 @@ class WordCodec:
         """The ids of all texts in a row, each followed by ``end_id``, and how many each has."""
         split = pc.ascii_split_whitespace(texts)
         words = split.flatten().dictionary_encode()
+        bounds = split.offsets.to_numpy() - split.offsets[0].as_py()
+        del split
         forms = words.dictionary.to_pylist()
         raws = self._raws(forms)
+        of = words.indices.to_numpy()
+        del words
         ends = np.array([] if end_id is None else [end_id], self.type).tobytes()
         ids = np.frombuffer(b"".join([*raws, ends]), self.type)
         sizes = np.array([*map(len, raws), len(ends)]) // self.type.itemsize
         starts = np.cumsum(sizes) - sizes
+        del forms, raws
         # A word after the last of each text stands for its end.
-        last = split.offsets.to_numpy()[1:] - split.offsets.to_numpy()[0]
-        order = np.insert(words.indices.to_numpy(), last, len(forms))
-        counts = sizes[order]
-        behind = np.cumsum(counts)
-        total = int(behind[-1]) if len(behind) else 0
-        shift = (starts[order] - behind + counts).astype(np.int32)
-        places = np.repeat(shift, counts) + np.arange(total, dtype=np.int32)
-        own_end = behind[last + np.arange(len(last))]
-        return ids[places], np.diff(own_end, prepend=0)
+        encoded, counted, at = [], [], 0
+        while at < len(texts):
+            # At least one text, else as many as have PLACED words together.
+            end = max(int(np.searchsorted(bounds, bounds[at] + PLACED, "right")) - 1, at + 1)
+            last = bounds[at + 1 : end + 1] - bounds[at]
+            order = np.insert(of[bounds[at] : bounds[end]], last, len(sizes) - 1)
+            counts = sizes[order]
+            behind = np.cumsum(counts)
+            shift = (starts[order] - behind + counts).astype(np.int32)
+            places = np.repeat(shift, counts)
+            places += np.arange(len(places), dtype=np.int32)
+            encoded.append(ids[places])
+            counted.append(np.diff(behind[last + np.arange(len(last))], prepend=0))
+            at = end
+        if not encoded:
+            return np.array([], self.type), np.array([], np.int64)
+        return np.concatenate(encoded), np.concatenate(counted)
 
     def _raws(self, forms: list[str]) -> list[bytes]:
         """The ids of each word, as bytes."""
