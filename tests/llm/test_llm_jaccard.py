@@ -138,6 +138,53 @@ def test_star_rounds_and_products_agree(documents, monkeypatch):
     check(docs)
 
 
+def test_unlinked_long_texts_are_not_compared_in_full(documents, monkeypatch):
+    """They share rare words at the front, and have more shingles than a short sketch has slots."""
+    rng = random.Random(14)
+    passage = " ".join(f"p{n}" for n in range(60))
+    own = [" ".join(f"w{rng.randrange(4000)}" for _ in range(1960 + 30 * n)) for n in range(4)]
+    rows = [f"{passage} {text}" for text in own]
+    compared = []
+    whole = jaccard._Join.sets_of
+
+    def sets_of(join, pairs):
+        compared.append(pairs.count())
+        return whole(join, pairs)
+
+    monkeypatch.setattr(jaccard._Join, "sets_of", sets_of)
+    check(documents(list(enumerate(rows))), width=5, percent=80)
+    assert compared == [0]
+    # Sizes on both sides of a power of two: one sketch is folded.
+    near = [edited(rng, own[2].split(), 3), " ".join(own[2].split()[:-60])]
+    check(documents(list(enumerate([*rows, own[2], *near]))), width=5, percent=80)
+    assert compared[1] > 0
+
+
+def test_only_texts_of_wanted_keys_are_dealt_out(spark, documents):
+    docs = documents([(n, str(n)) for n in range(500)] + [(None, "x"), (7, "again")])
+    keys = spark.createDataFrame([(7,), (499,), (None,), (1000,)], "holder long")
+    some, others = jaccard._parted(docs, docs["doc_id"], keys)
+    assert some.columns == others.columns == docs.columns
+    assert sorted(r.text for r in some.collect()) == ["499", "7", "again", "x"]
+    assert others.count() == 498
+    assert jaccard._parted(docs, docs["doc_id"], keys.limit(0))[1].count() == 502
+
+
+def test_roots_meet_nodes_and_not_entries(documents):
+    """A large group of near copies: every round adds a root to each node, not to its columns."""
+    rng = random.Random(15)
+    base = [f"w{n}" for n in range(200)]
+    docs = documents([(n, edited(rng, base, 1)) for n in range(50)]).selectExpr("doc_id AS key", "text")
+    rows = jaccard.rows_of(docs, 3, jaccard.word_levels(docs))
+    classes = rows.withColumn("node", rows["key"])
+    join = jaccard._Join(docs, 3, classes, 90)
+    before = join.labelled()
+    assert join.add(jaccard._all_pairs(before, 90))
+    after = join.labelled()
+    assert after.count() == before.count() > join.nodes.count() == join.nodes.distinct().count()
+    assert after.select("root").distinct().count() < before.select("root").distinct().count()
+
+
 def test_nulls_long_texts_and_repeated_rows(tricky):
     check(tricky)
 

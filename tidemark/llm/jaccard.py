@@ -13,7 +13,8 @@ its transpose. Spark takes it in blocks of columns, the hash partitions by shing
   those of sizes too far apart, are not made.
 * Each row has a sketch: the parity of its shingles in each of SKETCH_BITS slots. Sketches
   differ in no more slots than rows differ in shingles, so pairs whose sketches differ in
-  more than n + m - 2 a are discarded. The rest is compared in full.
+  more than n + m - 2 a are discarded. Pairs of long rows are tested again with sketches of
+  as many slots as the rows have shingles. The rest is compared in full.
 
 Only components are asked for, so a column need not be multiplied out where its nodes are
 known to be connected. Star rounds multiply each column's first node with the others
@@ -39,6 +40,8 @@ from tidemark.llm.shingles import portions, shingle_sets, slots, word_hashes
 #: Words of a shingle, and the similarity of a link in percent, unless told otherwise.
 WIDTH, PERCENT = 3, 90
 SKETCH_BITS = 512
+#: Keys whose texts are wanted are marked in so many slots (as a power of two): 4 MiB.
+MARK_BITS = 25
 #: Bytes of text that a task works on at a time.
 SLICE = 4_000_000
 #: Words are counted in so many slots (as a power of two), to order columns by rarity.
@@ -121,19 +124,22 @@ def word_levels(docs: DataFrame) -> np.ndarray:
 
 def rows_of(docs: DataFrame, width: int, levels: np.ndarray, percent: int = PERCENT) -> DataFrame:
     """Each document's row: ``key``, ``tag``, ``n``, ``digest`` of its set, the shingles of it
-    that are multiplied, in order (``prefix``), and its ``sketch``."""
+    that are multiplied, in order (``prefix``), its ``sketch``, and its ``wide`` sketch if it
+    has more than SKETCH_BITS shingles."""
     shared = docs.sparkSession.sparkContext.broadcast(levels)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enter("jaccard")
         levels = shared.value
         for batch in _slices(batches):
-            sizes, digests, prefixes, sketches = [], [], [], []
+            sizes, digests, prefixes, sketches, wide = [], [], [], [], []
             for found, level in shingle_sets(_texts(batch), width, levels):
                 n = len(found)
                 sizes.append(n)
                 digests.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest())
                 sketches.append(_sketch(found))
+                # The next power of two: a smaller sketch is the larger one folded.
+                wide.append(_sketch(found, 1 << (n - 1).bit_length()) if n > SKETCH_BITS else None)
                 least = _least_overlap(n, percent)
                 if least == n:  # only an equal set, or one of n + 1, could be near
                     length = int(100 * n >= percent * (n + 1))
@@ -151,19 +157,21 @@ def rows_of(docs: DataFrame, width: int, levels: np.ndarray, percent: int = PERC
                     pa.array(digests, pa.binary()),
                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)),
                     pa.array(sketches, pa.list_(pa.int64())),
+                    pa.array(wide, pa.list_(pa.int64())),
                 ],
-                names=["key", "tag", "n", "digest", "prefix", "sketch"],
+                names=["key", "tag", "n", "digest", "prefix", "sketch", "wide"],
             )
 
     return docs.select("key", F.md5("text").alias("tag"), "text").mapInArrow(
         read,
-        "key long, tag string, n long, digest binary, prefix array<long>, sketch array<long>",
+        "key long, tag string, n long, digest binary, prefix array<long>, sketch array<long>, "
+        "wide array<long>",
     )
 
 
-def _sketch(found: np.ndarray) -> np.ndarray:
-    slot = found & np.uint64(SKETCH_BITS - 1)
-    odd = np.bincount(slot.astype(np.int64), minlength=SKETCH_BITS) & 1
+def _sketch(found: np.ndarray, bits: int = SKETCH_BITS) -> np.ndarray:
+    slot = found & np.uint64(bits - 1)
+    odd = np.bincount(slot.astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(bool)).view(np.int64)
 
 
@@ -211,15 +219,61 @@ def _possible(left: str, right: str, percent: int) -> Column:
     return sizes & first & second & (differ <= spare[0] + spare[1])
 
 
-def _in_several(entries: DataFrame) -> DataFrame:
-    """Entries of the columns that have more than one node."""
-    several = (
-        entries.groupBy("column")
-        .agg(F.min("node").alias("first"), F.max("node").alias("last"))
-        .where("first < last")
-        .select("column")
+def _folded(sketch: Column, words: Column) -> Column:
+    """A wide sketch of ``words`` or twice as many, as it would be with ``words``."""
+    halves = F.slice(sketch, 1, words), F.slice(sketch, words + 1, words)
+    folded = F.zip_with(*halves, lambda x, y: x.bitwiseXOR(y))
+    return F.when(F.size(sketch) > words, folded).otherwise(sketch)
+
+
+def _may_link(left: str, right: str, percent: int) -> Column:
+    """Whether wide sketches allow a link; without two of nearly one size, they do."""
+    n, m = F.col(f"{left}.n"), F.col(f"{right}.n")
+    x, y = F.col(f"{left}.wide"), F.col(f"{right}.wide")
+    words = F.least(F.size(x), F.size(y))
+    bits = F.zip_with(
+        _folded(x, words), _folded(y, words), lambda u, v: F.bit_count(u.bitwiseXOR(v))
     )
-    return entries.join(several, "column")
+    differ = F.aggregate(bits, F.lit(0), lambda total, some: total + some)
+    near = F.greatest(F.size(x), F.size(y)) <= 2 * words
+    spare = _spare(n, m, percent) + _spare(m, n, percent)
+    return F.when(x.isNotNull() & y.isNotNull() & near, differ <= spare).otherwise(F.lit(True))
+
+
+def _parted(docs: DataFrame, key: Column, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``docs`` whose ``key`` may be in ``keys`` (one column), and the others, whose
+    key is not: the former alone need to meet ``keys``, so that other texts are not shuffled.
+
+    The slots of the keys are marked in a bitmap of one size that is broadcast; keys that
+    share a slot with one of ``keys`` are among the former, which costs time alone.
+    """
+
+    def slot(of: Column) -> Column:
+        return F.shiftrightunsigned(F.xxhash64(of), 64 - MARK_BITS)
+
+    of = keys.select(slot(F.col(keys.columns[0])).alias("slot"))
+    marks = of.groupBy(F.bitmap_bucket_number("slot").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits")
+    )
+    marks = staged(docs.sparkSession, marks, "jaccard-marks")
+    own = slot(key)
+    place = F.bitmap_bit_position(own)
+    rows = docs.select(
+        F.struct("*").alias("doc"),
+        F.bitmap_bucket_number(own).alias("bucket"),
+        (place / 8 + 1).cast("int").alias("byte"),
+        F.pow(F.lit(2), place % 8).cast("int").alias("bit"),
+    ).join(F.broadcast(marks), "bucket", "left")
+    byte = F.conv(F.hex(F.substring("bits", F.col("byte"), F.lit(1))), 16, 10).cast("int")
+    marked = F.coalesce(byte.bitwiseAND(F.col("bit")) > 0, F.lit(False))
+    return rows.where(marked).select("doc.*"), rows.where(~marked).select("doc.*")
+
+
+def _mixed(entries: DataFrame, name: str) -> DataFrame:
+    """Entries of the columns that have more than one value of ``name``."""
+    own = Window.partitionBy("column")
+    ends = {"first": F.min(name).over(own), "last": F.max(name).over(own)}
+    return entries.withColumns(ends).where("first < last").drop("first", "last")
 
 
 class _Join:
@@ -229,12 +283,12 @@ class _Join:
         self.spark, self.docs, self.width, self.classes = docs.sparkSession, docs, width, classes
         self.percent = percent
         entries = classes.where(F.size("prefix") > 0).select(
-            "node", "n", F.posexplode("prefix").alias("place", "column")
+            "node", F.posexplode("prefix").alias("place", "column")
         )
-        own = Window.partitionBy("node").orderBy("place")
-        shared = _in_several(entries).withColumn("previous", F.lag("column").over(own))
-        sketched = shared.join(classes.select("node", "sketch"), "node")
-        self.entries = staged(self.spark, sketched, "jaccard-entries")
+        each = _mixed(entries, "node").groupBy("node")
+        shared = each.agg(F.sort_array(F.collect_list(F.struct("place", "column"))).alias("columns"))
+        sketched = shared.join(classes.select("node", "n", "sketch"), "node")
+        self.nodes = staged(self.spark, sketched, "jaccard-nodes")
         self.links: DataFrame | None = None
         self.roots: DataFrame | None = None
 
@@ -243,31 +297,40 @@ class _Join:
         nodes = pairs.select("a").union(pairs.select("b")).distinct().toDF("node")
         held = self.classes.select("node", "digest", F.col("key").alias("holder"))
         wanted = staged(self.spark, held.join(nodes, "node"), "jaccard-wanted")
-        docs = self.docs
+        docs, _ = _parted(self.docs, F.col("key"), wanted.select("holder"))
         holders = docs.join(wanted, docs["key"].eqNullSafe(wanted["holder"]), "left_semi")
         found = full_sets(holders, self.width).join(wanted.select("digest", "node"), "digest")
-        once = found.groupBy("node").agg(F.any_value("shingles").alias("shingles"))
-        return staged(self.spark, once, "jaccard-sets")
+        once = found.groupBy("digest").agg(
+            F.any_value("node").alias("node"), F.any_value("shingles").alias("shingles")
+        )
+        return staged(self.spark, once.select("node", "shingles"), "jaccard-sets")
 
     def labelled(self) -> DataFrame:
-        """Entries of the columns that still hold different components, with their ``root``."""
-        if self.roots is None:
-            return self.entries.withColumn("root", F.col("node"))
-        named = self.entries.join(self.roots, "node", "left").withColumn(
-            "root", F.coalesce("root", "node")
-        )
-        named = staged(self.spark, named, "jaccard-labelled")
-        mixed = (
-            named.groupBy("column")
-            .agg(F.min("root").alias("first"), F.max("root").alias("last"))
-            .where("first < last")
-            .select("column")
+        """All entries, with the ``root`` of their node. Roots meet nodes, not entries."""
+        nodes = self.nodes
+        if self.roots is not None:
+            nodes = nodes.join(self.roots, "node", "left")
+        root = F.col("node") if self.roots is None else F.coalesce("root", "node")
+        columns = F.transform(
+            "columns",
+            lambda entry, at: F.struct(
+                entry["place"].alias("place"),
+                entry["column"].alias("column"),
+                F.get("columns", at - 1)["column"].alias("previous"),
+            ),
         )
-        return staged(self.spark, named.join(mixed, "column"), "jaccard-open")
+        return nodes.select("node", "n", root.alias("root"), "sketch", F.inline(columns))
+
+    def near(self, pairs: DataFrame) -> DataFrame:
+        """``pairs`` without those that the wide sketches of their nodes rule out."""
+        wide = self.classes.where("wide IS NOT NULL").select("node", F.struct("n", "wide"))
+        left, right = wide.toDF("a", "x"), wide.toDF("b", "y")
+        both = pairs.join(left, "a", "left").join(right, "b", "left")
+        return both.where(_may_link("x", "y", self.percent)).select("a", "b")
 
     def add(self, pairs: DataFrame) -> int:
         """Compares ``pairs`` (a, b), keeps those that are linked, renews the roots."""
-        pairs = staged(self.spark, pairs, "jaccard-pairs")
+        pairs = staged(self.spark, self.near(pairs), "jaccard-pairs")
         sets = self.sets_of(pairs)
         both = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
         common = F.size(F.array_intersect("x", "y"))
@@ -281,10 +344,10 @@ class _Join:
         return found
 
 
-def _products(open_: DataFrame, percent: int) -> int:
+def _products(entries: DataFrame, percent: int) -> int:
     """About how many products multiplying out between components would make: those of
     entries that count for a set of the same size."""
-    counting = open_.where(F.col("place") <= _spare(F.col("n"), F.col("n"), percent))
+    counting = entries.where(F.col("place") <= _spare(F.col("n"), F.col("n"), percent))
     each = counting.groupBy("column", "root").agg(F.count("*").alias("n"))
     columns = each.groupBy("column").agg(
         F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("within")
@@ -292,18 +355,16 @@ def _products(open_: DataFrame, percent: int) -> int:
     return columns.agg(F.sum((F.col("n") * F.col("n") - F.col("within")) / 2)).first()[0] or 0
 
 
-def _star_pairs(open_: DataFrame, number: int, percent: int) -> DataFrame:
+def _star_pairs(entries: DataFrame, number: int, percent: int) -> DataFrame:
     """Each column's first node with all others of other components. First comes the node in
     which the column stands foremost, that is the one with the fewest shingles of its own;
     later rounds have an order of their own each."""
     turn = F.xxhash64("node", F.lit(number)) if number else F.col("place")
-    hubs = open_.groupBy("column").agg(
-        F.min(F.struct(turn.alias("turn"), "node", "n", "place", "root", "sketch")).alias("hub")
-    )
-    hubs = hubs.select("column", "hub.node", "hub.n", "hub.place", "hub.root", "hub.sketch")
+    first = F.min(F.struct(turn.alias("turn"), "node", "n", "place", "root", "sketch"))
+    hub = first.over(Window.partitionBy("column"))
+    own = F.struct("node", "n", "place", "root", "sketch")
     return (
-        open_.alias("m")
-        .join(hubs.alias("h"), "column")
+        entries.select(own.alias("m"), hub.alias("h"))
         .where((F.col("m.root") != F.col("h.root")) & _possible("m", "h", percent))
         .groupBy(
             F.least("m.node", "h.node").alias("a"), F.greatest("m.node", "h.node").alias("b")
@@ -313,8 +374,10 @@ def _star_pairs(open_: DataFrame, number: int, percent: int) -> DataFrame:
     )
 
 
-def _all_pairs(open_: DataFrame, percent: int) -> DataFrame:
-    """The pairs that the products between different components are of."""
+def _all_pairs(entries: DataFrame, percent: int) -> DataFrame:
+    """The pairs that the products between different components are of. Columns of one
+    component are left out before they meet themselves."""
+    open_ = _mixed(entries, "root")
     again = F.coalesce(F.col("l.previous") == F.col("r.previous"), F.lit(False))
     return (
         open_.alias("l")
@@ -360,21 +423,22 @@ def jaccard_components(
             F.any_value("n").alias("n"),
             F.any_value("prefix").alias("prefix"),
             F.any_value("sketch").alias("sketch"),
+            F.any_value("wide").alias("wide"),
         )
         .withColumn("node", F.monotonically_increasing_id())
     )
     classes = staged(spark, classes, "jaccard-classes")
     join = _Join(read, width, classes, percent)
-    limit = PRODUCTS_PER_ENTRY * join.entries.count()
-    open_, number = join.labelled(), 0
-    products = _products(open_, percent)
+    limit = PRODUCTS_PER_ENTRY * (join.nodes.agg(F.sum(F.size("columns"))).first()[0] or 0)
+    entries, number = join.labelled(), 0
+    products = _products(entries, percent)
     while products > limit:
-        join.add(_star_pairs(open_, number, percent))
-        open_, number, before = join.labelled(), number + 1, products
-        products = _products(open_, percent)
+        join.add(_star_pairs(entries, number, percent))
+        entries, number, before = join.labelled(), number + 1, products
+        products = _products(entries, percent)
         if products > GAIN * before:
             break
-    join.add(_all_pairs(open_, percent))
+    join.add(_all_pairs(entries, percent))
 
     named = classes.select("node", "digest", "key")
     if join.roots is not None:
@@ -412,15 +476,19 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", **opti
 
     held = some.groupBy("key", "tag").agg(F.count("*").alias("copies"))
     lost = staged(spark, held.join(best, same(held, best), "left_anti"), "jaccard-lost")
-    own = docs[key].cast("long"), F.md5(docs[text])
-    kept = docs.join(
-        lost, own[0].eqNullSafe(lost["key"]) & own[1].eqNullSafe(lost["tag"]), "left_anti"
+    doubtful, kept = _parted(docs, F.col(key).cast("long"), lost.select("key"))
+    own = doubtful[key].cast("long"), F.md5(doubtful[text])
+    kept = kept.unionByName(
+        doubtful.join(
+            lost, own[0].eqNullSafe(lost["key"]) & own[1].eqNullSafe(lost["tag"]), "left_anti"
+        )
     )
     twice = held.where("copies > 1").join(best, same(held, best), "left_semi")
     twice = staged(spark, twice, "jaccard-twice")
     if twice.isEmpty():
         return kept
     # Whole rows that are repeated: one stays.
+    own = kept[key].cast("long"), F.md5(kept[text])
     match = own[0].eqNullSafe(twice["key"]) & own[1].eqNullSafe(twice["tag"])
     single = kept.join(twice, match, "left_anti")
     repeated = kept.join(twice, match, "left_semi")
