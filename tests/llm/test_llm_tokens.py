@@ -59,6 +59,27 @@ def test_codec_equals_the_tokenizer_on_any_text(texts):
     assert encoded(codec, texts) == whole
 
 
+def test_words_of_letters_go_to_the_model_at_once(plain, monkeypatch):
+    """Whole texts are not normalized and cut for them; any other tokenizer cuts as before."""
+    words = ["house", "été", "straße", "ÿþ", "xqzwv" * 9, "o\u0308l", "ŝ", "ª", "don't", "ı", "÷", "ﬁne"]
+    texts = pa.array([*words, " ".join(words), wordcodec.LETTERS])
+    expected = [i for text in texts.to_pylist() for i in plain(text)]
+    asked = []
+    whole = WordCodec._ids
+
+    def ids(codec, text):
+        asked.append(text)
+        return whole(codec, text)
+
+    monkeypatch.setattr(WordCodec, "_ids", ids)
+    codec = WordCodec(PATH, 2)
+    assert codec.encode(texts)[0].tolist() == expected
+    assert not any(word in text for text in asked for word in ("house", "été", "straße"))
+    monkeypatch.setattr(WordCodec, "_pieces", lambda codec: {})
+    assert WordCodec(PATH, 2).encode(texts)[0].tolist() == expected
+    assert any("straße" in text for text in asked)
+
+
 def test_end_id_follows_every_text(plain, codec):
     texts = ["", "a b", " ", "", "c"]
     assert encoded(codec, texts, 7) == [[*plain(t), 7] for t in texts]
