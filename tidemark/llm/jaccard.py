@@ -33,15 +33,15 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import enter, small_batches, staged
+from tidemark.llm.common import enter, small_batches, staged, trim
 from tidemark.llm.components import components
 from tidemark.llm.shingles import portions, shingle_sets, slots, word_hashes
 
 #: Words of a shingle, and the similarity of a link in percent, unless told otherwise.
 WIDTH, PERCENT = 3, 90
 SKETCH_BITS = 512
-#: Keys whose texts are wanted are marked in so many slots (as a power of two): 4 MiB.
-MARK_BITS = 25
+#: Keys whose texts are wanted are marked in so many slots (as a power of two): 1 MiB.
+MARK_BITS = 23
 #: Bytes of text that a task works on at a time.
 SLICE = 4_000_000
 #: Words are counted in so many slots (as a power of two), to order columns by rarity.
@@ -97,6 +97,8 @@ def word_levels(docs: DataFrame) -> np.ndarray:
                     [pa.array([number], pa.int32()), pa.array([part.tobytes()], pa.binary())],
                     names=["block", "counts"],
                 )
+        del total
+        trim()
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
@@ -161,6 +163,8 @@ def rows_of(docs: DataFrame, width: int, levels: np.ndarray, percent: int = PERC
                 ],
                 names=["key", "tag", "n", "digest", "prefix", "sketch", "wide"],
             )
+            del prefixes, sketches, wide, flat
+        trim()
 
     return docs.select("key", F.md5("text").alias("tag"), "text").mapInArrow(
         read,
@@ -194,6 +198,8 @@ def full_sets(docs: DataFrame, width: int) -> DataFrame:
                 ],
                 names=["digest", "shingles"],
             )
+            del sets, flat
+        trim()
 
     return docs.select("text").mapInArrow(read, "digest binary, shingles array<long>")
 
