@@ -256,3 +256,16 @@ def test_a_task_passes_its_counts_on_for_all_languages_together(spark, monkeypat
     whole = sorted(map(tuple, langid.gram_counts(texts.repartition(1)).collect()))
     few = sorted(map(tuple, langid.gram_counts(texts.repartition(2), 5_000).collect()))
     assert few == whole and sum(n for _, _, n in whole) == sum(len(t) + 1 for _, t in rows)
+
+
+def test_calibrating_texts_are_read_once(spark, documents, monkeypatch):
+    plans, staged = {}, langid.staged
+
+    def seen(spark, frame, label):
+        plans[label] = frame._jdf.queryExecution().executedPlan().toString()
+        return staged(spark, frame, label)
+
+    monkeypatch.setattr(langid, "staged", seen)
+    langid.train(documents([(n, "the cat sat on the mat", "en", "s") for n in range(60)]))
+    plan = plans["langid-calibration"]
+    assert plan.count("MapInArrow") + plan.count("ArrowEvalPython") == 1

@@ -138,16 +138,20 @@ def calibrated(models: StoredModels, texts: DataFrame) -> StoredModels:
     spark, languages = texts.sparkSession, models.languages
     shared = spark.sparkContext.broadcast(models)
 
-    @F.pandas_udf("lang_pred string, bits double, size long")
-    def read(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enter("langid")
         models = shared.value
-        for some in batches:
-            bits, sizes = models.entropies(some.tolist())
+        for batch in batches:
+            bits, sizes = models.entropies(batch.column(1).to_pylist())
             best = np.array(models.languages, object)[bits.argmin(axis=1)]
-            yield pd.DataFrame({"lang_pred": best, "bits": bits.min(axis=1), "size": sizes})
-
-    own = texts.select("lang", read("text").alias("read")).select("lang", "read.*")
+            yield pa.record_batch(
+                [batch.column(0), pa.array(best, pa.string()), pa.array(bits.min(axis=1)), pa.array(sizes)],
+                names=["lang", "lang_pred", "bits", "size"],
+            )
+
+    # A UDF whose result is filtered by and kept is run twice, each time by a worker of its own.
+    schema = "lang string, lang_pred string, bits double, size long"
+    own = texts.select("lang", "text").mapInArrow(read, schema)
     own = own.where("size > 0 and lang = lang_pred").drop("lang_pred")
     own = staged(spark, own, "langid-calibration")
 
