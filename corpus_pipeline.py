@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm.common import forget, staging
+from tidemark.llm.common import forget, shrink_heaps, staging
 from tidemark.llm.decontaminate import decontaminate
 from tidemark.llm.jaccard import one_of_each
 from tidemark.llm.langid import language_id
@@ -31,11 +31,13 @@ _LEFT: list[str] = []
 
 
 def _tidy(stage: Stage) -> Stage:
-    """A stage that deletes what the one before has staged, whose result is written by now."""
+    """A stage that deletes what the one before has staged, whose result is written by now, and
+    begins with heaps that have given back what that one's left in them."""
 
     @functools.wraps(stage)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         forget(spark, _LEFT)
+        shrink_heaps(spark)
         with staging() as folders:
             result = stage(spark, docs, sf_dir)
         _LEFT.extend(folders)

@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 from collections import defaultdict
 
 import pytest
@@ -9,7 +10,7 @@ import pytest
 from tidemark.llm import jaccard
 from tidemark.llm.components import components
 from tidemark.llm import shingles as shingles_module
-from tidemark.llm.shingles import shingle_sets
+from tidemark.llm.shingles import portions, shingle_sets, word_hashes
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -99,6 +100,18 @@ def test_long_texts_are_taken_in_parts_between_words(monkeypatch):
     shingles_module._POWERS.clear()
 
 
+def test_hashing_takes_little_memory():
+    texts = ["some words of a text " * 40] * 3000
+    shingles_module._POWERS.clear()
+    tracemalloc.start()
+    try:
+        assert sum(len(word_hashes(some)[0]) for some in portions(texts)) == 600_000
+        assert tracemalloc.get_traced_memory()[1] < 20_000_000
+    finally:
+        tracemalloc.stop()
+        shingles_module._POWERS.clear()
+
+
 def edited(rng, words, n):
     words = list(words)
     for _ in range(n):

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidemark.llm.common import staged
+from tidemark.llm.common import shrink_heaps, staged
 from tidemark.llm.langid import language_id
 from tidemark.llm.oracles import ORACLES
 from tidemark.llm.queries import QUERIES
@@ -70,6 +70,25 @@ def test_stages_leave_nothing_behind(spark, sf_dir):
     assert docs.count() > 0 and result.count() > 0
 
 
+def collections(spark):
+    beans = spark.sparkContext._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans()
+    return sum(bean.getCollectionCount() for bean in beans if "Old" in bean.getName() or "MarkSweep" in bean.getName())
+
+
+def test_heaps_are_collected(spark):
+    before = collections(spark)
+    shrink_heaps(spark)
+    assert collections(spark) > before
+
+
+def test_stages_begin_with_shrunk_heaps(spark, nothing, sf_dir, monkeypatch):
+    order = []
+    monkeypatch.setattr(corpus_pipeline, "shrink_heaps", lambda spark: order.append("shrink"))
+    stage = corpus_pipeline._tidy(lambda spark, docs, sf_dir: order.append("stage") or docs)
+    assert stage(spark, nothing, sf_dir) is nothing
+    assert order == ["shrink", "stage"]
+
+
 def test_run_is_the_stages_in_a_row(spark, sf_dir):
     result = corpus_pipeline.run(spark, sf_dir)
     assert result.columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
